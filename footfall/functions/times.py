@@ -86,6 +86,12 @@ def previous_month(day: Column) -> tuple[Column, Column]:
     return month, F.last_day(month)
 
 
+def same_day(scan_day: Column, play_day: Column, next_day: bool) -> Column:
+    """Whether a play of that date, or of the date after it, may meet a scan of this one."""
+    same = play_day == scan_day
+    return same | (play_day == F.date_add(scan_day, 1)) if next_day else same
+
+
 def date_windows(df: DataFrame, day: str = "time") -> DataFrame:
     """The windows a run on each distinct date of the table would cover."""
     days = df.select(day).distinct()

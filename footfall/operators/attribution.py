@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.scalars import file_stem
-from footfall.operators.gapfill import same_day
+from footfall.functions.times import same_day
 from footfall.operators.plays import SLOT
 from footfall.operators.spread import bucket_join, spread_join
 
@@ -59,9 +59,17 @@ def enrich_plays(
 
 
 def busy_devices(
-    scans: DataFrame, plays: DataFrame, more_than: int, next_day: bool = True
+    scans: DataFrame,
+    plays: DataFrame,
+    more_than: int,
+    next_day: bool = True,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Scans of devices with more than ``more_than`` plays on the scan's date (and the next)."""
+    """Scans of devices with more than ``more_than`` plays on the scan's date (and the next).
+
+    ``counts`` may give the rows per date and device of the raw scans (``key_counts``), so
+    that finding hot devices need not run the scans' own plan once more.
+    """
     days = F.array("time", F.date_sub("time", 1)) if next_day else F.array("time")
     busy = (
         plays.groupBy("time", "devid")
@@ -72,7 +80,7 @@ def busy_devices(
         .where(F.col("_plays") > more_than)
         .select("time", "devid")
     )
-    return spread_join(scans, busy, ["time", "devid"], "left_semi")
+    return spread_join(scans, busy, ["time", "devid"], "left_semi", counts)
 
 
 def attribute_ads(

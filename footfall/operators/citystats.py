@@ -261,13 +261,16 @@ def city_exposures(
     )
 
 
-def city_arrivals(scans: DataFrame, gap: int = 300, boundary: str = "gt") -> DataFrame:
+def city_arrivals(
+    scans: DataFrame, gap: int = 300, boundary: str = "gt", by: tuple[str, ...] = ()
+) -> DataFrame:
     """Arrivals per city: those of pairs that came back, the pairs that came once, and their
-    sum. Cities that lack one of the two kinds are left out."""
+    sum. Cities that lack one of the two kinds are left out. ``by`` adds columns, such as
+    the date, that are kept apart."""
     a = F.col("arrivals")
     return (
-        arrivals(scans, gap, ["city_name", "devid", "mac"], boundary)
-        .groupBy("city_name")
+        arrivals(scans, gap, [*by, "city_name", "devid", "mac"], boundary)
+        .groupBy(*by, "city_name")
         .agg(
             F.sum(F.when(a > 1, a)).alias("twoexpose"),
             F.sum(F.when(a == 1, F.lit(1).cast("long"))).alias("oneexpose"),

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from footfall.functions.times import same_day
+from footfall.operators.attribution import attribute_ads
 from footfall.operators.clean import drop_heavy
 from footfall.operators.plays import SLOT
 from footfall.operators.spread import bucket_join, hot_keys, key_counts
@@ -66,7 +68,8 @@ def exposure_gapfill(
     no_plan = F.col("p_plninfo").isNull() | (F.col("p_plninfo") == "NULL")
     slot = {c: F.col(f"p_{c}") for c in AD_SLOT}
     slot["plninfo"] = F.when(no_plan, F.col("plninfo")).otherwise(F.col("p_plninfo"))
-    return _with_inserted(windows, matched, scans.columns, slot, F.floor(F.col("p_start") / 1000))
+    inserted = _inserted(matched, scans.columns, slot, F.floor(F.col("p_start") / 1000))
+    return _own(windows.select(*scans.columns)).unionByName(inserted)
 
 
 def exposure_gapfill_playlog(
@@ -79,8 +82,9 @@ def exposure_gapfill_playlog(
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Scans and the logged plays that started while a contact lasted, each added one second
-    after its start. ``carried`` names ad columns taken from the play. With ``next_day``
-    plays logged on the following date count too."""
+    after its start. ``carried`` names ad columns: an added row has those of its play, a
+    scan those of the play that was running. With ``next_day`` plays logged on the following
+    date count too."""
     windows = scan_windows(scans, append, flag)
     taken = [*SLOT, *carried]
     shown = plays.select(
@@ -94,22 +98,17 @@ def exposure_gapfill_playlog(
         shown, spans, ["devid"], "p_start", "_from", "_to", 1000 * max(append, flag), hot
     ).where(same_day(F.col("time"), F.col("p_time"), next_day))
     slot = {c: F.col(f"p_{c}") for c in taken}
-    return _with_inserted(
-        windows, matched, scans.columns, slot, F.floor((F.col("p_start") + 1000) / 1000)
-    )
-
+    own = windows.select(*scans.columns)
+    if carried:
+        own = attribute_ads(own, plays, carried, next_day)
+    inserted = _inserted(matched, own.columns, slot, F.floor((F.col("p_start") + 1000) / 1000))
+    return _own(own).unionByName(inserted)
 
-def same_day(scan_day: Column, play_day: Column, next_day: bool) -> Column:
-    """Whether a play of that date may meet a scan of this one."""
-    same = play_day == scan_day
-    return same | (play_day == F.date_add(scan_day, 1)) if next_day else same
 
-
-def _with_inserted(
-    windows: DataFrame, matched: DataFrame, columns: list[str], slot: dict, at: Column
-) -> DataFrame:
+def _inserted(matched: DataFrame, columns: list[str], slot: dict, at: Column) -> DataFrame:
+    """Rows for the matched plays; ``slot`` tells what a column takes from the play."""
     diff = F.col("p_start") - F.col("scan_time") * 1000
-    inserted = matched.select(
+    return matched.select(
         *[slot[c].alias(c) if c in slot else c for c in columns if c != "scan_time"],
         at.cast("long").alias("scan_time"),
         F.when(F.col("closed"), diff).otherwise(F.lit(0)).cast("long").alias("time_diff"),
@@ -118,15 +117,20 @@ def _with_inserted(
         "p_start",
         "p_end",
     )
-    own = windows.select(
-        *columns,
-        F.lit(0).cast("long").alias("time_diff"),
-        F.col("scan_time").alias("anchor"),
-        F.lit(0).alias("inserted"),
-        F.lit(None).cast("long").alias("p_start"),
-        F.lit(None).cast("long").alias("p_end"),
+
+
+def _own(scans: DataFrame) -> DataFrame:
+    """Rows for the scans themselves."""
+    none = F.lit(None).cast("long")
+    return scans.withColumns(
+        {
+            "time_diff": F.lit(0).cast("long"),
+            "anchor": F.col("scan_time"),
+            "inserted": F.lit(0),
+            "p_start": none,
+            "p_end": none,
+        }
     )
-    return own.unionByName(inserted)
 
 
 def filled_order() -> list[str]:

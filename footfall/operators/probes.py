@@ -11,11 +11,17 @@ from footfall.operators.spread import bucket_join, hot_keys, key_counts
 
 
 def probe_window(
-    probes: DataFrame, events: DataFrame, within: int, t: str, by_device: bool = True
+    probes: DataFrame,
+    events: DataFrame,
+    within: int,
+    t: str,
+    by_device: bool = True,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
-    """Events no more than ``within`` seconds before or after a probe (of the same device)."""
+    """Events no more than ``within`` seconds before or after a probe (of the same device).
+    ``raw`` may name the table the events come from, to find hot devices in."""
     on = ["devid"] if by_device else []
-    hot = hot_keys(key_counts(events, on), on) if by_device else None
+    hot = hot_keys(key_counts(events if raw is None else raw, on), on) if by_device else None
     spans = probes.withColumns({"_from": F.col("at") - within, "_to": F.col("at") + within + 1})
     if not by_device:
         spans = spans.drop("devid")
@@ -40,7 +46,7 @@ def probe_counts(
     widest = max(spreads)
     cleaned = drop_heavy(scans, ["time", "devid", "mac"], max_scans)
     seconds = distinct_seconds(cleaned, ["devid", "mac"])
-    near = probe_window(probes, seconds, widest, "scan_time", by_device)
+    near = probe_window(probes, seconds, widest, "scan_time", by_device, scans)
     away = F.abs(F.col("scan_time") - F.col("at"))
     per_mac = near.groupBy("probe_id", "mac").agg(
         *[F.sum(F.when(away <= s, F.col("n_scans"))).alias(f"_{s}") for s in spreads]
@@ -53,7 +59,7 @@ def probe_counts(
     looks = faces.groupBy("devid", "starttime").agg(F.count(F.lit(1)).alias("_n"))
     away = F.abs(F.col("starttime") - F.col("at"))
     face_counts = (
-        probe_window(probes, looks, widest, "starttime", by_device)
+        probe_window(probes, looks, widest, "starttime", by_device, faces)
         .groupBy("probe_id")
         .agg(*[F.sum(F.when(away <= s, F.col("_n"))).alias(f"faces_{s}") for s in spreads])
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from footfall.operators import attribution, clean, gapfill, plays
+from footfall.operators.spread import key_counts
 
 
 def rebuilt_views(
@@ -25,6 +26,28 @@ def rebuilt_views(
     )
 
 
+def logged_gapfill(
+    scans: DataFrame,
+    played: DataFrame,
+    append: int,
+    flag: int,
+    min_plays: int = 100,
+    next_day: bool = True,
+    max_scans: int = gapfill.MAX_SCANS,
+    raw: DataFrame | None = None,
+) -> DataFrame:
+    """Panel scans and enriched logged plays -> attributed and gap-filled scans. ``raw`` is
+    the scan log the panel was taken from; hot devices are looked for there."""
+    raw = scans if raw is None else raw
+    busy = attribution.busy_devices(
+        scans, played, min_plays, next_day, key_counts(raw, ["time", "devid"])
+    )
+    return gapfill.exposure_gapfill_playlog(
+        gapfill.visitor_scans(busy, max_scans), played, append, flag, attribution.AD_COLUMNS,
+        next_day, gapfill.device_hot_keys(raw, ["devid"]),
+    )
+
+
 def logged_views(
     scans: DataFrame,
     played: DataFrame,
@@ -34,14 +57,8 @@ def logged_views(
     next_day: bool = True,
     by_content: bool = False,
     max_scans: int = gapfill.MAX_SCANS,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
     """Panel scans and enriched logged plays -> attributed, gap-filled scans -> views."""
-    busy = attribution.busy_devices(scans, played, min_plays, next_day)
-    seen = attribution.attribute_ads(
-        gapfill.visitor_scans(busy, max_scans), played, next_day=next_day
-    )
-    filled = gapfill.exposure_gapfill_playlog(
-        seen, played, append, flag, attribution.AD_COLUMNS, next_day,
-        gapfill.device_hot_keys(scans, ["devid"]),
-    )
+    filled = logged_gapfill(scans, played, append, flag, min_plays, next_day, max_scans, raw)
     return gapfill.view_merge_adlen(filled, flag, by_content)

@@ -326,7 +326,7 @@ def full_flow_range(spark, sf):
 @query
 def city_arrivals(spark, sf):
     placed = a.view_info(spark, sf).where(F.col("city_name").isNotNull())
-    return citystats.city_arrivals(placed, 300)
+    return citystats.city_arrivals(placed, 300, by=("time",))
 
 
 @query
@@ -356,7 +356,8 @@ def _genuine(spark, sf):
     return clean.spoof_filter(a.view_info(spark, sf), a.mac_factory(spark, sf))
 
 
-CITY_KEYS = ["city_name", "devid", "mac"]
+PAIR = ["time", "devid", "mac"]
+CITY_KEYS = ["time", "city_name", "devid", "mac"]
 
 
 def _city_exposures(spark, sf):
@@ -371,12 +372,12 @@ def scan_gaps(spark, sf):
 
 @query
 def exposures_multi(spark, sf):
-    return exp.exposures_multi(a.scan_log(spark, sf), GAP)
+    return exp.exposures_multi(a.scan_log(spark, sf), GAP, keys=PAIR)
 
 
 @query
 def exposures_single(spark, sf):
-    return exp.exposures_single(a.scan_log(spark, sf), GAP)
+    return exp.exposures_single(a.scan_log(spark, sf), GAP, keys=PAIR)
 
 
 @query
@@ -386,7 +387,7 @@ def exposures(spark, sf):
 
 @query
 def exposures_strict(spark, sf):
-    return exp.exposures(a.scan_log(spark, sf), 50, ["time", "devid", "mac"], boundary="gt")
+    return exp.exposures(a.scan_log(spark, sf), 50, PAIR, boundary="gt")
 
 
 @query
@@ -406,7 +407,7 @@ def exposures_filtered(spark, sf):
     scans = a.scan_log(spark, sf)
     macs = clean.roaming_macs(scans, 45, 6)
     kept = clean.drop_roaming(tables.clip_to_day(scans, drop_ap=False), macs)
-    return exp.exposures(kept, GAP, ["time", "devid", "mac"])
+    return exp.exposures(kept, GAP, PAIR)
 
 
 @query
@@ -418,27 +419,27 @@ def city_exposures(spark, sf):
 
 @query
 def freq_dist(spark, sf):
-    return reach.freq_dist(exp.exposures(_genuine(spark, sf), GAP), exp.DEVICE_MAC)
+    return reach.freq_dist(exp.exposures(_genuine(spark, sf), GAP, PAIR), PAIR, ["time"])
 
 
 @query
 def freq_dist_city(spark, sf):
-    return reach.freq_dist(_city_exposures(spark, sf), CITY_KEYS, ["city_name"])
+    return reach.freq_dist(_city_exposures(spark, sf), CITY_KEYS, ["time", "city_name"])
 
 
 @query
 def reach_curve(spark, sf):
-    return reach.reach_curve(freq_dist(spark, sf))
+    return reach.reach_curve(freq_dist(spark, sf), ["time"])
 
 
 @query
 def reach_curve_city(spark, sf):
-    return reach.reach_curve(freq_dist_city(spark, sf), ["city_name"])
+    return reach.reach_curve(freq_dist_city(spark, sf), ["time", "city_name"])
 
 
 @query
 def reach_curve_city_sparse(spark, sf):
-    return reach.reach_curve(freq_dist_city(spark, sf), ["city_name"], compat_sparse=True)
+    return reach.reach_curve(freq_dist_city(spark, sf), ["time", "city_name"], compat_sparse=True)
 
 
 @query
@@ -595,13 +596,6 @@ def _panel_scans(spark, sf):
     return scans.select("id", *VIEW_COLUMNS)
 
 
-def _attributed(spark, sf):
-    scans = attribution.busy_devices(_panel_scans(spark, sf), _enriched(spark, sf), 100)
-    return attribution.attribute_ads(
-        gapfill.visitor_scans(scans, MAX_SCANS), _enriched(spark, sf)
-    )
-
-
 @query
 def max_ad_length(spark, sf):
     return attribution.max_ad_length(a.schedule_days(spark, sf))
@@ -644,33 +638,36 @@ def ad_attribution_same_day(spark, sf):
     ).groupBy("time", "devid", "adcontent").agg(F.count(F.lit(1)).alias("scans"))
 
 
-def _filled_from_log(spark, sf):
-    return gapfill.exposure_gapfill_playlog(
-        _attributed(spark, sf), _enriched(spark, sf), APPEND, FLAG, attribution.AD_COLUMNS,
-        hot=gapfill.device_hot_keys(a.scan_log(spark, sf), ["devid"]),
-    )
+LOGGED = {"append": APPEND, "flag": FLAG, "min_plays": 100, "max_scans": MAX_SCANS}
 
 
 @query
 def exposure_gapfill_playlog(spark, sf):
-    return _filled_from_log(spark, sf).select(
+    return jobs.logged_gapfill(
+        _panel_scans(spark, sf), _enriched(spark, sf), raw=a.scan_log(spark, sf), **LOGGED
+    ).select(
         "id", "time", "devid", "mac", *plays.SLOT, "scan_time", "time_diff", "inserted",
         "adcontent", "ad_content_id",
     )
 
 
-@query
-def view_merge_adlen(spark, sf):
-    return gapfill.view_merge_adlen(_filled_from_log(spark, sf), FLAG).select(
+def _logged_views(spark, sf, by_content):
+    return jobs.logged_views(
+        _panel_scans(spark, sf), _enriched(spark, sf), raw=a.scan_log(spark, sf),
+        by_content=by_content, **LOGGED,
+    ).select(
         "time", "devid", "mac", *gapfill.AD_SLOT, "start_ms", "end_ms", "time_diff", "adcontent",
     )
 
 
+@query
+def view_merge_adlen(spark, sf):
+    return _logged_views(spark, sf, by_content=False)
+
+
 @query
 def view_merge_adlen_content(spark, sf):
-    return gapfill.view_merge_adlen(_filled_from_log(spark, sf), FLAG, by_content=True).select(
-        "time", "devid", "mac", *gapfill.AD_SLOT, "start_ms", "end_ms", "time_diff", "adcontent",
-    )
+    return _logged_views(spark, sf, by_content=True)
 
 
 # --- row functions ------------------------------------------------------------------------
