@@ -26,12 +26,13 @@ def distinct_seconds(
 def scan_gaps(
     scans: DataFrame, keys: list[str] = DEVICE_MAC, t: str = "scan_time"
 ) -> DataFrame:
-    """Distinct scan seconds with the previous one of the key and the gap to it (0 if none)."""
-    w = Window.partitionBy(*keys).orderBy(t)
-    return distinct_seconds(scans, keys, t).select(
-        "*",
-        F.lag(t).over(w).alias("prev_time"),
-        (F.col(t) - F.coalesce(F.lag(t).over(w), F.col(t))).alias("gap"),
+    """Distinct scan seconds with the previous one of the key (the first has itself) and the
+    gap to it."""
+    previous = F.lag(t).over(Window.partitionBy(*keys).orderBy(t))
+    return (
+        distinct_seconds(scans, keys, t)
+        .withColumn("prev_time", F.coalesce(previous, F.col(t)))
+        .withColumn("gap", F.col(t) - F.col("prev_time"))
     )
 
 

@@ -575,16 +575,18 @@ VIEWS["exposed_pairs"] = (["view_info"], f"SELECT * FROM {_exposures('view_info'
 def _city_exposures(places: str) -> str:
     return f"""
 SELECT city_name, count(DISTINCT mac) AS nofake_maccount, count(mac) AS nofake_mactime,
-       nullif(count(DISTINCT mac) FILTER (prefix IS NOT NULL), 0) AS fake_maccount,
-       nullif(count(mac) FILTER (prefix IS NOT NULL), 0) AS fake_mactime
+       nullif(count(DISTINCT mac) FILTER (prefix IS NOT NULL), 0)::DOUBLE AS fake_maccount,
+       nullif(count(mac) FILTER (prefix IS NOT NULL), 0)::DOUBLE AS fake_mactime
 FROM exposed_pairs e JOIN {places} d ON e.devid = d.devid
 LEFT JOIN known k ON k.prefix = lower(substr(e.mac, 1, 6))
 WHERE city_name IS NOT NULL GROUP BY city_name"""
 
 
 O["city_report"] = _with(["city_played", "city_shown", "videos", "exposed_pairs", "touch_city", "known"], f"""
-SELECT a.*, b.ad_totallen, c.city_adcustomer_nums, c.city_adproduct_nums, c.city_adcontent_nums,
-       e.nofake_maccount, e.nofake_mactime, e.fake_maccount, e.fake_mactime
+SELECT a.*, b.ad_totallen, c.city_adcustomer_nums::DOUBLE AS city_adcustomer_nums,
+       c.city_adproduct_nums::DOUBLE AS city_adproduct_nums, c.city_adcontent_nums::DOUBLE AS city_adcontent_nums,
+       e.nofake_maccount::DOUBLE AS nofake_maccount, e.nofake_mactime::DOUBLE AS nofake_mactime,
+       e.fake_maccount, e.fake_mactime
 FROM (SELECT city_name, count(DISTINCT devid) AS devcount, count(DISTINCT building_name) AS buildcount
       FROM city_played GROUP BY city_name) a
 LEFT JOIN (SELECT city_name, sum(ad_length::DOUBLE) AS ad_totallen FROM city_shown GROUP BY city_name) b USING (city_name)
@@ -593,7 +595,7 @@ LEFT JOIN (SELECT city_name, count(DISTINCT adcustomer) AS city_adcustomer_nums,
            FROM city_shown s JOIN videos v ON s.ad_content_id = v.ad_content_id GROUP BY city_name) c USING (city_name)
 LEFT JOIN ({_city_exposures('touch_city')}) e USING (city_name)""")
 O["city_ad_length"] = _with(["view_info", "device_city", "valid"], """
-SELECT city_name, sum(len)::BIGINT AS total_len FROM (
+SELECT city_name, sum(len)::DOUBLE AS total_len FROM (
   SELECT d.city_name, a.ad_content_id, max(a.ad_length) AS len FROM view_info v
   JOIN device_city d ON v.devid = d.devid
   LEFT JOIN (SELECT DISTINCT pln_id, ad_content_id, ad_length FROM valid) a ON a.pln_id = v.plninfo
@@ -622,8 +624,8 @@ def _flow(views: str, by_day: bool) -> str:
     filled = backfill.format(src=f"({resolved})")
     return f"""
 SELECT city_name, play_nums, count(DISTINCT mac) AS nofake_nums, count(mac) AS nofake_times,
-       nullif(count(DISTINCT mac) FILTER (prefix IS NOT NULL AND city_name IS NOT NULL), 0) AS fake_nums,
-       nullif(count(mac) FILTER (prefix IS NOT NULL AND city_name IS NOT NULL), 0) AS fake_times
+       nullif(count(DISTINCT mac) FILTER (prefix IS NOT NULL AND city_name IS NOT NULL), 0)::DOUBLE AS fake_nums,
+       nullif(count(mac) FILTER (prefix IS NOT NULL AND city_name IS NOT NULL), 0)::DOUBLE AS fake_times
 FROM ({filled}) m JOIN ({_PLANNED.format(sched=sched)}) p
   ON m.citycode = p.citycode AND m.sch_version = p.buildinglist AND m.batch = p.uploadcount
  AND m.adcontent = p.adcontent {on}
@@ -645,7 +647,7 @@ FROM (SELECT time, city_name, devid, mac, 1 + count(*) FILTER (scan_time - p > 3
             FROM view_info WHERE city_name IS NOT NULL) GROUP BY ALL)
 GROUP BY time, city_name HAVING count(*) FILTER (n > 1) > 0 AND count(*) FILTER (n = 1) > 0""")
 O["actual_plays"] = _with(["play_log", "day_schedule", "package_frequency"], f"""
-SELECT a.city_name, sum(s.slots * f.basefrequency)::BIGINT AS playtimes
+SELECT a.city_name, sum(s.slots * f.basefrequency)::DOUBLE AS playtimes
 FROM (SELECT p.citycode, p.devid, p.inner_sn, r_name AS city_name, p.sch_version, max(p.uploadcount) AS uploadcount
       FROM play_log p JOIN region ON p.citycode = 'c' || r_regionkey
       WHERE p.time = DATE '{DAY}' AND p.devid NOT LIKE '%9' GROUP BY ALL) a
@@ -671,8 +673,8 @@ SELECT devid, count(*) AS exposetime, count(DISTINCT mac) AS macnums FROM expose
 # --- exposures and reach ------------------------------------------------------------------
 
 O["scan_gaps"] = _with(["view_info"], """
-SELECT devid, mac, scan_time, n_scans, prev_time, coalesce(scan_time - prev_time, 0) AS gap FROM (
-  SELECT *, lag(scan_time) OVER (PARTITION BY devid, mac ORDER BY scan_time) AS prev_time
+SELECT devid, mac, scan_time, n_scans, prev_time, scan_time - prev_time AS gap FROM (
+  SELECT *, coalesce(lag(scan_time) OVER (PARTITION BY devid, mac ORDER BY scan_time), scan_time) AS prev_time
   FROM (SELECT devid, mac, scan_time, count(*) AS n_scans FROM view_info GROUP BY ALL))""")
 O["exposures_multi"] = _with(["view_info"],
     f"SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures('view_info', PAIR, single=False)}")
