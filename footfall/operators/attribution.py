@@ -37,24 +37,26 @@ def enrich_plays(
     names in the play log. Plays that lack any of these are dropped."""
     lengths = lengths.select(
         file_stem(F.col("adcontent")).alias("_stem"), "ad_length", "adcustomer", "adproduct"
-    )
+    ).distinct()
     ids = ad_ids.select(
         file_stem(F.col("adcontent")).alias("_stem"), F.col("adid").alias("ad_content_id")
-    )
+    ).distinct()
     places = devices.select(
         "devid", "suit_kind", "city_name", "building_no", "building_name"
     ).distinct()
     content = F.expr(f"substring(trim(vfn), {skip + 1})") if skip else F.col("vfn")
-    return (
+    logged = (
         plays.where(F.col("vfn").isNotNull() & (F.col("vfn") != ""))
+        .select("time", "devid", "iccid", "inner_sn", *SLOT, "start_ms", "end_ms", "vfn")
         .distinct()
-        .withColumn("_stem", file_stem(F.col("vfn"), skip))
+    )
+    return (
+        logged.withColumn("_stem", file_stem(F.col("vfn"), skip))
         .withColumn("adcontent", content)
         .join(places, "devid", "inner")
         .join(lengths, "_stem", "inner")
         .join(ids, "_stem", "inner")
         .drop("_stem", "vfn")
-        .distinct()
     )
 
 

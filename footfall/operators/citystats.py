@@ -6,8 +6,6 @@ device, plan or mac rather than one per scan.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,20 +83,6 @@ def slot_ads(schedule: DataFrame) -> DataFrame:
     )
 
 
-def distinct_counts(df: DataFrame, by: str, columns: dict[str, str]) -> DataFrame:
-    """Distinct non-null values of several columns per group.
-
-    Each column is reduced on its own in two steps, which moves less than the one-step form
-    that repeats every row once per column.
-    """
-    parts = [
-        df.where(F.col(c).isNotNull()).select(by, c).distinct()
-        .groupBy(by).agg(F.count(c).alias(name))
-        for c, name in columns.items()
-    ]
-    return reduce(lambda a, b: a.join(b, by, "full"), parts)
-
-
 def city_multi_distinct(
     scans: DataFrame, location: DataFrame, schedule: DataFrame, videos: DataFrame
 ) -> DataFrame:
@@ -189,30 +173,40 @@ def city_report(
     """City report: devices, buildings, ad length, customers, brands and creatives from the
     plays; people and person-times, before and after the vendor test, from the scans."""
     played = city_plays(plays, location)
-    shown = _scheduled(
-        played.groupBy("city_name", "sch_version", "pls_index", "play_index", "plninfo")
-        .agg(F.sum("_plays").alias("_plays")),
-        schedule,
+    places = (
+        played.select("city_name", "devid", "building_name").distinct()
+        .groupBy("city_name")
+        .agg(
+            F.countDistinct("devid").alias("devcount"),
+            F.countDistinct("building_name").alias("buildcount"),
+        )
     )
-    length = shown.groupBy("city_name").agg(
-        F.sum(F.col("_plays") * F.col("ad_length").cast("double")).alias("ad_totallen")
+    slots = played.groupBy(
+        "city_name", "sch_version", "pls_index", "play_index", "plninfo"
+    ).agg(F.sum("_plays").alias("_plays"))
+    shown = (
+        _scheduled(slots, schedule)
+        .groupBy("city_name", "ad_content_id")
+        .agg(F.sum(F.col("_plays") * F.col("ad_length").cast("double")).alias("_length"))
     )
-    ads = shown.select("city_name", "ad_content_id").distinct().join(
-        videos.select("ad_content_id", "adcustomer", "adproduct", "adcontent").distinct(),
-        "ad_content_id",
-        "inner",
+    length = shown.groupBy("city_name").agg(F.sum("_length").alias("ad_totallen"))
+    ads = (
+        shown.join(
+            videos.select("ad_content_id", "adcustomer", "adproduct", "adcontent").distinct(),
+            "ad_content_id",
+            "inner",
+        )
+        .groupBy("city_name")
+        .agg(
+            F.countDistinct("adcustomer").alias("city_adcustomer_nums"),
+            F.countDistinct("adproduct").alias("city_adproduct_nums"),
+            F.countDistinct("adcontent").alias("city_adcontent_nums"),
+        )
     )
     touch = location.where(F.substring("device_style", 1, 6) == "[智能互动]")
-    columns = {"devid": "devcount", "building_name": "buildcount"}
-    ad_columns = {
-        "adcustomer": "city_adcustomer_nums",
-        "adproduct": "city_adproduct_nums",
-        "adcontent": "city_adcontent_nums",
-    }
     return (
-        distinct_counts(played, "city_name", columns)
-        .join(length, "city_name", "left")
-        .join(distinct_counts(ads, "city_name", ad_columns), "city_name", "left")
+        places.join(length, "city_name", "left")
+        .join(ads, "city_name", "left")
         .join(city_exposures(scans, touch, factory, gap), "city_name", "left")
         .select(
             "city_name", "devcount", "buildcount", "ad_totallen", "city_adcustomer_nums",

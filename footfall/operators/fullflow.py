@@ -19,12 +19,13 @@ def best_frequency(building_list: DataFrame, by_package: bool = False) -> DataFr
     """
     key = ["citycode", "buildinglist", "uploadcount"]
     group = key + (["packagecode"] if by_package else [])
+    # One row per frequency, at the greatest length it has: the window sees no more.
     lists = (
         building_list.where(F.col("sumadlength").isNotNull())
-        .select(*group, "sumadlength", "basefrequency")
-        .distinct()
+        .groupBy(*group, "basefrequency")
+        .agg(F.max("sumadlength").alias("_longest"))
     )
-    w = Window.partitionBy(*group).orderBy(F.col("sumadlength").desc())
+    w = Window.partitionBy(*group).orderBy(F.col("_longest").desc())
     return (
         lists.withColumn("_rank", F.rank().over(w))
         .where(F.col("_rank") == 1)

@@ -102,7 +102,7 @@ def bucket_join(
     ``on`` keys of ``hot_side`` further; the other side is repeated for those keys only.
     """
     def bucket(value: Column) -> Column:
-        return F.floor(value / F.lit(width)).cast("long")
+        return F.call_function("div", value, F.lit(width))
 
     p = points.withColumn("_bucket", bucket(F.col(point)))
     s = spans.where(F.col(span_to) > F.col(span_from))

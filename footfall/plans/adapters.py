@@ -16,15 +16,24 @@ from footfall.functions.times import DAY, day_of
 BASE = 1704067200  # 2024-01-01 00:00:00 UTC
 DAYS = 7
 
-EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double"
+# Columns read from each table. Given up front, so that no job runs to infer a schema.
+SCHEMAS = {
+    "events": "event_id long, ts timestamp, user_id long, event_type string, value double",
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int",
+    "part": "p_partkey long, p_brand string, p_type string, p_size int",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_returnflag string",
+}
 
 
 def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def _div(value: Column, by: int) -> Column:
-    return F.floor(value / F.lit(by)).cast("long")
+    return F.call_function("div", value, F.lit(by))
 
 
 def _devid(n: Column) -> Column:
@@ -33,7 +42,7 @@ def _devid(n: Column) -> Column:
 
 def _moments(spark: SparkSession, sf: str) -> DataFrame:
     """Events on the packed clock with their device number."""
-    events = spark.read.schema(EVENTS).parquet(f"{sf}/events.parquet")
+    events = _read(spark, sf, "events")
     t = F.unix_seconds("ts")
     return events.select(
         "event_id", "user_id", "event_type", "value",
@@ -48,8 +57,8 @@ def _mac() -> Column:
     return F.concat(head, vendor, F.lpad(F.col("user_id").cast("string"), 6, "0"))
 
 
-def view_info(spark: SparkSession, sf: str) -> DataFrame:
-    """Scan log with city, ad and device style. An event is a visit of 1 to 4 scans."""
+def _log(spark: SparkSession, sf: str) -> DataFrame:
+    """Scan log with city code, ad and device style. An event is a visit of 1 to 4 scans."""
     visits = _moments(spark, sf).select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("event_id") % 4)).alias("j")
     ).withColumn("scan_time", F.col("t") + F.col("j") * 50)
@@ -58,39 +67,45 @@ def view_info(spark: SparkSession, sf: str) -> DataFrame:
     slot = _div(t, 60) % 6
     part = _div(n, 3) * 60 + n % 5 + half * 5 + slot * 10
     kind = F.col("event_type")
-    regions = _read(spark, sf, "region").select(
-        F.col("r_regionkey").cast("long").alias("_city"), F.col("r_name").alias("_name")
-    )
-    return (
-        visits.withColumn("_city", n % 5)
-        .join(regions, "_city", "left")
-        .select(
-            day_of(t).alias("time"),
-            _devid(n).alias("devid"),
-            F.concat(F.lit("ic"), n.cast("string")).alias("iccid"),
-            F.concat(F.lit("sn"), n.cast("string"), F.lit("_"),
-                     F.when(e % 5 == 0, "b").otherwise("a")).alias("inner_sn"),
-            _mac().alias("mac"),
-            F.concat(F.lit("pl"), (part % 97).cast("string")).alias("plninfo"),
-            F.when(e % 50 == 1, 0).otherwise(100 + _div(n, 3)).cast("int").alias("sch_version"),
-            F.when(e % 10 == 0, 0).otherwise(1 + half).cast("int").alias("uploadcount"),
-            (1 + slot % 3).cast("int").alias("pls_index"),
-            (1 + _div(slot, 3)).cast("int").alias("play_index"),
-            "scan_time",
-            F.floor("value").cast("int").alias("signal"),
-            F.when(kind == "error", "1").otherwise("0").alias("is_ap"),
-            F.concat(F.lit("c"), (n % 5).cast("string")).alias("citycode"),
-            F.when(n % 10 != 9, F.col("_name")).alias("city_name"),
-            F.when(kind == "signup", F.lit(None)).when(kind == "view", "NULL")
-            .otherwise(F.concat(F.lit("a"), (part % 97).cast("string"))).alias("ad_content_id"),
-            F.when(n % 4 == 0, "[智能]").when(n % 2 == 0, "[智能互动]22")
-            .otherwise("[互动]19").alias("device_style"),
-        )
+    return visits.select(
+        day_of(t).alias("time"),
+        _devid(n).alias("devid"),
+        F.concat(F.lit("ic"), n.cast("string")).alias("iccid"),
+        F.concat(F.lit("sn"), n.cast("string"), F.lit("_"),
+                 F.when(e % 5 == 0, "b").otherwise("a")).alias("inner_sn"),
+        _mac().alias("mac"),
+        F.concat(F.lit("pl"), (part % 97).cast("string")).alias("plninfo"),
+        F.when(e % 50 == 1, 0).otherwise(100 + _div(n, 3)).cast("int").alias("sch_version"),
+        F.when(e % 10 == 0, 0).otherwise(1 + half).cast("int").alias("uploadcount"),
+        (1 + slot % 3).cast("int").alias("pls_index"),
+        (1 + _div(slot, 3)).cast("int").alias("play_index"),
+        "scan_time",
+        F.floor("value").cast("int").alias("signal"),
+        F.when(kind == "error", "1").otherwise("0").alias("is_ap"),
+        F.concat(F.lit("c"), (n % 5).cast("string")).alias("citycode"),
+        F.when(kind == "signup", F.lit(None)).when(kind == "view", "NULL")
+        .otherwise(F.concat(F.lit("a"), (part % 97).cast("string"))).alias("ad_content_id"),
+        F.when(n % 4 == 0, "[智能]").when(n % 2 == 0, "[智能互动]22")
+        .otherwise("[互动]19").alias("device_style"),
     )
 
 
 def scan_log(spark: SparkSession, sf: str) -> DataFrame:
-    return view_info(spark, sf).drop("citycode", "city_name", "ad_content_id", "device_style")
+    return _log(spark, sf).drop("citycode", "ad_content_id", "device_style")
+
+
+def view_info(spark: SparkSession, sf: str) -> DataFrame:
+    """Enriched scan log. Devices whose number ends in 9 have no city name."""
+    regions = _read(spark, sf, "region").select(
+        F.concat(F.lit("c"), F.col("r_regionkey").cast("string")).alias("citycode"),
+        F.col("r_name").alias("_name"),
+    )
+    return (
+        _log(spark, sf)
+        .join(regions, "citycode", "left")
+        .withColumn("city_name", F.when(~F.col("devid").endswith("9"), F.col("_name")))
+        .drop("_name")
+    )
 
 
 def location(spark: SparkSession, sf: str) -> DataFrame:

@@ -267,7 +267,7 @@ JOIN (SELECT devid, max(update_time) AS update_time FROM newest
 
 VIEWS["enriched"] = (["play_log", "lcd_latest", "lengths", "ad_ids"], """
 SELECT DISTINCT p.time, p.devid, p.start_ms, p.end_ms, p.sch_version, p.uploadcount, p.pls_index, p.play_index,
-       p.plninfo, p.iccid, p.inner_sn, p.master, p.pid, p.sv, p.vfn AS adcontent, i.adid AS ad_content_id,
+       p.plninfo, p.iccid, p.inner_sn, p.vfn AS adcontent, i.adid AS ad_content_id,
        d.suit_kind, l.ad_length, l.adproduct, l.adcustomer, d.city_name, d.building_no, d.building_name
 FROM play_log p JOIN lcd_latest d ON p.devid = d.devid
 JOIN lengths l ON left(p.vfn, length(p.vfn) - 4) = left(l.adcontent, length(l.adcontent) - 4)
@@ -798,8 +798,8 @@ SELECT devid, start_ms, end_ms, plninfo, adcontent, ad_content_id, suit_kind, ad
        city_name, building_no, building_name FROM enriched""")
 O["enrich_plays_unversioned"] = _with(["play_log", "latest", "lengths", "ad_ids"], """
 SELECT devid, adcontent, ad_content_id, ad_length, sch_version, count(*) AS plays FROM (
-SELECT DISTINCT p.time, p.devid, p.start_ms, p.end_ms, p.pls_index, p.play_index, p.plninfo, p.sv,
-       p.iccid, p.inner_sn, p.master, p.pid, p.vfn AS adcontent, i.adid AS ad_content_id, l.ad_length,
+SELECT DISTINCT p.time, p.devid, p.start_ms, p.end_ms, p.pls_index, p.play_index, p.plninfo,
+       p.iccid, p.inner_sn, p.vfn AS adcontent, i.adid AS ad_content_id, l.ad_length,
        l.adproduct, l.adcustomer, d.suit_kind, d.city_name, d.building_no, d.building_name, 0::INTEGER AS sch_version
 FROM play_log p JOIN (SELECT DISTINCT devid, suit_kind, city_name, building_no, building_name
                       FROM latest WHERE suit_kind <> '') d ON p.devid = d.devid
