@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 # Text formats of the logs.
 SCAN_FORMAT = "yyyy-MM-dd HH:mm:ss"
 PLAY_FORMAT = "yyyyMMddHHmmss"
-PLAY_MS_FORMAT = "yyyyMMddHHmmssSSS"
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy_MM_dd", "yyyyMMdd")
 
 DAY = 86400
 
@@ -21,12 +19,10 @@ def scan_seconds(text: Column, fmt: str = SCAN_FORMAT) -> Column:
 
 
 def play_millis(text: Column) -> Column:
-    """Epoch milliseconds of a play time with or without its millisecond digits."""
-    return F.unix_millis(
-        F.when(
-            F.length(text) > 14, F.try_to_timestamp(text, F.lit(PLAY_MS_FORMAT))
-        ).otherwise(F.try_to_timestamp(text, F.lit(PLAY_FORMAT)))
-    )
+    """Epoch milliseconds of a play time with or without its three millisecond digits."""
+    seconds = F.unix_seconds(F.try_to_timestamp(F.substring(text, 1, 14), F.lit(PLAY_FORMAT)))
+    millis = F.when(F.length(text) > 14, F.substring(text, 15, 3).try_cast("int")).otherwise(0)
+    return seconds * 1000 + millis
 
 
 def stamp_seconds(stamp: Column) -> Column:

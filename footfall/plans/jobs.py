@@ -1,4 +1,4 @@
-"""Whole daily jobs, each one lazy plan over any number of dates."""
+"""Whole daily jobs over any number of dates."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from footfall.operators import attribution, clean, gapfill, plays
 from footfall.operators.spread import key_counts
+from footfall.sources.sinks import staged
 
 
 def rebuilt_views(
@@ -39,6 +40,7 @@ def logged_gapfill(
     """Panel scans and enriched logged plays -> attributed and gap-filled scans. ``raw`` is
     the scan log the panel was taken from; hot devices are looked for there."""
     raw = scans if raw is None else raw
+    played = staged(played)  # counted, attributed from and inserted from
     busy = attribution.busy_devices(
         scans, played, min_plays, next_day, key_counts(raw, ["time", "devid"])
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 JDBC_REQUIRED = ("url", "dbtable")
@@ -57,3 +59,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the shared folder and read back.
+
+    For a result that a plan uses several times. Unlike a cache it outlives executors, and
+    unlike a checkpoint its readers still prune columns and know its size. The files stay
+    until the folder is cleared.
+    """
+    path = f"{shared_folder(df.sparkSession)}/footfall-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
