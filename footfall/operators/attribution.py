@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from footfall.functions.scalars import file_stem
 from footfall.functions.times import same_day
 from footfall.operators.plays import SLOT
-from footfall.operators.spread import bucket_join, spread_join
+from footfall.operators.spread import bucket_join, lookup_join, spread_join
 
 AD_COLUMNS = ("adcontent", "ad_content_id", "suit_kind", "ad_length", "adproduct",
               "adcustomer", "city_name", "building_no", "building_name")
@@ -50,14 +50,24 @@ def enrich_plays(
         .select("time", "devid", "iccid", "inner_sn", *SLOT, "start_ms", "end_ms", "vfn")
         .distinct()
     )
-    return (
-        logged.withColumn("_stem", file_stem(F.col("vfn"), skip))
-        .withColumn("adcontent", content)
-        .join(places, "devid", "inner")
-        .join(lengths, "_stem", "inner")
-        .join(ids, "_stem", "inner")
-        .drop("_stem", "vfn")
-    )
+    named = logged.withColumns({"_stem": file_stem(F.col("vfn"), skip), "adcontent": content})
+    placed = lookup_join(named, places, ["devid"], "inner")
+    measured = lookup_join(placed, lengths, ["_stem"], "inner")
+    return lookup_join(measured, ids, ["_stem"], "inner").drop("_stem", "vfn")
+
+
+def enrich_described_plays(
+    plays: DataFrame, devices: DataFrame, lengths: DataFrame
+) -> DataFrame:
+    """Plays of a log that already carries ad, city and building columns, with the device's
+    suit and the ad's length. Ads are matched by their exact name."""
+    suits = devices.select("devid", "suit_kind").distinct()
+    kept = [c for c in AD_COLUMNS if c not in ("suit_kind", "ad_length")]
+    logged = plays.select(
+        "time", "devid", "inner_sn", *SLOT, "start_ms", "end_ms", *kept
+    ).distinct()
+    suited = lookup_join(logged, suits, ["devid"], "inner")
+    return lookup_join(suited, lengths.select("adcontent", "ad_length"), ["adcontent"], "inner")
 
 
 def busy_devices(

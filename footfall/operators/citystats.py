@@ -10,15 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.scalars import city_alias, short_version
-from footfall.operators.clean import device_city, vendor_flag
+from footfall.operators.clean import device_city, latest_location, vendor_flag
 from footfall.operators.exposures import arrivals, exposures
 from footfall.operators.fullflow import best_frequency
+from footfall.operators.spread import lookup_join
 
 
 def with_city(rows: DataFrame, location: DataFrame) -> DataFrame:
     """Left join of rows with one (aliased) city and building per device."""
     places = device_city(location).withColumn("city_name", city_alias(F.col("city_name")))
-    return rows.join(places, "devid", "left")
+    return lookup_join(rows, places, ["devid"], "left")
+
+
+def with_building(scans: DataFrame, location: DataFrame) -> DataFrame:
+    """Scans of devices whose latest location is in service, with its city and building."""
+    places = latest_location(location).select("devid", "building_name", "city_name").distinct()
+    return lookup_join(scans, places, ["devid"], "inner")
 
 
 def city_play_totals(plays: DataFrame, location: DataFrame) -> DataFrame:
@@ -156,7 +163,8 @@ def city_ad_length_raw(
     plays: DataFrame, location: DataFrame, schedule: DataFrame
 ) -> DataFrame:
     """Summed ad length of all scheduled plays of a city."""
-    return _scheduled(city_plays(plays, location), schedule).groupBy("city_name").agg(
+    shown = _scheduled(city_plays(plays, location), schedule)
+    return shown.groupBy("city_name").agg(
         F.sum(F.col("_plays") * F.col("ad_length").cast("double")).alias("ad_totallen")
     )
 
@@ -181,11 +189,8 @@ def city_report(
             F.countDistinct("building_name").alias("buildcount"),
         )
     )
-    slots = played.groupBy(
-        "city_name", "sch_version", "pls_index", "play_index", "plninfo"
-    ).agg(F.sum("_plays").alias("_plays"))
     shown = (
-        _scheduled(slots, schedule)
+        _scheduled(played, schedule)
         .groupBy("city_name", "ad_content_id")
         .agg(F.sum(F.col("_plays") * F.col("ad_length").cast("double")).alias("_length"))
     )
@@ -216,9 +221,17 @@ def city_report(
     )
 
 
+def scheduled_plays(plays: DataFrame, schedule: DataFrame) -> DataFrame:
+    """Each play with the ad that the schedule has for its slot."""
+    slot = ["sch_version", "pls_index", "play_index", "plninfo"]
+    return lookup_join(plays, slot_ads(schedule), slot, "inner")
+
+
 def _scheduled(plays: DataFrame, schedule: DataFrame) -> DataFrame:
+    """Plays, counted per city and slot, with the ads of the slot."""
     slot = ["sch_version", "pls_index", "play_index", "plninfo"]
-    return plays.join(slot_ads(schedule), slot, "inner")
+    counted = plays.groupBy("city_name", *slot).agg(F.sum("_plays").alias("_plays"))
+    return counted.join(slot_ads(schedule), slot, "inner")
 
 
 def city_exposures(
@@ -274,6 +287,37 @@ def city_arrivals(
     )
 
 
+def city_screen_report(
+    scans: DataFrame,
+    location: DataFrame,
+    schedule: DataFrame,
+    videos: DataFrame,
+    factory: DataFrame,
+    gap: int = 300,
+    ignore_case: bool = True,
+) -> DataFrame:
+    """City report from scans alone: ``city_multi_distinct`` with arrivals before and after
+    the vendor test, people after it, and the total length of the ads seen."""
+    placed = with_city(
+        scans.select("devid", "mac", "scan_time").distinct(), location
+    ).where(F.col("city_name").isNotNull() & (F.col("city_name") != ""))
+    known = vendor_flag(placed, factory, ignore_case).where("genuine")
+    people = known.groupBy("city_name").agg(F.countDistinct("mac").alias("fake_maccount"))
+    before = city_arrivals(placed, gap).select(
+        "city_name", F.col("expose_times").alias("nofake_expose_times")
+    )
+    after = city_arrivals(known, gap).select(
+        "city_name", F.col("expose_times").alias("fake_exposetimes")
+    )
+    return (
+        city_multi_distinct(scans, location, schedule, videos)
+        .join(before, "city_name", "left")
+        .join(people, "city_name", "left")
+        .join(after, "city_name", "left")
+        .join(city_ad_length(scans, location, schedule), "city_name", "left")
+    )
+
+
 def actual_plays(
     played: DataFrame, schedule: DataFrame, building_list: DataFrame
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.scalars import mac_prefix, wanted
 from footfall.functions.times import hour_of
-from footfall.operators.spread import key_counts, spread_join
+from footfall.operators.spread import key_counts, lookup_join, spread_join
 
 
 def known_prefixes(factory: DataFrame, ignore_case: bool = True) -> DataFrame:
@@ -23,8 +23,9 @@ def spoof_filter(
     scans: DataFrame, factory: DataFrame, ignore_case: bool = True
 ) -> DataFrame:
     """Keep scans whose mac belongs to a known vendor. Never multiplies rows."""
-    return scans.withColumn("_prefix", mac_prefix(F.col("mac"), ignore_case)).join(
-        known_prefixes(factory, ignore_case), "_prefix", "left_semi"
+    return lookup_join(
+        scans.withColumn("_prefix", mac_prefix(F.col("mac"), ignore_case)),
+        known_prefixes(factory, ignore_case), ["_prefix"], "left_semi",
     ).drop("_prefix")
 
 
@@ -33,9 +34,9 @@ def vendor_flag(
 ) -> DataFrame:
     """Add a flag telling whether the mac belongs to a known vendor."""
     known = known_prefixes(factory, ignore_case).withColumn("_known", F.lit(True))
+    prefixed = df.withColumn("_prefix", mac_prefix(F.col("mac"), ignore_case))
     return (
-        df.withColumn("_prefix", mac_prefix(F.col("mac"), ignore_case))
-        .join(known, "_prefix", "left")
+        lookup_join(prefixed, known, ["_prefix"], "left")
         .withColumn(name, F.col("_known").isNotNull())
         .drop("_prefix", "_known")
     )
@@ -157,7 +158,7 @@ def panel_filter(
         .join(members, ["_mac", "city"], "inner")
         .select("devid", "_mac", "id")
     )
-    return spread_join(
+    return lookup_join(
         scans.withColumn("_mac", F.lower("mac")), allowed, ["devid", "_mac"], "inner"
     ).drop("_mac")
 
@@ -173,7 +174,7 @@ def backfill_batch(
     on = ["citycode", "sch_version"] + (["time"] if by_day else [])
     missing = (F.col("sch_version") != 0) & (F.col("uploadcount") == 0)
     return (
-        rows.join(top, on, "left")
+        lookup_join(rows, top, on, "left")
         .withColumn(
             "uploadcount",
             F.when(missing, F.coalesce("_top", "uploadcount")).otherwise(
@@ -199,9 +200,9 @@ def resolve_ad(
     ).agg(F.max("adcontent").alias("_by_plan"))
     plan_key = ["citycode", "plninfo"] + (["time"] if by_day else [])
     no_id = F.col("ad_content_id").isNull() | (F.col("ad_content_id") == "NULL")
+    named = lookup_join(rows, by_id, ["ad_content_id"], "left")
     return (
-        rows.join(by_id, "ad_content_id", "left")
-        .join(by_plan, plan_key, "left")
+        lookup_join(named, by_plan, plan_key, "left")
         .withColumn(
             "adcontent", F.when(no_id, F.col("_by_plan")).otherwise(F.col("_by_id"))
         )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.operators.clean import backfill_batch, resolve_ad, schedule_rows, vendor_flag
+from footfall.operators.spread import lookup_join
 
 # Plays a day when the frequency of a version is unknown.
 DEFAULT_FREQUENCY = 60
@@ -91,7 +92,7 @@ def full_flow(
     else:
         planned = planned.drop("time")
     per_mac = (
-        seen.join(planned, on, "inner")
+        lookup_join(seen, planned, on, "inner")
         .groupBy("city_name", "play_nums", "mac")
         .agg(F.sum("_times").alias("_times"))
     )

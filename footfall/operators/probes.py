@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators.clean import drop_heavy, spoof_filter
 from footfall.operators.exposures import distinct_seconds
-from footfall.operators.spread import bucket_join, hot_keys, key_counts
+from footfall.operators.spread import bucket_join, hot_keys, key_counts, lookup_join
 
 
 def probe_window(
@@ -86,7 +86,7 @@ def building_day_counts(
     cleaned = spoof_filter(drop_heavy(scans, ["time", "devid", "mac"], max_scans), factory)
     per_pair = cleaned.groupBy("time", "devid", "mac").agg(F.count(F.lit(1)).alias("_n"))
     scan_counts = (
-        per_pair.join(listed, ["time", "devid"], "inner")
+        lookup_join(per_pair, listed, ["time", "devid"], "inner")
         .groupBy("building_name", "time", "mac")
         .agg(F.sum("_n").alias("_n"))
         .groupBy("building_name", "time")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.spread import lookup_join
+
 LEVELS = 50
 
 
@@ -78,7 +80,7 @@ def reach_by_ad(
     )
     grain = ["city_name", "ad_content"]
     distribution = (
-        per_id.join(names, "ad_content_id", "inner")
+        lookup_join(per_id, names, ["ad_content_id"], "inner")
         .groupBy(*grain, "devid", "mac")
         .agg(F.sum("_n").alias("expose_time"))
         .groupBy(*grain, "expose_time")

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 # A key is hot when it holds at least 1/PIECES of the rows, so at most PIECES keys are hot.
 PIECES = 1000
 
+# Lists of up to this many rows are broadcast.
+BROADCAST_ROWS = 500_000
+
 # Rows with a null key match nothing; they are only scattered over this many parts.
 NULL_PARTS = 64
 
@@ -83,6 +86,20 @@ def spread_join(
     )
 
 
+def lookup_join(
+    facts: DataFrame, dim: DataFrame, on: list[str], how: str, rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join facts with a list: broadcast if the list, counted here, has no more than ``rows``
+    rows; otherwise a shuffle join that splits the facts' hot keys.
+
+    Spark's own skew handling does not cover these joins: it leaves alone a join whose list
+    side was just grouped by the join key.
+    """
+    if dim.count() <= rows:
+        return facts.join(F.broadcast(dim), on, how)
+    return spread_join(facts, dim, on, how)
+
+
 def bucket_join(
     points: DataFrame,
     spans: DataFrame,

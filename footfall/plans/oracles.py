@@ -549,10 +549,17 @@ O["city_play_totals"] = _with(["play_log", "device_city"], """
 SELECT city_name, count(*) AS playtimes, count(DISTINCT p.devid) AS devnums,
        sum(end_ms // 1000 - start_ms // 1000)::BIGINT AS allplay_length_real
 FROM play_log p JOIN device_city d ON p.devid = d.devid WHERE city_name IS NOT NULL GROUP BY city_name""")
+O["realtime_play_totals"] = _with(["play_log", "device_city"], f"""
+SELECT city_name, count(*) AS playtimes, count(DISTINCT p.devid) AS devnums,
+       sum(end_ms // 1000 - start_ms // 1000)::BIGINT AS allplay_length_real
+FROM play_log p JOIN device_city d ON p.devid = d.devid
+WHERE city_name IS NOT NULL AND p.start_ms >= epoch(DATE '{DAY}')::BIGINT * 1000
+  AND p.start_ms < (epoch(DATE '{DAY}')::BIGINT + 15 * 3600) * 1000
+GROUP BY city_name""")
 O["city_scan_totals"] = _with(["view_info", "device_city"], """
 SELECT d.city_name, count(*) AS maccount, count(DISTINCT mac) AS single_maccount
 FROM view_info v LEFT JOIN device_city d ON v.devid = d.devid GROUP BY d.city_name""")
-O["city_multi_distinct"] = _with(["view_info", "device_city", "valid", "videos"], """
+CITY_DISTINCT = """
 SELECT s.city_name, count(DISTINCT s.mac) AS personnums, count(DISTINCT s.building_name) AS buildnums,
        count(DISTINCT s.devid) AS devnums, count(DISTINCT n.adcustomer) AS customernums,
        count(DISTINCT n.adproduct) AS brandnums, count(DISTINCT n.adcontent) AS createnums
@@ -560,7 +567,8 @@ FROM (SELECT DISTINCT d.city_name, d.building_name, v.devid, v.mac, v.plninfo FR
       JOIN device_city d ON v.devid = d.devid WHERE d.city_name IS NOT NULL) s
 LEFT JOIN (SELECT DISTINCT pln_id, ad_content_id FROM valid) a ON s.plninfo = a.pln_id
 LEFT JOIN videos n ON a.ad_content_id = n.ad_content_id
-GROUP BY s.city_name""")
+GROUP BY s.city_name"""
+O["city_multi_distinct"] = _with(["view_info", "device_city", "valid", "videos"], CITY_DISTINCT)
 VIEWS["city_played"] = (["play_log", "touch_city"], """
 SELECT DISTINCT d.city_name, d.building_name, p.devid, p.inner_sn, p.master, p.pid, p.start_ms, p.end_ms,
        substr(p.sv, 1, 3) AS sv, p.pi, p.idx
@@ -594,12 +602,37 @@ LEFT JOIN (SELECT city_name, count(DISTINCT adcustomer) AS city_adcustomer_nums,
                   count(DISTINCT adproduct) AS city_adproduct_nums, count(DISTINCT adcontent) AS city_adcontent_nums
            FROM city_shown s JOIN videos v ON s.ad_content_id = v.ad_content_id GROUP BY city_name) c USING (city_name)
 LEFT JOIN ({_city_exposures('touch_city')}) e USING (city_name)""")
-O["city_ad_length"] = _with(["view_info", "device_city", "valid"], """
+AD_LENGTH = """
 SELECT city_name, sum(len)::DOUBLE AS total_len FROM (
   SELECT d.city_name, a.ad_content_id, max(a.ad_length) AS len FROM view_info v
   JOIN device_city d ON v.devid = d.devid
   LEFT JOIN (SELECT DISTINCT pln_id, ad_content_id, ad_length FROM valid) a ON a.pln_id = v.plninfo
-  WHERE d.city_name IS NOT NULL GROUP BY ALL) GROUP BY city_name""")
+  WHERE d.city_name IS NOT NULL GROUP BY ALL) GROUP BY city_name"""
+O["city_ad_length"] = _with(["view_info", "device_city", "valid"], AD_LENGTH)
+
+
+def _city_arrivals(source: str, gap: int, name: str) -> str:
+    return f"""
+SELECT city_name, (sum(n) FILTER (n > 1) + count(*) FILTER (n = 1))::DOUBLE AS {name}
+FROM (SELECT city_name, devid, mac, 1 + count(*) FILTER (scan_time - p > {gap}) AS n
+      FROM (SELECT *, lag(scan_time) OVER (PARTITION BY city_name, devid, mac ORDER BY scan_time) AS p
+            FROM {source}) GROUP BY ALL)
+GROUP BY city_name HAVING count(*) FILTER (n > 1) > 0 AND count(*) FILTER (n = 1) > 0"""
+
+
+VIEWS["placed_scans"] = (["view_info", "device_city"], """
+SELECT d.city_name, v.devid, v.mac, v.scan_time FROM view_info v JOIN device_city d ON v.devid = d.devid
+WHERE d.city_name IS NOT NULL""")
+VIEWS["known_scans"] = (["placed_scans", "known"],
+    "SELECT * FROM placed_scans WHERE lower(substr(mac, 1, 6)) IN (SELECT prefix FROM known)")
+O["city_screen_report"] = _with(["placed_scans", "known_scans", "valid", "videos"], f"""
+SELECT a.*, b.nofake_expose_times, c.fake_maccount, d.fake_exposetimes, e.total_len
+FROM ({CITY_DISTINCT}) a
+LEFT JOIN ({_city_arrivals('placed_scans', 7200, 'nofake_expose_times')}) b USING (city_name)
+LEFT JOIN (SELECT city_name, count(DISTINCT mac)::DOUBLE AS fake_maccount FROM known_scans GROUP BY city_name) c
+  USING (city_name)
+LEFT JOIN ({_city_arrivals('known_scans', 7200, 'fake_exposetimes')}) d USING (city_name)
+LEFT JOIN ({AD_LENGTH}) e USING (city_name)""")
 O["city_ad_length_raw"] = _with(["city_shown"],
     "SELECT city_name, sum(ad_length::DOUBLE) AS ad_totallen FROM city_shown GROUP BY city_name")
 _PLANNED = """
@@ -806,6 +839,16 @@ FROM play_log p JOIN (SELECT DISTINCT devid, suit_kind, city_name, building_no,
 JOIN lengths l ON left(p.vfn, length(p.vfn) - 4) = left(l.adcontent, length(l.adcontent) - 4)
 JOIN ad_ids i ON left(p.vfn, length(p.vfn) - 4) = left(i.adcontent, length(i.adcontent) - 4))
 GROUP BY ALL""")
+O["enrich_described_plays"] = _with(["enriched", "newest", "schedule_raw"], """
+SELECT p.devid, p.start_ms, p.end_ms, p.plninfo, replace(p.adcontent, '.mp4', '.avi') AS adcontent,
+       d.suit_kind, l.ad_length
+FROM (SELECT DISTINCT time, devid, inner_sn, sch_version, uploadcount, pls_index, play_index, plninfo, start_ms,
+             end_ms, adcontent, ad_content_id, adproduct, adcustomer, city_name, building_no, building_name
+      FROM enriched) p
+JOIN (SELECT DISTINCT devid, suit_kind FROM newest WHERE install_status = '已安装' AND suit_kind <> '') d
+  ON d.devid = p.devid
+JOIN (SELECT adcontent, max(adlength::INTEGER) AS ad_length FROM schedule_raw GROUP BY adcontent) l
+  ON l.adcontent = replace(p.adcontent, '.mp4', '.avi')""")
 O["ad_attribution"] = _with(["attributed"], f"""
 SELECT {DATE_TEXT}, devid, mac, scan_time, adcontent, adcustomer, ad_city AS city_name, building_name
 FROM attributed""")

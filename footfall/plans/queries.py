@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -193,10 +194,7 @@ def _schedule_of(spark, sf, day):
 
 
 def _building_scans(spark, sf):
-    latest = clean.latest_location(_newest(spark, sf)).select(
-        "devid", "building_name", "city_name"
-    ).distinct()
-    return a.scan_log(spark, sf).join(latest, "devid", "inner")
+    return citystats.with_building(a.scan_log(spark, sf), _newest(spark, sf))
 
 
 def _newest(spark, sf):
@@ -238,15 +236,13 @@ def probe_window(spark, sf):
 @query
 def schedule_valid_join(spark, sf):
     """Plays of the day with the ad of their slot among the entries valid on it."""
-    valid = citystats.valid_schedule(a.slot_schedule(spark, sf), F.to_date(F.lit(DAY)))
     played = tables.scan_partition(a.play_log(spark, sf), DAY).select(
         "devid", "pid", "start_ms",
         scalars.version_part(F.col("sv")).alias("sch_version"),
         F.col("pi").alias("pls_index"), F.col("idx").alias("play_index"),
         F.col("pid").alias("plninfo"),
     )
-    slot = ["sch_version", "pls_index", "play_index", "plninfo"]
-    return played.join(citystats.slot_ads(valid), slot, "inner").select(
+    return citystats.scheduled_plays(played, _valid(spark, sf)).select(
         "devid", "start_ms", "sch_version", "pls_index", "play_index", "plninfo",
         "ad_content_id", "ad_length",
     )
@@ -259,6 +255,19 @@ def city_play_totals(spark, sf):
     return citystats.city_play_totals(a.play_log(spark, sf), _newest(spark, sf))
 
 
+@query
+def realtime_play_totals(spark, sf):
+    """Play totals of a run at a quarter past three in the afternoon."""
+    second = F.call_function("div", F.col("start_ms"), F.lit(1000))
+    hour = F.concat(
+        F.replace(times.day_of(second).cast("string"), F.lit("-"), F.lit("_")), F.lit("_"),
+        F.lpad(times.hour_of(second).cast("string"), 2, "0"),
+    )
+    first, end = tables.run_hours(dt.datetime.fromisoformat(f"{DAY} 15:15:00"))
+    logged = a.play_log(spark, sf).withColumn("hour", hour)
+    return citystats.city_play_totals(tables.scan_hours(logged, first, end), _newest(spark, sf))
+
+
 @query
 def city_scan_totals(spark, sf):
     return citystats.city_scan_totals(a.scan_log(spark, sf), _newest(spark, sf))
@@ -292,6 +301,17 @@ def city_report(spark, sf):
     )
 
 
+@query
+def city_screen_report(spark, sf):
+    report = citystats.city_screen_report(
+        a.scan_log(spark, sf), _newest(spark, sf), _valid(spark, sf), a.videos(spark, sf),
+        a.mac_factory(spark, sf), 7200,
+    )
+    return _doubles(
+        report, "nofake_expose_times", "fake_maccount", "fake_exposetimes", "total_len"
+    )
+
+
 @query
 def city_ad_length(spark, sf):
     return _doubles(
@@ -643,6 +663,19 @@ def enrich_plays_unversioned(spark, sf):
     )
 
 
+@query
+def enrich_described_plays(spark, sf):
+    """Log that carries its ads' customer, product and place; lengths by name alone."""
+    logged = _enriched(spark, sf).drop("suit_kind", "ad_length").withColumn(
+        "adcontent", F.replace(F.col("adcontent"), F.lit(".mp4"), F.lit(".avi"))
+    )
+    devices = clean.active_devices(_newest(spark, sf)).where(F.col("suit_kind") != "")
+    lengths = attribution.max_ad_length(a.schedule_days(spark, sf), ["adcontent"])
+    return attribution.enrich_described_plays(logged, devices, lengths).select(
+        "devid", "start_ms", "end_ms", "plninfo", "adcontent", "suit_kind", "ad_length"
+    )
+
+
 @query
 def ad_attribution(spark, sf):
     return attribution.attribute_ads(a.scan_log(spark, sf), _enriched(spark, sf)).select(

@@ -31,6 +31,19 @@ def scan_days(table: DataFrame, days: list) -> DataFrame:
     return table.where(F.col("time").isin([_date(d) for d in days]))
 
 
+def run_hours(now: dt.datetime) -> tuple[str, str]:
+    """First hour and end (not included) of a run during the day, as yyyy_MM_dd_HH: the hours
+    of today that are over, or all of yesterday in the hour after midnight."""
+    midnight = now.replace(hour=0, minute=0, second=0, microsecond=0)
+    first, end = (midnight - dt.timedelta(days=1), midnight) if now.hour == 0 else (midnight, now)
+    return first.strftime("%Y_%m_%d_%H"), end.strftime("%Y_%m_%d_%H")
+
+
+def scan_hours(table: DataFrame, first: str, end: str, hour: str = "hour") -> DataFrame:
+    """Rows of a table partitioned by hour (yyyy_MM_dd_HH), from first up to before end."""
+    return table.where((F.col(hour) >= first) & (F.col(hour) < end))
+
+
 def latest_snapshot(table: DataFrame, day=None) -> DataFrame:
     """The newest dated snapshot of a dimension, or the one asked for."""
     newest = _date(day) if day is not None else table.agg(F.max("time")).scalar()
