@@ -35,7 +35,7 @@ def enrich_plays(
     """Plays with the device's place, the ad's length, customer and product and its id. Ads
     are matched by file name without extension; ``skip`` characters are first cut off the
     names in the play log. Plays that lack any of these are dropped."""
-    lengths = lengths.select(
+    by_stem = lengths.select(
         file_stem(F.col("adcontent")).alias("_stem"), "ad_length", "adcustomer", "adproduct"
     ).distinct()
     ids = ad_ids.select(
@@ -51,9 +51,9 @@ def enrich_plays(
         .distinct()
     )
     named = logged.withColumns({"_stem": file_stem(F.col("vfn"), skip), "adcontent": content})
-    placed = lookup_join(named, places, ["devid"], "inner")
-    measured = lookup_join(placed, lengths, ["_stem"], "inner")
-    return lookup_join(measured, ids, ["_stem"], "inner").drop("_stem", "vfn")
+    placed = lookup_join(named, places, ["devid"], "inner", devices)
+    measured = lookup_join(placed, by_stem, ["_stem"], "inner", lengths)
+    return lookup_join(measured, ids, ["_stem"], "inner", ad_ids).drop("_stem", "vfn")
 
 
 def enrich_described_plays(
@@ -66,7 +66,7 @@ def enrich_described_plays(
     logged = plays.select(
         "time", "devid", "inner_sn", *SLOT, "start_ms", "end_ms", *kept
     ).distinct()
-    suited = lookup_join(logged, suits, ["devid"], "inner")
+    suited = lookup_join(logged, suits, ["devid"], "inner", devices)
     return lookup_join(suited, lengths.select("adcontent", "ad_length"), ["adcontent"], "inner")
 
 

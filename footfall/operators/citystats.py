@@ -19,13 +19,13 @@ from footfall.operators.spread import lookup_join
 def with_city(rows: DataFrame, location: DataFrame) -> DataFrame:
     """Left join of rows with one (aliased) city and building per device."""
     places = device_city(location).withColumn("city_name", city_alias(F.col("city_name")))
-    return lookup_join(rows, places, ["devid"], "left")
+    return lookup_join(rows, places, ["devid"], "left", location)
 
 
 def with_building(scans: DataFrame, location: DataFrame) -> DataFrame:
     """Scans of devices whose latest location is in service, with its city and building."""
     places = latest_location(location).select("devid", "building_name", "city_name").distinct()
-    return lookup_join(scans, places, ["devid"], "inner")
+    return lookup_join(scans, places, ["devid"], "inner", location)
 
 
 def city_play_totals(plays: DataFrame, location: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def spoof_filter(
     """Keep scans whose mac belongs to a known vendor. Never multiplies rows."""
     return lookup_join(
         scans.withColumn("_prefix", mac_prefix(F.col("mac"), ignore_case)),
-        known_prefixes(factory, ignore_case), ["_prefix"], "left_semi",
+        known_prefixes(factory, ignore_case), ["_prefix"], "left_semi", factory,
     ).drop("_prefix")
 
 
@@ -36,7 +36,7 @@ def vendor_flag(
     known = known_prefixes(factory, ignore_case).withColumn("_known", F.lit(True))
     prefixed = df.withColumn("_prefix", mac_prefix(F.col("mac"), ignore_case))
     return (
-        lookup_join(prefixed, known, ["_prefix"], "left")
+        lookup_join(prefixed, known, ["_prefix"], "left", factory)
         .withColumn(name, F.col("_known").isNotNull())
         .drop("_prefix", "_known")
     )
@@ -174,7 +174,7 @@ def backfill_batch(
     on = ["citycode", "sch_version"] + (["time"] if by_day else [])
     missing = (F.col("sch_version") != 0) & (F.col("uploadcount") == 0)
     return (
-        lookup_join(rows, top, on, "left")
+        lookup_join(rows, top, on, "left", schedule)
         .withColumn(
             "uploadcount",
             F.when(missing, F.coalesce("_top", "uploadcount")).otherwise(
@@ -200,9 +200,9 @@ def resolve_ad(
     ).agg(F.max("adcontent").alias("_by_plan"))
     plan_key = ["citycode", "plninfo"] + (["time"] if by_day else [])
     no_id = F.col("ad_content_id").isNull() | (F.col("ad_content_id") == "NULL")
-    named = lookup_join(rows, by_id, ["ad_content_id"], "left")
+    named = lookup_join(rows, by_id, ["ad_content_id"], "left", ad_info)
     return (
-        lookup_join(named, by_plan, plan_key, "left")
+        lookup_join(named, by_plan, plan_key, "left", schedule)
         .withColumn(
             "adcontent", F.when(no_id, F.col("_by_plan")).otherwise(F.col("_by_id"))
         )

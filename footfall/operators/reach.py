@@ -80,7 +80,7 @@ def reach_by_ad(
     )
     grain = ["city_name", "ad_content"]
     distribution = (
-        lookup_join(per_id, names, ["ad_content_id"], "inner")
+        lookup_join(per_id, names, ["ad_content_id"], "inner", ad_info)
         .groupBy(*grain, "devid", "mac")
         .agg(F.sum("_n").alias("expose_time"))
         .groupBy(*grain, "expose_time")

@@ -87,15 +87,23 @@ def spread_join(
 
 
 def lookup_join(
-    facts: DataFrame, dim: DataFrame, on: list[str], how: str, rows: int = BROADCAST_ROWS
+    facts: DataFrame,
+    dim: DataFrame,
+    on: list[str],
+    how: str,
+    source: DataFrame | None = None,
+    rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join facts with a list: broadcast if the list, counted here, has no more than ``rows``
-    rows; otherwise a shuffle join that splits the facts' hot keys.
+    rows; otherwise a shuffle join that splits the facts' hot keys. ``source`` may name a
+    table that the list was reduced from: if that is short enough, so is the list, and
+    counting it is cheaper.
 
     Spark's own skew handling does not cover these joins: it leaves alone a join whose list
     side was just grouped by the join key.
     """
-    if dim.count() <= rows:
+    short = source is not None and source.count() <= rows
+    if short or dim.count() <= rows:
         return facts.join(F.broadcast(dim), on, how)
     return spread_join(facts, dim, on, how)
 

@@ -12,8 +12,8 @@ def nothing_small(monkeypatch, spark):
     """Every list counts as too long to broadcast."""
     original = spread.lookup_join
 
-    def strict(facts, dim, on, how, rows=0):
-        return original(facts, dim, on, how, rows)
+    def strict(facts, dim, on, how, source=None):
+        return original(facts, dim, on, how, source, 0)
 
     for module in (clean, citystats):
         monkeypatch.setattr(module, "lookup_join", strict)
@@ -57,7 +57,7 @@ def test_same_rows_without_broadcast(spark, monkeypatch):
     small = results()
     for module in (clean, citystats):
         monkeypatch.setattr(
-            module, "lookup_join", lambda f, d, on, how: spread.lookup_join(f, d, on, how, 0)
+            module, "lookup_join", lambda f, d, on, how, s=None: spread.lookup_join(f, d, on, how, s, 0)
         )
     assert results() == small
 
