@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +56,11 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, named by spark.checkpoint.dir."""
+    """The folder all executors share, named by spark.checkpoint.dir. Only a local session,
+    whose executors are on this machine, may do without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.conf.get("spark.master").startswith("local"):
+        folder = os.path.join(tempfile.gettempdir(), "footfall-shared")
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
