@@ -100,12 +100,14 @@ def attribute_ads(
     plays: DataFrame,
     columns: tuple[str, ...] = AD_COLUMNS,
     next_day: bool = True,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Give each scan the ad columns of the play that was running, null if none was.
 
     Of several plays the one that started last counts, then the one that ended first, then
     the smallest plan and ad. The answer depends only on device and second, so the range
-    join runs over distinct (date, device, second), and scans pick it up by equality.
+    join runs over distinct (date, device, second), and scans pick it up by equality. ``hot``
+    names devices that hold much of the play log and are split.
     """
     moments = scans.select("time", "devid", "scan_time").distinct()
     spans = plays.select(
@@ -117,7 +119,7 @@ def attribute_ads(
     )
     running = bucket_join(
         moments.withColumn("_at", F.col("scan_time") * 1000),
-        spans, ["devid"], "_at", "_from", "_to", BUCKET_MS,
+        spans, ["devid"], "_at", "_from", "_to", BUCKET_MS, hot,
     ).where(same_day(F.col("time"), F.col("p_time"), next_day))
     best = running.groupBy("time", "devid", "scan_time").agg(
         F.min_by("_ad", F.struct(-F.col("_from"), F.col("_to"), F.col("_ad"))).alias("_ad")

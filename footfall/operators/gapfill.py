@@ -14,7 +14,7 @@ from footfall.functions.times import same_day
 from footfall.operators.attribution import attribute_ads
 from footfall.operators.clean import drop_heavy
 from footfall.operators.plays import SLOT
-from footfall.operators.spread import bucket_join, hot_keys, key_counts
+from footfall.operators.spread import MIN_ROWS, bucket_join, hot_keys, key_counts
 
 VISITOR = ["time", "devid", "mac"]
 AD_SLOT = ["sch_version", "uploadcount", "pls_index", "play_index"]
@@ -63,7 +63,7 @@ def exposure_gapfill(
     )
     matched = bucket_join(
         shown, spans, ["time", "devid"], "p_start", "_from", "_to",
-        1000 * max(append, flag), hot,
+        1000 * max(append, flag, 1), hot,
     ).where(F.col("closed") | (F.col("p_end") <= F.col("_to")))
     no_plan = F.col("p_plninfo").isNull() | (F.col("p_plninfo") == "NULL")
     slot = {c: F.col(f"p_{c}") for c in AD_SLOT}
@@ -80,11 +80,13 @@ def exposure_gapfill_playlog(
     carried: tuple[str, ...] = (),
     next_day: bool = True,
     hot: DataFrame | None = None,
+    hot_plays: DataFrame | None = None,
 ) -> DataFrame:
     """Scans and the logged plays that started while a contact lasted, each added one second
     after its start. ``carried`` names ad columns: an added row has those of its play, a
     scan those of the play that was running. With ``next_day`` plays logged on the following
-    date count too."""
+    date count too. ``hot`` and ``hot_plays`` are the devices to split (``device_hot_keys``)
+    when plays are found by scans and scans by plays."""
     windows = scan_windows(scans, append, flag)
     taken = [*SLOT, *carried]
     shown = plays.select(
@@ -95,12 +97,12 @@ def exposure_gapfill_playlog(
         {"_from": F.col("scan_time") * 1000 + 1, "_to": F.col("until") * 1000}
     )
     matched = bucket_join(
-        shown, spans, ["devid"], "p_start", "_from", "_to", 1000 * max(append, flag), hot
+        shown, spans, ["devid"], "p_start", "_from", "_to", 1000 * max(append, flag, 1), hot
     ).where(same_day(F.col("time"), F.col("p_time"), next_day))
     slot = {c: F.col(f"p_{c}") for c in taken}
     own = windows.select(*scans.columns)
     if carried:
-        own = attribute_ads(own, plays, carried, next_day)
+        own = attribute_ads(own, plays, carried, next_day, hot_plays)
     inserted = _inserted(matched, own.columns, slot, F.floor((F.col("p_start") + 1000) / 1000))
     return _own(own).unionByName(inserted)
 
@@ -146,7 +148,9 @@ def view_merge(filled: DataFrame, flag: int) -> DataFrame:
     first = [c for c in filled.columns if c not in (*VISITOR, "scan_time", "anchor", "inserted",
                                                     "p_start", "p_end")]
     views = runs.groupBy(*VISITOR, "_run").agg(
-        F.min_by(F.struct(*first), F.struct(*filled_order())).alias("_row"),
+        F.min_by(
+            F.struct(*first), F.struct(F.struct(*filled_order()), F.struct(*first))
+        ).alias("_row"),
         F.min("scan_time").alias("_from"),
         F.max("scan_time").alias("_to"),
         F.count(F.lit(1)).alias("_n"),
@@ -241,6 +245,6 @@ def _as_views(views: DataFrame) -> DataFrame:
     )
 
 
-def device_hot_keys(scans: DataFrame, on: list[str]) -> DataFrame:
-    """Devices (or device-days) holding much of the scans, for the range joins above."""
-    return hot_keys(key_counts(scans, on), on)
+def device_hot_keys(rows: DataFrame, on: list[str], min_rows: int = MIN_ROWS) -> DataFrame:
+    """Devices (or device-days) holding much of a log, for the range joins above."""
+    return hot_keys(key_counts(rows, on), on, min_rows=min_rows)

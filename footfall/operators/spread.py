@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 # A key is hot when it holds at least 1/PIECES of the rows, so at most PIECES keys are hot.
 PIECES = 1000
 
+# Keys with fewer rows than this are no burden to one task and are never split.
+MIN_ROWS = 100_000
+
 # Lists of up to this many rows are broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -27,15 +30,20 @@ def key_counts(df: DataFrame, on: list[str]) -> DataFrame:
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def hot_keys(counts: DataFrame, on: list[str], pieces: int = PIECES) -> DataFrame:
-    """Keys with at least 1/pieces of all rows and the parts to split each into.
+def hot_keys(
+    counts: DataFrame, on: list[str], pieces: int = PIECES, min_rows: int = MIN_ROWS
+) -> DataFrame:
+    """Keys with at least 1/pieces of all rows, and no less than ``min_rows``, with the parts
+    to split each into.
 
     ``counts`` has one ``_rows`` per key. Whatever the data size, no more than
     ``pieces`` keys can qualify, which is what makes the result safe to broadcast.
     """
     total = counts.agg(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * pieces >= total).select(
-        *on, F.ceil(F.col("_rows") * pieces / total).cast("int").alias("_parts")
+    rows = F.col("_rows")
+    parts = F.least(rows * pieces / total, rows / F.lit(min_rows))
+    return counts.where((rows * pieces >= total) & (rows >= min_rows)).select(
+        *on, F.ceil(parts).cast("int").alias("_parts")
     )
 
 
@@ -72,13 +80,15 @@ def spread_join(
     how: str,
     counts: DataFrame | None = None,
     pieces: int = PIECES,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
-    """Shuffle join in which no key of ``large`` puts more than 1/pieces of it in one task.
+    """Shuffle join in which no key of ``large`` puts more than 1/pieces of it (or
+    ``min_rows``, if that is more) in one task.
 
     ``how`` is inner, left, left_semi or left_anti. ``counts`` may pass rows per key that
     the caller has already defined, so that the plan shares that aggregation.
     """
-    hot = hot_keys(key_counts(large, on) if counts is None else counts, on, pieces)
+    hot = hot_keys(key_counts(large, on) if counts is None else counts, on, pieces, min_rows)
     return (
         salt_large(large, on, hot)
         .join(salt_small(small, on, hot), [*on, "_salt"], how)

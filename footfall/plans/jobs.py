@@ -47,6 +47,7 @@ def logged_gapfill(
     return gapfill.exposure_gapfill_playlog(
         gapfill.visitor_scans(busy, max_scans), played, append, flag, attribution.AD_COLUMNS,
         next_day, gapfill.device_hot_keys(raw, ["devid"]),
+        gapfill.device_hot_keys(played, ["devid"]),
     )
 
 

@@ -678,7 +678,10 @@ def enrich_described_plays(spark, sf):
 
 @query
 def ad_attribution(spark, sf):
-    return attribution.attribute_ads(a.scan_log(spark, sf), _enriched(spark, sf)).select(
+    return attribution.attribute_ads(
+        a.scan_log(spark, sf), _enriched(spark, sf),
+        hot=gapfill.device_hot_keys(a.play_log(spark, sf), ["devid"]),
+    ).select(
         "time", "devid", "mac", "scan_time", "adcontent", "adcustomer", "city_name",
         "building_name",
     )

@@ -114,7 +114,7 @@ def flat(by_visitor):
 
 def test_gapfill_rebuilt(case):
     scans, plays, sdf, pdf = case
-    hot = gapfill.device_hot_keys(sdf, ["time", "devid"])
+    hot = gapfill.device_hot_keys(sdf, ["time", "devid"], 1)
     out = gapfill.exposure_gapfill(sdf, pdf, APPEND, FLAG, hot)
     got = out.select("time", "devid", "mac", *SLOT, "scan_time", "time_diff").collect()
     want = rebuilt_rows(scans, plays)
@@ -135,7 +135,8 @@ def test_view_merge(case):
 @pytest.mark.parametrize("next_day", [True, False])
 def test_attribution(case, next_day):
     scans, plays, sdf, pdf = case
-    out = attribution.attribute_ads(sdf, pdf, ("adcontent", "ad_length"), next_day)
+    hot = gapfill.device_hot_keys(pdf, ["devid"], 1) if next_day else None
+    out = attribution.attribute_ads(sdf, pdf, ("adcontent", "ad_length"), next_day, hot)
     want = []
     for s in scans:
         ad = running(plays, s[1], s[8], next_day)
@@ -147,7 +148,7 @@ def test_attribution(case, next_day):
 
 def test_gapfill_from_log(case):
     scans, plays, sdf, pdf = case
-    hot = gapfill.device_hot_keys(sdf, ["devid"])
+    hot = gapfill.device_hot_keys(sdf, ["devid"], 1)
     out = gapfill.exposure_gapfill_playlog(sdf, pdf, APPEND, FLAG, ("adcontent", "ad_length"), hot=hot)
     got = out.select("time", "devid", "mac", *SLOT, "scan_time", "time_diff", "adcontent", "ad_length").collect()
     assert sorted(map(tuple, got), key=repr) == flat(logged_rows(scans, plays))

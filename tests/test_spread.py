@@ -27,12 +27,12 @@ def lookup(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_same_rows_as_plain_join(skewed, lookup, how):
     plain = skewed.join(lookup, ["k"], how)
-    out = spread.spread_join(skewed, lookup, ["k"], how, pieces=20)
+    out = spread.spread_join(skewed, lookup, ["k"], how, pieces=20, min_rows=1)
     assert rows(out.select(*plain.columns)) == rows(plain)
 
 
 def test_hot_keys_are_few_and_split(skewed):
-    hot = spread.hot_keys(spread.key_counts(skewed, ["k"]), ["k"], pieces=20)
+    hot = spread.hot_keys(spread.key_counts(skewed, ["k"]), ["k"], pieces=20, min_rows=1)
     found = {r.k: r._parts for r in hot.collect()}
     assert set(found) == {"hot"} and found["hot"] in (8, 9)
     salted = spread.salt_large(skewed, ["k"], hot)
@@ -41,7 +41,7 @@ def test_hot_keys_are_few_and_split(skewed):
 
 
 def test_salt_is_a_function_of_the_row(skewed):
-    hot = spread.hot_keys(spread.key_counts(skewed, ["k"]), ["k"], pieces=20)
+    hot = spread.hot_keys(spread.key_counts(skewed, ["k"]), ["k"], pieces=20, min_rows=1)
     once = rows(spread.salt_large(skewed, ["k"], hot))
     again = rows(spread.salt_large(skewed.repartition(5), ["k"], hot))
     assert once == again
@@ -63,7 +63,7 @@ def test_bucket_join_is_the_range_join(spark, side, width):
     hot = None
     if side:
         large = spans if side == "spans" else points
-        hot = spread.hot_keys(spread.key_counts(large, ["k"]), ["k"], pieces=4)
+        hot = spread.hot_keys(spread.key_counts(large, ["k"]), ["k"], pieces=4, min_rows=1)
     out = spread.bucket_join(points, spans, ["k"], "t", "a", "b", width, hot, side or "spans")
     all_spans = spans.collect()
     want = sorted(
@@ -75,7 +75,13 @@ def test_bucket_join_is_the_range_join(spark, side, width):
 def test_broadcast_side_is_bounded_by_construction(spark):
     """However many keys there are, no more than ``pieces`` of them can be hot."""
     df = spark.range(5000).select((F.col("id") % 10).cast("string").alias("k"))
-    hot = spread.hot_keys(spread.key_counts(df, ["k"]), ["k"], pieces=10)
+    hot = spread.hot_keys(spread.key_counts(df, ["k"]), ["k"], pieces=10, min_rows=1)
     assert hot.count() == 10
     many = spark.range(5000).select(F.col("id").cast("string").alias("k"))
-    assert spread.hot_keys(spread.key_counts(many, ["k"]), ["k"], pieces=1000).count() == 0
+    assert spread.hot_keys(spread.key_counts(many, ["k"]), ["k"], pieces=1000, min_rows=1).count() == 0
+
+
+def test_small_keys_are_left_whole(skewed):
+    assert spread.hot_keys(spread.key_counts(skewed, ["k"]), ["k"], pieces=20).count() == 0
+    few = spread.hot_keys(spread.key_counts(skewed, ["k"]), ["k"], pieces=20, min_rows=500)
+    assert [r._parts for r in few.collect()] == [4]
