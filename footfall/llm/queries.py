@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, secrets
+from . import decontaminate, exact_dedup, packing, secrets
 from .common import table
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents, re-parameterised ones included."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.leaks(docs, items).drop("key")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies among all documents; of equal texts the row with the largest doc_id stays."""
     return exact_dedup.exact_copies(table(spark, sf_dir, "documents"), keep="max")
@@ -19,6 +30,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
+    "op3_packing": op3_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_secrets": op10_secrets,
 }
