@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, packing, secrets
+from . import decontaminate, exact_dedup, ngram_join, packing, secrets
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and links of near copies among all documents."""
+    return ngram_join.near_copies(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     return secrets.secret_report(table(spark, sf_dir, "documents"))
@@ -33,6 +38,7 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_packing": op3_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_ngram_join": op9_ngram_join,
     "op10_secrets": op10_secrets,
 }
 
