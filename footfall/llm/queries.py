@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, ngram_join, packing, secrets
+from . import (
+    decontaminate,
+    exact_dedup,
+    html_main,
+    ngram_join,
+    packing,
+    quality,
+    secrets,
+    toxicity,
+)
 from .common import table
 
 
@@ -19,11 +28,28 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.toxicity_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies among all documents; of equal texts the row with the largest doc_id stays."""
     return exact_dedup.exact_copies(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op8_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_main.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes and links of near copies among all documents."""
     return ngram_join.near_copies(table(spark, sf_dir, "documents")).drop("key")
@@ -37,7 +63,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
+    "op5_toxicity": op5_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_html_main": op8_html_main,
     "op9_ngram_join": op9_ngram_join,
     "op10_secrets": op10_secrets,
 }

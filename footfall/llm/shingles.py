@@ -36,34 +36,51 @@ def word_characters() -> np.ndarray:
     return _is_word
 
 
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' code points, each text followed by a line break, and where each text begins
+    (with one more entry, the end)."""
+    points = np.frombuffer("".join(t + "\n" for t in texts).encode("utf-32-le", "replace"), "<u4")
+    return points, np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))).astype(np.int64)
+
+
+def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True."""
+    edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def spread_points(points: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """For each code point a hash of it and its place in its run, 0 outside runs. Sums of these
+    over a run, or over its start, are hashes of the run or of its prefix."""
+    starts, ends = runs(inside)
+    at = np.flatnonzero(inside)
+    place = (at - np.repeat(starts, ends - starts)) & 63
+    out = np.zeros(len(points), dtype=np.uint64)
+    out[at] = mixed(points[at].astype(np.uint64) * np.uint64(_STEP)) * _POWERS[place]
+    return out
+
+
+def run_hashes(points: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the runs."""
+    starts, ends = runs(inside)
+    if not len(starts):
+        return starts, ends, np.empty(0, dtype=np.uint64)
+    return starts, ends, mixed(np.add.reduceat(spread_points(points, inside), starts))
+
+
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """The sorted distinct shingles of each text. Words are runs of letters and digits in lower
     case; a text of one to four words has one shingle, all its words; one without words none."""
-    lower = [t.lower() for t in texts]
-    points = np.frombuffer("\n".join(lower).encode("utf-32-le", "replace"), dtype="<u4")
-    inside = word_characters()[points]
-    before = np.concatenate(([False], inside[:-1])) if len(inside) else inside
-    starts = np.flatnonzero(inside & ~before)
+    points, begins = code_points([t.lower() for t in texts])
+    starts, _, hashes = run_hashes(points, word_characters()[points])
+    bounds = np.searchsorted(starts, begins)
     empty = np.empty(0, dtype=np.uint64)
-    if not len(starts):
-        return [empty] * len(texts)
-    at = np.flatnonzero(inside)
-    word = np.cumsum((inside & ~before)[at]) - 1
-    place = (at - starts[word]) & 63
-    spread = mixed(points[at].astype(np.uint64) * np.uint64(_STEP)) * _POWERS[place]
-    first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-    hashes = mixed(np.add.reduceat(spread, first))
-    ends = np.cumsum([len(t) + 1 for t in lower])
-    bounds = np.searchsorted(starts, np.concatenate(([0], ends)))
-    if len(hashes) >= WORDS:
-        n = len(hashes) - WORDS + 1
-        runs = mixed(sum(hashes[k : k + n] * _PLACES[k] for k in range(WORDS)))
-    else:
-        runs = empty
+    n = max(0, len(hashes) - WORDS + 1)
+    grams = mixed(sum(hashes[k : k + n] * _PLACES[k] for k in range(WORDS))) if n else empty
     out = []
     for a, b in zip(bounds, bounds[1:], strict=False):
         if b - a >= WORDS:
-            out.append(np.unique(runs[a : b - WORDS + 1]))
+            out.append(np.unique(grams[a : b - WORDS + 1]))
         elif b > a:
             whole = sum(hashes[a + k : a + k + 1] * _PLACES[k] for k in range(b - a))
             out.append(mixed(whole + np.uint64(b - a)))
