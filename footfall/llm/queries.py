@@ -8,15 +8,22 @@ from . import (
     decontaminate,
     exact_dedup,
     html_main,
+    licenses,
     ngram_join,
     packing,
     quality,
     secrets,
+    surrogates,
     toxicity,
 )
 from .common import table
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates in place of personal data."""
+    return surrogates.replace_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in all documents, re-parameterised ones included."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -40,6 +47,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences in all documents."""
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies among all documents; of equal texts the row with the largest doc_id stays."""
     return exact_dedup.exact_copies(table(spark, sf_dir, "documents"), keep="max")
@@ -61,10 +73,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_surrogates": op1_surrogates,
     "op2_decontaminate": op2_decontaminate,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
+    "op6_licenses": op6_licenses,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_html_main": op8_html_main,
     "op9_ngram_join": op9_ngram_join,
