@@ -4,20 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import exact_dedup
+from footfall.llm import decontaminate, exact_dedup, ngram_join, packing, quality
 from footfall.llm.common import Scratch, table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.drop_rejected(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts the one with the largest doc_id stays."""
+    """Of documents with equal texts the one with the largest doc_id."""
     return exact_dedup.drop_copies(docs, keep="max")
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document with the smallest doc_id."""
+    return ngram_join.drop_near_copies(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all documents' pieces in sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("quality classifier", quality_stage),
     ("exact dedup", exact_dedup_stage),
+    ("n-gram Jaccard join", near_dedup_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("best-fit packing", packing_stage),
 ]
 
-# The first stage learns a classifier, which SQL cannot express.
+# The stages learn a classifier and tokenise, which SQL cannot express.
 ORACLE_SQL = None
 
 

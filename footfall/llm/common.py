@@ -71,3 +71,21 @@ def semi_join_listed(
     """
     listed = F.broadcast(keys) if keys.count() <= most else keys
     return rows.join(listed, on, "left_semi")
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A hash of a row's identifier and whole text, by which steps know the row."""
+    return F.xxhash64(F.col(f"`{id_col}`"), whole_text(f"`{text_col}`"))
+
+
+def without_keys(docs: DataFrame, gone: DataFrame, most: int = 500_000) -> DataFrame:
+    """Rows of ``docs`` whose ``row_key`` is not in ``gone`` (key, already written to a table).
+
+    Up to ``most`` keys, counted from the written table's footers, are broadcast (8 bytes each);
+    a longer list is joined by a shuffle. The row is nested meanwhile, so no column can clash.
+    """
+    listed = F.broadcast(gone) if gone.count() <= most else gone
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key().alias("key")
+    )
+    return keyed.join(listed, "key", "left_anti").select("row.*")

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, semi_join_listed, whole_text
+from .common import Scratch, semi_join_listed, whole_text, without_keys
 
 WINDOW = 8
 
@@ -134,7 +134,7 @@ def leaks(
     item_text: str = "text",
 ) -> DataFrame:
     """One row per document and benchmark item that share enough windows: doc_id, item_id, key
-    (of the document row, see ``row_key``), windows (of the item), found, coverage, slots,
+    (of the document row, see ``common.row_key``), windows (of the item), found, coverage, slots,
     changed_slots, kind and contaminated.
 
     Null texts are empty; documents and items without enough words give no rows, and so do empty
@@ -217,15 +217,8 @@ def leaks(
     )
 
 
-def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """The key by which ``leaks`` knows a row."""
-    return F.xxhash64(F.col(f"`{id_col}`"), whole_text(f"`{text_col}`"))
-
-
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without a leak; all columns, rows and repeats of clean documents stay."""
     scratch = Scratch(docs.sparkSession)
     found = scratch.write(leaks(docs, benchmark).where("contaminated").select("key").distinct())
-    few = found.count() <= 500_000  # counted from a written table; longer lists are shuffled
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key().alias("key"))
-    return keyed.join(F.broadcast(found) if few else found, "key", "left_anti").select("row.*")
+    return without_keys(docs, found)

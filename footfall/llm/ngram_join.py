@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, semi_join_listed, whole_text
+from .common import Scratch, semi_join_listed, whole_text, without_keys
 from .components import components
 from .shingles import minima, mixed, numbers, shingle_sets
 
@@ -325,7 +325,4 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each class stays, the one with the smallest identifier; all columns stay."""
     scratch = Scratch(docs.sparkSession)
     gone = scratch.write(near_copies(docs).where(~F.col("keep")).select("key").distinct())
-    few = gone.count() <= 500_000  # counted from a written table; longer lists are shuffled
-    key = F.xxhash64(F.col("doc_id"), whole_text("text"))
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
-    return keyed.join(F.broadcast(gone) if few else gone, "key", "left_anti").select("row.*")
+    return without_keys(docs, gone)

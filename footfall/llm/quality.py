@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, whole_text
+from .common import Scratch, whole_text, without_keys
 from .statistics import NAMES, statistics
 
 # The most labelled rows that train a model; which ones is decided by a hash of the identifier.
@@ -25,6 +25,9 @@ SAMPLE = 20_000
 BINS, DEPTH, TREES = 64, 4, 60
 RATE, RIDGE, LEAST_ROWS = 0.15, 1.0, 10
 
+# Scores from here on are predictions of label 1.
+ACCEPT = 0.7
+
 
 @dataclass(frozen=True)
 class Trees:
@@ -99,20 +102,22 @@ def fit(x: np.ndarray, y: np.ndarray) -> Trees:
 
 
 def text_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, x): the statistics of every row's whole text."""
+    """(doc_id, key, x): the statistics of every row's whole text."""
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 200):
                 part = batch.iloc[at : at + 200]
                 x = statistics(part["text"].tolist())
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "x": list(x)})
+                yield pd.DataFrame(
+                    {"doc_id": part["doc_id"], "key": part["key"].to_numpy(), "x": list(x)}
+                )
 
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), whole_text(f"`{text_col}`").alias("text")
-    )
+    ).withColumn("key", F.xxhash64("doc_id", "text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(measure, f"doc_id {kind}, x array<double>")
+    return rows.mapInPandas(measure, f"doc_id {kind}, key long, x array<double>")
 
 
 def fold(of: int, held: int) -> Column:
@@ -132,43 +137,58 @@ def sampled_labels(labels: DataFrame, id_col: str, label: str, held: Column, mos
     )
 
 
-def quality_scores(
-    docs: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    label: str = "quality",
-    sample: int = SAMPLE,
+def _scored(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, sample: int
 ) -> DataFrame:
-    """One row per row of ``docs``: id, held_out, score and predicted (score of 0.7 or more).
-
-    Trained on at most ``sample`` labelled rows whose crc32(id) modulo 4 is not 2. Null and empty
-    texts have statistics of zero and are scored like any other. Without labels, or with one
-    class only, every score is the share of label 1 (a half without labels). Repeated rows get
-    equal scores; an empty table gives an empty result.
-    """
+    """(doc_id, key, held_out, score) of every row."""
     scratch = Scratch(docs.sparkSession)
     measured = scratch.write(text_statistics(docs, id_col, text_col))
     held = fold(4, 2)
     chosen = sampled_labels(labels, id_col, label, held, sample)
-    train = measured.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "y").limit(sample).toPandas()
+    train = measured.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "y", "key").limit(sample)
+    train = train.select("x", "y").toPandas()  # bounded by ``sample``
     x = np.array(train["x"].tolist()).reshape(len(train), len(NAMES))
     model = fit(x, train["y"].to_numpy(dtype=float))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = np.array(batch["x"].tolist()).reshape(len(batch), len(NAMES))
-            out = batch[["doc_id", "held_out"]].copy()
+            out = batch[["doc_id", "key", "held_out"]].copy()
             out["score"] = model.score(x)
             yield out
 
     kind = measured.schema["doc_id"].dataType.simpleString()
-    scored = measured.select("doc_id", held.alias("held_out"), "x").mapInPandas(
-        score, f"doc_id {kind}, held_out boolean, score double"
+    return measured.select("doc_id", "key", held.alias("held_out"), "x").mapInPandas(
+        score, f"doc_id {kind}, key long, held_out boolean, score double"
     )
-    return scored.select(
+
+
+def quality_scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label: str = "quality",
+    sample: int = SAMPLE,
+) -> DataFrame:
+    """One row per row of ``docs``: id, held_out, score and predicted (score of 0.7 or more).
+
+    Trained on at most ``sample`` labelled rows whose crc32(id) modulo 4 is not 2. Null and empty
+    texts have statistics of zero and are scored like any other. Without labels, or with one
+    class only, every score is the share of label 1 (a half without labels). Repeated rows get
+    equal scores; an empty table gives an empty result.
+    """
+    return _scored(docs, labels, id_col, text_col, label, sample).select(
         F.col("doc_id").alias(id_col),
         "held_out",
         "score",
-        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
     )
+
+
+def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose score is 0.7 or more, with all their columns."""
+    scratch = Scratch(docs.sparkSession)
+    scored = _scored(docs, labels, "doc_id", "text", "quality", SAMPLE)
+    gone = scratch.write(scored.where(F.col("score") < ACCEPT).select("key").distinct())
+    return without_keys(docs, gone)

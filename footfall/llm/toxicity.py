@@ -32,7 +32,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 # Texts of the sample that a term must occur in.
 LEAST_TEXTS = 5
 
-RIDGE, COUNTERFACTUAL, STEPS = 0.02, 5.0, 400
+RIDGE, COUNTERFACTUAL, STEPS = 0.1, 5.0, 600
 
 # Names of groups that are swapped for one another, by kind. Singular and plural line up.
 GROUPS = (
@@ -136,23 +136,37 @@ def fit(texts_x, y: np.ndarray, swaps, vocabulary: np.ndarray) -> Linear:
     swap_row, swap_column, swap_value, swap_count = swaps
     w = np.zeros(k + 2)
     w[k + 1] = np.log(rate / (1 - rate))
-    ahead, step = w.copy(), 0.0
-    # the curvature is at most this along any direction of a row or a swap
-    norms = np.bincount(row, value**2, n) + length**2 + 1
-    bend = 0.25 * np.quantile(norms, 0.99) + RIDGE
-    if swap_count:
-        bend += 2 * COUNTERFACTUAL * np.bincount(swap_row, swap_value**2, swap_count).max()
+    ahead = w.copy()
+
+    def curved(v: np.ndarray) -> np.ndarray:
+        """An upper bound of the curvature, times v."""
+        along = np.bincount(row, v[column] * value, n) + v[k] * length + v[k + 1]
+        out = np.empty(k + 2)
+        out[:k] = np.bincount(column, along[row] * value, k) / (4 * n) + RIDGE / n * v[:k]
+        out[k], out[k + 1] = along @ length / (4 * n), along.sum() / (4 * n)
+        if swap_count:
+            change = np.bincount(swap_row, v[swap_column] * swap_value, swap_count)
+            slopes = np.bincount(swap_column, change[swap_row] * swap_value, k)
+            out[:k] += 2 * COUNTERFACTUAL / swap_count * slopes
+        return out
+
+    v = np.ones(k + 2) / np.sqrt(k + 2)
+    for _ in range(30):  # power iteration for the largest curvature
+        v = curved(v)
+        bend = np.linalg.norm(v)
+        v /= bend
+    bend *= 1.2
     speed = 1.0
     for _ in range(STEPS):
         margin = np.bincount(row, ahead[column] * value, n) + ahead[k] * length + ahead[k + 1]
         error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / n
         slope = np.empty(k + 2)
-        slope[:k] = np.bincount(column, error[row] * value, k) + RIDGE / n * 10 * ahead[:k]
+        slope[:k] = np.bincount(column, error[row] * value, k) + RIDGE / n * ahead[:k]
         slope[k], slope[k + 1] = error @ length, error.sum()
         if swap_count:
             change = np.bincount(swap_row, ahead[swap_column] * swap_value, swap_count)
             slope[:k] += 2 * COUNTERFACTUAL / swap_count * np.bincount(swap_column, change[swap_row] * swap_value, k)
-        new = ahead - slope / (bend / 4)
+        new = ahead - slope / bend
         faster = (1 + np.sqrt(1 + 4 * speed**2)) / 2
         ahead = new + (speed - 1) / faster * (new - w)
         w, speed = new, faster
