@@ -69,7 +69,8 @@ def _sorted_runs(docs: DataFrame, id_col: str, text_col: str, keep: str, scratch
     )
 
 
-DIGEST = (F.sha2("norm", 256).alias("sha"), F.octet_length("norm").alias("size"))
+def _digest() -> tuple[Column, Column]:
+    return F.sha2("norm", 256).alias("sha"), F.octet_length("norm").alias("size")
 
 
 def _hot_groups(firsts: DataFrame, keep: str) -> DataFrame:
@@ -99,7 +100,7 @@ def exact_copies(
     best = F.min if keep == "min" else F.max
     rows = scratch.write(
         _sorted_runs(narrow, "i", "t", keep, scratch)
-        .select("id", "lead", "h", "salt", "run", "first", "hot", *DIGEST)
+        .select("id", "lead", "h", "salt", "run", "first", "hot", *_digest())
         .withColumn("run_keep", best("id").over(one_run))
         .withColumn("run_rows", F.count(F.lit(1)).over(one_run))
     )
@@ -124,7 +125,7 @@ def drop_copies(
     firsts = scratch.write(
         _sorted_runs(docs, id_col, text_col, keep, scratch)
         .where("first")
-        .select("row", "id", "h", "salt", "hot", F.lit(1).cast("long").alias("run_rows"), *DIGEST)
+        .select("row", "id", "h", "salt", "hot", F.lit(1).cast("long").alias("run_rows"), *_digest())
     )
     hot = F.broadcast(_hot_groups(firsts, keep))
     chosen = F.col("best.id").eqNullSafe(F.col("id")) & (F.col("best.salt") == F.col("salt"))

@@ -141,7 +141,7 @@ def canonical(text: Column) -> Column:
     out = F.regexp_replace(out, r"(?m)^ +| +$", "")
     out = F.regexp_replace(out, r"\b(?:version|ver|v) ?(?=\d)", "v")
     spelled = dict(SPELLINGS)
-    for old in sorted(spelled, key=len, reverse=True):
+    for old in sorted(spelled, key=lambda x: " " in x):  # words first, then phrases of them
         out = F.regexp_replace(out, rf"\b{old}\b", spelled[old])
     return out
 

@@ -32,7 +32,7 @@ END_ID = 2
 # Pieces per island, individuals per island, generations per epoch, epochs.
 ISLAND_PIECES = 16_384
 POPULATION = 6
-GENERATIONS = 8
+GENERATIONS = 12
 EPOCHS = 2
 
 # Bins at least this full are passed on by crossover and migration; of the last epoch's bins,
@@ -129,10 +129,12 @@ def cut_pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str) -> D
 Bins = Counter
 
 
-def fill(supply: dict[int, int], chance: random.Random | None = None) -> Bins:
-    """Pack a supply of lengths: each bin starts with the longest piece left and takes a pair
-    that fills it exactly where there is one, else the longest that fits. ``chance`` varies the
-    choice of pair."""
+def fill(
+    supply: dict[int, int], chance: random.Random | None = None, exact: bool = True
+) -> Bins:
+    """Pack a supply of lengths: each bin starts with the longest piece left and takes a piece
+    or, with ``exact``, a pair that fills it where there is one, else the longest that fits.
+    ``chance`` varies the choice of pair. Without ``exact`` this is first fit decreasing."""
     left = {n: k for n, k in supply.items() if k > 0}
     lengths = sorted(left)
     bins: Bins = Counter()
@@ -157,9 +159,11 @@ def fill(supply: dict[int, int], chance: random.Random | None = None) -> Bins:
             if free(room):
                 choice = [room]
             else:
-                pairs = np.flatnonzero(have[1:room] & have[room - 1 : 0 : -1]) + 1
-                pairs = pairs[pairs * 2 >= room]
                 choice = None
+                pairs = ()
+                if exact:
+                    pairs = np.flatnonzero(have[1:room] & have[room - 1 : 0 : -1]) + 1
+                    pairs = pairs[pairs * 2 >= room]
                 if len(pairs):
                     order = pairs[::-1] if chance is None else chance.sample(list(pairs), min(4, len(pairs)))
                     for a in order[:4]:
@@ -223,14 +227,36 @@ def crossover(supply: Counter, base: Bins, guest: Bins, chance: random.Random) -
     for pattern, times in stay:
         if sum(pattern) >= WELL_FILLED * CAPACITY and chance.random() < 0.97:
             place(pattern, times)
-    return child + fill(left, chance)
+    return child + fill(left, chance, exact=chance.random() < 0.7)
+
+
+def least_bins(supply: Counter) -> int:
+    """A lower bound: for each length q, pieces too long to share a bin with one of length q or
+    more, pieces of over half a bin, and what of the others does not fit beside these."""
+    count = np.zeros(CAPACITY + 2, dtype=np.int64)
+    for n, k in supply.items():
+        count[n] = k
+    upto = np.concatenate(([0], np.cumsum(count)))  # pieces shorter than the index
+    sums = np.concatenate(([0], np.cumsum(count * np.arange(len(count)))))
+    half, best = CAPACITY // 2, 0
+    for q in range(half + 1):
+        alone = upto[-1] - upto[CAPACITY - q + 1]
+        large = upto[CAPACITY - q + 1] - upto[half + 1]
+        room = large * CAPACITY - (sums[CAPACITY - q + 1] - sums[half + 1])
+        rest = sums[half + 1] - sums[q]
+        best = max(best, alone + large + max(0, -((room - rest) // CAPACITY)))
+    return int(best)
 
 
 def evolve(supply: Counter, population: list[Bins], guests: list[Bins], seed: int) -> list[Bins]:
     """Some generations of an island; the best individual comes first."""
     chance = random.Random(seed)
-    bound = -(-sum(n * k for n, k in supply.items()) // CAPACITY)
-    people = population or [fill(supply), *(fill(supply, chance) for _ in range(POPULATION - 1))]
+    bound = least_bins(supply)
+    people = population or [
+        fill(supply, exact=False),
+        fill(supply),
+        *(fill(supply, chance) for _ in range(POPULATION - 2)),
+    ]
     people.sort(key=fitness, reverse=True)
     for step in range(GENERATIONS):
         if sum(people[0].values()) <= bound:

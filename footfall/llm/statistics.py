@@ -101,7 +101,7 @@ def statistics(texts: list[str]) -> np.ndarray:
         out[k, put["distinct_words"]] = len(counts) / (b - a)
         out[k, put["top_word"]] = counts.max() / (b - a)
         out[k, put["distinct_pairs"]] = len(np.unique(pairs[a : b - 1])) / max(1, b - a - 1)
-        out[k, put["distinct_triples"]] = len(np.unique(triples[a : b - 2])) / max(1, b - a - 2)
+        out[k, put["distinct_triples"]] = len(np.unique(triples[a : max(a, b - 2)])) / max(1, b - a - 2)
     first, stop = np.searchsorted(lines, begins[:-1]), np.searchsorted(lines, begins[1:] - 1)
     for k, text in enumerate(texts):
         if text:

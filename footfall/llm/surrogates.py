@@ -29,7 +29,7 @@ DEFAULT_KEY = "footfall"
 # Given names by script and gender, surnames by script.
 GIVEN = {
     ("latin", "f"): "Mary Patricia Jennifer Elizabeth Susan Jessica Sarah Margaret Claire Sofia Ingrid Julia Camille Lucía".split(),
-    ("latin", "m"): "James Robert Michael William David Richard Joseph Thomas Charles Pierre Klaus Jürgen Carlos Javier".split(),
+    ("latin", "m"): "John James Robert Michael William David Richard Joseph Thomas Charles Pierre Klaus Jürgen Carlos Javier".split(),
     ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Ирина Татьяна Светлана".split(),
     ("cyrillic", "m"): "Иван Сергей Дмитрий Алексей Николай Михаил Андрей Павел".split(),
     ("greek", "f"): "Μαρία Ελένη Αικατερίνη Σοφία".split(),
