@@ -70,7 +70,7 @@ def _signatures(rows: DataFrame, length: int) -> DataFrame:
                     {
                         "doc_id": part["doc_id"].to_numpy(),
                         "key": part["key"].to_numpy(),
-                        "set_id": [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() for s in sets],
+                        "set_id": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
                         "n": [len(s) for s in sets],
                         "nodes": nodes,
                         "sketch": sketch,
@@ -79,7 +79,7 @@ def _signatures(rows: DataFrame, length: int) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(
-        sign, f"doc_id {kind}, key long, set_id string, n int, nodes array<long>, sketch binary"
+        sign, f"doc_id {kind}, key long, set_id binary, n int, nodes array<long>, sketch binary"
     )
 
 
@@ -127,10 +127,9 @@ class _Forest:
         return [(a, r) for a in range(len(self.up)) if (r := self.root(a)) != a]
 
 
-def _blocks(rows: DataFrame, key: str, parts: DataFrame) -> DataFrame:
+def _blocks(rows: DataFrame, key: str) -> DataFrame:
     """Rows of each key's blocks: with ``parts`` parts, one block for each pair of parts (and
     part with itself). Adds x, y (the block) and side (the row's part)."""
-    rows = rows.join(parts, key)
     side = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")
     return (
         rows.withColumn("side", side)
@@ -146,7 +145,7 @@ def _blocks(rows: DataFrame, key: str, parts: DataFrame) -> DataFrame:
 def _near_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links between texts of a block whose signatures agree enough."""
     need = LEAST_AGREEING * TREES * LABELS
-    out: list[tuple[str, str]] = []
+    out: list[tuple[bytes, bytes]] = []
     for group in _groups(batches, ["node", "x", "y"]):
         ids = group["set_id"].to_numpy()
         marks = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(ids), -1)
@@ -278,23 +277,27 @@ def near_copies(
         placed.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     )
     parts = shared.select("node", F.ceil(F.col("n") / BLOCK_TEXTS).cast("int").alias("parts"))
-    met = texts.select("set_id", "sketch", F.explode("nodes").alias("node"))
-    likely = _blocks(met, "node", parts).select("node", "x", "y", "side", "set_id", "sketch")
-    likely = scratch.write(likely.mapInPandas(_near_signatures, "a string, b string"))
+    # signatures join only after the texts that share no node are gone; sort-merge joins at any
+    # size, so that the volume moved grows with the texts and not with the plan
+    met = placed.join(parts.hint("merge"), "node").join(
+        texts.select("set_id", "sketch").hint("merge"), "set_id"
+    )
+    likely = _blocks(met, "node").select("node", "x", "y", "side", "set_id", "sketch")
+    likely = scratch.write(likely.mapInPandas(_near_signatures, "a binary, b binary"))
     families = scratch.write(components(likely, scratch).withColumnRenamed("node", "set_id"))
 
     members = scratch.write(
-        texts.select("set_id", "first.key", "n", "n_docs").join(families, "set_id")
+        texts.select("set_id", "first.key", "n", "n_docs").join(families.hint("merge"), "set_id")
     )
     weight = F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)
     parts = members.groupBy("root").agg(F.ceil(weight).cast("int").alias("parts"))
     keys = scratch.write(members.select("key").distinct())
     exact = _shingles(semi_join_listed(rows, keys, "key").dropDuplicates(["key"]))
-    blocks = _blocks(members.join(exact, "key"), "root", parts).select(
+    blocks = _blocks(members.join(parts, "root").join(exact, "key"), "root").select(
         "root", "x", "y", "side", "set_id", "n_docs", "shingles"
     )
     verified = scratch.write(
-        blocks.mapInPandas(_verify(threshold), "a string, b string, texts long, docs long")
+        blocks.mapInPandas(_verify(threshold), "a binary, b binary, texts long, docs long")
     )
     scratch.drop(shared, likely, families, members, keys)
 
