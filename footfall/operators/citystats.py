@@ -242,8 +242,8 @@ def city_exposures(
     boundary: str = "ge",
     ignore_case: bool = True,
 ) -> DataFrame:
-    """People (distinct macs) and person-times (exposures) per city, before the vendor test
-    (nofake_*) and after it (fake_*, null where no genuine mac was seen)."""
+    """People (distinct macs) and person-times (exposures, counted by date) per city, before the
+    vendor test (nofake_*) and after it (fake_*, null where no genuine mac was seen)."""
     per_pair = (
         exposures(scans, gap, boundary=boundary)
         .groupBy("devid", "mac")
@@ -271,12 +271,13 @@ def city_exposures(
 def city_arrivals(
     scans: DataFrame, gap: int = 300, boundary: str = "gt", by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Arrivals per city: those of pairs that came back, the pairs that came once, and their
-    sum. Cities that lack one of the two kinds are left out. ``by`` adds columns, such as
-    the date, that are kept apart."""
+    """Arrivals per city: those of pairs that came back on a date, the pairs that came once on
+    it, and their sum. Cities that lack one of the two kinds are left out. ``by`` names columns,
+    such as the date, that are kept apart."""
     a = F.col("arrivals")
+    keys = list(dict.fromkeys((*by, "time", "city_name", "devid", "mac")))
     return (
-        arrivals(scans, gap, [*by, "city_name", "devid", "mac"], boundary)
+        arrivals(scans, gap, keys, boundary)
         .groupBy(*by, "city_name")
         .agg(
             F.sum(F.when(a > 1, a)).alias("twoexpose"),
@@ -299,7 +300,7 @@ def city_screen_report(
     """City report from scans alone: ``city_multi_distinct`` with arrivals before and after
     the vendor test, people after it, and the total length of the ads seen."""
     placed = with_city(
-        scans.select("devid", "mac", "scan_time").distinct(), location
+        scans.select("time", "devid", "mac", "scan_time").distinct(), location
     ).where(F.col("city_name").isNotNull() & (F.col("city_name") != ""))
     known = vendor_flag(placed, factory, ignore_case).where("genuine")
     people = known.groupBy("city_name").agg(F.countDistinct("mac").alias("fake_maccount"))

@@ -93,21 +93,12 @@ def device_city(location: DataFrame) -> DataFrame:
 def drop_heavy(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     """Drop all rows of keys that have more than ``limit`` rows.
 
-    Equal rows are first folded into one with a count, on the map side where they meet, so
-    the window that adds up a key holds its distinct rows only: for scans no more than one
-    per second, device and slot, however many copies a key has.
+    Rows per key are counted first, on the map side where they meet; the rows themselves are
+    joined once with the keys that have too many.
     """
-    folded = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    total = F.sum("_copies").over(Window.partitionBy(*keys))
-    return (
-        folded.withColumn("_total", total)
-        .where(F.col("_total") <= limit)
-        .select(
-            *df.columns,
-            F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"),
-        )
-        .drop("_copy")
-    )
+    counts = key_counts(df, keys)
+    heavy = counts.where(F.col("_rows") > limit).select(*keys)
+    return spread_join(df, heavy, keys, "left_anti", counts)
 
 
 def roaming_macs(

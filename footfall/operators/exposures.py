@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEVICE_MAC = ["devid", "mac"]
+# The date is part of the key: a window never grows with the number of days read.
+DEVICE_MAC = ["time", "devid", "mac"]
 
 
 def distinct_seconds(

@@ -1,8 +1,8 @@
 """Exposure gap-fill: plays that ran while a mac stayed in front of a screen are added to its
 scans, and consecutive rows of one ad are merged into views.
 
-Windows run per date, device and mac after pairs with more than MAX_SCANS scans have been
-dropped, which bounds every group.
+Windows run per date, device and mac, so a group never holds more than one date. Pairs with
+very many scans, which are not visitors, can be dropped before (``visitor_scans``).
 """
 
 from __future__ import annotations
@@ -19,9 +19,6 @@ from footfall.operators.spread import MIN_ROWS, bucket_join, hot_keys, key_count
 VISITOR = ["time", "devid", "mac"]
 AD_SLOT = ["sch_version", "uploadcount", "pls_index", "play_index"]
 
-# Device and mac pairs with more scans than this are not visitors.
-MAX_SCANS = 1000
-
 
 def scan_windows(scans: DataFrame, append: int, flag: int) -> DataFrame:
     """Add to each scan the end of the time it stands for (``until``) and whether the contact
@@ -40,9 +37,9 @@ def scan_windows(scans: DataFrame, append: int, flag: int) -> DataFrame:
     )
 
 
-def visitor_scans(scans: DataFrame, max_scans: int = MAX_SCANS) -> DataFrame:
-    """Scans of pairs with no more than ``max_scans`` scans a day."""
-    return drop_heavy(scans, VISITOR, max_scans)
+def visitor_scans(scans: DataFrame, max_scans: int | None) -> DataFrame:
+    """Scans of pairs with no more than ``max_scans`` scans a day; None keeps all."""
+    return scans if max_scans is None else drop_heavy(scans, VISITOR, max_scans)
 
 
 def exposure_gapfill(
@@ -145,9 +142,19 @@ def view_merge(filled: DataFrame, flag: int) -> DataFrame:
     apart. A view carries its first row; it ends at its last row's time, or one millisecond
     after its only row."""
     runs = _runs(filled, flag, AD_SLOT, F.lit(False))
-    first = [c for c in filled.columns if c not in (*VISITOR, "scan_time", "anchor", "inserted",
-                                                    "p_start", "p_end")]
-    views = runs.groupBy(*VISITOR, "_run").agg(
+    return _as_views(_first_rows(runs, filled, [*VISITOR, "_run"]))
+
+
+def _carried(filled: DataFrame) -> list[str]:
+    """The columns that a view takes from its first row."""
+    left_out = (*VISITOR, "scan_time", "anchor", "inserted", "p_start", "p_end")
+    return [c for c in filled.columns if c not in left_out]
+
+
+def _first_rows(rows: DataFrame, filled: DataFrame, keys: list[str]) -> DataFrame:
+    """The first row of each group with the group's times and row count."""
+    first = _carried(filled)
+    return rows.groupBy(*keys).agg(
         F.min_by(
             F.struct(*first), F.struct(F.struct(*filled_order()), F.struct(*first))
         ).alias("_row"),
@@ -155,7 +162,6 @@ def view_merge(filled: DataFrame, flag: int) -> DataFrame:
         F.max("scan_time").alias("_to"),
         F.count(F.lit(1)).alias("_n"),
     )
-    return _as_views(views)
 
 
 def view_merge_adlen(filled: DataFrame, flag: int, by_content: bool = False) -> DataFrame:
@@ -164,56 +170,50 @@ def view_merge_adlen(filled: DataFrame, flag: int, by_content: bool = False) ->
     the same.
 
     The plain conditions cut a visitor's rows into runs with windows; the length test depends
-    on where the current view began, so it is folded over each run.
+    on where the current view began, so each run's times and lengths are folded to the places
+    where views begin. Only these numbers are gathered; the rows join them by their place.
     """
     same = [*AD_SLOT, *(["adcontent"] if by_content else [])]
-    runs = _runs(filled, flag, same, F.col("ad_length").isNull())
-    first = [c for c in filled.columns if c not in (*VISITOR, "scan_time", "anchor", "inserted",
-                                                    "p_start", "p_end")]
-    row = F.struct(
-        F.struct(*filled_order()).alias("ord"),
-        F.col("scan_time").alias("t"),
-        F.struct(*first).alias("row"),
-    )
-    folded = (
-        runs.groupBy(*VISITOR, "_run")
-        .agg(F.array_sort(F.collect_list(row)).alias("_rows"))
-        .select(
-            *VISITOR,
-            F.explode(
-                F.aggregate(
-                    F.slice("_rows", F.lit(2), F.size("_rows")),
-                    F.array(_open(F.col("_rows")[0])),
-                    _fold,
-                )
-            ).alias("_view"),
-        )
-        .select(*VISITOR, "_view.*")
+    run = [*VISITOR, "_run"]
+    # rows equal in time and slot are told apart by the rest, so that places never change
+    in_run = Window.partitionBy(*run).orderBy(*filled_order(), F.struct(*_carried(filled)))
+    runs = _runs(filled, flag, same, F.col("ad_length").isNull()).withColumn(
+        "_place", F.row_number().over(in_run)
     )
-    return _as_views(folded)
-
-
-def _open(row: Column) -> Column:
-    return F.struct(
-        row["row"].alias("_row"),
-        row["t"].alias("_from"),
-        row["t"].alias("_to"),
-        F.lit(1).cast("long").alias("_n"),
+    entry = F.struct("_place", F.col("scan_time").alias("t"), F.col("ad_length").alias("most"))
+    begins = F.aggregate(
+        F.array_sort(F.collect_list(entry)),
+        F.struct(
+            F.lit(None).cast("long").alias("since"),
+            F.expr("cast(array() as array<int>)").alias("places"),
+        ),
+        _begin,
+        lambda seen: seen["places"],
+    )
+    starts = (
+        runs.groupBy(*run)
+        .agg(begins.alias("_begins"))
+        .select(*run, F.explode("_begins").alias("_place"))
+        .withColumn("_begin", F.lit(1))
     )
+    so_far = Window.partitionBy(*run).orderBy("_place").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    views = runs.join(starts, [*run, "_place"], "left").withColumn(
+        "_view", F.sum("_begin").over(so_far)
+    )
+    return _as_views(_first_rows(views, filled, [*run, "_view"]))
 
 
-def _fold(views: Column, row: Column) -> Column:
-    current = F.element_at(views, -1)
-    longer = F.struct(
-        current["_row"].alias("_row"),
-        current["_from"].alias("_from"),
-        row["t"].alias("_to"),
-        (current["_n"] + 1).alias("_n"),
+def _begin(seen: Column, row: Column) -> Column:
+    """One step of the fold: does a view begin at this row?"""
+    fits = (row["t"] - seen["since"]) <= row["most"]
+    return F.when(F.coalesce(fits, F.lit(False)), seen).otherwise(
+        F.struct(
+            row["t"].cast("long").alias("since"),
+            F.concat(seen["places"], F.array(row["_place"])).alias("places"),
+        )
     )
-    fits = row["t"] - current["_from"] <= row["row"]["ad_length"]
-    return F.when(
-        fits, F.concat(F.slice(views, F.lit(1), F.size(views) - 1), F.array(longer))
-    ).otherwise(F.concat(views, F.array(_open(row))))
 
 
 def _runs(filled: DataFrame, flag: int, same: list[str], cut: Column) -> DataFrame:

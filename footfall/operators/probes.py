@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.functions.times import day_of
 from footfall.operators.clean import drop_heavy, spoof_filter
 from footfall.operators.exposures import distinct_seconds
 from footfall.operators.spread import bucket_join, hot_keys, key_counts, lookup_join
 
+# Parts that the macs of a whole network are scattered over.
+PARTS = 32
+
 
 def probe_window(
     probes: DataFrame,
@@ -17,11 +21,14 @@ def probe_window(
     t: str,
     by_device: bool = True,
     raw: DataFrame | None = None,
+    find_hot: bool = True,
 ) -> DataFrame:
     """Events no more than ``within`` seconds before or after a probe (of the same device).
     ``raw`` may name the table the events come from, to find hot devices in."""
     on = ["devid"] if by_device else []
-    hot = hot_keys(key_counts(events if raw is None else raw, on), on) if by_device else None
+    hot = None
+    if by_device and find_hot:
+        hot = hot_keys(key_counts(events if raw is None else raw, on), on)
     spans = probes.withColumns({"_from": F.col("at") - within, "_to": F.col("at") + within + 1})
     if not by_device:
         spans = spans.drop("devid")
@@ -38,15 +45,28 @@ def probe_counts(
     spreads: tuple[int, ...] = (10, 15),
     by_device: bool = True,
 ) -> DataFrame:
-    """Scans, distinct macs and faces within each spread of seconds around every probe.
+    """Scans, distinct macs and faces within each spread of seconds around every probe, on the
+    probe's date.
 
     (device, mac) pairs with more than ``max_scans`` scans on a date do not count. All
-    probes and spreads come out of one pass over the scans.
+    probes and spreads come out of one pass over the scans. Without ``by_device`` the scans of
+    a whole network meet in one stretch of time: they are reduced to seconds per mac, and
+    scattered by the mac over parts that each meet all probes.
     """
     widest = max(spreads)
     cleaned = drop_heavy(scans, ["time", "devid", "mac"], max_scans)
-    seconds = distinct_seconds(cleaned, ["devid", "mac"])
-    near = probe_window(probes, seconds, widest, "scan_time", by_device, scans)
+    same_day = F.col("time") == day_of(F.col("at"))
+    if by_device:
+        seconds = distinct_seconds(cleaned, ["time", "devid", "mac"])
+        near = probe_window(probes, seconds, widest, "scan_time", True, scans)
+    else:
+        part = F.pmod(F.xxhash64("mac"), F.lit(PARTS)).cast("int")
+        seconds = distinct_seconds(cleaned, ["time", "mac"]).withColumn("devid", part)
+        every = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+        near = probe_window(
+            probes.withColumn("devid", every), seconds, widest, "scan_time", True, None, False
+        )
+    near = near.where(same_day)
     away = F.abs(F.col("scan_time") - F.col("at"))
     per_mac = near.groupBy("probe_id", "mac").agg(
         *[F.sum(F.when(away <= s, F.col("n_scans"))).alias(f"_{s}") for s in spreads]
@@ -56,10 +76,12 @@ def probe_counts(
         *[F.count(F.when(F.col(f"_{s}").isNotNull(), F.col("mac"))).alias(f"macs_{s}")
           for s in spreads],
     )
-    looks = faces.groupBy("devid", "starttime").agg(F.count(F.lit(1)).alias("_n"))
+    seen = ["time", "devid", "starttime"] if by_device else ["time", "starttime"]
+    looks = faces.groupBy(*seen).agg(F.count(F.lit(1)).alias("_n"))
     away = F.abs(F.col("starttime") - F.col("at"))
     face_counts = (
         probe_window(probes, looks, widest, "starttime", by_device, faces)
+        .where(same_day)
         .groupBy("probe_id")
         .agg(*[F.sum(F.when(away <= s, F.col("_n"))).alias(f"faces_{s}") for s in spreads])
     )

@@ -18,8 +18,8 @@ PIECES = 1000
 # Keys with fewer rows than this are no burden to one task and are never split.
 MIN_ROWS = 100_000
 
-# Lists of up to this many rows are broadcast.
-BROADCAST_ROWS = 500_000
+# Lists estimated to have up to this many bytes are broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 # Rows with a null key match nothing; they are only scattered over this many parts.
 NULL_PARTS = 64
@@ -96,24 +96,31 @@ def spread_join(
     )
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's estimate of a plan's size, from file sizes and the plan alone: no job runs. It
+    errs on the large side for joins and filters."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(stats.sizeInBytes())
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
     on: list[str],
     how: str,
     source: DataFrame | None = None,
-    rows: int = BROADCAST_ROWS,
+    most: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join facts with a list: broadcast if the list, counted here, has no more than ``rows``
-    rows; otherwise a shuffle join that splits the facts' hot keys. ``source`` may name a
-    table that the list was reduced from: if that is short enough, so is the list, and
-    counting it is cheaper.
+    """Join facts with a list: broadcast if the list is estimated to have no more than ``most``
+    bytes; otherwise a shuffle join that splits the facts' hot keys. ``source`` may name a
+    table that the list was reduced from, without making rows: if that is short enough, so is
+    the list.
 
     Spark's own skew handling does not cover these joins: it leaves alone a join whose list
     side was just grouped by the join key.
     """
-    short = source is not None and source.count() <= rows
-    if short or dim.count() <= rows:
+    sizes = (estimated_bytes(df) for df in (dim, source) if df is not None)
+    if any(size <= most for size in sizes):
         return facts.join(F.broadcast(dim), on, how)
     return spread_join(facts, dim, on, how)
 

@@ -1,7 +1,7 @@
 """Views of the given tables in the shape of the logs and lists the operators read.
 
 Numbering of the stand-ins: a device's number ``n`` gives its city n % 5, its prefix n % 7 and
-its schedule version 100 + n / 3. Part p is slot (p % 60) / 10 of batch 1 + (p % 60) / 5 % 2 in
+its schedule version 100 + n / 3 (100000 + n / 3 in the packed form). Part p is slot (p % 60) / 10 of batch 1 + (p % 60) / 5 % 2 in
 city p % 5 of version 100 + p / 60, so scans, plays and schedules meet on the same slots.
 Event times run five times as fast as logged, which packs the 30 days into six.
 """
@@ -239,7 +239,7 @@ def play_log(spark: SparkSession, sf: str) -> DataFrame:
         start.alias("start_ms"),
         (start + ln.cast("long") * 60000 + 60000).alias("end_ms"),
         F.when(ln == 7, "0").otherwise(
-            F.concat((100 + _div(n, 3)).cast("string"), F.lpad((1 + half).cast("string"), 2, "0"))
+            F.concat((100_000 + _div(n, 3)).cast("string"), F.lpad((1 + half).cast("string"), 2, "0"))
         ).alias("sv"),
         (1 + slot % 3).cast("int").alias("pi"),
         (1 + _div(slot, 3)).cast("int").alias("idx"),
@@ -258,7 +258,7 @@ def slot_schedule(spark: SparkSession, sf: str) -> DataFrame:
     p = F.col("p_partkey")
     r = p % 60
     return _read(spark, sf, "part").select(
-        (100 + _div(p, 60)).cast("string").alias("building_list"),
+        (100_000 + _div(p, 60)).cast("string").alias("building_list"),
         (1 + _div(r, 10) % 3).cast("int").alias("npl_seqno"),
         (1 + _div(r, 30)).cast("int").alias("npl_playindex"),
         F.concat(F.lit("pl"), (p % 97).cast("string")).alias("pln_id"),

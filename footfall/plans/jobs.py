@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from footfall.operators import attribution, clean, gapfill, plays
+from footfall.operators import attribution, clean, exposures, fullflow, gapfill, plays
 from footfall.operators.spread import key_counts
+from footfall.sources import tables
 from footfall.sources.sinks import staged
 
 
@@ -15,7 +19,7 @@ def rebuilt_views(
     factory: DataFrame,
     append: int,
     flag: int,
-    max_scans: int = gapfill.MAX_SCANS,
+    max_scans: int | None,
 ) -> DataFrame:
     """Scans -> rebuilt play log -> gap-filled scans -> views."""
     genuine = clean.spoof_filter(views, factory)
@@ -32,9 +36,9 @@ def logged_gapfill(
     played: DataFrame,
     append: int,
     flag: int,
-    min_plays: int = 100,
+    min_plays: int,
+    max_scans: int | None,
     next_day: bool = True,
-    max_scans: int = gapfill.MAX_SCANS,
     raw: DataFrame | None = None,
 ) -> DataFrame:
     """Panel scans and enriched logged plays -> attributed and gap-filled scans. ``raw`` is
@@ -44,8 +48,9 @@ def logged_gapfill(
     busy = attribution.busy_devices(
         scans, played, min_plays, next_day, key_counts(raw, ["time", "devid"])
     )
+    visitors = staged(gapfill.visitor_scans(busy, max_scans))  # windowed and attributed to
     return gapfill.exposure_gapfill_playlog(
-        gapfill.visitor_scans(busy, max_scans), played, append, flag, attribution.AD_COLUMNS,
+        visitors, played, append, flag, attribution.AD_COLUMNS,
         next_day, gapfill.device_hot_keys(raw, ["devid"]),
         gapfill.device_hot_keys(played, ["devid"]),
     )
@@ -56,12 +61,66 @@ def logged_views(
     played: DataFrame,
     append: int,
     flag: int,
-    min_plays: int = 100,
+    min_plays: int,
+    max_scans: int | None,
     next_day: bool = True,
     by_content: bool = False,
-    max_scans: int = gapfill.MAX_SCANS,
     raw: DataFrame | None = None,
 ) -> DataFrame:
     """Panel scans and enriched logged plays -> attributed, gap-filled scans -> views."""
-    filled = logged_gapfill(scans, played, append, flag, min_plays, next_day, max_scans, raw)
+    filled = logged_gapfill(scans, played, append, flag, min_plays, max_scans, next_day, raw)
     return gapfill.view_merge_adlen(filled, flag, by_content)
+
+
+def trailing_exposures(
+    scans: DataFrame,
+    run_date: str,
+    gap: int,
+    max_scans: int,
+    max_hours: int,
+    each_day: bool = False,
+    days: int = 7,
+) -> DataFrame:
+    """Exposures of the run date, or with ``each_day`` of each of the ``days`` days up to it,
+    without the macs that roamed on any of these days."""
+    first = dt.date.fromisoformat(run_date) - dt.timedelta(days=days - 1)
+    week = tables.scan_range(scans, first.isoformat(), run_date)
+    macs = clean.roaming_macs(week, max_scans, max_hours)
+    shown = week if each_day else tables.scan_partition(scans, run_date)
+    kept = clean.drop_roaming(tables.clip_to_day(shown, drop_ap=False), macs)
+    return exposures.exposures(kept, gap)
+
+
+def span_before(run_date: str, span: str) -> tuple[str, str]:
+    """First and last date of the ISO week or calendar month before the run date's own."""
+    day = dt.date.fromisoformat(run_date)
+    if span == "week":
+        last = day - dt.timedelta(days=day.isoweekday())
+        first = last - dt.timedelta(days=6)
+    elif span == "month":
+        last = day.replace(day=1) - dt.timedelta(days=1)
+        first = last.replace(day=1)
+    else:
+        raise ValueError("span must be 'week' or 'month'")
+    return first.isoformat(), last.isoformat()
+
+
+def flow_before(
+    views: DataFrame,
+    schedule: DataFrame,
+    building_list: DataFrame,
+    ad_info: DataFrame,
+    factory: DataFrame,
+    run_date: str,
+    span: str,
+) -> DataFrame:
+    """Flow of the week or month before a run date, each day by its own schedule."""
+    first, last = span_before(run_date, span)
+    planned = tables.scan_range(
+        schedule.withColumn("time", F.col("buildinglistdate")), first, last
+    ).drop("time")
+    flow = fullflow.full_flow(
+        tables.scan_range(views, first, last), planned, building_list, ad_info, factory,
+        by_day=True,
+    )
+    return flow.select(F.lit(first).alias("start_day"), F.lit(last).alias("end_date"), "*")

@@ -4,7 +4,7 @@ seconds, buckets and folds."""
 
 from __future__ import annotations
 
-from footfall.plans.queries import APPEND, DAY, FIRST, FLAG, GAP, LAST, MAX_SCANS
+from footfall.plans.queries import APPEND, DAY, FIRST, FLAG, GAP, LAST, MAX_SCANS, RUN
 
 BASE = 1704067200
 
@@ -132,7 +132,7 @@ SELECT {_day(f'{BASE} + spot')} AS time, {_devid('n')} AS devid, 'ic' || n AS ic
        'sn' || n || '_a' AS inner_sn, CASE WHEN ln % 2 = 0 THEN 'm' ELSE 's' END AS master,
        'pl' || (part % 97) AS pid, ({BASE} + spot) * 1000 + o % 1000 AS start_ms,
        ({BASE} + spot) * 1000 + o % 1000 + ln * 60000 + 60000 AS end_ms,
-       CASE WHEN ln = 7 THEN '0' ELSE (100 + n // 3)::VARCHAR || lpad((1 + half)::VARCHAR, 2, '0') END AS sv,
+       CASE WHEN ln = 7 THEN '0' ELSE (100000 + n // 3)::VARCHAR || lpad((1 + half)::VARCHAR, 2, '0') END AS sv,
        (1 + slot % 3)::INTEGER AS pi, (1 + slot // 3)::INTEGER AS idx,
        'ad' || (part % 97) || '.mp4' AS vfn, (100 + n // 3)::INTEGER AS sch_version,
        (1 + half)::INTEGER AS uploadcount, (1 + slot % 3)::INTEGER AS pls_index,
@@ -144,7 +144,7 @@ FROM (SELECT *, (n // 3) * 60 + n % 5 + half * 5 + slot * 10 AS part
                   FROM lineitem)))""")
 
 VIEWS["slot_schedule"] = ([], """
-SELECT (100 + p_partkey // 60)::VARCHAR AS building_list, (1 + (p_partkey % 60 // 10) % 3)::INTEGER AS npl_seqno,
+SELECT (100000 + p_partkey // 60)::VARCHAR AS building_list, (1 + (p_partkey % 60 // 10) % 3)::INTEGER AS npl_seqno,
        (1 + p_partkey % 60 // 30)::INTEGER AS npl_playindex, 'pl' || (p_partkey % 97) AS pln_id,
        CASE WHEN p_partkey % 13 <> 0 THEN 'a' || (p_partkey % 97) END AS ad_content_id,
        (30 * (1 + p_size % 3))::INTEGER AS ad_length,
@@ -210,13 +210,13 @@ JOIN (SELECT devid, max(update_time) AS update_time FROM newest GROUP BY devid)
 WHERE l.install_status = '已安装'""")
 
 VIEWS["building_scans"] = (["view_info", "latest"], """
-SELECT v.devid, v.mac, v.scan_time, l.city_name, l.building_name
+SELECT v.time, v.devid, v.mac, v.scan_time, l.city_name, l.building_name
 FROM view_info v JOIN (SELECT DISTINCT devid, building_name, city_name FROM latest) l ON v.devid = l.devid""")
 
 VIEWS["kept_building_scans"] = (["building_scans"], """
 SELECT * FROM building_scans b WHERE NOT EXISTS (
-  SELECT 1 FROM (SELECT city_name, building_name, mac FROM building_scans GROUP BY ALL HAVING count(*) > 50) h
-  WHERE h.city_name = b.city_name AND h.building_name = b.building_name AND h.mac = b.mac)""")
+  SELECT 1 FROM (SELECT time, city_name, building_name, mac FROM building_scans GROUP BY ALL HAVING count(*) > 20) h
+  WHERE h.time = b.time AND h.city_name = b.city_name AND h.building_name = b.building_name AND h.mac = b.mac)""")
 
 VIEWS["roaming"] = (["view_info"], """
 SELECT DISTINCT mac FROM (
@@ -517,7 +517,7 @@ SELECT buildinglist, CAST(buildinglistdate AS VARCHAR) AS buildinglistdate, city
        nplseqno, nplinnerseqno, uploadcount, adlength FROM schedule""")
 O["heavy_dev_mac"] = _with(["light_scans"], f"SELECT {DATE_TEXT}, devid, mac, scan_time FROM light_scans")
 O["heavy_building_mac"] = _with(["kept_building_scans"],
-    "SELECT city_name, building_name, mac, scan_time FROM kept_building_scans")
+    f"SELECT {DATE_TEXT}, city_name, building_name, mac, scan_time FROM kept_building_scans")
 O["weekly_mac_filter"] = _with(["roaming"], "SELECT mac FROM roaming")
 O["dominant_sn"] = _with(["all_main_sn"], f"SELECT {DATE_TEXT}, devid, inner_sn, mac, scan_time FROM all_main_sn")
 O["panel_filter"] = _with(["clipped", "panel", "pairs", "location"], """
@@ -571,13 +571,13 @@ GROUP BY s.city_name"""
 O["city_multi_distinct"] = _with(["view_info", "device_city", "valid", "videos"], CITY_DISTINCT)
 VIEWS["city_played"] = (["play_log", "touch_city"], """
 SELECT DISTINCT d.city_name, d.building_name, p.devid, p.inner_sn, p.master, p.pid, p.start_ms, p.end_ms,
-       substr(p.sv, 1, 3) AS sv, p.pi, p.idx
+       CASE WHEN length(p.sv) >= 7 THEN substr(p.sv, 1, 6) ELSE p.sv END AS sv, p.pi, p.idx
 FROM play_log p JOIN touch_city d ON p.devid = d.devid
 WHERE p.sv <> '0' AND d.city_name IS NOT NULL""")
 VIEWS["city_shown"] = (["city_played", "slot_ads"], """
 SELECT p.*, a.ad_content_id, a.ad_length FROM city_played p
 JOIN slot_ads a ON p.sv = a.sch_version AND p.pi = a.pls_index AND p.idx = a.play_index AND p.pid = a.plninfo""")
-VIEWS["exposed_pairs"] = (["view_info"], f"SELECT * FROM {_exposures('view_info', 'devid, mac')}")
+VIEWS["exposed_pairs"] = (["view_info"], f"SELECT * FROM {_exposures('view_info', 'time, devid, mac')}")
 
 
 def _city_exposures(places: str) -> str:
@@ -614,14 +614,14 @@ O["city_ad_length"] = _with(["view_info", "device_city", "valid"], AD_LENGTH)
 def _city_arrivals(source: str, gap: int, name: str) -> str:
     return f"""
 SELECT city_name, (sum(n) FILTER (n > 1) + count(*) FILTER (n = 1))::DOUBLE AS {name}
-FROM (SELECT city_name, devid, mac, 1 + count(*) FILTER (scan_time - p > {gap}) AS n
-      FROM (SELECT *, lag(scan_time) OVER (PARTITION BY city_name, devid, mac ORDER BY scan_time) AS p
+FROM (SELECT time, city_name, devid, mac, 1 + count(*) FILTER (scan_time - p > {gap}) AS n
+      FROM (SELECT *, lag(scan_time) OVER (PARTITION BY time, city_name, devid, mac ORDER BY scan_time) AS p
             FROM {source}) GROUP BY ALL)
 GROUP BY city_name HAVING count(*) FILTER (n > 1) > 0 AND count(*) FILTER (n = 1) > 0"""
 
 
 VIEWS["placed_scans"] = (["view_info", "device_city"], """
-SELECT d.city_name, v.devid, v.mac, v.scan_time FROM view_info v JOIN device_city d ON v.devid = d.devid
+SELECT d.city_name, v.time, v.devid, v.mac, v.scan_time FROM view_info v JOIN device_city d ON v.devid = d.devid
 WHERE d.city_name IS NOT NULL""")
 VIEWS["known_scans"] = (["placed_scans", "known"],
     "SELECT * FROM placed_scans WHERE lower(substr(mac, 1, 6)) IN (SELECT prefix FROM known)")
@@ -671,6 +671,15 @@ SELECT '{DAY}' AS day, * FROM ({_flow(f"(SELECT * FROM view_info WHERE time = DA
 O["full_flow_range"] = _with(["view_info", "schedule", "ad_info", "frequency", "known"], f"""
 SELECT '{FIRST}' AS start_day, '{LAST}' AS end_date, * FROM (
 {_flow(f"(SELECT * FROM view_info WHERE time BETWEEN DATE '{FIRST}' AND DATE '{LAST}')", True)})""")
+for _name, _first, _last in (
+    ("week", "2024-01-01", "2024-01-07"), ("month", "2024-01-01", "2024-01-31")
+):
+    O[f"full_flow_previous_{_name}"] = _with(
+        ["view_info", "schedule", "ad_info", "frequency", "known"], f"""
+SELECT '{_first}' AS start_day, '{_last}' AS end_date, * FROM (
+{_flow(f"(SELECT * FROM view_info WHERE time BETWEEN DATE '{_first}' AND DATE '{_last}')", True)})""")
+O["full_flow_day_by_case"] = O["full_flow_day"].replace(
+    "k.prefix = lower(substr(m.mac, 1, 6))", "k.prefix = substr(m.mac, 1, 6)")
 O["city_arrivals"] = _with(["view_info"], """
 SELECT CAST(time AS VARCHAR) AS time, city_name, sum(n) FILTER (n > 1)::BIGINT AS twoexpose,
        count(*) FILTER (n = 1) AS oneexpose,
@@ -695,7 +704,7 @@ O["building_type_avg"] = _with(["genuine", "latest", "building_type"], f"""
 SELECT city_name, big_category, sum(exposetime) / count(DISTINCT e.devid) AS avg_exposetime,
        sum(macnums) / count(DISTINCT e.devid) AS avg_macnums
 FROM (SELECT devid, count(*)::DOUBLE AS exposetime, count(DISTINCT mac)::DOUBLE AS macnums
-      FROM {_exposures('genuine', 'devid, mac')} GROUP BY devid) e
+      FROM {_exposures('genuine', 'time, devid, mac')} GROUP BY devid) e
 LEFT JOIN (SELECT DISTINCT l.devid, l.city_name, l.install_name FROM latest l
            WHERE device_style LIKE '%互动%' AND length(devid) = 12) l ON e.devid = l.devid
 LEFT JOIN building_type b ON b.city = l.city_name AND b.installed = l.install_name
@@ -705,27 +714,41 @@ SELECT devid, count(*) AS exposetime, count(DISTINCT mac) AS macnums FROM expose
 
 # --- exposures and reach ------------------------------------------------------------------
 
-O["scan_gaps"] = _with(["view_info"], """
-SELECT devid, mac, scan_time, n_scans, prev_time, scan_time - prev_time AS gap FROM (
-  SELECT *, coalesce(lag(scan_time) OVER (PARTITION BY devid, mac ORDER BY scan_time), scan_time) AS prev_time
-  FROM (SELECT devid, mac, scan_time, count(*) AS n_scans FROM view_info GROUP BY ALL))""")
+O["scan_gaps"] = _with(["view_info"], f"""
+SELECT {DATE_TEXT}, devid, mac, scan_time, n_scans, prev_time, scan_time - prev_time AS gap FROM (
+  SELECT *, coalesce(lag(scan_time) OVER (PARTITION BY time, devid, mac ORDER BY scan_time), scan_time) AS prev_time
+  FROM (SELECT time, devid, mac, scan_time, count(*) AS n_scans FROM view_info GROUP BY ALL))""")
 O["exposures_multi"] = _with(["view_info"],
     f"SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures('view_info', PAIR, single=False)}")
 O["exposures_single"] = _with(["view_info"],
     f"SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures('view_info', PAIR, multi=False)}")
-O["exposures"] = _with(["exposed_pairs"], "SELECT devid, mac, scan_time FROM exposed_pairs")
+O["exposures"] = _with(["exposed_pairs"], f"SELECT {DATE_TEXT}, devid, mac, scan_time FROM exposed_pairs")
 O["exposures_strict"] = _with(["view_info"],
     f"SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures('view_info', PAIR, 50, True)}")
 VIEWS["placed"] = (["genuine"], "SELECT * FROM genuine WHERE city_name IS NOT NULL")
 O["exposures_city"] = _with(["placed"],
     f"SELECT {DATE_TEXT}, city_name, devid, mac, scan_time FROM {_exposures('placed', CITY)}")
 O["exposures_building"] = _with(["kept_building_scans"],
-    f"SELECT * FROM {_exposures('kept_building_scans', 'city_name, building_name, mac')}")
+    f"SELECT {DATE_TEXT}, city_name, building_name, mac, scan_time FROM "
+    f"{_exposures('kept_building_scans', 'time, city_name, building_name, mac')}")
 VIEWS["settled"] = (["view_info", "roaming"], f"""
 SELECT * FROM view_info WHERE {_day('scan_time')} = time AND sch_version <> 0
   AND mac NOT IN (SELECT mac FROM roaming)""")
 O["exposures_filtered"] = _with(["settled"],
     f"SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures('settled', PAIR)}")
+VIEWS["trailing_roaming"] = (["view_info"], f"""
+SELECT DISTINCT mac FROM (
+  SELECT time, mac FROM (
+    SELECT time, devid, mac, count(scan_time) AS ct, count(DISTINCT (scan_time % 86400) // 3600) AS hours
+    FROM view_info v WHERE v.time BETWEEN DATE '{RUN}' - 6 AND DATE '{RUN}' GROUP BY ALL)
+  GROUP BY time, mac HAVING sum(ct) > 45 OR max(hours) > 6)""")
+VIEWS["trailing_scans"] = (["view_info", "trailing_roaming"], f"""
+SELECT * FROM view_info v WHERE {_day('scan_time')} = time AND sch_version <> 0
+  AND v.time BETWEEN DATE '{RUN}' - 6 AND DATE '{RUN}'
+  AND mac NOT IN (SELECT mac FROM trailing_roaming)""")
+_TRAILING = f"SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures('trailing_scans', PAIR)} e"
+O["exposures_trailing_week"] = _with(["trailing_scans"], _TRAILING + f" WHERE e.time = DATE '{RUN}'")
+O["exposures_trailing_week_flow"] = _with(["trailing_scans"], _TRAILING)
 O["city_exposures"] = _with(["exposed_pairs", "device_city", "known"], _city_exposures("device_city"))
 
 
@@ -770,6 +793,7 @@ FROM (SELECT time, date_trunc('week', time)::DATE AS monday,
 
 
 def _probe_counts(same_device: str) -> str:
+    same_device += f" v.time = {_day('p.at')} AND"
     face_device = same_device.replace("v.", "f.")
     parts = []
     for s in (10, 15):
@@ -808,6 +832,7 @@ SELECT CAST(time AS VARCHAR) AS time, devid, sch_version, uploadcount, pls_index
        sum(s - {BASE}000)::BIGINT AS starts, sum(e - {BASE}000)::BIGINT AS ends, min(s) AS first_ms
 FROM stepped WHERE new GROUP BY ALL"""
 O["play_fill_forward"] = _with(["gaps", "cycle"], _PER_SLOT, ("stepped", _step(True)))
+O["play_table_written"] = O["play_fill_forward"]
 O["play_fill_backward"] = _with(["gaps", "cycle"], _PER_SLOT, ("stepped", _step(False)))
 
 # --- gap-fill and views -------------------------------------------------------------------

@@ -18,10 +18,12 @@ from footfall.sources import sinks, tables
 
 DAY = "2024-01-03"
 FIRST, LAST = "2024-01-02", "2024-01-04"
+RUN = "2024-01-05"
 GAP = 1800
 APPEND = 600
 FLAG = 1800
 MAX_SCANS = 12
+BUILDING_KEYS = ["time", "city_name", "building_name", "mac"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -163,9 +165,9 @@ def heavy_dev_mac(spark, sf):
 
 @query
 def heavy_building_mac(spark, sf):
-    return clean.drop_heavy(
-        _building_scans(spark, sf), ["city_name", "building_name", "mac"], 50
-    ).select("city_name", "building_name", "mac", "scan_time")
+    return clean.drop_heavy(_building_scans(spark, sf), BUILDING_KEYS, 20).select(
+        *BUILDING_KEYS, "scan_time"
+    )
 
 
 @query
@@ -277,11 +279,6 @@ def _valid(spark, sf):
     return citystats.valid_schedule(a.slot_schedule(spark, sf), F.to_date(F.lit(DAY)))
 
 
-def _plays_with_long_version(spark, sf):
-    """Plays whose packed version is short enough to be used whole."""
-    return a.play_log(spark, sf).withColumn("sv", F.substring("sv", 1, 3))
-
-
 @query
 def city_multi_distinct(spark, sf):
     return citystats.city_multi_distinct(
@@ -292,7 +289,7 @@ def city_multi_distinct(spark, sf):
 @query
 def city_report(spark, sf):
     report = citystats.city_report(
-        _plays_with_long_version(spark, sf), a.scan_log(spark, sf), _newest(spark, sf),
+        a.play_log(spark, sf), a.scan_log(spark, sf), _newest(spark, sf),
         _valid(spark, sf), a.videos(spark, sf), a.mac_factory(spark, sf), GAP,
     )
     return _doubles(
@@ -323,7 +320,7 @@ def city_ad_length(spark, sf):
 @query
 def city_ad_length_raw(spark, sf):
     return citystats.city_ad_length_raw(
-        _plays_with_long_version(spark, sf), _newest(spark, sf), _valid(spark, sf)
+        a.play_log(spark, sf), _newest(spark, sf), _valid(spark, sf)
     )
 
 
@@ -357,6 +354,39 @@ def full_flow_range(spark, sf):
     return _doubles(flow, "fake_nums", "fake_times")
 
 
+@query
+def full_flow_previous_week(spark, sf):
+    """The flow of the week before a run date."""
+    schedule = a.schedule_days(spark, sf)
+    flow = jobs.flow_before(
+        a.view_info(spark, sf), schedule, a.building_list(spark, sf), a.ad_info(spark, sf),
+        a.mac_factory(spark, sf), "2024-01-10", "week",
+    )
+    return _doubles(flow, "fake_nums", "fake_times")
+
+
+@query
+def full_flow_previous_month(spark, sf):
+    """The flow of the month before a run date."""
+    schedule = a.schedule_days(spark, sf)
+    flow = jobs.flow_before(
+        a.view_info(spark, sf), schedule, a.building_list(spark, sf), a.ad_info(spark, sf),
+        a.mac_factory(spark, sf), "2024-02-15", "month",
+    )
+    return _doubles(flow, "fake_nums", "fake_times")
+
+
+@query
+def full_flow_day_by_case(spark, sf):
+    """The flow of a day with vendor prefixes compared as they are written."""
+    flow = fullflow.full_flow(
+        tables.scan_partition(a.view_info(spark, sf), DAY), _schedule_of(spark, sf, DAY),
+        a.building_list(spark, sf), a.ad_info(spark, sf), a.mac_factory(spark, sf),
+        ignore_case=False,
+    )
+    return _doubles(flow.select(F.lit(DAY).alias("day"), "*"), "fake_nums", "fake_times")
+
+
 @query
 def city_arrivals(spark, sf):
     placed = a.view_info(spark, sf).where(F.col("city_name").isNotNull())
@@ -434,9 +464,8 @@ def exposures_city(spark, sf):
 
 @query
 def exposures_building(spark, sf):
-    keys = ["city_name", "building_name", "mac"]
-    kept = clean.drop_heavy(_building_scans(spark, sf), keys, 50)
-    return exp.exposures(kept, GAP, keys)
+    kept = clean.drop_heavy(_building_scans(spark, sf), BUILDING_KEYS, 20)
+    return exp.exposures(kept, GAP, BUILDING_KEYS)
 
 
 @query
@@ -447,6 +476,18 @@ def exposures_filtered(spark, sf):
     return exp.exposures(kept, GAP, PAIR)
 
 
+@query
+def exposures_trailing_week(spark, sf):
+    """Exposures of a run date without the macs that roamed in the seven days up to it."""
+    return jobs.trailing_exposures(a.scan_log(spark, sf), RUN, GAP, 45, 6)
+
+
+@query
+def exposures_trailing_week_flow(spark, sf):
+    """The same for each of the seven days."""
+    return jobs.trailing_exposures(a.scan_log(spark, sf), RUN, GAP, 45, 6, each_day=True)
+
+
 @query
 def city_exposures(spark, sf):
     return _doubles(
@@ -570,6 +611,17 @@ def play_fill_backward(spark, sf):
     ))
 
 
+@query
+def play_table_written(spark, sf):
+    """Filled plays as a table partitioned by date, read back."""
+    filled = plays.fill_plays(
+        _sessions(spark, sf), _cycle(spark, sf), backward=False, keep=False
+    )
+    path = f"{sinks.shared_folder(spark)}/footfall-{uuid4().hex}"
+    sinks.write_partitions(filled, path, files=8)
+    return _per_slot(spark.read.schema(filled.schema).parquet(path))
+
+
 @query
 def play_log_rebuilt(spark, sf):
     return _per_slot(plays.rebuild_plays(_genuine(spark, sf), a.schedule_days(spark, sf)))
@@ -612,7 +664,7 @@ def view_merge_rebuilt(spark, sf):
     """Views over the rebuilt play log, from cleaned scans to views in one plan."""
     return jobs.rebuilt_views(
         a.view_info(spark, sf), a.schedule_days(spark, sf), a.mac_factory(spark, sf),
-        append=APPEND, flag=FLAG,
+        append=APPEND, flag=FLAG, max_scans=1000,
     ).groupBy("time", "devid", "sch_version", "uploadcount", "pls_index", "play_index").agg(
         F.count(F.lit(1)).alias("views"),
         F.sum(F.col("end_ms") - F.col("start_ms")).alias("viewed_ms"),

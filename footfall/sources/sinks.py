@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 JDBC_REQUIRED = ("url", "dbtable")
 
@@ -36,10 +35,13 @@ def write_partitions(
 ) -> None:
     """Write Parquet partitioned by date. Overwriting replaces only the dates written.
 
-    ``files`` sets how many tasks write; rows are dealt out evenly, so a date holding most
-    of the rows does not end up in one task.
+    ``files`` sets over how many files each date is spread, by a hash of the row: a date
+    holding most of the rows does not end up in one task, and no task writes every date.
     """
-    rows = df if files is None else df.repartition(files)
+    rows = df
+    if files is not None:
+        spot = F.pmod(F.xxhash64(*[c for c in df.columns if c != by]), F.lit(files))
+        rows = df.repartition(F.col(by), spot)
     (
         rows.write.mode(mode)
         .option("compression", compression)
@@ -56,13 +58,11 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, named by spark.checkpoint.dir. Only a local session,
-    whose executors are on this machine, may do without it."""
+    """The folder all executors share: ``spark.checkpoint.dir`` or, where that is unset, one in
+    the warehouse, which a cluster's executors share too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.conf.get("spark.master").startswith("local"):
-        folder = os.path.join(tempfile.gettempdir(), "footfall-shared")
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_footfall"
     return folder.rstrip("/")
 
 

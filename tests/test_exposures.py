@@ -8,6 +8,7 @@ from conftest import rows
 from footfall.operators import exposures as exp, reach
 
 SCHEMA = "devid string, mac string, scan_time long"
+PAIR = ["devid", "mac"]
 
 
 def by_loop(times, gap, strict):
@@ -42,9 +43,9 @@ def test_documented_example(spark):
     scans = [(d, "YWEY", t) for d in ("Dev1", "Dev2") for t in (10, 170, 400, 410)]
     df = spark.createDataFrame(scans, SCHEMA)
     for boundary in ("gt", "ge"):
-        out = exp.exposures(df, 150, boundary=boundary)
+        out = exp.exposures(df, 150, PAIR, boundary)
         assert rows(out) == [(d, "YWEY", t) for d in ("Dev1", "Dev2") for t in (10, 170, 400)]
-    curve = reach.reach_curve(reach.freq_dist(out, exp.DEVICE_MAC))
+    curve = reach.reach_curve(reach.freq_dist(out, PAIR))
     assert [r.mactimes for r in curve.orderBy("expose_time").collect()] == [2] * 3 + [0] * 47
 
 
@@ -56,14 +57,14 @@ def test_matches_loop(spark, boundary):
         ((d, m, t) for (d, m), ts in data.items() for t in by_loop(ts, 100, boundary == "gt")),
         key=repr,
     )
-    assert rows(exp.exposures(df, 100, boundary=boundary)) == want
+    assert rows(exp.exposures(df, 100, PAIR, boundary)) == want
 
 
 def test_multi_and_single_split_the_keys(spark):
     data = random_scans(2)
     df = spark.createDataFrame([(d, m, t) for (d, m), ts in data.items() for t in ts], SCHEMA)
-    multi = {r[:2] for r in rows(exp.exposures_multi(df, 100))}
-    single = {r[:2] for r in rows(exp.exposures_single(df, 100))}
+    multi = {r[:2] for r in rows(exp.exposures_multi(df, 100, keys=PAIR))}
+    single = {r[:2] for r in rows(exp.exposures_single(df, 100, keys=PAIR))}
     assert not multi & single
     assert multi | single == set(data)
 
@@ -71,23 +72,31 @@ def test_multi_and_single_split_the_keys(spark):
 def test_copies_of_one_key_stay_one_row_per_second(spark):
     """A key holding most rows reaches the windows as its distinct seconds only."""
     base = spark.range(200_000).selectExpr("'d' AS devid", "'m' AS mac", "id % 50 AS scan_time")
-    seconds = exp.distinct_seconds(base)
+    seconds = exp.distinct_seconds(base, PAIR)
     assert seconds.count() == 50
-    assert rows(exp.exposures(base, 100)) == [("d", "m", 49)]
+    assert rows(exp.exposures(base, 100, PAIR)) == [("d", "m", 49)]
 
 
 def test_arrivals(spark):
     df = spark.createDataFrame([("d", "m", t) for t in (0, 300, 601, 1000)], SCHEMA)
-    assert rows(exp.arrivals(df, 300, exp.DEVICE_MAC)) == [("d", "m", 3)]
-    assert rows(exp.arrivals(df, 300, exp.DEVICE_MAC, "ge")) == [("d", "m", 4)]
+    assert rows(exp.arrivals(df, 300, PAIR)) == [("d", "m", 3)]
+    assert rows(exp.arrivals(df, 300, PAIR, "ge")) == [("d", "m", 4)]
+
+
+def test_dates_are_kept_apart_by_default(spark):
+    df = spark.createDataFrame(
+        [("2024-01-01", "d", "m", 10), ("2024-01-02", "d", "m", 20), ("2024-01-02", "d", "m", 30)],
+        "time string, devid string, mac string, scan_time long",
+    )
+    assert rows(exp.exposures(df, 100)) == [("2024-01-01", "d", "m", 10), ("2024-01-02", "d", "m", 30)]
 
 
 def test_bad_options(spark):
     df = spark.createDataFrame([("d", "m", 1)], SCHEMA)
     with pytest.raises(ValueError):
-        exp.exposures(df, 100, boundary="eq")
+        exp.exposures(df, 100, PAIR, "eq")
     with pytest.raises(ValueError):
-        exp.exposures(df, 0)
+        exp.exposures(df, 0, PAIR)
 
 
 def test_curve_never_rises_and_sparse_form(spark):

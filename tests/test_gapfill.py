@@ -176,14 +176,16 @@ def test_logged_job_drops_quiet_devices(case):
     extra = ["ad_content_id", "suit_kind", "adproduct", "adcustomer", "city_name", "building_no", "building_name"]
     full = pdf.selectExpr("*", *[f"'x' AS {c}" for c in extra])
     busiest = max(sum(p[1] == d for p in plays) for d in ("d1", "d2"))
-    assert jobs.logged_views(sdf, full, APPEND, FLAG, min_plays=busiest).count() == 0
-    assert jobs.logged_views(sdf, full, APPEND, FLAG, min_plays=1).count() > 0
+    assert jobs.logged_views(sdf, full, APPEND, FLAG, min_plays=busiest, max_scans=None).count() == 0
+    assert jobs.logged_views(sdf, full, APPEND, FLAG, min_plays=1, max_scans=None).count() > 0
 
 
 def test_visitors_with_too_many_scans_are_dropped(spark):
     many = [(DAY, "d", "hot", 1, 1, 1, 1, "p", MIDNIGHT + i % 40) for i in range(1001)]
     few = [(DAY, "d", "ok", 1, 1, 1, 1, "p", MIDNIGHT + i) for i in range(1000)]
-    out = gapfill.visitor_scans(spark.createDataFrame(many + few, SCANS))
+    scans = spark.createDataFrame(many + few, SCANS)
+    assert gapfill.visitor_scans(scans, None).count() == 2001
+    out = gapfill.visitor_scans(scans, 1000)
     assert {r.mac for r in out.collect()} == {"ok"} and out.count() == 1000
 
 
