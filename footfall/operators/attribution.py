@@ -13,8 +13,13 @@ from footfall.operators.spread import bucket_join, lookup_join, spread_join
 AD_COLUMNS = ("adcontent", "ad_content_id", "suit_kind", "ad_length", "adproduct",
               "adcustomer", "city_name", "building_no", "building_name")
 
-# Plays are cut into buckets of this many milliseconds to be found by a scan's time.
+# Plays are cut into buckets of this many milliseconds to be found by a scan's time; those of
+# more than a day go by wider buckets.
 BUCKET_MS = 10 * 60 * 1000
+DAY_BUCKETS = 144
+
+# Ends later than the year 2200 are read as its start: no scan is later.
+LATEST_MS = 7_258_118_400_000
 
 
 def max_ad_length(schedule: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -114,12 +119,12 @@ def attribute_ads(
         "devid",
         F.col("time").alias("p_time"),
         F.col("start_ms").alias("_from"),
-        (F.col("end_ms") + 1).alias("_to"),
+        F.least(F.col("end_ms") + 1, F.lit(LATEST_MS)).alias("_to"),
         F.struct(*[F.col(c) for c in dict.fromkeys((*SLOT, *columns))]).alias("_ad"),
     )
     running = bucket_join(
         moments.withColumn("_at", F.col("scan_time") * 1000),
-        spans, ["devid"], "_at", "_from", "_to", BUCKET_MS, hot,
+        spans, ["devid"], "_at", "_from", "_to", BUCKET_MS, hot, longest=DAY_BUCKETS,
     ).where(same_day(F.col("time"), F.col("p_time"), next_day))
     best = running.groupBy("time", "devid", "scan_time").agg(
         F.min_by("_ad", F.struct(-F.col("_from"), F.col("_to"), F.col("_ad"))).alias("_ad")

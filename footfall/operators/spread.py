@@ -21,6 +21,9 @@ MIN_ROWS = 100_000
 # Lists estimated to have up to this many bytes are broadcast.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+# How much wider the buckets of very long spans are.
+WIDER = 10_000
+
 # Rows with a null key match nothing; they are only scattered over this many parts.
 NULL_PARTS = 64
 
@@ -135,6 +138,7 @@ def bucket_join(
     width: int,
     hot: DataFrame | None = None,
     hot_side: str = "spans",
+    longest: int | None = None,
 ) -> DataFrame:
     """Inner join of points with the half-open spans [span_from, span_to) that hold them.
 
@@ -142,7 +146,17 @@ def bucket_join(
     bucket it touches, so the join is an equi-join with a residual range test and yields
     each pair once. Choose ``width`` no smaller than the usual span. ``hot`` splits the hot
     ``on`` keys of ``hot_side`` further; the other side is repeated for those keys only.
+
+    With ``longest``, spans of more than so many buckets are joined on buckets WIDER times as
+    wide, so that a few corrupt ends do not multiply rows. No span is cut.
     """
+    if longest is not None:
+        far = F.col(span_to) - F.col(span_from) > longest * width
+        args = (on, point, span_from, span_to)
+        near = bucket_join(points, spans.where(~far), *args, width, hot, hot_side)
+        wide = bucket_join(points, spans.where(far), *args, width * WIDER, hot, hot_side)
+        return near.unionByName(wide)
+
     def bucket(value: Column) -> Column:
         return F.call_function("div", value, F.lit(width))
 

@@ -146,6 +146,21 @@ def test_attribution(case, next_day):
     assert any(w[-1] is None for w in want) and any(w[-1] for w in want)
 
 
+def test_an_end_years_ahead_is_attributed_without_a_million_buckets(spark):
+    columns = "time date, devid string, sch_version int, uploadcount int, pls_index int, play_index int, plninfo string, start_ms long, end_ms long, adcontent string"
+    ten_years, start = 315_360_000_000, MIDNIGHT * 1000
+    rows = [(DAY, "d1", 1, 1, 1, 1, "p", start, start + ten_years, "long"),
+            (DAY, "d2", 1, 1, 1, 1, "p", start, 9_000_000_000_000_000_000, "garbage"),
+            (DAY, "d1", 1, 1, 1, 1, "p", start + 50_000, start + 60_000, "short")]
+    scans = spark.createDataFrame(
+        [(DAY, d, "m", MIDNIGHT + t) for d in ("d1", "d2") for t in (0, 55, 80_000)],
+        "time date, devid string, mac string, scan_time long")
+    out = attribution.attribute_ads(scans, spark.createDataFrame(rows, columns), ("adcontent",))
+    got = {(r.devid, r.scan_time - MIDNIGHT): r.adcontent for r in out.collect()}
+    assert got == {("d1", 0): "long", ("d1", 55): "short", ("d1", 80_000): "long",
+                   ("d2", 0): "garbage", ("d2", 55): "garbage", ("d2", 80_000): "garbage"}
+
+
 def test_gapfill_from_log(case):
     scans, plays, sdf, pdf = case
     hot = gapfill.device_hot_keys(sdf, ["devid"], 1)
