@@ -472,6 +472,13 @@ SELECT {DATE_TEXT}, devid, city_name, building_name, install_status, update_time
 O["write_partition_roundtrip"] = _with(["view_info"], f"""
 SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures('view_info', PAIR)}""")
 
+O["raw_scans"] = _with(["view_info"], f"""
+SELECT {DATE_TEXT}, devid, mac, scan_time, sch_version FROM view_info WHERE is_ap = '0'""")
+O["raw_plays"] = _with(["play_log"], """
+SELECT devid, start_ms, end_ms, TRY_CAST(substr(sv, 1, greatest(length(sv) - 2, 0)) AS INTEGER) AS sch_version,
+       TRY_CAST(CASE WHEN length(sv) >= 2 THEN substr(sv, length(sv) - 1, 2) ELSE sv END AS INTEGER) AS uploadcount,
+       pi AS pls_index, idx AS play_index, pid AS plninfo FROM play_log""")
+
 # --- cleaning -----------------------------------------------------------------------------
 
 O["spoof_filter"] = _with(["view_info", "known"], """
@@ -818,6 +825,9 @@ LEFT JOIN (SELECT building_name, c.time, count(*) AS facenums
            FROM control c JOIN face_log f ON f.devid = c.devid AND f.time = c.time GROUP BY ALL) f
   ON f.building_name = b.building_name AND f.time = b.time""")
 
+O["probe_counts_by_control"] = O["probe_counts"]
+O["building_day_counts_by_control"] = O["building_day_counts"]
+
 # --- rebuilt play log ---------------------------------------------------------------------
 
 O["schedule_cycle"] = _with(["cycle"], """

@@ -90,6 +90,78 @@ def write_partition_roundtrip(spark, sf):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def _written_csv(spark, rows) -> str:
+    """The folder of a table written as CSV with a header."""
+    path = f"{sinks.shared_folder(spark)}/footfall-{uuid4().hex}"
+    rows.write.option("header", True).csv(path)
+    return path
+
+
+def _stamp(ms):
+    """Epoch milliseconds as a log writes them: seventeen digits."""
+    second = F.call_function("div", ms, F.lit(1000))
+    text = F.date_format(F.timestamp_seconds(second), times.PLAY_FORMAT)
+    return F.concat(text, F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0"))
+
+
+@query
+def raw_scans(spark, sf):
+    """Scan log from text, some of whose times cannot be read."""
+    logged = a.scan_log(spark, sf).select(
+        F.replace(F.col("time").cast("string"), F.lit("-"), F.lit("_")).alias("time"),
+        "devid", "mac",
+        F.when(F.col("is_ap") == "1", "unknown")
+        .otherwise(times.seconds_text(F.col("scan_time"))).alias("scan_time"),
+        F.col("sch_version").cast("string").alias("sch_version"),
+    )
+    path = _written_csv(spark, logged)
+    text = "time string, devid string, mac string, scan_time string, sch_version string"
+    return tables.normalize_scans(spark.read.csv(path, header=True, schema=text))
+
+
+@query
+def raw_plays(spark, sf):
+    """Play log from text, with packed versions and times of seventeen digits."""
+    logged = a.play_log(spark, sf).select(
+        "devid", "pid", _stamp(F.col("start_ms")).alias("st"), _stamp(F.col("end_ms")).alias("et"),
+        "sv", F.col("pi").cast("string").alias("pi"), F.col("idx").cast("string").alias("idx"),
+    )
+    path = _written_csv(spark, logged)
+    text = "devid string, pid string, st string, et string, sv string, pi string, idx string"
+    played = tables.normalize_plays(spark.read.csv(path, header=True, schema=text))
+    return played.select(
+        "devid", "start_ms", "end_ms", "sch_version", "uploadcount", "pls_index", "play_index",
+        "plninfo",
+    )
+
+
+@query
+def probe_counts_by_control(spark, sf):
+    """Counts around the moments of a control table in CSV."""
+    at = F.col("at")
+    control = a.probes(spark, sf).select(
+        "probe_id", "devid",
+        F.replace(times.day_of(at).cast("string"), F.lit("-"), F.lit(".")).alias("day"),
+        F.substring(times.seconds_text(at), 12, 8).alias("clock"),
+    )
+    listed = tables.read_probes(spark, _written_csv(spark, control))
+    return probes.probe_counts(listed, a.scan_log(spark, sf), a.face_log(spark, sf), MAX_SCANS)
+
+
+@query
+def building_day_counts_by_control(spark, sf):
+    """Counts in the buildings and dates of a control table in CSV."""
+    places = a.location(spark, sf).where(F.col("install_status") == "已安装")
+    control = places.select(
+        "building_name", "devid",
+        F.date_sub("time", 2).cast("string").alias("first"), F.col("time").cast("string").alias("last"),
+    )
+    listed = tables.read_buildings(spark, _written_csv(spark, control))
+    return probes.building_day_counts(
+        listed, a.scan_log(spark, sf), a.face_log(spark, sf), a.mac_factory(spark, sf), MAX_SCANS
+    )
+
+
 # --- cleaning -----------------------------------------------------------------------------
 
 @query
