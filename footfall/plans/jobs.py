@@ -72,6 +72,48 @@ def logged_views(
     return gapfill.view_merge_adlen(filled, flag, by_content)
 
 
+def enriched_log(
+    plays: DataFrame, location: DataFrame, schedule: DataFrame, ad_ids: DataFrame
+) -> DataFrame:
+    """The logged plays of screens in service with their place and ad."""
+    devices = clean.active_devices(location, kind="液晶").where(F.col("suit_kind") != "")
+    return attribution.enrich_plays(
+        plays, clean.latest_location(devices), attribution.max_ad_length(schedule), ad_ids
+    )
+
+
+def panel_scans(
+    scans: DataFrame, panel: DataFrame, pairs: DataFrame, devices: DataFrame
+) -> DataFrame:
+    """Scans of panel members on their own date, on sampled pairs of the given devices."""
+    return clean.panel_filter(tables.clip_to_day(scans), panel, pairs, devices)
+
+
+def panel_week(
+    scans: DataFrame,
+    played: DataFrame,
+    panel: DataFrame,
+    pairs: DataFrame,
+    location: DataFrame,
+    schedule: DataFrame,
+    ad_ids: DataFrame,
+    run_date: str,
+    columns: list[str],
+    days: int = 7,
+    **options,
+) -> DataFrame:
+    """Views of the panel on each of the ``days`` dates up to the run date, from the raw logs:
+    panel and enrichment, gap-fill and merging in one plan over all dates. ``columns`` are kept
+    of the scans; ``options`` go to ``logged_views``."""
+    last = dt.date.fromisoformat(run_date)
+    first = (last - dt.timedelta(days=days - 1)).isoformat()
+    week = tables.scan_range(scans, first, run_date)
+    logged = tables.scan_range(played, first, (last + dt.timedelta(days=1)).isoformat())
+    seen = panel_scans(week, panel, pairs, logged).select(*columns)
+    enriched = enriched_log(logged, location, schedule, ad_ids)
+    return logged_views(seen, enriched, raw=week, **options)
+
+
 def trailing_exposures(
     scans: DataFrame,
     run_date: str,

@@ -922,6 +922,8 @@ SELECT CAST(time AS VARCHAR) AS time, devid, mac, {SLOT4}, min(scan_time) * 1000
        arg_min(time_diff, rn) AS time_diff, first(adcontent ORDER BY rn) AS adcontent
 FROM walked GROUP BY time, devid, mac, {SLOT4}, view""", ("walked", _walk))
 
+O["panel_week_views"] = O["view_merge_adlen"]
+
 # --- row functions ------------------------------------------------------------------------
 
 O["scalar_kit"] = _with(["view_info"], """

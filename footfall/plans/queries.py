@@ -744,20 +744,17 @@ def view_merge_rebuilt(spark, sf):
 
 
 def _enriched(spark, sf):
-    devices = clean.active_devices(_newest(spark, sf), kind="液晶").where(F.col("suit_kind") != "")
-    latest = clean.latest_location(devices)
-    return attribution.enrich_plays(
-        a.play_log(spark, sf).drop("citycode"), latest,
-        attribution.max_ad_length(a.schedule_days(spark, sf)), a.ad_ids(spark, sf),
+    return jobs.enriched_log(
+        a.play_log(spark, sf).drop("citycode"), _newest(spark, sf), a.schedule_days(spark, sf),
+        a.ad_ids(spark, sf),
     )
 
 
 def _panel_scans(spark, sf):
-    scans = clean.panel_filter(
-        tables.clip_to_day(a.scan_log(spark, sf)), a.panel(spark, sf), a.panel_pairs(spark, sf),
+    return jobs.panel_scans(
+        a.scan_log(spark, sf), a.panel(spark, sf), a.panel_pairs(spark, sf),
         a.play_log(spark, sf),
-    )
-    return scans.select("id", *VIEW_COLUMNS)
+    ).select("id", *VIEW_COLUMNS)
 
 
 @query
@@ -850,6 +847,18 @@ def view_merge_adlen_content(spark, sf):
     return _logged_views(spark, sf, by_content=True)
 
 
+@query
+def panel_week_views(spark, sf):
+    """Views of the panel in the week up to a run date, from the raw logs."""
+    return jobs.panel_week(
+        a.scan_log(spark, sf), a.play_log(spark, sf).drop("citycode"), a.panel(spark, sf),
+        a.panel_pairs(spark, sf), _newest(spark, sf), a.schedule_days(spark, sf),
+        a.ad_ids(spark, sf), "2024-01-07", ["id", *VIEW_COLUMNS], **LOGGED,
+    ).select(
+        "time", "devid", "mac", *gapfill.AD_SLOT, "start_ms", "end_ms", "time_diff", "adcontent",
+    )
+
+
 # --- row functions ------------------------------------------------------------------------
 
 @query
