@@ -556,6 +556,7 @@ O["city_play_totals"] = _with(["play_log", "device_city"], """
 SELECT city_name, count(*) AS playtimes, count(DISTINCT p.devid) AS devnums,
        sum(end_ms // 1000 - start_ms // 1000)::BIGINT AS allplay_length_real
 FROM play_log p JOIN device_city d ON p.devid = d.devid WHERE city_name IS NOT NULL GROUP BY city_name""")
+O["city_play_report"] = O["city_play_totals"]
 O["realtime_play_totals"] = _with(["play_log", "device_city"], f"""
 SELECT city_name, count(*) AS playtimes, count(DISTINCT p.devid) AS devnums,
        sum(end_ms // 1000 - start_ms // 1000)::BIGINT AS allplay_length_real

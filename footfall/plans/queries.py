@@ -329,6 +329,15 @@ def city_play_totals(spark, sf):
     return citystats.city_play_totals(a.play_log(spark, sf), _newest(spark, sf))
 
 
+@query
+def city_play_report(spark, sf):
+    """The play totals as a single CSV report, read back."""
+    report = citystats.city_play_totals(a.play_log(spark, sf), _newest(spark, sf))
+    path = f"{sinks.shared_folder(spark)}/footfall-{uuid4().hex}"
+    sinks.write_report(report, path)
+    return spark.read.csv(path, header=True, schema=report.schema)
+
+
 @query
 def realtime_play_totals(spark, sf):
     """Play totals of a run at a quarter past three in the afternoon."""

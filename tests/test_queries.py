@@ -36,7 +36,7 @@ def table(columns, data):
 
 # Queries that write a table while they are built.
 WRITING = {
-    "write_partition_roundtrip", "play_table_written", "raw_scans", "raw_plays",
+    "write_partition_roundtrip", "play_table_written", "city_play_report", "raw_scans", "raw_plays",
     "probe_counts_by_control", "building_day_counts_by_control", "exposure_gapfill_playlog",
     "view_merge_adlen", "view_merge_adlen_content", "panel_week_views",
 }
