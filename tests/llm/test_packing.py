@@ -53,15 +53,20 @@ def test_odd_documents_and_empty_table(spark):
     assert packing.pack(empty(spark)).collect() == []
 
 
-@pytest.mark.parametrize(
-    "text",
-    ["a  b", " a", "a ", "a\n\nb", "a \n b", "\n", "a\tb c", "x y", "<|endoftext|> z", "it's don't", "é b c", "\0 a"],
-)
-def test_ids_put_together_from_words(text):
-    ids = packing._Ids(public_tokenizers.path("byte_bpe_50k.json"))
-    text = f"{text} and more\nof it {text}"
-    got = np.frombuffer(ids([text, "plain words here"])[0], dtype="<u4").tolist()
-    assert got == tokenizer().encode(text, add_special_tokens=False).ids
+def ids_of(texts):
+    paths = [public_tokenizers.path(n) for n in (packing.TOKENIZER, packing.RANKS)]
+    return [np.frombuffer(x, dtype="<u4").tolist() for x in packing._Ids(*paths)(texts)]
+
+
+def test_ids_put_together_from_words():
+    odd = ["a  b", " a", "a ", "a\n\nb", "a \n b", "\n", "a\tb c", "x\u00a0y", "<|endoftext|> z", "it's don't",
+           "\u00e9 b c", "\0 a", "", " ", "\u2028x", "\u6f22\u5b57 \U0001f600\u200d \u0301e", "a\x1cb", "I'LL 've s's 12a3\u00b2"]
+    texts = [x for t in odd for x in (t, f"{t} and more\nof it {t}", f"begin {t}")]
+    draw = random.Random(4)
+    pool = [chr(c) for c in [*range(32, 127), *range(0xA0, 0x250), *range(0x370, 0x450), 0x4E2D, 0x1F600, 0x300]]
+    texts += [" ".join("".join(draw.choices(pool, k=draw.randint(1, 9))) for _ in range(20)) for _ in range(300)]
+    expected = [x.ids for x in tokenizer().encode_batch(texts, add_special_tokens=False)]
+    assert ids_of(texts) == expected
 
 
 def test_individuals_stay_within_the_supply():
