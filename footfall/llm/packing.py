@@ -35,6 +35,9 @@ POPULATION = 6
 GENERATIONS = 12
 EPOCHS = 2
 
+# Tasks of an epoch at most.
+MOST_TASKS = 10_000
+
 # Bins at least this full are passed on by crossover and migration; of the last epoch's bins,
 # those less full than OPEN are packed again.
 WELL_FILLED = 0.995
@@ -360,16 +363,18 @@ def _pack(items: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
         F.array(F.col("length").cast("int")).alias("pattern"),
         "times",
     )
+    # islands are small in bytes and long in time, so their number decides on the tasks
+    tasks = min(islands, MOST_TASKS)
     for epoch in range(EPOCHS):
-        state = scratch.write(
-            state.groupBy("island").applyInPandas(_epoch(epoch == EPOCHS - 1), STATE)
-        )
+        evolved = state.repartition(tasks, "island").groupBy("island")
+        state = scratch.write(evolved.applyInPandas(_epoch(epoch == EPOCHS - 1), STATE))
         if epoch < EPOCHS - 1:
             filled = F.aggregate("pattern", F.lit(0), lambda a, n: a + n)
             elite = state.where((F.col("person") == 0) & (filled >= WELL_FILLED * CAPACITY))
             moved = elite.withColumn("island", F.pmod(F.col("island") + 1, F.lit(islands)))
             state = state.unionByName(moved.withColumn("person", F.lit(-2))) if islands > 1 else state
-    placed = dealt.groupBy("island").cogroup(state.groupBy("island")).applyInPandas(
+    pieces, bins = (df.repartition(tasks, "island").groupBy("island") for df in (dealt, state))
+    placed = pieces.cogroup(bins).applyInPandas(
         _assign, "item long, bin long, offset long, open boolean, island long"
     )
     return scratch.write(placed), islands
