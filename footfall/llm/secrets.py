@@ -48,8 +48,9 @@ BASE_RULES = (
         2,
         8,
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
-    Rule("hex", r"[0-9a-f]+", 0, 32),
+    # runs of these characters are matched to their end, so the least length can be asked for here
+    Rule("access", r"AKIA[A-Z0-9]{12,}"),
+    Rule("hex", r"[0-9a-f]{32,}"),
 )
 
 # Well-known public key formats.
@@ -169,9 +170,12 @@ def postings(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     grams = sorted(set().union(*[term for q in queries if q for term in q]))
     if not grams:
         return docs.select(F.lit("").alias("trigram"), "key").where(F.lit(False))
-    low = F.lower("text")
-    found = F.array_compact(F.array(*[F.when(low.contains(g), F.lit(g)) for g in grams]))
-    return docs.select("key", F.explode(found).alias("trigram"))
+    # the lower-case text and the flags are columns of their own, so each is computed once
+    low = docs.select("key", F.lower("text").alias("low"))
+    flags = low.select("key", F.array(*[F.col("low").contains(g) for g in grams]).alias("has"))
+    listed = F.array(*[F.lit(g) for g in grams])
+    found = F.zip_with("has", listed, lambda has, gram: F.when(has, gram))
+    return flags.select("key", F.explode(found).alias("trigram")).where("trigram is not null")
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
