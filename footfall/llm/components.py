@@ -5,41 +5,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.spread import MIN_ROWS, spread_join
+
 from .common import Scratch
 
+# Nodes with more links than this are joined in parts.
+MOST_LINKS = MIN_ROWS
+
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the smallest node it reaches.
 
-    Alternates two steps until nothing changes: each node links its larger neighbours to its
+    Alternates two steps until only stars are left: each node links its larger neighbours to its
     smallest one, then its smaller ones. The number of rounds grows with the logarithm of the
     longest path; every round is a written table, so a lost executor repeats one round at most.
     """
     small, large = F.least("a", "b"), F.greatest("a", "b")
-    links = edges.where("a <> b").select(large.alias("v"), small.alias("u")).distinct()
-    seen = None
+    links = scratch.write(
+        edges.where("a <> b").select(large.alias("v"), small.alias("u")).distinct()
+    )
     while True:
-        links = _towards_smaller(_towards_larger(links))
-        done = scratch.write(links)
-        state = done.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        links = done
-        if seen is not None and seen[0] == tuple(state):
+        stars, degree = _shape(links)
+        if stars:
             break
-        if seen is not None:
-            scratch.drop(seen[1])
-        seen = (tuple(state), done)
+        before = links
+        links = scratch.write(_towards_smaller(_towards_larger(links, degree > MOST_LINKS)))
+        scratch.drop(before)
     roots = links.select(F.col("u").alias("node")).distinct()
     return links.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
         roots.withColumn("root", F.col("node"))
     )
 
 
-def _towards_larger(links: DataFrame) -> DataFrame:
-    """Each node links its larger neighbours to the smallest node it knows."""
+def _shape(links: DataFrame) -> tuple[bool, int]:
+    """Whether every node has one link, to a node that has none (then all is settled), and the
+    most links of a node."""
+    one, none = F.lit(1), F.lit(0)
+    ends = links.select(F.col("v").alias("node"), one.alias("up"), none.alias("down")).unionByName(
+        links.select(F.col("u").alias("node"), none.alias("up"), one.alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    up, both, degree = nodes.agg(
+        F.max("up"), F.max(F.least("up", "down")), F.max(F.col("up") + F.col("down"))
+    ).first()
+    return (up or 0) <= 1 and not both, degree or 0
+
+
+def _towards_larger(links: DataFrame, hubs: bool) -> DataFrame:
+    """Each node links its larger neighbours to the smallest node it knows. With ``hubs`` the
+    links of nodes that have very many are split over tasks."""
     both = links.unionByName(links.select(F.col("u").alias("v"), F.col("v").alias("u")))
     least = both.groupBy("v").agg(F.least("v", F.min("u")).alias("m"))
-    moved = both.join(least, "v").where("u > v")
-    return moved.select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
+    met = spread_join(both, least, ["v"], "inner") if hubs else both.join(least, "v")
+    return met.where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
 
 
 def _towards_smaller(links: DataFrame) -> DataFrame:

@@ -107,7 +107,9 @@ def test_shingles_of_any_text():
     assert len(alone) == len({tuple(words[k : k + 5]) for k in range(2996)})
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_components_of_chains_and_stars(spark, monkeypatch, most):
+    monkeypatch.setattr("footfall.llm.components.MOST_LINKS", most)
     draw = random.Random(1)
     edges = [(f"c{k:03}", f"c{k + 1:03}") for k in range(60)] + [("s0", f"s{k}") for k in range(30)]
     edges += [("a", "a"), ("b", "c"), ("c", "b"), ("c", "d")]
