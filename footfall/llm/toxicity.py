@@ -272,9 +272,9 @@ def toxicity_scores(
     )
     held = fold(3, 1)
     chosen = sampled_labels(labels, id_col, label, held, sample)
-    train_rows = rows.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "y").limit(sample)
-    # the sorted sample lies in one partition: spread it again
-    train_rows = scratch.write(train_rows.select("text", "y").repartition(32, F.xxhash64("text")))
+    # one text per sampled identifier and label, however often the table repeats it
+    labelled = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y")
+    train_rows = scratch.write(labelled.agg(F.min("text").alias("text")).select("text", "y"))
     model = train(train_rows)
     scratch.drop(train_rows)
 
