@@ -7,13 +7,17 @@ a question whose numbers and names were changed still meets its original. For do
 share enough windows with an item, the placeholders' values are then compared along the best
 alignment: the leak is ``exact`` if all are the same, ``reparameterised`` if each value of the
 item always stands for the same other value and no two share one, and ``conflicting`` otherwise.
+
+All this is done twice, with names as placeholders and with names as plain words. The second
+reading does not depend on letter case or on where sentences start, so it finds copies in upper
+or title case and copies without punctuation.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, semi_join_listed, whole_text, without_keys
@@ -42,28 +46,37 @@ UNITS = (
 ).split()
 
 
-def _marked(text: Column) -> Column:
-    """The text with placeholders around the values they stand for."""
+def _marked(text: Column, names: bool) -> Column:
+    """The text with placeholders around the values they stand for; names only if asked for."""
     clean = F.translate(text, NUMBER + NAME + UNIT + END, "    ")
     numbers = F.regexp_replace(clean, r"\p{Nd}+(?:[.,:/]\p{Nd}+)*", f"{NUMBER}$0{END}")
     listed = "|".join(u.replace("$", r"\$") for u in sorted(UNITS, key=len, reverse=True))
     units = F.regexp_replace(
         numbers, rf"{END}(\s?)((?i:{listed}))(?![\p{{L}}\p{{N}}])", f"{END}$1{UNIT}$2{END}"
     )
-    names = F.regexp_replace(units, r"\p{Lu}(?<=[^.!?\s]\s.)\p{L}*", f"{NAME}$0{END}")
-    return F.lower(names)
+    if names:
+        units = F.regexp_replace(units, r"\p{Lu}(?<=[^.!?\s]\s.)\p{L}*", f"{NAME}$0{END}")
+    return F.lower(units)
 
 
-def tokens(text: Column) -> Column:
-    """Template tokens; placeholders still carry their values."""
+def tokens(text: Column, names: bool = True) -> Column:
+    """Template tokens; placeholders still carry their values. Without ``names`` these are plain
+    words, and letter case changes nothing."""
     pattern = rf"[{NUMBER}-{UNIT}][^{END}]*{END}|[\p{{L}}\p{{N}}]+"
-    return F.regexp_extract_all(_marked(text), F.lit(pattern), F.lit(0))
+    return F.regexp_extract_all(_marked(text, names), F.lit(pattern), F.lit(0))
 
 
 def is_slot(token: Column) -> Column:
     return token.between(NUMBER, END)
 
 
+def _both(text: Column) -> Column:
+    """The readings of a text, with and without names as placeholders, as (names, words)."""
+    return F.array(
+        *[F.struct(F.lit(n).alias("names"), tokens(text, n).alias("words")) for n in (True, False)]
+    )
+
+
 def _with(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once however often it is used."""
     return F.element_at(F.transform(F.array(value), use), 1)
@@ -98,27 +111,28 @@ def window_hashes(words: Column, size: int) -> Column:
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str, scratch: Scratch):
-    """Items with their tokens, and their distinct windows with the first place of each."""
+    """Items with their tokens in both readings, the (names, size) of their windows, and the
+    distinct windows with the first place of each."""
     text = whole_text(f"`{text_col}`")
     items = (
         benchmark.select(F.col(f"`{id_col}`").alias("item_id"), text.alias("text"))
         .distinct()
-        .select("item_id", F.xxhash64("item_id", "text").alias("item"), tokens(F.col("text")).alias("words"))
+        .select("item_id", F.xxhash64("item_id", "text").alias("item"), F.inline(_both(F.col("text"))))
         .where(F.size("words") >= LEAST_ITEM)
         .withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
     )
     items = scratch.write(items)
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # 1 to WINDOW
+    sizes = sorted(tuple(r) for r in items.select("names", "size").distinct().collect())
     found = None
-    for size in sizes:
+    for names, size in sizes:  # 1 to WINDOW, in both readings
         literal = F.size(
             F.filter(F.slice("words", F.col("at") + 1, size), lambda t: ~is_slot(t))
         )
         one = (
-            items.where(F.col("size") == size)
-            .select("item", "words", "size", F.posexplode(window_hashes(F.col("words"), size)).alias("at", "hash"))
+            items.where((F.col("names") == names) & (F.col("size") == size))
+            .select("item", "names", "words", "size", F.posexplode(window_hashes(F.col("words"), size)).alias("at", "hash"))
             .where(literal * 2 >= size)  # windows of little but placeholders say nothing
-            .groupBy("item", "size", "hash")
+            .groupBy("item", "names", "size", "hash")
             .agg(F.min("at").alias("item_at"))
         )
         found = one if found is None else found.unionByName(one)
@@ -139,7 +153,9 @@ def leaks(
 
     Null texts are empty; documents and items without enough words give no rows, and so do empty
     tables. Rows that repeat a document's identifier and text count once, and so do repeated
-    items. All windows of all documents are looked up.
+    items. All windows of all documents are looked up, in both readings. The row tells of the
+    reading in which the document is contaminated; if it is in both or in none, of the one with
+    names as placeholders, where that makes it a suspect.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -156,27 +172,37 @@ def leaks(
         return spark.createDataFrame([], schema)
     small = windows.count() <= BROADCAST_WINDOWS
     matched = None
-    for size in sizes:
-        one = rows.select("key", F.posexplode(window_hashes(tokens(F.col("text")), size)).alias("at", "hash"))
-        listed = windows.where(F.col("size") == size).select("item", "hash", "item_at")
+    for names, size in sizes:
+        found = window_hashes(tokens(F.col("text"), names), size)
+        one = rows.select("key", F.posexplode(found).alias("at", "hash"))
+        listed = windows.where((F.col("names") == names) & (F.col("size") == size))
+        listed = listed.select("item", "names", "hash", "item_at")
         one = one.join(F.broadcast(listed) if small else listed, "hash")
         matched = one if matched is None else matched.unionByName(one)
-    matched = scratch.write(matched.select("key", "item", "hash", (F.col("at") - F.col("item_at")).alias("shift")))
+    matched = scratch.write(matched.select("key", "item", "names", "hash", (F.col("at") - F.col("item_at")).alias("shift"), (F.col("item_at") == 0).alias("first")))
 
-    totals = windows.groupBy("item").agg(F.count(F.lit(1)).alias("windows"))
-    shifts = matched.groupBy("key", "item", "shift").agg(F.count(F.lit(1)).alias("n"))
-    best = shifts.groupBy("key", "item").agg(
+    each = ["key", "item", "names"]
+    totals = windows.groupBy("item", "names").agg(F.count(F.lit(1)).alias("windows"))
+    shifts = matched.groupBy(*each, "shift").agg(F.count(F.lit(1)).alias("n"))
+    best = shifts.groupBy(*each).agg(
         F.max(F.struct("n", -F.abs("shift"), "shift")).getField("shift").alias("shift")
     )
-    found = matched.groupBy("key", "item").agg(F.count_distinct("hash").alias("found"))
+    found = matched.groupBy(*each).agg(F.count_distinct("hash").alias("found"), F.max("first").alias("first"))
+    # an item's first word is a name inside a sentence: where both readings meet the item, this
+    # alone makes no suspect (at most two rows per window)
+    cased = F.max(F.when(F.col("names"), F.col("found"))).over(Window.partitionBy("key", "item"))
+    more = F.when(~F.col("names") & F.col("first") & (cased > 0), 1).otherwise(0)
     suspects = scratch.write(
-        found.join(totals, "item")
+        found.join(totals, ["item", "names"])
         .withColumn("coverage", F.col("found") / F.col("windows"))
-        .where(F.col("coverage") >= COVERAGE)
-        .join(best, ["key", "item"])
+        .withColumn("without", (F.col("found") - more) / F.col("windows"))
+        .where(F.col("without") >= COVERAGE)
+        .drop("first", "without")
+        .join(best, each)
     )
     keys = scratch.write(suspects.select("key").distinct())
-    texts = semi_join_listed(rows, keys, "key").dropDuplicates(["key"]).select("doc_id", "key", tokens(F.col("text")).alias("doc_words"))
+    texts = semi_join_listed(rows, keys, "key").dropDuplicates(["key"])
+    texts = texts.select("doc_id", "key", F.inline(_both(F.col("text"))).alias("names", "doc_words"))
     scratch.drop(matched)
 
     ahead, behind = F.greatest("shift", F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
@@ -197,9 +223,9 @@ def leaks(
     )
     changed = F.size(F.filter("pairs", lambda p: p["a"] != p["b"]))
     kind = F.when(changed == 0, "exact").when(one_to_one, "reparameterised").otherwise("conflicting")
-    return (
-        suspects.join(texts, "key")
-        .join(items.select("item", "item_id", "words"), "item")
+    judged = (
+        suspects.join(texts, ["key", "names"])
+        .join(items.select("item", "names", "item_id", "words"), ["item", "names"])
         .withColumn("pairs", pairs)
         .withColumn("kind", kind)
         .select(
@@ -213,8 +239,13 @@ def leaks(
             changed.alias("changed_slots"),
             "kind",
             ((F.col("kind") != "conflicting") | (F.col("coverage") >= CLEAR)).alias("contaminated"),
+            "item",
+            "names",
         )
     )
+    names = [c for c in judged.columns if c not in ("item", "names")]
+    best = F.max_by(F.struct(*names), F.struct("contaminated", "names"))
+    return judged.groupBy("key", "item").agg(best.alias("best")).select("best.*")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -31,6 +31,16 @@ def test_exact_changed_and_clean(spark):
     assert not any(doc in (2, 3, 4) for doc, _ in got)
 
 
+def test_copies_in_another_case_or_without_punctuation(spark):
+    two = ITEM + ". Then Clara and Otto went to Vienna. Nobody saw them again until late in May"
+    texts = [f"{prose(1)} {t} {prose(2)}" for t in (two.upper(), two.title(), two.replace(".", ""))]
+    got = found(spark, [*texts, two.lower(), prose(3).upper()], [two])
+    assert set(got) == {(k, 0) for k in range(4)}
+    assert all(r.contaminated for r in got.values())
+    for k in (0, 1):
+        assert got[k, 0].kind == "exact" and got[k, 0].coverage == 1
+
+
 def test_slots_must_map_one_to_one(spark):
     item = "take 7 of the red balls and 7 of the blue ones then add 5 green balls to the bag"
     same = item.replace("7", "4").replace("5", "8")
