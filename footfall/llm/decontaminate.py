@@ -11,6 +11,9 @@ item always stands for the same other value and no two share one, and ``conflict
 All this is done twice, with names as placeholders and with names as plain words. The second
 reading does not depend on letter case or on where sentences start, so it finds copies in upper
 or title case and copies without punctuation.
+
+Items without a window (too short, or little but placeholders) are looked up whole, with the
+values of their numbers and units: all their tokens in a row make an ``exact`` leak.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from .common import Scratch, semi_join_listed, whole_text, without_keys
 
 WINDOW = 8
 
-# Items with fewer template tokens would match by chance and are not searched for.
+# Items with fewer template tokens would match by chance and are looked up with their values only.
 LEAST_ITEM = 4
 
 # Share of an item's windows that makes a document a suspect, and the share from which it counts
@@ -89,13 +92,16 @@ def _pairs(hashes: Column, apart: int) -> Column:
     )
 
 
-def window_hashes(words: Column, size: int) -> Column:
-    """Hashes of all windows of ``size`` template tokens, in order. Empty if there are fewer."""
+def window_hashes(words: Column, size: int, values: bool = False) -> Column:
+    """Hashes of all windows of ``size`` template tokens, in order. Empty if there are fewer.
+    With ``values`` placeholders are told apart by what they stand for."""
 
     def cut(found: Column, of: Column) -> Column:
         return F.slice(found, 1, F.greatest(F.size(of) - (size - 1), F.lit(0)))
 
     def hashed(token: Column) -> Column:
+        if values:
+            return F.xxhash64(token)
         return F.xxhash64(F.when(is_slot(token), F.substring(token, 1, 1)).otherwise(token))
 
     def doubled(h1: Column) -> Column:
@@ -111,32 +117,81 @@ def window_hashes(words: Column, size: int) -> Column:
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str, scratch: Scratch):
-    """Items with their tokens in both readings, the (names, size) of their windows, and the
-    distinct windows with the first place of each."""
+    """Items with their tokens in both readings, the (names, size) of their windows, the distinct
+    windows with the first place of each, and the starts of items without any window."""
     text = whole_text(f"`{text_col}`")
     items = (
         benchmark.select(F.col(f"`{id_col}`").alias("item_id"), text.alias("text"))
         .distinct()
         .select("item_id", F.xxhash64("item_id", "text").alias("item"), F.inline(_both(F.col("text"))))
-        .where(F.size("words") >= LEAST_ITEM)
+        .where(F.size("words") > 0)
         .withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
     )
     items = scratch.write(items)
-    sizes = sorted(tuple(r) for r in items.select("names", "size").distinct().collect())
+    long = items.where(F.size("words") >= LEAST_ITEM)
+    sizes = sorted(tuple(r) for r in long.select("names", "size").distinct().collect())
     found = None
     for names, size in sizes:  # 1 to WINDOW, in both readings
         literal = F.size(
             F.filter(F.slice("words", F.col("at") + 1, size), lambda t: ~is_slot(t))
         )
         one = (
-            items.where((F.col("names") == names) & (F.col("size") == size))
+            long.where((F.col("names") == names) & (F.col("size") == size))
             .select("item", "names", "words", "size", F.posexplode(window_hashes(F.col("words"), size)).alias("at", "hash"))
             .where(literal * 2 >= size)  # windows of little but placeholders say nothing
             .groupBy("item", "names", "size", "hash")
             .agg(F.min("at").alias("item_at"))
         )
         found = one if found is None else found.unionByName(one)
-    return items, sizes, None if found is None else scratch.write(found)
+    if found is None:
+        found = items.selectExpr("item", "names", "size", "0L AS hash", "0 AS item_at").limit(0)
+    windows = scratch.write(found)
+    left = items.where(~F.col("names")).join(windows.select("item").distinct(), "item", "left_anti")
+    starts = None
+    for size in range(1, WINDOW + 1):
+        first = F.element_at(window_hashes(F.slice("words", 1, size), size, True), 1)
+        one = left.where(F.col("size") == size).select("item", "size", first.alias("hash"))
+        starts = one if starts is None else starts.unionByName(one)
+    return items, sizes, windows, scratch.write(starts)
+
+
+def _whole(rows: DataFrame, items: DataFrame, starts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Documents with all tokens of an item without windows in a row, values included. Documents
+    that hold an item's start (``WINDOW`` tokens or all) are compared with all of it."""
+    small = starts.count() <= BROADCAST_WINDOWS
+    met = None
+    for size in sorted(r[0] for r in starts.select("size").distinct().collect()):
+        found = window_hashes(tokens(F.col("text"), False), size, True)
+        one = rows.select("key", F.posexplode(found).alias("at", "hash"))
+        listed = starts.where(F.col("size") == size).select("item", "hash")
+        one = one.join(F.broadcast(listed) if small else listed, "hash").select("key", "item", "at")
+        met = one if met is None else met.unionByName(one)
+    met = scratch.write(met.groupBy("key", "item").agg(F.collect_set("at").alias("places")))
+    keys = scratch.write(met.select("key").distinct())
+    texts = semi_join_listed(rows, keys, "key").dropDuplicates(["key"])
+    texts = texts.select("doc_id", "key", tokens(F.col("text"), False).alias("doc_words"))
+    same = F.exists(
+        "places", lambda at: F.slice("doc_words", at + 1, F.size("words")) == F.col("words")
+    )
+    slots = F.size(F.filter("words", is_slot))
+    one = F.lit(1).cast("long")
+    return (
+        met.join(texts, "key")
+        .join(items.where(~F.col("names")).select("item", "item_id", "words"), "item")
+        .where(same)
+        .select(
+            "doc_id",
+            "item_id",
+            "key",
+            one.alias("windows"),
+            one.alias("found"),
+            F.lit(1.0).alias("coverage"),
+            slots.alias("slots"),
+            F.lit(0).alias("changed_slots"),
+            F.lit("exact").alias("kind"),
+            F.lit(True).alias("contaminated"),
+        )
+    )
 
 
 def leaks(
@@ -151,15 +206,15 @@ def leaks(
     (of the document row, see ``common.row_key``), windows (of the item), found, coverage, slots,
     changed_slots, kind and contaminated.
 
-    Null texts are empty; documents and items without enough words give no rows, and so do empty
-    tables. Rows that repeat a document's identifier and text count once, and so do repeated
+    Null texts are empty; documents and items without words give no rows, and so do empty
+    tables. Items without a window count as one window, which is the whole item with its values. Rows that repeat a document's identifier and text count once, and so do repeated
     items. All windows of all documents are looked up, in both readings. The row tells of the
     reading in which the document is contaminated; if it is in both or in none, of the one with
     names as placeholders, where that makes it a suspect.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    items, sizes, windows = _items(benchmark, item_id, item_text, scratch)
+    items, sizes, windows, starts = _items(benchmark, item_id, item_text, scratch)
     text = whole_text(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text")).withColumn(
         "key", F.xxhash64("doc_id", "text")
@@ -168,8 +223,11 @@ def leaks(
         "doc_id {0}, item_id {1}, key long, windows long, found long, coverage double, "
         "slots int, changed_slots int, kind string, contaminated boolean"
     ).format(docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString())
-    if windows is None:
-        return spark.createDataFrame([], schema)
+    whole = spark.createDataFrame([], schema)
+    if not starts.isEmpty():
+        whole = _whole(rows, items, starts, scratch)
+    if not sizes:
+        return whole
     small = windows.count() <= BROADCAST_WINDOWS
     matched = None
     for names, size in sizes:
@@ -245,7 +303,8 @@ def leaks(
     )
     names = [c for c in judged.columns if c not in ("item", "names")]
     best = F.max_by(F.struct(*names), F.struct("contaminated", "names"))
-    return judged.groupBy("key", "item").agg(best.alias("best")).select("best.*")
+    found = judged.groupBy("key", "item").agg(best.alias("best")).select("best.*")
+    return found.unionByName(whole)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -55,6 +55,23 @@ def test_short_items_are_found_whole(spark):
     assert set(got) == {(0, 0)} and got[0, 0].windows == 1
 
 
+def test_items_without_windows_are_found_literally(spark):
+    many = "Sum 1 2 3 4 5 6 7 8 9 and 10 11 12 13 14 15 16 17"
+    bench = ["What is 3 + 4 * 5 - 2?", "70 * 8", "Why?", many, "", None]
+    texts = [
+        f"{prose(1)} WHAT IS 3 + 4 * 5 - 2? {prose(2)}",
+        f"{prose(3)} What is 3 + 4 * 5 - 1? 8 * 70.",
+        "So 70 * 70, then 70 * 8 and 70 * 8",
+        f"{prose(4)} {many}",
+        f"{prose(5)} {many[:-2]}18",
+        "why",
+    ]
+    got = found(spark, texts, bench)
+    assert set(got) == {(0, 0), (2, 1), (3, 3), (5, 2)}
+    assert all(r.kind == "exact" and r.contaminated and r.coverage == 1 for r in got.values())
+    assert got[0, 0].slots == 4 and set(found(spark, texts, ["70 * 8"])) == {(2, 0)}
+
+
 def test_against_brute_force(spark):
     bench = [prose(100 + k, 20 + k) for k in range(12)]
     texts = []
