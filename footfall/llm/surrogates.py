@@ -64,10 +64,13 @@ _WORD = r"[^\W\d_](?:[^\W\d_]|[’'-](?=[^\W\d_]))*"
 _PERSON = re.compile(
     r"(?<!\w)(?:(?P<title>" + "|".join(map(re.escape, sorted(_TITLE, key=len, reverse=True))) + r")\.?[  ]|(?="
     + "(?:" + "|".join(sorted((n for names in GIVEN.values() for n in names), key=len, reverse=True)) + r")(?!\w)))"
-    rf"(?P<names>(?-i:{_WORD})(?:[  ](?-i:{_WORD})){{0,2}})",
+    rf"(?P<first>(?-i:{_WORD}))",
     re.IGNORECASE,
 )
+_NEXT = re.compile(rf"[  ](?P<first>{_WORD})")
 _HAN = re.compile(f"(?P<family>[{''.join(SURNAMES['han'])}])(?P<given>[一-鿿]{{0,2}}?)(?P<title>{'|'.join(HAN_TITLES)})")
+_OWNER = re.compile(r"[’']s$", re.IGNORECASE)
+_LETTERS = re.compile(r"[^\W\d_]+")
 _EMAIL = re.compile(r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)+")
 _IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)", re.A)
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", re.A)
@@ -104,20 +107,24 @@ def _luhn(digits: str) -> str:
 
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, entity) of each mention, in order and without overlaps. Entities are
-    in canonical form: digits only, lower case, name words with script and gender."""
+    in canonical form: digits only, lower case, name words with script and gender. A name runs
+    over all its capitalised words, and its words are mentions elsewhere in the text too. What
+    an earlier kind has taken is masked, so that no later match runs into it."""
     found: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
 
-    def free(a: int, b: int) -> bool:
-        return all(b <= x or a >= y for x, y in taken)
+    def masked(spans: list[tuple[int, int]]) -> str:
+        out, at = [], 0
+        for a, b in sorted(spans):
+            out += [text[at:a], "_" * (b - a)]
+            at = b
+        return "".join([*out, text[at:]])
 
     has_digit = any(d in text for d in "0123456789")
     for kind, pattern in _KINDS:
         if not (has_digit if kind != "email" else "@" in text):
             continue
+        taken = []
         for m in pattern.finditer(text):
-            if not free(m.start(), m.end()):
-                continue
             value = m[0]
             taken.append(m.span())
             if kind == "email":
@@ -127,30 +134,57 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             else:
                 canon = value if kind == "ipv4" else re.sub(r"[^A-Za-z0-9+]", "", value)
                 found.append((*m.span(), kind, canon))
+        if taken:
+            text = masked(taken)
     if any(t in text for t in HAN_TITLES):
+        taken, names = [], {}
         for m in _HAN.finditer(text):
-            if free(*m.span()):
+            taken.append(m.span())
+            found.append((*m.span("family"), "surname", f"han::{m['family']}"))
+            if m["given"]:
+                found.append((*m.span("given"), "given", f"han:{HAN_TITLES[m['title']]}:{m['given']}"))
+                names.setdefault(m["family"] + m["given"], found[-2:])
+        if taken:
+            text = masked(taken)
+        if names:
+            taken = []
+            for m in re.finditer("|".join(map(re.escape, sorted(names, key=len, reverse=True))), text):
                 taken.append(m.span())
-                found.append((*m.span("family"), "surname", f"han::{m['family']}"))
-                if m["given"]:
-                    found.append((*m.span("given"), "given", f"han:{HAN_TITLES[m['title']]}:{m['given']}"))
+                family, given = names[m[0]]
+                found.append((m.start(), m.start() + 1, *family[2:]))
+                found.append((m.start() + 1, m.end(), *given[2:]))
+            text = masked(taken)
     if any(t in text for t in _TITLE_PARTS) or not _GIVEN_WORDS.isdisjoint(re.split(r"\W+", text)):
-        for m in _PERSON.finditer(text):
-            words = [(w.start() + m.start("names"), w[0]) for w in re.finditer(_WORD, m["names"])]
-            words = words[: next((k for k, (_, w) in enumerate(words) if not w[0].isupper()), len(words))]
-            gender = _TITLE.get((m["title"] or "").casefold(), "")
-            if not words or not free(words[0][0], words[-1][0] + len(words[-1][1])):
+        taken, known, pos = [], {}, 0
+        while m := _PERSON.search(text, pos):
+            words, title, word = [], m["title"], m
+            while word and word["first"][0].isupper():
+                w = _OWNER.sub("", word["first"])
+                words.append((word.start("first"), w))
+                word = _NEXT.match(text, word.end("first")) if w == word["first"] else None
+            if not words:
+                pos = m.start() + 1
                 continue
+            pos = words[-1][0] + len(words[-1][1])
+            gender = _TITLE.get((title or "").casefold(), "")
             first = _GENDER.get(words[0][1].casefold())
-            if m["title"] is None and (first is None or len(words) < 2):
+            if title is None and (first is None or len(words) < 2):
                 continue
             for k, (at, w) in enumerate(words):
                 script = script_of(w)
                 given = (k == 0 and len(words) > 1) or w.casefold() in _GENDER
                 sex = _GENDER.get(w.casefold(), gender or first or "m")
                 entity = f"{script}:{sex}:{w.casefold()}" if given else f"{script}::{w.casefold()}"
-                found.append((at, at + len(w), "given" if given else "surname", entity))
-            taken.append((words[0][0], words[-1][0] + len(words[-1][1])))
+                taken.append((at, at + len(w)))
+                found.append((*taken[-1], "given" if given else "surname", entity))
+                known.setdefault(w.casefold(), found[-1][2:])
+        if known:
+            text = masked(taken)
+            for m in re.finditer(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*", text):
+                for part in [m] if m[0].casefold() in known else _LETTERS.finditer(text, *m.span()):
+                    what = known.get(part[0].casefold())
+                    if what and part[0][0].isupper():
+                        found.append((*part.span(), *what))
     return sorted(found)
 
 

@@ -77,6 +77,28 @@ def test_detection_leaves_other_text_alone():
         assert surrogates.detect(text) == [], text
 
 
+def mentions(text):
+    return [(text[a:b], kind) for a, b, kind, _ in surrogates.detect(text)]
+
+
+def test_a_match_does_not_run_into_another():
+    text = "Call +1 (826) 555-4081 10.20.30.40 or +1 (843) 555-7672 123-45-6789."
+    assert [m for m, _ in mentions(text)] == ["+1 (826) 555-4081", "10.20.30.40", "+1 (843) 555-7672", "123-45-6789"]
+    assert ("Smith", "surname") in mentions("Dr. Smith JOHN@X.COM")
+    assert {"Smith", "Mary", "Brown"} <= {m for m, _ in mentions("Dr. Smith and Mary Brown")}
+
+
+def test_bare_words_of_names_and_long_names(spark):
+    got = mentions("John Smith came. Smith said so, John’s dog too; SMITH's car. smith and Johnson stay. 李娜女士, 李娜")
+    assert [m for m, _ in got] == ["John", "Smith", "Smith", "John", "SMITH", "李", "娜", "李", "娜"]
+    assert len({e for *_, e in surrogates.detect("John Smith, Smith’s, Smith")}) == 2
+    long = "Dr. Ana Maria Lopez Garcia Perez spoke"
+    assert [m for m, _ in mentions(long)] == "Ana Maria Lopez Garcia Perez".split()
+    text = replaced(spark, ["John Smith came. Smith said, John heard."])[0].text
+    first, last = re.match(r"(\w+) (\w+) came", text).groups()
+    assert text == f"{first} {last} came. {last} said, {first} heard." and "Smith" not in text
+
+
 def test_odd_documents_and_empty_table(spark):
     odd = odd_documents(spark)
     got = surrogates.replace_personal_data(odd)
