@@ -9,6 +9,7 @@ from . import (
     exact_dedup,
     html_main,
     licenses,
+    merkle,
     ngram_join,
     packing,
     quality,
@@ -17,6 +18,7 @@ from . import (
     toxicity,
 )
 from .common import table
+from .exact_dedup import ascii_lower
 
 
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +74,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents, verified with every third text lower-cased."""
+    docs = table(spark, sf_dir, "documents")
+    return merkle.verify(docs, {"text": ascii_lower(docs["text"])}, merkle.every_third())
+
+
 QUERIES = {
     "op1_surrogates": op1_surrogates,
     "op2_decontaminate": op2_decontaminate,
@@ -83,8 +91,110 @@ QUERIES = {
     "op8_html_main": op8_html_main,
     "op9_ngram_join": op9_ngram_join,
     "op10_secrets": op10_secrets,
+    "op13_merkle": op13_merkle,
 }
 
+# CRC-32 of a text in SQL: a table of 256 steps, and a fold over the UTF-8 bytes of the text, whose
+# characters lie below U+0800.
+CRC_TABLE = """
+        crc_steps(i, k, c) AS (
+            SELECT i, 0, i FROM range(256) r(i)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+            FROM crc_steps WHERE k < 8
+        ),
+        crc_table AS (SELECT list(c ORDER BY i) AS steps FROM crc_steps WHERE k = 8)
+"""
+
+
+def crc_sql(text: str) -> str:
+    """SQL for the unsigned crc32 of a text expression, beside ``crc_table``."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split({text}, ''), lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT]
+        ELSE [192 + (ord(x) >> 6)::BIGINT, 128 + (ord(x) & 63)::BIGINT] END))),
+        lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)])))"""
+
+
+def merkle_sql(leaf_levels: int = 7, group_levels: int = 2) -> str:
+    """The manifest's SQL for up to 8 ** leaf_levels rows a language and 8 ** group_levels
+    languages; each level is spelt out."""
+    columns = ["doc_id", "source", "lang", "n_chars"]
+
+    def encoded(text: str) -> str:
+        parts = [
+            f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+            for c in (*columns, text)
+        ]
+        return f"sha256({' || '.join(parts)})"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = crc_sql("doc_id::VARCHAR")
+    steps = [
+        f"""WITH RECURSIVE {CRC_TABLE}""",
+        f"""leaves AS (
+            SELECT doc_id, lang, {encoded('text')} AS leaf,
+                   CASE WHEN {crc} % 3 = 0 THEN {encoded(lower)} ELSE {encoded('text')} END AS claimed
+            FROM documents CROSS JOIN crc_table
+        )""",
+        """placed AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+            FROM leaves
+        )""",
+        """a0 AS (
+            SELECT lang AS tree, pos, leaf AS node, count(*) OVER (PARTITION BY lang) AS total FROM placed
+        )""",
+    ]
+
+    def level(name: str, k: int) -> None:
+        run = "PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN"
+        steps.append(f"""{name}{k}s AS (
+            SELECT tree, pos, total,
+                   coalesce(string_agg(node, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                   coalesce(string_agg(node, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+            FROM {name}{k}
+        )""")
+        steps.append(f"""{name}{k + 1} AS (
+            SELECT tree, pos // 8 AS pos,
+                   CASE WHEN total = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END
+                       AS node,
+                   (total + 7) // 8 AS total
+            FROM {name}{k} GROUP BY tree, pos // 8, total
+        )""")
+
+    def fold(before: str, after: str, name: str, k: int, tree: str, pos: str) -> None:
+        steps.append(f"""{after} AS (
+            SELECT f.* REPLACE (
+                       CASE WHEN s.total = 1 THEN f.folded ELSE sha256(s.l || f.folded || s.r) END AS folded,
+                       CASE WHEN s.total = 1 THEN f.proof ELSE f.proof || s.l || s.r END AS proof)
+            FROM {before} f JOIN {name}{k}s s
+            ON s.tree IS NOT DISTINCT FROM {tree} AND s.pos = {pos} // {8**k}
+        )""")
+
+    for k in range(leaf_levels):
+        level("a", k)
+    steps.append(f"""b0 AS (
+        SELECT 0 AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, node,
+               count(*) OVER () AS total, tree AS lang
+        FROM a{leaf_levels}
+    )""")
+    for k in range(group_levels):
+        level("b", k)
+    steps.append(f"""f0 AS (
+        SELECT p.doc_id, p.lang, p.pos, p.leaf, b0.pos AS top, b0.node AS subroot,
+               (SELECT node FROM b{group_levels}) AS root, '' AS proof, p.claimed AS folded
+        FROM placed p JOIN b0 ON b0.lang IS NOT DISTINCT FROM p.lang
+    )""")
+    for k in range(leaf_levels):
+        fold(f"f{k}", f"f{k + 1}", "a", k, "f.lang", "f.pos")
+    for k in range(group_levels):
+        at = leaf_levels + k
+        fold(f"f{at}", f"f{at + 1}", "b", k, "0", "f.top")
+    return ",\n".join(steps) + f"""
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root,
+               folded = root AS verified
+        FROM f{leaf_levels + group_levels}"""
+
+
 ORACLES = {
     "op7_exact_dedup": """
         WITH t AS (
@@ -99,4 +209,5 @@ ORACLES = {
                sha256(norm) AS text_sha256
         FROM t
     """,
+    "op13_merkle": merkle_sql(),
 }
