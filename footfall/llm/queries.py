@@ -14,6 +14,7 @@ from . import (
     packing,
     quality,
     secrets,
+    spelling,
     surrogates,
     toxicity,
 )
@@ -74,6 +75,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return spelling.variants(docs, delete_one_in=spelling.DELETE_ONE_IN)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of all documents, verified with every third text lower-cased."""
     docs = table(spark, sf_dir, "documents")
@@ -91,6 +98,7 @@ QUERIES = {
     "op8_html_main": op8_html_main,
     "op9_ngram_join": op9_ngram_join,
     "op10_secrets": op10_secrets,
+    "op12_spelling": op12_spelling,
     "op13_merkle": op13_merkle,
 }
 
@@ -115,6 +123,62 @@ def crc_sql(text: str) -> str:
         lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)])))"""
 
 
+def spelling_sql() -> str:
+    """The spelling variants' SQL: pairs by the pattern they share around a replaced letter, or
+    by a word without one letter."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+        WITH RECURSIVE {CRC_TABLE},
+        runs AS (
+            SELECT doc_id, unnest(regexp_extract_all({lower}, '[a-z\u00C0-\u00FF]{{6,}}')) AS run
+            FROM documents WHERE text IS NOT NULL
+        ),
+        seen AS (SELECT doc_id, run, count(*) AS times FROM runs GROUP BY ALL),
+        hashed AS (
+            SELECT run, times, {crc_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h
+            FROM seen CROSS JOIN crc_table
+        ),
+        cut AS (
+            SELECT CASE WHEN h % 199 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :]
+                   ELSE run END AS word, times
+            FROM hashed
+        ),
+        words AS (
+            SELECT word, sum(times)::BIGINT AS n FROM cut WHERE length(word) >= 6
+            GROUP BY word HAVING sum(times) >= 5
+        ),
+        places AS (SELECT word, n, unnest(range(length(word))) AS k FROM words),
+        patterns AS (SELECT word, n, k, word[: k] || '*' || word[k + 2 :] AS pattern FROM places),
+        shorter AS (SELECT DISTINCT word, n, word[: k] || word[k + 2 :] AS less FROM places),
+        pairs AS (
+            SELECT a.word, b.word AS other, b.n AS other_n
+            FROM patterns a JOIN patterns b ON a.pattern = b.pattern AND a.word <> b.word
+            UNION ALL
+            SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.less = w.word
+            UNION ALL
+            SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.less = w.word
+        ),
+        ranked AS (
+            SELECT *, count(*) OVER (PARTITION BY word) AS n_near,
+                   row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS nth
+            FROM pairs
+        ),
+        formed AS (
+            SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+                   CASE WHEN r.other_n >= 5 * w.n THEN r.other END AS form,
+                   CASE WHEN r.other_n >= 5 * w.n THEN r.other_n END AS form_n
+            FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.nth = 1
+        ),
+        ways AS (
+            SELECT word, word AS root, form AS further FROM formed
+            UNION ALL
+            SELECT w.word, f.word, f.form FROM ways w JOIN formed f ON f.word = w.further
+        )
+        SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n
+        FROM formed f JOIN ways w ON w.word = f.word AND w.further IS NULL
+    """
+
+
 def merkle_sql(leaf_levels: int = 7, group_levels: int = 2) -> str:
     """The manifest's SQL for up to 8 ** leaf_levels rows a language and 8 ** group_levels
     languages; each level is spelt out."""
@@ -209,5 +273,6 @@ ORACLES = {
                sha256(norm) AS text_sha256
         FROM t
     """,
+    "op12_spelling": spelling_sql(),
     "op13_merkle": merkle_sql(),
 }
