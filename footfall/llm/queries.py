@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
@@ -12,6 +13,7 @@ from . import (
     merkle,
     ngram_join,
     packing,
+    pieces,
     quality,
     secrets,
     spelling,
@@ -75,6 +77,16 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all documents' ids and of what they decode to."""
+    return pieces.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants among the words of all documents."""
     docs = table(spark, sf_dir, "documents")
@@ -98,6 +110,7 @@ QUERIES = {
     "op8_html_main": op8_html_main,
     "op9_ngram_join": op9_ngram_join,
     "op10_secrets": op10_secrets,
+    "op11_sentencepiece": op11_sentencepiece,
     "op12_spelling": op12_spelling,
     "op13_merkle": op13_merkle,
 }

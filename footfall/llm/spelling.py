@@ -73,7 +73,8 @@ def _count(least_length: int, one_in: int | None):
                 if len(held) > HELD:
                     yield rows(held)
                     held.clear()
-        yield rows(held)
+        if held:
+            yield rows(held)
 
     return count
 
@@ -214,11 +215,11 @@ def _compare_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 key, window, words, counts = k, place, [], []
             words.append(word)
             counts.append(n)
+        if out:
+            yield pd.DataFrame(out, columns=columns)
+            out = []
+    if len(words) > 1 and (out := _compare(words, counts, *window)):
         yield pd.DataFrame(out, columns=columns)
-        out = []
-    if len(words) > 1:
-        out += _compare(words, counts, *window)
-    yield pd.DataFrame(out, columns=columns)
 
 
 def near_words(
