@@ -338,7 +338,7 @@ def encode(
     run, schema = _put_back(model, id_type)
     return (
         blocks.select("block", "ids", "lengths", "numbers", places.alias("lists"))
-        .join(answers, "block", "left")
+        .join(answers.hint("merge"), "block", "left")  # the buckets stay where they are
         .drop("block")
         .mapInArrow(run, schema)
         .withColumnRenamed("id", id_col)
