@@ -224,7 +224,7 @@ def city_report(
 def scheduled_plays(plays: DataFrame, schedule: DataFrame) -> DataFrame:
     """Each play with the ad that the schedule has for its slot."""
     slot = ["sch_version", "pls_index", "play_index", "plninfo"]
-    return lookup_join(plays, slot_ads(schedule), slot, "inner")
+    return lookup_join(plays, slot_ads(schedule), slot, "inner", schedule)
 
 
 def _scheduled(plays: DataFrame, schedule: DataFrame) -> DataFrame:

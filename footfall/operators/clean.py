@@ -150,7 +150,7 @@ def panel_filter(
         .select("devid", "_mac", "id")
     )
     return lookup_join(
-        scans.withColumn("_mac", F.lower("mac")), allowed, ["devid", "_mac"], "inner"
+        scans.withColumn("_mac", F.lower("mac")), allowed, ["devid", "_mac"], "inner", (panel, pairs)
     ).drop("_mac")
 
 

@@ -92,7 +92,7 @@ def full_flow(
     else:
         planned = planned.drop("time")
     per_mac = (
-        lookup_join(seen, planned, on, "inner")
+        lookup_join(seen, planned, on, "inner", (schedule, building_list))
         .groupBy("city_name", "play_nums", "mac")
         .agg(F.sum("_times").alias("_times"))
     )

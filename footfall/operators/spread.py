@@ -106,24 +106,36 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(stats.sizeInBytes())
 
 
+def source_bytes(*tables: DataFrame) -> int:
+    """Bytes of the files (or local rows) that tables are made from. Unlike an estimate of a plan
+    this does not multiply the sides of a join."""
+    total = 0
+    for df in tables:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return total
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
     on: list[str],
     how: str,
-    source: DataFrame | None = None,
+    source: DataFrame | tuple[DataFrame, ...] = (),
     most: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join facts with a list: broadcast if the list is estimated to have no more than ``most``
-    bytes; otherwise a shuffle join that splits the facts' hot keys. ``source`` may name a
-    table that the list was reduced from, without making rows: if that is short enough, so is
-    the list.
+    """Join facts with a list: broadcast if the list has no more than ``most`` bytes; otherwise a
+    shuffle join that splits the facts' hot keys.
+
+    ``source`` names the tables that the list was made from by filters, groups and lookups by
+    key, none of which makes rows: if their files are short enough, so is the list. Without them
+    Spark's estimate of the list's own plan counts, which multiplies the sides of every join.
 
     Spark's own skew handling does not cover these joins: it leaves alone a join whose list
     side was just grouped by the join key.
     """
-    sizes = (estimated_bytes(df) for df in (dim, source) if df is not None)
-    if any(size <= most for size in sizes):
+    sources = (source,) if isinstance(source, DataFrame) else source
+    if (sources and source_bytes(*sources) <= most) or estimated_bytes(dim) <= most:
         return facts.join(F.broadcast(dim), on, how)
     return spread_join(facts, dim, on, how)
 

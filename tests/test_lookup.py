@@ -12,7 +12,7 @@ def nothing_small(monkeypatch, spark):
     """Every list counts as too long to broadcast."""
     original = spread.lookup_join
 
-    def strict(facts, dim, on, how, source=None):
+    def strict(facts, dim, on, how, source=()):
         return original(facts, dim, on, how, source, 0)
 
     for module in (clean, citystats):
@@ -58,7 +58,7 @@ def test_same_rows_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(spread, "hot_keys", lambda c, on, p, m: hot_keys(c, on, p, 1))
     for module in (clean, citystats):
         monkeypatch.setattr(
-            module, "lookup_join", lambda f, d, on, how, s=None: spread.lookup_join(f, d, on, how, s, 0)
+            module, "lookup_join", lambda f, d, on, how, s=(): spread.lookup_join(f, d, on, how, s, 0)
         )
     assert results() == small
 
