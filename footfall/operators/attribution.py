@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.scalars import file_stem
-from footfall.functions.times import same_day
 from footfall.operators.plays import SLOT
-from footfall.operators.spread import bucket_join, lookup_join, spread_join
+from footfall.operators.spread import lookup_join, spread_join
 
 AD_COLUMNS = ("adcontent", "ad_content_id", "suit_kind", "ad_length", "adproduct",
               "adcustomer", "city_name", "building_no", "building_name")
 
-# Plays are cut into buckets of this many milliseconds to be found by a scan's time; those of
-# more than a day go by wider buckets.
-BUCKET_MS = 10 * 60 * 1000
-DAY_BUCKETS = 144
-
-# Ends later than the year 2200 are read as its start: no scan is later.
-LATEST_MS = 7_258_118_400_000
-
 
 def max_ad_length(schedule: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Greatest ad length, in whole seconds, per ad (and customer and product)."""
@@ -72,7 +63,7 @@ def enrich_described_plays(
         "time", "devid", "inner_sn", *SLOT, "start_ms", "end_ms", *kept
     ).distinct()
     suited = lookup_join(logged, suits, ["devid"], "inner", devices)
-    return lookup_join(suited, lengths.select("adcontent", "ad_length"), ["adcontent"], "inner")
+    return lookup_join(suited, lengths.select("adcontent", "ad_length"), ["adcontent"], "inner", lengths)
 
 
 def busy_devices(
@@ -105,33 +96,143 @@ def attribute_ads(
     plays: DataFrame,
     columns: tuple[str, ...] = AD_COLUMNS,
     next_day: bool = True,
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Give each scan the ad columns of the play that was running, null if none was.
 
     Of several plays the one that started last counts, then the one that ended first, then
-    the smallest plan and ad. The answer depends only on device and second, so the range
-    join runs over distinct (date, device, second), and scans pick it up by equality. ``hot``
-    names devices that hold much of the play log and are split.
+    the smallest plan and ad. A device's plays are swept into segments that do not overlap
+    (``swept``), and its seconds with scans take the segment that began last before them, by one
+    union in order of time. The answer depends only on date, device and second, so this runs over
+    distinct ones, and scans pick it up by equality.
     """
-    moments = scans.select("time", "devid", "scan_time").distinct()
-    spans = plays.select(
-        "devid",
-        F.col("time").alias("p_time"),
-        F.col("start_ms").alias("_from"),
-        F.least(F.col("end_ms") + 1, F.lit(LATEST_MS)).alias("_to"),
-        F.struct(*[F.col(c) for c in dict.fromkeys((*SLOT, *columns))]).alias("_ad"),
+    segments = swept(plays, columns, next_day)
+    line = segments.select(
+        "time", "devid", F.col("from").alias("_at"), F.lit(0).alias("_kind"),
+        F.struct("to", "ad").alias("_play"),
+    )
+    moments = scans.where(F.col("devid").isNotNull()).select("time", "devid", "scan_time").distinct()
+    asked = moments.select(
+        "time", "devid", (F.col("scan_time") * 1000).alias("_at"), F.lit(1).alias("_kind")
     )
-    running = bucket_join(
-        moments.withColumn("_at", F.col("scan_time") * 1000),
-        spans, ["devid"], "_at", "_from", "_to", BUCKET_MS, hot, longest=DAY_BUCKETS,
-    ).where(same_day(F.col("time"), F.col("p_time"), next_day))
-    best = running.groupBy("time", "devid", "scan_time").agg(
-        F.min_by("_ad", F.struct(-F.col("_from"), F.col("_to"), F.col("_ad"))).alias("_ad")
+    so_far = (
+        Window.partitionBy("time", "devid").orderBy("_at", "_kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    found = (
+        line.unionByName(asked, allowMissingColumns=True)
+        .withColumn("_play", F.last("_play", ignorenulls=True).over(so_far))
+        .where((F.col("_kind") == 1) & (F.col("_play.to") >= F.col("_at")))
+        .select(
+            "time", "devid", F.call_function("div", F.col("_at"), F.lit(1000)).alias("scan_time"),
+            F.col("_play.ad").alias("_ad"),
+        )
     )
     return scans.drop(*columns).join(
-        best, ["time", "devid", "scan_time"], "left"
+        found, ["time", "devid", "scan_time"], "left"
     ).select(
         *[c for c in scans.columns if c not in columns],
         *[F.col(f"_ad.{c}").alias(c) for c in columns],
     )
+
+
+def swept(plays: DataFrame, columns: tuple[str, ...], next_day: bool = True) -> DataFrame:
+    """Plays as segments [from, to] in milliseconds that do not overlap, per device and date of
+    the scans that they count for: (time, devid, from, to, ad).
+
+    Where plays overlap, the one that started last has the time; when it ends, the one that
+    started last of those still running goes on. Plays stream through in order of device, date
+    and start, and only the device and date being read is held back; the ad columns pass by as
+    they are. A play's end may lie any time ahead.
+    """
+    days = F.array("time", F.date_sub("time", 1)) if next_day else F.array("time")
+    rows = plays.where(
+        (F.col("end_ms") >= F.col("start_ms")) & F.col("devid").isNotNull()
+    ).select(
+        F.explode(days).alias("time"),
+        "devid",
+        F.col("start_ms").alias("from"),
+        F.col("end_ms").alias("to"),
+        F.struct(*[F.col(c) for c in dict.fromkeys((*SLOT, *columns))]).alias("ad"),
+    )
+    return (
+        rows.repartition("time", "devid")
+        .sortWithinPartitions("time", "devid", "from", F.col("to").desc(), F.col("ad").desc())
+        .mapInArrow(_sweeper(), rows.schema)
+    )
+
+
+def _sweeper():
+    """The Arrow function, self-contained so that executors need no import for it."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def segments(start, end):
+        """Places and bounds of the segments of plays in order: the later one wins."""
+        most = np.iinfo(np.int64).max
+        following = np.append(start[1:], most)
+        last = np.minimum(end, following - 1)
+        before = np.concatenate(([np.iinfo(np.int64).min], np.maximum.accumulate(end)[:-1]))
+        if not ((end < following - 1) & (before > end)).any():  # no play outlives a later one
+            own = np.flatnonzero(last >= start)
+            return own, start[own], last[own]
+        out, running, at = [], [], 0  # running: who started last is on top, ends grow downwards
+        starts, ends = start.tolist(), end.tolist()
+        for k, now in enumerate([*starts, most]):
+            while running and at < now:
+                top = running[-1]
+                to = min(ends[top], now - 1)
+                if to >= at:
+                    out.append((top, at, to))
+                    at = to + 1
+                if ends[top] < now:
+                    running.pop()
+            if k < len(ends):
+                while running and ends[running[-1]] <= ends[k]:
+                    running.pop()
+                running.append(k)
+                at = now
+        return tuple(np.asarray(x, dtype=np.int64) for x in zip(*out, strict=True))
+
+    def firsts(rows):
+        """Where another device or date begins."""
+        n = rows.num_rows
+        new = np.zeros(n, dtype=bool)
+        new[0] = True
+        for name in ("time", "devid"):
+            c = rows.column(name).combine_chunks()
+            other = pc.not_equal(c.slice(1), c.slice(0, n - 1))
+            new[1:] |= other.to_numpy(zero_copy_only=False)
+        return np.flatnonzero(new)
+
+    def sweep(rows):
+        """The segments of whole device-days."""
+        start, end = rows.column("from").to_numpy(), rows.column("to").to_numpy()
+        edges = [*firsts(rows).tolist(), rows.num_rows]
+        places, begins, lasts = [], [], []
+        for a, b in zip(edges, edges[1:]):
+            place, begin, last = segments(start[a:b], end[a:b])
+            places.append(place + a)
+            begins.append(begin)
+            lasts.append(last)
+        out = rows.take(pa.array(np.concatenate(places)))
+        for name, bounds in (("from", begins), ("to", lasts)):
+            k = out.schema.get_field_index(name)
+            out = out.set_column(k, name, pa.array(np.concatenate(bounds)))
+        return out.combine_chunks().to_batches()
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+            cut = int(firsts(rows)[-1])
+            if cut:
+                yield from sweep(rows.slice(0, cut))
+            held = rows.slice(cut)
+        if held is not None:
+            yield from sweep(held)
+
+    return run

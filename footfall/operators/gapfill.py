@@ -15,6 +15,7 @@ from footfall.operators.attribution import attribute_ads
 from footfall.operators.clean import drop_heavy
 from footfall.operators.plays import SLOT
 from footfall.operators.spread import MIN_ROWS, bucket_join, hot_keys, key_counts
+from footfall.sources.sinks import release, staged
 
 VISITOR = ["time", "devid", "mac"]
 AD_SLOT = ["sch_version", "uploadcount", "pls_index", "play_index"]
@@ -77,13 +78,12 @@ def exposure_gapfill_playlog(
     carried: tuple[str, ...] = (),
     next_day: bool = True,
     hot: DataFrame | None = None,
-    hot_plays: DataFrame | None = None,
 ) -> DataFrame:
     """Scans and the logged plays that started while a contact lasted, each added one second
     after its start. ``carried`` names ad columns: an added row has those of its play, a
     scan those of the play that was running. With ``next_day`` plays logged on the following
-    date count too. ``hot`` and ``hot_plays`` are the devices to split (``device_hot_keys``)
-    when plays are found by scans and scans by plays."""
+    date count too. ``hot`` are the devices to split (``device_hot_keys``) when plays are found
+    by scans."""
     windows = scan_windows(scans, append, flag)
     taken = [*SLOT, *carried]
     shown = plays.select(
@@ -99,7 +99,7 @@ def exposure_gapfill_playlog(
     slot = {c: F.col(f"p_{c}") for c in taken}
     own = windows.select(*scans.columns)
     if carried:
-        own = attribute_ads(own, plays, carried, next_day, hot_plays)
+        own = attribute_ads(own, plays, carried, next_day)
     inserted = _inserted(matched, own.columns, slot, F.floor((F.col("p_start") + 1000) / 1000))
     return _own(own).unionByName(inserted)
 
@@ -169,51 +169,86 @@ def view_merge_adlen(filled: DataFrame, flag: int, by_content: bool = False) ->
     many seconds have passed since the view began; with ``by_content`` the ad must also be
     the same.
 
-    The plain conditions cut a visitor's rows into runs with windows; the length test depends
-    on where the current view began, so each run's times and lengths are folded to the places
-    where views begin. Only these numbers are gathered; the rows join them by their place.
+    The plain conditions cut a visitor's rows into runs with windows. Most runs are one view: no
+    row comes too late for the run's first one. In the others, where the view after each row
+    begins does not depend on where that view began (``_next_views``), and the beginnings are
+    those that the run's first row leads to (``_view_starts``).
     """
     same = [*AD_SLOT, *(["adcontent"] if by_content else [])]
     run = [*VISITOR, "_run"]
+    unknown = F.col("ad_length").isNull() | (F.col("ad_length") < 0)
     # rows equal in time and slot are told apart by the rest, so that places never change
     in_run = Window.partitionBy(*run).orderBy(*filled_order(), F.struct(*_carried(filled)))
-    runs = _runs(filled, flag, same, F.col("ad_length").isNull()).withColumn(
-        "_place", F.row_number().over(in_run)
-    )
-    entry = F.struct("_place", F.col("scan_time").alias("t"), F.col("ad_length").alias("most"))
-    begins = F.aggregate(
-        F.array_sort(F.collect_list(entry)),
-        F.struct(
-            F.lit(None).cast("long").alias("since"),
-            F.expr("cast(array() as array<int>)").alias("places"),
-        ),
-        _begin,
-        lambda seen: seen["places"],
-    )
-    starts = (
-        runs.groupBy(*run)
-        .agg(begins.alias("_begins"))
-        .select(*run, F.explode("_begins").alias("_place"))
-        .withColumn("_begin", F.lit(1))
+    whole = Window.partitionBy(*run)
+    rows = staged(
+        _runs(filled, flag, same, unknown)
+        .withColumn("_place", F.row_number().over(in_run))
+        # a row is too late for views that began before this
+        .withColumn("_since", F.when(~unknown, F.col("scan_time") - F.col("ad_length")))
+        .withColumn(
+            "_broken",
+            F.coalesce(F.max("_since").over(whole) > F.min("scan_time").over(whole), F.lit(False)),
+        )
     )
+    broken = rows.where("_broken")
+    starts = _view_starts(_next_views(broken.select(*run, "_place", "scan_time", "_since"), run), run)
     so_far = Window.partitionBy(*run).orderBy("_place").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    views = runs.join(starts, [*run, "_place"], "left").withColumn(
+    cut = broken.join(starts.withColumn("_begin", F.lit(1)), [*run, "_place"], "left").withColumn(
         "_view", F.sum("_begin").over(so_far)
     )
-    return _as_views(_first_rows(views, filled, [*run, "_view"]))
+    merged = rows.where("not _broken").withColumn("_view", F.lit(1).cast("long"))
+    views = [_first_rows(part, filled, [*run, "_view"]) for part in (merged, cut)]
+    return _as_views(views[0].unionByName(views[1]))
+
+
+def _next_views(rows: DataFrame, run: list[str]) -> DataFrame:
+    """For each row the place where the next view would begin if one began at the row
+    (``_next``, null if none): the first row that is too late for it. Times never fall within a
+    run, so only later rows can be too late, and the first of all that are is found by a running
+    minimum over the rows in order of the beginning they are too late for."""
+    late = rows.where(F.col("_since").isNotNull()).select(
+        *run, F.col("_since").alias("_value"), F.lit(1).alias("_kind"), F.col("_place").alias("_late")
+    )
+    asked = rows.select(*run, F.col("scan_time").alias("_value"), F.lit(0).alias("_kind"), "_place")
+    down = Window.partitionBy(*run).orderBy(F.col("_value").desc(), "_kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return (
+        asked.unionByName(late, allowMissingColumns=True)
+        .withColumn("_next", F.min("_late").over(down))
+        .where(F.col("_place").isNotNull())
+        .select(*run, "_place", "_next")
+    )
+
 
+def _view_starts(links: DataFrame, run: list[str]) -> DataFrame:
+    """The places that the first place of each run leads to by ``_next``, itself included.
 
-def _begin(seen: Column, row: Column) -> Column:
-    """One step of the fold: does a view begin at this row?"""
-    fits = (row["t"] - seen["since"]) <= row["most"]
-    return F.when(F.coalesce(fits, F.lit(False)), seen).otherwise(
-        F.struct(
-            row["t"].cast("long").alias("since"),
-            F.concat(seen["places"], F.array(row["_place"])).alias("places"),
+    Pointer doubling: each round marks what the marked places point to and makes every pointer
+    twice as long, so a run of n views takes log2(n) rounds. Only places that some place points
+    to take part. Each round is a written table; the one before it is removed.
+    """
+    at = [*run, "_place"]
+    aimed = links.where(F.col("_next").isNotNull()).select(*run, F.col("_next").alias("_place"))
+    first = F.col("_place") == 1
+    nodes = links.where(~first).join(aimed.distinct(), at, "left_semi").unionByName(links.where(first))
+    now = staged(nodes.withColumn("_mark", F.col("_place") == 1))
+    while not now.where(F.col("_mark") & F.col("_next").isNotNull()).isEmpty():
+        marks = (
+            now.where(F.col("_mark") & F.col("_next").isNotNull())
+            .select(*run, F.col("_next").alias("_place"), F.lit(True).alias("_hit"))
         )
-    )
+        ahead = now.select(*run, F.col("_place").alias("_next"), F.col("_next").alias("_after"))
+        after = (
+            now.join(ahead, [*run, "_next"], "left")
+            .join(marks.distinct(), at, "left")
+            .select(*at, F.col("_after").alias("_next"), (F.col("_mark") | F.coalesce("_hit", F.lit(False))).alias("_mark"))
+        )
+        now, before = staged(after), now
+        release(before)
+    return now.where("_mark").select(*at)
 
 
 def _runs(filled: DataFrame, flag: int, same: list[str], cut: Column) -> DataFrame:

@@ -52,7 +52,6 @@ def logged_gapfill(
     return gapfill.exposure_gapfill_playlog(
         visitors, played, append, flag, attribution.AD_COLUMNS,
         next_day, gapfill.device_hot_keys(raw, ["devid"]),
-        gapfill.device_hot_keys(played, ["devid"]),
     )
 
 

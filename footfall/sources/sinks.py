@@ -71,8 +71,18 @@ def staged(df: DataFrame) -> DataFrame:
 
     For a result that a plan uses several times. Unlike a cache it outlives executors, and
     unlike a checkpoint its readers still prune columns and know its size. The files stay
-    until the folder is cleared.
+    until ``release``, or until the folder is cleared.
     """
     path = f"{shared_folder(df.sparkSession)}/footfall-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.staged_at = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove the files of staged tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

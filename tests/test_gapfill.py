@@ -135,8 +135,7 @@ def test_view_merge(case):
 @pytest.mark.parametrize("next_day", [True, False])
 def test_attribution(case, next_day):
     scans, plays, sdf, pdf = case
-    hot = gapfill.device_hot_keys(pdf, ["devid"], 1) if next_day else None
-    out = attribution.attribute_ads(sdf, pdf, ("adcontent", "ad_length"), next_day, hot)
+    out = attribution.attribute_ads(sdf, pdf, ("adcontent", "ad_length"), next_day)
     want = []
     for s in scans:
         ad = running(plays, s[1], s[8], next_day)
@@ -161,6 +160,49 @@ def test_an_end_years_ahead_is_attributed_without_a_million_buckets(spark):
                    ("d2", 0): "garbage", ("d2", 55): "garbage", ("d2", 80_000): "garbage"}
 
 
+PLAY_TIMES = ("time date, devid string, sch_version int, uploadcount int, pls_index int, play_index int, "
+              "plninfo string, start_ms long, end_ms long, adcontent string")
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_overlapping_plays_are_swept_apart(spark, batch):
+    """Nested, staggered, equal and touching plays, read in small and large batches."""
+    rng = random.Random(4)
+    rows, seconds = [], []
+    for d in range(60):
+        for k in range(rng.randint(1, 9)):
+            start = MIDNIGHT * 1000 + rng.randint(0, 20) * 500
+            end = start + rng.choice([-1, 0, 500, 1000, 3000, 9000, 40_000_000])
+            rows.append((rng.choice([DAY, NEXT]), f"d{d}", 1, 1, 1, 1, "p", start, end, f"ad{k % 4}"))
+        seconds += [(DAY, f"d{d}", "m", MIDNIGHT + s) for s in range(0, 25) for _ in range(2)]
+    plays = spark.createDataFrame(rows, PLAY_TIMES)
+    scans = spark.createDataFrame(seconds, "time date, devid string, mac string, scan_time long")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, batch)
+        got = attribution.attribute_ads(scans, plays, ("adcontent",)).collect()
+        segments = attribution.swept(plays, ("adcontent",)).orderBy("time", "devid", "from").collect()
+    finally:
+        spark.conf.set(setting, before)
+    want = []
+    for day, devid, mac, t in seconds:
+        hits = [p for p in rows if p[1] == devid and p[7] <= t * 1000 <= p[8]]
+        best = min(hits, key=lambda p: (-p[7], p[8], p[9]), default=None)
+        want.append((day, devid, mac, t, best and best[9]))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    for one, other in zip(segments, segments[1:]):
+        assert one.to < other["from"] or (one.time, one.devid) != (other.time, other.devid)
+
+
+def test_attribution_shuffles_each_side_once(spark, case):
+    _, _, sdf, pdf = case
+    text = attribution.swept(pdf, ("adcontent",))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1
+    text = attribution.attribute_ads(sdf, pdf, ("adcontent",))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(sequence" not in text and text.count("MapInArrow") == 1
+
+
 def test_gapfill_from_log(case):
     scans, plays, sdf, pdf = case
     hot = gapfill.device_hot_keys(sdf, ["devid"], 1)
@@ -186,6 +228,25 @@ def test_view_merge_adlen(case, by_content):
     assert any(b - a > 1 for *_, a, b in want)
 
 
+def test_one_run_of_a_whole_day_is_cut_into_views(spark):
+    """A visitor seen in every second of a day, each view lasting as long as the ad allows."""
+    rows = spark.range(86_400).selectExpr(
+        "date '2024-01-01' AS time", "'d' AS devid", "'m' AS mac", "1 AS sch_version", "1 AS uploadcount",
+        "1 AS pls_index", "1 AS play_index", "'p' AS plninfo", f"{MIDNIGHT} + id AS scan_time",
+        f"{MIDNIGHT} + id AS anchor", "0 AS inserted", "cast(null as long) AS p_start",
+        "cast(null as long) AS p_end", "'a' AS adcontent", "cast(7 + (id DIV 1000) % 3 AS int) AS ad_length")
+    views = gapfill.view_merge_adlen(rows, FLAG)
+    want, since = [], None
+    for t in range(86_400):
+        if since is None or t - since > 7 + t // 1000 % 3:
+            since = t
+            want.append([since, since])
+        want[-1][1] = t
+    got = sorted((r.start_ms, r.end_ms) for r in views.collect())
+    base = MIDNIGHT * 1000
+    assert got == [(base + a * 1000, base + (b * 1000 if b > a else a * 1000 + 1)) for a, b in want]
+
+
 def test_logged_job_drops_quiet_devices(case):
     _, plays, sdf, pdf = case
     extra = ["ad_content_id", "suit_kind", "adproduct", "adcustomer", "city_name", "building_no", "building_name"]
