@@ -15,7 +15,7 @@ from __future__ import annotations
 import random
 import zlib
 from bisect import bisect_right
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import Scratch, whole_text
 
@@ -43,8 +44,9 @@ MOST_TASKS = 10_000
 WELL_FILLED = 0.995
 OPEN = 0.95
 
-# Words whose ids a worker remembers; about 200 bytes each.
+# Words whose ids a worker remembers, and how long they may be; about 200 bytes each.
 REMEMBERED = 700_000
+LONGEST_WORD = 64
 
 # Files of one vocabulary: for tokenizers, and as ranks.
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -57,7 +59,8 @@ class _Ids:
 
     Byte-level BPE never joins a word with what precedes its space, nor a line break with the
     word after it, so texts with single spaces and line breaks are put together from their
-    words' ids, which are remembered. Other texts are tokenised whole.
+    words' ids, which are remembered. Other texts are tokenised whole, and so are those that
+    hold the string of an added token such as ``<|endoftext|>``, which the tokenizer reads as it.
 
     New words are encoded by tiktoken from the same vocabulary, several times faster than by
     tokenizers and with the same ids (tested); a line break between them, which is a token of
@@ -75,7 +78,7 @@ class _Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         with open(ranks, "rb") as lines:
             pairs = [line.split() for line in lines if line.strip()]
         self.words = tiktoken.Encoding(
@@ -101,7 +104,7 @@ class _Ids:
     def split(self, text: str) -> list[str] | None:
         """The parts of a text: words with the space before them, words without one marked with
         a null character, and line breaks. None if its white space is of another kind."""
-        if not text or "\0" in text:
+        if not text or "\0" in text or any(t in text for t in self.added):
             return None
         parts = ("\0" + text.replace("\n", " \n \0")).split(" ")
         white = len(text) - sum(map(len, text.split()))
@@ -116,13 +119,14 @@ class _Ids:
         if not known:
             known["\n"] = np.asarray([self.line_break], dtype="<u4").tobytes()
         new = list(set().union(*[p for p in split if p is not None]) - known.keys())
+        found: dict[str, bytes] = {}
         if new:
             plain = [p[1:] if p[0] == "\0" else " " + p for p in new]
-            known.update(zip(new, self.each(plain), strict=True))
+            found = dict(zip(new, self.each(plain), strict=True))
+            known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_WORD)
+        own = ChainMap(known, found) if any(len(p) > LONGEST_WORD for p in new) else known
         rest = iter(self.whole([t for t, p in zip(texts, split, strict=True) if p is None]))
-        return [
-            next(rest) if p is None else b"".join(map(known.__getitem__, p)) for p in split
-        ]
+        return [next(rest) if p is None else b"".join(map(own.__getitem__, p)) for p in split]
 
 
 _ids: dict[str, _Ids] = {}  # one per worker process
@@ -149,10 +153,13 @@ def cut_pieces(
                         rows.append((doc, item, k, a, b - a, zlib.crc32(data[4 * a : 4 * b])))
                         item += 1
                 out = pd.DataFrame(rows, columns=["doc_id", "item", "piece", "start", "length", "ids_crc32"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
+                if whole_numbers:  # with a null among them pandas would make them floats
+                    out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
 
-    schema = PIECES.replace("doc_id long", f"doc_id {docs.schema[id_col].dataType.simpleString()}")
+    id_type = docs.schema[id_col].dataType
+    whole_numbers = isinstance(id_type, IntegralType)
+    schema = PIECES.replace("doc_id long", f"doc_id {id_type.simpleString()}")
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), whole_text(f"`{text_col}`").alias("text")
     )

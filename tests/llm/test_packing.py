@@ -12,9 +12,7 @@ from tests.llm.helpers import documents, empty, odd_documents, prose
 
 
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check(df):
@@ -53,6 +51,13 @@ def test_odd_documents_and_empty_table(spark):
     assert packing.pack(empty(spark)).collect() == []
 
 
+def test_added_tokens_long_words_and_string_identifiers(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|endoftext|", "w" * 150_000, "z " + "q" * 90]
+    check(documents(spark, texts * 2))
+    named = documents(spark, texts).selectExpr("concat('d', doc_id) AS doc_id", "text")
+    check(named.unionByName(named.selectExpr("cast(null AS string) AS doc_id", "text")))
+
+
 def ids_of(texts):
     paths = [public_tokenizers.path(n) for n in (packing.TOKENIZER, packing.RANKS)]
     return [np.frombuffer(x, dtype="<u4").tolist() for x in packing._Ids(*paths)(texts)]
