@@ -13,6 +13,7 @@ themselves add up to the text.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 
@@ -64,6 +65,9 @@ MORE_RULES = (
 # The most strings one part of a regex may stand for before it counts as unknown.
 MOST_STRINGS = 64
 
+# Matches of a text that are folded one after another.
+BLOCK = 128
+
 
 def _simplest(ors: set[frozenset[str]]) -> set[frozenset[str]] | None:
     """An OR of ANDs without terms that another one implies; None if some term demands nothing."""
@@ -160,10 +164,50 @@ def _spans(text: Column, rule: Rule) -> Column:
         ).otherwise(seen["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    found = F.aggregate(sizes, start, add, lambda seen: seen["found"])
+    found = _bound(sizes, lambda all_sizes: _bound(_folded(all_sizes, start, add), _put_together))
     return F.when(text.rlike(rule.regex), found).otherwise(nothing)
 
 
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` names it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _folded(sizes: Column, start: Column, add: Callable) -> Column:
+    """Blocks of matches, each folded from an offset of its own: an array grows by copying, so
+    none of a text's whole length is grown."""
+    last = F.call_function("div", F.size(sizes) - 1, F.lit(BLOCK)).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), last),
+        lambda b: F.aggregate(F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK)), start, add),
+    )
+
+
+def _put_together(blocks: Column) -> Column:
+    """The spans of all blocks, moved by the lengths of the blocks before."""
+    none = F.struct(
+        F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<bigint>)").alias("all")
+    )
+    offsets = F.aggregate(
+        blocks,
+        none,
+        lambda seen, x: F.struct(
+            (seen["at"] + x["at"]).alias("at"), F.concat(seen["all"], F.array(seen["at"])).alias("all")
+        ),
+        lambda seen: seen["all"],
+    )
+
+    def moved(block: Column, by: Column) -> Column:
+        return F.transform(
+            block["found"],
+            lambda s: F.struct(
+                (s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["kind"].alias("kind")
+            ),
+        )
+
+    return F.flatten(F.zip_with(blocks, offsets, moved))
+
+
 def postings(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """The index: (trigram, key) for the trigrams in any rule's query. ``docs``: key, text."""
     queries = [trigram_query(r.regex) for r in rules]

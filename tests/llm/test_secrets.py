@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from footfall.llm import secrets
@@ -48,6 +49,17 @@ def test_odd_documents_and_empty_table(spark):
     assert secrets.secret_report(empty(spark)).collect() == []
 
 
+def test_texts_of_very_many_matches(spark):
+    """Lists of digests: the spans of all blocks are put together."""
+    draw = random.Random(1)
+    lines = [f"{draw.getrandbits(128):032x}" for _ in range(100_000)]
+    texts = [" ".join(lines), "é\n".join(lines[:129]), "token = abcdefgh12;" * 300, "a" * 1_000_000]
+    got = {r.doc_id: r for r in secrets.secret_report(documents(spark, texts)).collect()}
+    for k, text in enumerate(texts):
+        r = got[k]
+        assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == by_brute_force(text)
+
+
 def test_further_rules_only_add_spans(spark):
     key = "ghp_" + "a1B2" * 9
     df = documents(spark, [f"x {key} y", "-----BEGIN RSA PRIVATE KEY-----"])
