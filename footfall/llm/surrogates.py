@@ -19,13 +19,18 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.spread import spread_join
+
 from .common import Scratch, semi_join_listed, whole_text
 
 DEFAULT_KEY = "footfall"
 
+# Rounds in which surrogates are looked for.
+MOST_ROUNDS = 64
+
 # Given names by script and gender, surnames by script.
 GIVEN = {
     ("latin", "f"): "Mary Patricia Jennifer Elizabeth Susan Jessica Sarah Margaret Claire Sofia Ingrid Julia Camille Lucía".split(),
@@ -71,7 +76,7 @@ _NEXT = re.compile(rf"[  ](?P<first>{_WORD})")
 _HAN = re.compile(f"(?P<family>[{''.join(SURNAMES['han'])}])(?P<given>[一-鿿]{{0,2}}?)(?P<title>{'|'.join(HAN_TITLES)})")
 _OWNER = re.compile(r"[’']s$", re.IGNORECASE)
 _LETTERS = re.compile(r"[^\W\d_]+")
-_EMAIL = re.compile(r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)+")
+_AT_DOMAIN = re.compile(r"@[\w-]+(?:\.[\w-]+)+")
 _IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)", re.A)
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", re.A)
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.A)
@@ -81,7 +86,7 @@ _PHONE = re.compile(
     re.A,
 )
 # in this order: an earlier kind takes the characters it matches
-_KINDS = (("email", _EMAIL), ("iban", _IBAN), ("ipv4", _IPV4), ("ssn", _SSN), ("phone", _PHONE), ("card", _CARD))
+_KINDS = (("iban", _IBAN), ("ipv4", _IPV4), ("ssn", _SSN), ("phone", _PHONE), ("card", _CARD))
 _TITLE_PARTS = tuple(t for names in TITLES.values() for t in names)
 _GIVEN_WORDS = {n for names in GIVEN.values() for n in names}
 _GIVEN_WORDS |= {n.upper() for n in _GIVEN_WORDS} | {n.lower() for n in _GIVEN_WORDS}
@@ -105,6 +110,19 @@ def _luhn(digits: str) -> str:
     return str(-total % 10)
 
 
+def _emails(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, place of the @, end) of each address, looked for outwards from the @, so that long
+    runs of letters cost no more than they are long."""
+    floor = 0
+    for m in _AT_DOMAIN.finditer(text):
+        start = at = m.start()
+        while start > floor and (text[start - 1].isalnum() or text[start - 1] in "_.+%-"):
+            start -= 1
+        if start < at:
+            yield start, at, m.end()
+            floor = m.end()
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, entity) of each mention, in order and without overlaps. Entities are
     in canonical form: digits only, lower case, name words with script and gender. A name runs
@@ -119,21 +137,20 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             at = b
         return "".join([*out, text[at:]])
 
+    taken = []
+    for start, at, end in _emails(text):
+        taken.append((start, end))
+        found.append((start, at, "mailbox", text[start:at].lower()))
+        found.append((at + 1, end, "domain", text[at + 1 : end].lower()))
+    if taken:
+        text = masked(taken)
     has_digit = any(d in text for d in "0123456789")
-    for kind, pattern in _KINDS:
-        if not (has_digit if kind != "email" else "@" in text):
-            continue
+    for kind, pattern in _KINDS if has_digit else ():
         taken = []
         for m in pattern.finditer(text):
-            value = m[0]
             taken.append(m.span())
-            if kind == "email":
-                at = m.start() + value.rindex("@")
-                found.append((m.start(), at, "mailbox", value[: at - m.start()].lower()))
-                found.append((at + 1, m.end(), "domain", value[at + 1 - m.start() :].lower()))
-            else:
-                canon = value if kind == "ipv4" else re.sub(r"[^A-Za-z0-9+]", "", value)
-                found.append((*m.span(), kind, canon))
+            canon = m[0] if kind == "ipv4" else re.sub(r"[^A-Za-z0-9+]", "", m[0])
+            found.append((*m.span(), kind, canon))
         if taken:
             text = masked(taken)
     if any(t in text for t in HAN_TITLES):
@@ -243,9 +260,11 @@ def surrogate(kind: str, entity: str, attempt: int, key: str) -> str:
         return _alike(entity, draw) + "x" * (attempt // 4)
     if kind == "ipv4":
         first, *rest = entity.split(".")
-        private = entity.startswith(("10.", "192.168.", "127."))
-        head = first if private else str(1 + draw.below(223))
         keep = 1 if entity.startswith("192.168.") else 0
+        if keep and attempt >= 4:  # that range is small; another private one has room
+            first, keep = "10", 0
+        private = entity.startswith(("10.", "192.168.", "127.")) and attempt < 12
+        head = first if private else str(1 + draw.below(223))
         return ".".join([head, *rest[:keep], *(str(1 + draw.below(254)) for _ in rest[keep:])])
     out = []
     lead = 0
@@ -262,6 +281,8 @@ def surrogate(kind: str, entity: str, attempt: int, key: str) -> str:
             out.append(str(1 + draw.below(9) if c != "0" and k == lead else draw.below(10)))
         else:
             out.append(chr((65 if c.isupper() else 97) + draw.below(26)))
+    # short numbers get more digits, all others only when very many attempts have failed
+    out += [str(draw.below(10)) for _ in range(attempt // 4 if kind == "phone" else attempt // 12)]
     made = "".join(out)
     if kind == "card" and _luhn(entity[:-1]) == entity[-1]:
         made = made[:-1] + _luhn(made[:-1])
@@ -296,10 +317,20 @@ def _mentions(rows: DataFrame) -> DataFrame:
     return rows.select("key", "text").mapInPandas(run, MENTIONS)
 
 
+def _written(value: str) -> tuple[Column, Column]:
+    """What distinctness is about: the word as it is written, for names of any kind, script and
+    sex in one space; other kinds have a space each."""
+    name = F.col("kind").isin("given", "surname")
+    word = F.element_at(F.split(F.col(value), ":", 3), 3)
+    space = F.when(name, F.lit("name")).otherwise(F.col("kind"))
+    return space.alias("space"), F.when(name, word).otherwise(F.col(value)).alias("written")
+
+
 def assign(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """(kind, entity, made): distinct surrogates for distinct (kind, entity), none of them an
-    entity itself. Each round settles at least the smallest entity of every contested surrogate
-    that is free, and the room grows with the attempts, so the rounds end."""
+    """(kind, entity, made): surrogates for distinct (kind, entity) that are written differently,
+    and none of them as an entity is. Each round settles the smallest entity of every contested
+    surrogate that is free. Rooms grow with the attempts (longer words and numbers, wider address
+    ranges), so the rounds end; after MOST_ROUNDS there is an error."""
 
     def make(attempt: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -312,25 +343,29 @@ def assign(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         return run
 
     schema = "kind string, entity string, made string"
-    waiting, settled, attempt = entities, None, 0
-    while True:
-        tried = scratch.write(waiting.select("kind", "entity").mapInPandas(make(attempt), schema))
-        used = entities.select("kind", F.col("entity").alias("made"))
+    waiting, settled = entities, None
+    for attempt in range(MOST_ROUNDS):
+        tried = scratch.write(
+            waiting.select("kind", "entity").mapInPandas(make(attempt), schema)
+        )
+        used = entities.select(*_written("entity"))
         if settled is not None:
-            used = used.unionByName(settled.select("kind", "made"))
+            used = used.unionByName(settled.select(*_written("made")))
         won = (
-            tried.groupBy("kind", "made")
-            .agg(F.min("entity").alias("entity"))
-            .join(used, ["kind", "made"], "left_anti")
-            .select("kind", "entity", "made")
+            tried.select("kind", "entity", "made", *_written("made"))
+            .groupBy("space", "written")
+            .agg(F.min(F.struct("kind", "entity", "made")).alias("first"))
+            .join(used, ["space", "written"], "left_anti")
+            .select("first.*")
         )
         won = scratch.write(won)
         settled = won if settled is None else settled.unionByName(won)
         lost = tried.join(won, ["kind", "entity"], "left_anti").select("kind", "entity")
-        waiting = scratch.write(lost)
+        before, waiting = waiting, scratch.write(lost)
+        scratch.drop(tried, *([before] if attempt else []))
         if waiting.isEmpty():
             return settled
-        attempt += 1
+    raise RuntimeError(f"entities without a surrogate after {MOST_ROUNDS} rounds")
 
 
 def replace_personal_data(
@@ -349,7 +384,9 @@ def replace_personal_data(
     mentions = scratch.write(_mentions(rows).distinct())
     entities = scratch.write(mentions.select("kind", "entity").distinct())
     made = assign(entities, key, scratch)
-    spots = mentions.join(made, ["kind", "entity"]).groupBy("key").agg(
+    # one mail domain or name may hold many of all mentions
+    met = spread_join(mentions, scratch.write(made), ["kind", "entity"], "inner")
+    spots = met.groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "kind", "made"))).alias("spots")
     )
     spots = scratch.write(spots)

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from footfall.llm import surrogates
 from footfall.llm.common import Scratch
@@ -106,3 +108,38 @@ def test_odd_documents_and_empty_table(spark):
         (r.doc_id, r.text) for r in got.na.fill(0, ["doc_id"]).collect()
     )
     assert surrogates.replace_personal_data(empty(spark)).collect() == []
+
+
+def test_small_rooms_grow(spark):
+    """More entities than their own range or length has values for."""
+    entities = [("ipv4", f"192.168.{a}.{b}") for a in range(200) for b in range(200)]
+    entities += [("phone", f"+1{k:04}") for k in range(6000)]
+    df = spark.createDataFrame(entities, "kind string, entity string")
+    got = surrogates.assign(df, "k", Scratch(spark)).collect()
+    assert len(got) == len({(r.kind, r.made) for r in got}) == len(entities)
+    assert not {(r.kind, r.made) for r in got} & set(entities)
+    assert all(re.fullmatch(r"(10|192)(\.\d{1,3}){3}", r.made) for r in got if r.kind == "ipv4")
+
+
+def test_names_are_written_differently_across_kinds_and_sexes(spark):
+    words = "伟 陈 霞 王 芳 李 娜 张 敏 刘 静 黄 丽 周 强".split()
+    entities = [("given", f"han:{sex}:{w}") for w in words for sex in "fm"]
+    entities += [("surname", f"han::{w}") for w in words]
+    entities += [("given", f"latin:{sex}:{w}") for w in ("ann", "lee", "kim") for sex in "fm"]
+    entities += [("surname", f"latin::{w}") for w in ("ann", "lee", "smith", "brown")]
+    df = spark.createDataFrame(entities, "kind string, entity string")
+    made = [r.made.split(":")[2] for r in surrogates.assign(df, "k", Scratch(spark)).collect()]
+    assert len(set(made)) == len(entities)
+    assert not set(made) & {e.split(":")[2] for _, e in entities}
+
+
+def test_addresses_are_found_from_the_at_sign_outwards():
+    pattern = re.compile(r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)+")
+    draw = random.Random(2)
+    pieces = ["a", "b.c", "@", "@x.org", "é_", "-", " ", "..", "@@", "1%+", "q@r.s.", "\n"]
+    for _ in range(3000):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randint(0, 14)))
+        assert [(a, b) for a, _, b in surrogates._emails(text)] == [m.span() for m in pattern.finditer(text)]
+    start = time.perf_counter()
+    assert surrogates.detect("x" * 1_000_000 + " me@here.org " + "a.b" * 300_000)
+    assert time.perf_counter() - start < 20
