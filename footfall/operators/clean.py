@@ -101,26 +101,42 @@ def drop_heavy(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     return spread_join(df, heavy, keys, "left_anti", counts)
 
 
-def roaming_macs(
-    scans: DataFrame, max_scans: int, max_hours: int, t: str = "scan_time"
-) -> DataFrame:
-    """Macs that, on any day, have more than ``max_scans`` scans in all or are seen by one
-    device in more than ``max_hours`` different hours. The hours of a day are held as a
-    24-bit mask, so one aggregation gives both figures."""
-    per_device = scans.groupBy("time", "devid", "mac").agg(
-        F.count(t).alias("_scans"),
-        F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), hour_of(F.col(t)))))
-        .alias("_hours"),
+def mac_summaries(scans: DataFrame, t: str = "scan_time") -> DataFrame:
+    """Per date, device and mac the number of scans and the hours of the day with any, as a
+    24-bit mask. Summaries of parts of a log add up (``merged_summaries``), so those of past
+    dates can be stored and need no scans again."""
+    return scans.groupBy("time", "devid", "mac").agg(
+        F.count(t).alias("scans"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1), hour_of(F.col(t)))).alias("hours"),
     )
+
+
+def merged_summaries(parts: DataFrame) -> DataFrame:
+    """One summary per date, device and mac from several."""
+    return parts.groupBy("time", "devid", "mac").agg(
+        F.sum("scans").alias("scans"), F.bit_or("hours").alias("hours")
+    )
+
+
+def roaming_in(summaries: DataFrame, max_scans: int, max_hours: int) -> DataFrame:
+    """Macs that, on any day, have more than ``max_scans`` scans in all or are seen by one
+    device in more than ``max_hours`` different hours, from their summaries."""
     return (
-        per_device.groupBy("time", "mac")
-        .agg(F.sum("_scans").alias("_scans"), F.max("_hours").alias("_hours"))
+        summaries.groupBy("time", "mac")
+        .agg(F.sum("scans").alias("_scans"), F.max(F.bit_count("hours")).alias("_hours"))
         .where((F.col("_scans") > max_scans) | (F.col("_hours") > max_hours))
         .select("mac")
         .distinct()
     )
 
 
+def roaming_macs(
+    scans: DataFrame, max_scans: int, max_hours: int, t: str = "scan_time"
+) -> DataFrame:
+    """``roaming_in`` of the scans themselves."""
+    return roaming_in(mac_summaries(scans, t), max_scans, max_hours)
+
+
 def dominant_serial(
     scans: DataFrame, keys: list[str], serial: str = "inner_sn"
 ) -> DataFrame:

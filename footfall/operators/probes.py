@@ -10,8 +10,8 @@ from footfall.operators.clean import drop_heavy, spoof_filter
 from footfall.operators.exposures import distinct_seconds
 from footfall.operators.spread import bucket_join, hot_keys, key_counts, lookup_join
 
-# Parts that the macs of a whole network are scattered over.
-PARTS = 32
+# Scans of a whole network are scattered by their mac over parts of about this many.
+ROWS_PER_PART = 250_000
 
 
 def probe_window(
@@ -51,7 +51,7 @@ def probe_counts(
     (device, mac) pairs with more than ``max_scans`` scans on a date do not count. All
     probes and spreads come out of one pass over the scans. Without ``by_device`` the scans of
     a whole network meet in one stretch of time: they are reduced to seconds per mac, and
-    scattered by the mac over parts that each meet all probes.
+    scattered by the mac over parts that each meet all probes; their number follows the scans'.
     """
     widest = max(spreads)
     cleaned = drop_heavy(scans, ["time", "devid", "mac"], max_scans)
@@ -60,9 +60,10 @@ def probe_counts(
         seconds = distinct_seconds(cleaned, ["time", "devid", "mac"])
         near = probe_window(probes, seconds, widest, "scan_time", True, scans)
     else:
-        part = F.pmod(F.xxhash64("mac"), F.lit(PARTS)).cast("int")
+        parts = F.ceil(scans.agg(F.count(F.lit(1)) + 1).scalar() / ROWS_PER_PART).cast("int")
+        part = F.pmod(F.xxhash64("mac"), parts).cast("int")
         seconds = distinct_seconds(cleaned, ["time", "mac"]).withColumn("devid", part)
-        every = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+        every = F.explode(F.sequence(F.lit(0), parts - 1))
         near = probe_window(
             probes.withColumn("devid", every), seconds, widest, "scan_time", True, None, False
         )

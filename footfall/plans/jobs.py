@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import attribution, clean, exposures, fullflow, gapfill, plays
 from footfall.operators.spread import key_counts
-from footfall.sources import tables
+from footfall.sources import sinks, tables
 from footfall.sources.sinks import staged
 
 
@@ -113,6 +113,69 @@ def panel_week(
     return logged_views(seen, enriched, raw=week, **options)
 
 
+def panel_week_daily(
+    path: str,
+    scans: DataFrame,
+    played: DataFrame,
+    panel: DataFrame,
+    pairs: DataFrame,
+    location: DataFrame,
+    schedule: DataFrame,
+    ad_ids: DataFrame,
+    run_date: str,
+    columns: list[str],
+    days: int = 7,
+    **options,
+) -> DataFrame:
+    """``panel_week`` from a table of views partitioned by date at ``path``: a date's views depend
+    on its own scans and the plays of it and the next date, so only dates that the table lacks are
+    worked out, and added to it. Remove a date's folder to have it done again."""
+    last = dt.date.fromisoformat(run_date)
+    week = [last - dt.timedelta(days=k) for k in range(days)]
+    spark = scans.sparkSession
+    missing = [d for d in week if not sinks.has_partition(spark, path, d)]
+    schema = None
+    if missing:
+        first, newest = min(missing), max(missing)
+        views = panel_week(
+            scans, played, panel, pairs, location, schedule, ad_ids, newest.isoformat(), columns,
+            (newest - first).days + 1, **options,
+        ).where(F.col("time").isin(missing))
+        sinks.write_partitions(views, path)
+        schema = views.schema
+    stored = spark.read.schema(schema) if schema is not None else spark.read
+    return tables.scan_days(stored.parquet(path), week)
+
+
+def trailing_exposures_daily(
+    path: str,
+    scans: DataFrame,
+    run_date: str,
+    gap: int,
+    max_scans: int,
+    max_hours: int,
+    days: int = 7,
+) -> DataFrame:
+    """``trailing_exposures`` of the run date for a job that runs every day: the scans of that
+    date are all it reads. Their summaries join the table at ``path``, partitioned by date, whose
+    other dates were written by the runs before (``store_summaries``)."""
+    today = tables.scan_partition(scans, run_date)
+    schema = store_summaries(today, path)
+    first = dt.date.fromisoformat(run_date) - dt.timedelta(days=days - 1)
+    stored = scans.sparkSession.read.schema(schema).parquet(path)
+    week = tables.scan_range(stored, first.isoformat(), run_date)
+    macs = clean.roaming_in(week, max_scans, max_hours)
+    return exposures.exposures(clean.drop_roaming(tables.clip_to_day(today, drop_ap=False), macs), gap)
+
+
+def store_summaries(scans: DataFrame, path: str):
+    """Write the mac summaries of the dates in ``scans`` to a table partitioned by date,
+    replacing these dates; the table's schema."""
+    summaries = clean.mac_summaries(scans)
+    sinks.write_partitions(summaries, path)
+    return summaries.schema
+
+
 def trailing_exposures(
     scans: DataFrame,
     run_date: str,

@@ -474,6 +474,11 @@ SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures('view_info', PAIR)}""
 
 O["raw_scans"] = _with(["view_info"], f"""
 SELECT {DATE_TEXT}, devid, mac, scan_time, sch_version FROM view_info WHERE is_ap = '0'""")
+O["raw_scans_checked"] = _with(["view_info"], f"""
+SELECT {DATE_TEXT}, count(*) AS read, count(*) FILTER (is_ap <> '1') AS accepted,
+       count(*) FILTER (is_ap = '1') AS unreadable FROM view_info GROUP BY view_info.time""")
+O["exposures_bucketed"] = _with(["genuine"], f"""
+SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures("genuine", PAIR)}""")
 O["raw_plays"] = _with(["play_log"], """
 SELECT devid, start_ms, end_ms, TRY_CAST(substr(sv, 1, greatest(length(sv) - 2, 0)) AS INTEGER) AS sch_version,
        TRY_CAST(CASE WHEN length(sv) >= 2 THEN substr(sv, length(sv) - 1, 2) ELSE sv END AS INTEGER) AS uploadcount,
@@ -756,6 +761,7 @@ SELECT * FROM view_info v WHERE {_day('scan_time')} = time AND sch_version <> 0
   AND mac NOT IN (SELECT mac FROM trailing_roaming)""")
 _TRAILING = f"SELECT {DATE_TEXT}, devid, mac, scan_time FROM {_exposures('trailing_scans', PAIR)} e"
 O["exposures_trailing_week"] = _with(["trailing_scans"], _TRAILING + f" WHERE e.time = DATE '{RUN}'")
+O["exposures_trailing_week_daily"] = O["exposures_trailing_week"]
 O["exposures_trailing_week_flow"] = _with(["trailing_scans"], _TRAILING)
 O["city_exposures"] = _with(["exposed_pairs", "device_city", "known"], _city_exposures("device_city"))
 
@@ -827,6 +833,8 @@ LEFT JOIN (SELECT building_name, c.time, count(*) AS facenums
   ON f.building_name = b.building_name AND f.time = b.time""")
 
 O["probe_counts_by_control"] = O["probe_counts"]
+O["probe_counts_pruned"] = f"""SELECT * FROM ({O["probe_counts"]})
+WHERE "at" < epoch(DATE '{FIRST}' + 1)"""
 O["building_day_counts_by_control"] = O["building_day_counts"]
 
 # --- rebuilt play log ---------------------------------------------------------------------
@@ -924,6 +932,7 @@ SELECT CAST(time AS VARCHAR) AS time, devid, mac, {SLOT4}, min(scan_time) * 1000
 FROM walked GROUP BY time, devid, mac, {SLOT4}, view""", ("walked", _walk))
 
 O["panel_week_views"] = O["view_merge_adlen"]
+O["panel_week_views_daily"] = O["view_merge_adlen"]
 
 # --- row functions ------------------------------------------------------------------------
 

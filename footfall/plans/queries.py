@@ -104,9 +104,8 @@ def _stamp(ms):
     return F.concat(text, F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0"))
 
 
-@query
-def raw_scans(spark, sf):
-    """Scan log from text, some of whose times cannot be read."""
+def _raw_scan_log(spark, sf):
+    """The scan log as text, some of whose times cannot be read."""
     logged = a.scan_log(spark, sf).select(
         F.replace(F.col("time").cast("string"), F.lit("-"), F.lit("_")).alias("time"),
         "devid", "mac",
@@ -116,7 +115,40 @@ def raw_scans(spark, sf):
     )
     path = _written_csv(spark, logged)
     text = "time string, devid string, mac string, scan_time string, sch_version string"
-    return tables.normalize_scans(spark.read.csv(path, header=True, schema=text))
+    return spark.read.csv(path, header=True, schema=text)
+
+
+@query
+def raw_scans(spark, sf):
+    """Scan log from text, without the rows whose time cannot be read."""
+    return tables.normalize_scans(_raw_scan_log(spark, sf))
+
+
+@query
+def raw_scans_checked(spark, sf):
+    """What became of the rows of a scan log in text, per date: read, and kept or rejected."""
+    accepted, rejected, _ = sinks.write_checked(
+        tables.checked_scans(_raw_scan_log(spark, sf)), f"{sinks.shared_folder(spark)}/footfall-{uuid4().hex}"
+    )
+    outcomes = accepted.select("time", F.lit("accepted").alias("outcome")).unionByName(
+        rejected.select("time", F.col("reject_reason").alias("outcome"))
+    )
+    return outcomes.groupBy("time").agg(
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(F.col("outcome") == "accepted").alias("accepted"),
+        F.count_if(F.col("outcome") == "unreadable scan_time").alias("unreadable"),
+    )
+
+
+@query
+def exposures_bucketed(spark, sf):
+    """Exposures from scans stored by date, bucketed and sorted by device and mac."""
+    stored = sinks.write_bucketed(
+        clean.spoof_filter(a.scan_log(spark, sf), a.mac_factory(spark, sf)),
+        f"scans_{uuid4().hex}", f"{sinks.shared_folder(spark)}/footfall-{uuid4().hex}", 8,
+        ["devid", "mac"],
+    )
+    return exp.exposures(stored, GAP)
 
 
 @query
@@ -148,6 +180,23 @@ def probe_counts_by_control(spark, sf):
     return probes.probe_counts(listed, a.scan_log(spark, sf), a.face_log(spark, sf), MAX_SCANS)
 
 
+@query
+def probe_counts_pruned(spark, sf):
+    """Counts around moments on the first dates, from logs partitioned by date of which only the
+    moments' dates are read."""
+    moments = a.probes(spark, sf).where(times.day_of(F.col("at")) <= F.to_date(F.lit(FIRST)))
+    dates = moments.select(times.day_of(F.col("at")).alias("time"))
+
+    def stored(rows):
+        path = f"{sinks.shared_folder(spark)}/footfall-{uuid4().hex}"
+        sinks.write_partitions(rows, path)
+        return tables.scan_listed_days(spark.read.schema(rows.schema).parquet(path), dates)
+
+    return probes.probe_counts(
+        moments, stored(a.scan_log(spark, sf)), stored(a.face_log(spark, sf)), MAX_SCANS
+    )
+
+
 @query
 def building_day_counts_by_control(spark, sf):
     """Counts in the buildings and dates of a control table in CSV."""
@@ -563,6 +612,15 @@ def exposures_trailing_week(spark, sf):
     return jobs.trailing_exposures(a.scan_log(spark, sf), RUN, GAP, 45, 6)
 
 
+@query
+def exposures_trailing_week_daily(spark, sf):
+    """The same by a job that runs every day: earlier dates come from stored summaries."""
+    scans = a.scan_log(spark, sf)
+    path = f"{sinks.shared_folder(spark)}/footfall-{uuid4().hex}"
+    jobs.store_summaries(scans.where(F.col("time") < F.to_date(F.lit(RUN))), path)
+    return jobs.trailing_exposures_daily(path, scans, RUN, GAP, 45, 6)
+
+
 @query
 def exposures_trailing_week_flow(spark, sf):
     """The same for each of the seven days."""
@@ -865,6 +923,25 @@ def panel_week_views(spark, sf):
     )
 
 
+@query
+def panel_week_views_daily(spark, sf):
+    """The same from a stored table of views: a first run fills it, a run one date later adds
+    that date only."""
+    path = f"{sinks.shared_folder(spark)}/footfall-{uuid4().hex}"
+
+    def run(day):
+        return jobs.panel_week_daily(
+            path, a.scan_log(spark, sf), a.play_log(spark, sf).drop("citycode"),
+            a.panel(spark, sf), a.panel_pairs(spark, sf), _newest(spark, sf),
+            a.schedule_days(spark, sf), a.ad_ids(spark, sf), day, ["id", *VIEW_COLUMNS], **LOGGED,
+        )
+
+    run("2024-01-06")
+    return run("2024-01-07").select(
+        "time", "devid", "mac", *gapfill.AD_SLOT, "start_ms", "end_ms", "time_diff", "adcontent",
+    )
+
+
 # --- row functions ------------------------------------------------------------------------
 
 @query

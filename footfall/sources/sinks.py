@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 JDBC_REQUIRED = ("url", "dbtable")
@@ -51,6 +51,51 @@ def write_partitions(
     )
 
 
+def has_partition(spark: SparkSession, path: str, day, by: str = "time") -> bool:
+    """Whether a table partitioned by date has a folder for the date."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={day}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def write_bucketed(
+    df: DataFrame, name: str, path: str, buckets: int, keys: list[str], by: str = "time"
+) -> DataFrame:
+    """Write a catalog table partitioned by date and, within a date, bucketed and sorted by keys.
+    Windows, groups and joins by the keys (and more columns) then start without a shuffle. Rows
+    are dealt to the buckets once, so a date has one file per bucket."""
+    (
+        df.repartition(buckets, *keys)
+        .write.format("parquet")
+        .option("path", path)
+        .mode("overwrite")
+        .partitionBy(by)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
+def write_checked(df: DataFrame, path: str, reason: str = "reject_reason") -> tuple[DataFrame, DataFrame, dict]:
+    """Write rows once, those with a reason to reject them apart from the others, and read both
+    parts back: accepted rows, rejected rows, and how many rows were read, accepted and rejected
+    (counted while they were written)."""
+    seen = Observation()
+    counted = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(F.col(reason).isNull()).alias("accepted"),
+        F.count_if(F.col(reason).isNotNull()).alias("rejected"),
+    )
+    rejected = F.col(reason).isNotNull().alias("is_rejected")
+    counted.select("*", rejected).write.partitionBy("is_rejected").parquet(path)
+    back = df.sparkSession.read.schema(
+        df.schema.add("is_rejected", "boolean")
+    ).parquet(path)
+    parts = [back.where(F.col("is_rejected") == flag).drop("is_rejected") for flag in (False, True)]
+    return parts[0], parts[1], seen.get
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Write a report table as one CSV file with a header. For results that are small by
     nature, such as one row per probe or city."""

@@ -56,17 +56,44 @@ def _date(day) -> Column:
     return F.to_date(F.lit(str(day).replace("_", "-")))
 
 
-def normalize_scans(raw: DataFrame) -> DataFrame:
-    """Scan log as logged (text columns) with typed columns; rows whose time or slot numbers
-    cannot be read are dropped. Columns that are already typed pass through."""
+def scan_listed_days(table: DataFrame, control: DataFrame) -> DataFrame:
+    """Rows of the dates that a control table lists in ``time``. On a table partitioned by date
+    Spark reads the control table first and prunes all other dates."""
+    # a comparison on the list is what makes Spark consider pruning by it
+    days = control.select("time").where(F.col("time") >= F.to_date(F.lit("0001-01-01"))).distinct()
+    return table.join(F.broadcast(days), "time", "left_semi")  # no longer than the calendar
+
+
+def checked_scans(raw: DataFrame) -> DataFrame:
+    """``normalize_scans`` with all rows kept: ``reject_reason`` says what could not be read, and
+    ``raw_row`` holds such a row as it was logged, as JSON."""
     numbers = ["sch_version", "uploadcount", "pls_index", "play_index", "signal"]
     typed = {c: F.col(c).cast("string").try_cast("int") for c in numbers if c in raw.columns}
     if dict(raw.dtypes)["scan_time"] == "string":
         typed["scan_time"] = times.scan_seconds(F.col("scan_time"))
     if dict(raw.dtypes).get("time") == "string":
         typed["time"] = times.partition_date(F.col("time"))
-    out = raw.withColumns(typed)
-    return out.where(F.col("scan_time").isNotNull())
+    typed["raw_row"] = F.to_json(F.struct(*raw.columns))
+    return _checked(raw.withColumns(typed), {"scan_time": "scan_time"})
+
+
+def normalize_scans(raw: DataFrame) -> DataFrame:
+    """Scan log as logged (text columns) with typed columns; rows whose time cannot be read are
+    dropped. Columns that are already typed pass through."""
+    return _accepted(checked_scans(raw))
+
+
+def _checked(rows: DataFrame, needed: dict[str, str]) -> DataFrame:
+    """Add ``reject_reason``: the first of the ``needed`` columns (column -> its name in the log)
+    that is null; ``raw_row`` stays where there is one."""
+    missing = [F.when(F.col(c).isNull(), F.lit(f"unreadable {name}")) for c, name in needed.items()]
+    return rows.withColumn("reject_reason", F.coalesce(*missing)).withColumn(
+        "raw_row", F.when(F.col("reject_reason").isNotNull(), F.col("raw_row"))
+    )
+
+
+def _accepted(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reject_reason").isNull()).drop("reject_reason", "raw_row")
 
 
 def clip_to_day(scans: DataFrame, drop_ap: bool = True) -> DataFrame:
@@ -81,10 +108,16 @@ def clip_to_day(scans: DataFrame, drop_ap: bool = True) -> DataFrame:
 def normalize_plays(raw: DataFrame, unversioned: bool = False) -> DataFrame:
     """Play log as logged with ``start_ms``/``end_ms`` and the packed version split up. Rows
     that cannot be read are dropped. Logs without versions get version and batch 0."""
+    return _accepted(checked_plays(raw, unversioned))
+
+
+def checked_plays(raw: DataFrame, unversioned: bool = False) -> DataFrame:
+    """``normalize_plays`` with all rows kept, as ``checked_scans`` does."""
     version = F.lit(0) if unversioned else scalars.version_part(F.col("sv")).try_cast("int")
     batch = F.lit(0) if unversioned else scalars.batch_part(F.col("sv"))
-    return raw.withColumns(
+    typed = raw.withColumns(
         {
+            "raw_row": F.to_json(F.struct(*raw.columns)),
             "start_ms": times.play_millis(F.col("st")),
             "end_ms": times.play_millis(F.col("et")),
             "sch_version": version,
@@ -93,7 +126,8 @@ def normalize_plays(raw: DataFrame, unversioned: bool = False) -> DataFrame:
             "play_index": F.col("idx").cast("string").try_cast("int"),
             "plninfo": F.col("pid"),
         }
-    ).where(F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull())
+    )
+    return _checked(typed, {"start_ms": "st", "end_ms": "et"})
 
 
 def read_probes(spark: SparkSession, path: str) -> DataFrame:

@@ -38,7 +38,8 @@ def table(columns, data):
 WRITING = {
     "write_partition_roundtrip", "play_table_written", "city_play_report", "raw_scans", "raw_plays",
     "probe_counts_by_control", "building_day_counts_by_control", "exposure_gapfill_playlog",
-    "view_merge_adlen", "view_merge_adlen_content", "panel_week_views",
+    "view_merge_adlen", "view_merge_adlen_content", "panel_week_views", "panel_week_views_daily",
+    "raw_scans_checked", "exposures_bucketed", "probe_counts_pruned", "exposures_trailing_week_daily",
 }
 
 
