@@ -293,17 +293,21 @@ FROM (SELECT *, lead(scan_time) OVER (PARTITION BY time, devid, mac
 VIEWS["windows"] = (["visitors"], _windows("visitors"))
 VIEWS["panel_windows"] = (["panel_visitors"], _windows("panel_visitors"))
 
-VIEWS["filled"] = (["windows", "play_log"], """
+def _filled(windows: str, plays: str) -> str:
+    return f"""
 SELECT time, devid, mac, sch_version, uploadcount, pls_index, play_index, plninfo, scan_time,
        0::BIGINT AS time_diff, 0 AS inserted, scan_time AS anchor, NULL::BIGINT AS p_start, NULL::BIGINT AS p_end
-FROM windows
+FROM {windows}
 UNION ALL
 SELECT w.time, w.devid, w.mac, p.sch_version, p.uploadcount, p.pls_index, p.play_index,
        p.plninfo, p.start_ms // 1000, CASE WHEN closed THEN p.start_ms - w.scan_time * 1000 ELSE 0 END,
        1, w.scan_time, p.start_ms, p.end_ms
-FROM windows w JOIN play_log p ON p.time = w.time AND p.devid = w.devid
+FROM {windows} w JOIN {plays} p ON p.time = w.time AND p.devid = w.devid
  AND p.start_ms >= w.scan_time * 1000 AND p.start_ms < w.until * 1000
-WHERE closed OR p.end_ms <= w.until * 1000""")
+WHERE closed OR p.end_ms <= w.until * 1000"""
+
+
+VIEWS["filled"] = (["windows", "play_log"], _filled("windows", "play_log"))
 
 ROW_ORDER = "anchor, inserted, p_start, p_end, sch_version, uploadcount, pls_index, play_index, plninfo"
 SLOT4 = "sch_version, uploadcount, pls_index, play_index"
@@ -360,7 +364,7 @@ WINDOW w AS (PARTITION BY time, citycode, sch_version, uploadcount ORDER BY pls_
 
 VIEWS["sessions"] = (["main_sn", "cycle"], """
 SELECT time, devid, citycode, sch_version, uploadcount, pls_index, play_index, plninfo, ad_ms, lap_ms, lap_from,
-       ord, min(scan_time) * 1000 AS start_ms,
+       slot_pos, n_slots, ord, min(scan_time) * 1000 AS start_ms,
        CASE WHEN count(*) = 1 THEN min(scan_time) * 1000 + 1 ELSE max(scan_time) * 1000 END AS end_ms,
        CASE WHEN count(*) = 1 THEN 1 ELSE (max(scan_time) - min(scan_time)) * 1000 END >= ad_ms AS is_seed
 FROM (SELECT *, sum(CASE WHEN pt IS NULL OR ps <> slot OR (scan_time - pt) * 1000 > ad_ms THEN 1 ELSE 0 END)
@@ -368,6 +372,7 @@ FROM (SELECT *, sum(CASE WHEN pt IS NULL OR ps <> slot OR (scan_time - pt) * 100
       FROM (SELECT *, lag(scan_time) OVER w AS pt, lag(slot) OVER w AS ps
             FROM (SELECT s.time, s.devid, s.city AS citycode, s.sch_version, s.uploadcount, s.pls_index,
                          s.play_index, s.plninfo, s.scan_time, c.ad_ms, c.lap_ms, c.lap_from,
+                         c.slot_pos, c.n_slots,
                          (s.sch_version, s.uploadcount, s.pls_index, s.play_index, s.plninfo) AS slot
                   FROM (SELECT *, first(citycode) OVER (PARTITION BY time, devid ORDER BY scan_time, sch_version,
                                  uploadcount, pls_index, play_index, plninfo) AS city FROM main_sn) s
@@ -376,10 +381,11 @@ FROM (SELECT *, sum(CASE WHEN pt IS NULL OR ps <> slot OR (scan_time - pt) * 100
                    AND c.play_index = s.play_index AND c.plninfo = s.plninfo)
             WINDOW w AS (PARTITION BY time, devid ORDER BY scan_time, slot)))
 GROUP BY time, devid, citycode, sch_version, uploadcount, pls_index, play_index, plninfo, ad_ms, lap_ms, lap_from,
-         ord""")
+         slot_pos, n_slots, ord""")
 
 # Step by step, one inserted play at a time.
-VIEWS["gaps"] = (["sessions"], f"""
+def _gaps(sessions: str) -> str:
+    return f"""
 SELECT *, CASE
     WHEN nxt IS NULL THEN least(end_ms + 36000000, midnight)
     WHEN NOT is_seed THEN NULL
@@ -388,21 +394,24 @@ SELECT *, CASE
 FROM (SELECT *, lead(start_ms) OVER w AS nxt, lead(sch_version) OVER w AS nv, lead(uploadcount) OVER w AS nb,
              ord = min(ord) OVER (PARTITION BY time, devid) AS is_first,
              (epoch(time)::BIGINT + 86400) * 1000 AS midnight, (epoch(time)::BIGINT + 21600) * 1000 AS six
-      FROM sessions WINDOW w AS (PARTITION BY time, devid ORDER BY ord))""")
+      FROM {sessions} WINDOW w AS (PARTITION BY time, devid ORDER BY ord))"""
 
 
-def _step(forward: bool) -> str:
+VIEWS["gaps"] = (["sessions"], _gaps("sessions"))
+
+
+def _step(forward: bool, name: str = "stepped", gaps: str = "gaps") -> str:
     ends, link, ok = (
         ("s.e AS s, s.e + c.ad_ms AS e", "next", "s.e + c.ad_ms <= s.edge") if forward else
         ("s.s - c.ad_ms AS s, s.s AS e", "prev", "s.s - c.ad_ms >= s.edge"))
-    first = ("end_ms AS s, end_ms AS e, fill_to AS edge FROM gaps WHERE fill_to IS NOT NULL" if forward else
-             "start_ms AS s, start_ms AS e, six AS edge FROM gaps WHERE is_first")
+    first = (f"end_ms AS s, end_ms AS e, fill_to AS edge FROM {gaps} WHERE fill_to IS NOT NULL" if forward else
+             f"start_ms AS s, start_ms AS e, six AS edge FROM {gaps} WHERE is_first")
     return f"""
 SELECT time, devid, citycode, sch_version, uploadcount, pls_index, play_index, plninfo, false AS new, {first}
 UNION ALL
 SELECT s.time, s.devid, s.citycode, s.sch_version, s.uploadcount, c.pls_index, c.play_index, c.plninfo, true,
        {ends}, s.edge
-FROM stepped s
+FROM {name} s
 JOIN cycle f ON f.time = s.time AND f.citycode = s.citycode AND f.sch_version = s.sch_version
  AND f.uploadcount = s.uploadcount AND f.pls_index = s.pls_index AND f.play_index = s.play_index
  AND f.plninfo = s.plninfo
@@ -412,8 +421,9 @@ JOIN cycle c ON c.time = s.time AND c.citycode = s.citycode AND c.sch_version =
 WHERE {ok}"""
 
 
-def _with(names: list[str], body: str, recursive: tuple[str, str] | None = None) -> str:
-    """The query preceded by the views it needs, each once, dependencies first."""
+def _with(names: list[str], body: str, *more: tuple[str, str]) -> str:
+    """The query preceded by the views it needs, each once, dependencies first, and by ``more``
+    of its own, which may be recursive."""
     done: list[str] = []
 
     def add(name: str) -> None:
@@ -426,9 +436,8 @@ def _with(names: list[str], body: str, recursive: tuple[str, str] | None = None)
     for name in names:
         add(name)
     parts = [f"{name} AS ({VIEWS[name][1]})" for name in done]
-    if recursive:
-        parts.append(f"{recursive[0]} AS ({recursive[1]})")
-    head = "WITH RECURSIVE " if recursive else "WITH "
+    parts += [f"{name} AS ({body_of})" for name, body_of in more]
+    head = "WITH RECURSIVE " if more else "WITH "
     return (head + ",\n".join(parts) + "\n" if parts else "") + body
 
 
@@ -846,20 +855,109 @@ SELECT CAST(time AS VARCHAR) AS time, citycode, sch_version, uploadcount, pls_in
 O["play_sessions"] = _with(["sessions"], f"""
 SELECT {DATE_TEXT}, devid, citycode, sch_version, uploadcount, pls_index, play_index, plninfo,
        start_ms, end_ms, is_seed FROM sessions""")
-_PER_SLOT = f"""
+def _per_slot(rows: str) -> str:
+    return f"""
 SELECT CAST(time AS VARCHAR) AS time, devid, sch_version, uploadcount, pls_index, play_index, count(*) AS plays,
        sum(s - {BASE}000)::BIGINT AS starts, sum(e - {BASE}000)::BIGINT AS ends, min(s) AS first_ms
-FROM stepped WHERE new GROUP BY ALL"""
+FROM {rows} GROUP BY ALL"""
+
+
+_PER_SLOT = _per_slot("stepped WHERE new")
 O["play_fill_forward"] = _with(["gaps", "cycle"], _PER_SLOT, ("stepped", _step(True)))
 O["play_table_written"] = O["play_fill_forward"]
 O["play_fill_backward"] = _with(["gaps", "cycle"], _PER_SLOT, ("stepped", _step(False)))
 
+# Settling: a device-day is one list of plays. A pass goes over it from left to right, carrying the
+# plays done so far; passes are repeated until nothing changes, first for seeds, then for growth.
+VIEWS["listed"] = (["sessions"], """
+SELECT time, devid, list({'ord': ord::BIGINT, 's': start_ms::BIGINT, 'e': end_ms::BIGINT, 'sd': is_seed,
+                          'ln': ad_ms::BIGINT, 'lap': lap_ms::BIGINT, 'fw': fw} ORDER BY ord) AS l
+FROM (SELECT *, coalesce(lag(sch_version) OVER w = sch_version AND lag(uploadcount) OVER w = uploadcount
+                         AND (lag(slot_pos) OVER w + 1) % n_slots = slot_pos, false) AS fw
+      FROM sessions WINDOW w AS (PARTITION BY time, devid ORDER BY ord))
+GROUP BY time, devid""")
+
+
+def _play(of: str, s: str, e: str, sd: str, following: bool = True) -> str:
+    ahead = f", 'ns': {of}.ns, 'nsd': {of}.nsd, 'nfw': {of}.nfw" if following else ""
+    return (f"{{'ord': {of}.ord, 's': {s}, 'e': {e}, 'sd': {sd}, 'ln': {of}.ln, 'lap': {of}.lap, "
+            f"'fw': {of}.fw{ahead}}}")
+
+
+def _pass(step: str) -> str:
+    """One pass: ``step`` gives the plays done so far (acc) and one more (x) from the play before
+    (acc[-1]), the play (x[1]) and what the next one was like (ns, nsd, nfw)."""
+    ahead = ("list_transform(l, lambda y, k: [{'ord': y.ord, 's': y.s, 'e': y.e, 'sd': y.sd, 'ln': y.ln, "
+             "'lap': y.lap, 'fw': y.fw, 'ns': l[k + 1].s, 'nsd': l[k + 1].sd, 'nfw': l[k + 1].fw}])")
+    nobody = ("[[{'ord': -1::BIGINT, 's': 0::BIGINT, 'e': 0::BIGINT, 'sd': false, 'ln': 0::BIGINT, 'lap': 0::BIGINT, "
+              "'fw': false, 'ns': NULL::BIGINT, 'nsd': false, 'nfw': false}]]")
+    done = f"list_reduce({nobody} || {ahead}, lambda acc, x: {step})"
+    return f"list_transform(({done})[2:], lambda z: {_play('z', 'z.s', 'z.e', 'z.sd', False)})"
+
+
+def _seed_pass() -> str:
+    p, c = "acc[-1]", "x[1]"
+    gap, later = f"({c}.s - {p}.e)", f"({c}.ns - {c}.e)"
+    before = f"acc[: len(acc) - 1] || [{{}}] || x"
+    behind = f"{p}.ord >= 0"  # there is a play before
+    return _pass(f"""CASE
+      WHEN {c}.sd AND {behind} AND {c}.fw AND NOT {p}.sd AND {gap} = 0
+      THEN {before.format(_play(p, f"{p}.e - {p}.ln", f"{p}.e", "true"))}
+      WHEN {c}.sd AND {behind} AND {c}.fw AND NOT {p}.sd AND {gap} > 0 AND {gap} < {p}.lap
+      THEN {before.format(_play(p, f"{p}.s", f"{c}.s", f"{c}.s - {p}.s >= {p}.ln"))}
+      WHEN {c}.sd OR NOT {behind} THEN acc || x
+      WHEN {c}.fw AND {p}.sd AND {gap} = 0
+      THEN acc || [{_play(c, f"{c}.s", f"{c}.s + {c}.ln", "true")}]
+      WHEN {c}.fw AND {p}.sd AND {gap} > 0 AND {gap} < {c}.lap
+      THEN acc || [{_play(c, f"{p}.e", f"{c}.e", f"{c}.e - {p}.e >= {c}.ln")}]
+      WHEN {c}.fw AND {p}.sd THEN acc || x
+      WHEN {c}.nfw AND {c}.nsd AND {later} > 0 AND {later} < {c}.lap
+      THEN acc || [{_play(c, f"{c}.ns - {c}.ln", f"{c}.ns", "true")}]
+      ELSE acc || x END""")
+
+
+def _growth_pass() -> str:
+    p, c = "acc[-1]", "x[1]"
+    left = f"greatest(0, CASE WHEN {p}.ord < 0 THEN 200 ELSE least(200, {c}.s - {p}.e) END)"
+    grown = f"({left} > 0 AND {c}.e - {c}.s + {left} >= {c}.ln)"
+    free = f"CASE WHEN {c}.ns IS NOT NULL THEN least(200, {c}.ns - {c}.e) WHEN {p}.ord < 0 THEN 200 ELSE 0 END"
+    right = f"CASE WHEN {grown} THEN 0 ELSE greatest(0, {free}) END"
+    long = f"({left} + {right} > 0 AND {c}.e - {c}.s + {left} + {right} >= {c}.ln)"
+    return _pass(f"""CASE WHEN {c}.sd THEN acc || x
+      ELSE acc || [{_play(c, f"{c}.s - {left}", f"{c}.e + {right}", long)}] END""")
+
+
+_SETTLING = ("settling", f"""
+SELECT time, devid, 1 AS phase, l FROM listed
+UNION ALL
+SELECT time, devid, CASE WHEN after = l THEN phase + 1 ELSE phase END, after
+FROM (SELECT *, CASE WHEN phase = 1 THEN {_seed_pass()} ELSE {_growth_pass()} END AS after
+      FROM settling WHERE phase < 3)""")
+_SETTLED = ("settled_plays", """
+SELECT s.* REPLACE (x.s AS start_ms, x.e AS end_ms, x.sd AS is_seed)
+FROM sessions s JOIN (SELECT time, devid, unnest(l) AS x FROM settling WHERE phase = 3) u
+  ON u.time = s.time AND u.devid = s.devid AND x.ord = s.ord""")
+_REBUILT = [
+    _SETTLING, _SETTLED, ("settled_gaps", _gaps("settled_plays")),
+    ("fore", _step(True, "fore", "settled_gaps")), ("back", _step(False, "back", "settled_gaps")),
+    ("rebuilt", """
+SELECT time, devid, sch_version, uploadcount, pls_index, play_index, plninfo, s, e FROM fore WHERE new
+UNION ALL SELECT time, devid, sch_version, uploadcount, pls_index, play_index, plninfo, s, e FROM back WHERE new
+UNION ALL SELECT time, devid, sch_version, uploadcount, pls_index, play_index, plninfo, start_ms, end_ms
+FROM settled_plays"""),
+]
+O["seed_plays"] = _with(["sessions", "listed"], f"""
+SELECT {DATE_TEXT}, devid, citycode, sch_version, uploadcount, pls_index, play_index, plninfo,
+       start_ms, end_ms, is_seed FROM settled_plays""", _SETTLING, _SETTLED)
+O["play_log_rebuilt"] = _with(["sessions", "listed", "cycle"], _per_slot("rebuilt"), *_REBUILT)
+
 # --- gap-fill and views -------------------------------------------------------------------
 
 O["exposure_gapfill"] = _with(["filled"], f"""
 SELECT {DATE_TEXT}, devid, mac, sch_version, uploadcount, pls_index, play_index, plninfo, scan_time, time_diff,
        inserted FROM filled""")
-O["view_merge"] = _with(["filled"], f"""
+def _views(filled: str) -> str:
+    return f"""
 SELECT CAST(time AS VARCHAR) AS time, devid, mac, {SLOT4}, min(scan_time) * 1000 AS start_ms,
        CASE WHEN count(*) = 1 THEN min(scan_time) * 1000 + 1 ELSE max(scan_time) * 1000 END AS end_ms,
        max(time_diff) FILTER (fresh) AS time_diff
@@ -867,8 +965,17 @@ FROM (SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER
         (PARTITION BY time, devid, mac ORDER BY {ROW_ORDER} ROWS UNBOUNDED PRECEDING) AS run
       FROM (SELECT *, pt IS NULL OR scan_time - pt > {FLAG} OR ps <> ({SLOT4}) AS fresh
             FROM (SELECT *, lag(scan_time) OVER w AS pt, lag(({SLOT4})) OVER w AS ps
-                  FROM filled WINDOW w AS (PARTITION BY time, devid, mac ORDER BY {ROW_ORDER}))))
-GROUP BY time, devid, mac, {SLOT4}, run""")
+                  FROM {filled} WINDOW w AS (PARTITION BY time, devid, mac ORDER BY {ROW_ORDER}))))
+GROUP BY time, devid, mac, {SLOT4}, run"""
+
+
+O["view_merge"] = _with(["filled"], _views("filled"))
+O["view_merge_rebuilt"] = _with(["sessions", "listed", "cycle", "main_sn"], f"""
+SELECT time, devid, {SLOT4}, count(*) AS views, sum(end_ms - start_ms)::BIGINT AS viewed_ms
+FROM rebuilt_views GROUP BY ALL""", *_REBUILT,
+    ("rebuilt_plays", "SELECT * RENAME (s AS start_ms, e AS end_ms) FROM rebuilt"),
+    ("few_scans", _light("main_sn", 1000)), ("few_windows", _windows("few_scans")),
+    ("rebuilt_filled", _filled("few_windows", "rebuilt_plays")), ("rebuilt_views", _views("rebuilt_filled")))
 O["max_ad_length"] = _with(["lengths"], "SELECT * FROM lengths")
 O["enrich_plays"] = _with(["enriched"], """
 SELECT devid, start_ms, end_ms, plninfo, adcontent, ad_content_id, suit_kind, ad_length, adproduct, adcustomer,
