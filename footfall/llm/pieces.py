@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ BATCH_CHARACTERS = 4_000_000
 
 # Strings in which models that change more than spaces, or join words, show themselves.
 PROBES = (
-    "", " ", "  ", "a", " a", "a ", " a  b   c ", "a\tb\n c\r\n", "▁x ▁", "ﬁ①",
-    "é é", "　a b", "​ ­﻿", "\u0000 \u0001", "ＡＢ", "<s> </s> <unk>",
+    "", " ", "  ", "a", " a", "a ", " a  b   c ", "a\tb\n c\r\n", "\u2581x \u2581", "\ufb01 \u2460",
+    "\u00e9 e\u0301", "\u3000a\u00a0b", "\u200b \u00ad\ufeff", "\0 \1", "\uff21\uff22", "<s> </s> <unk>",
     "Ab, CD. ef! 12 345", "naïve Straße 你好 \U0001f600 x",
 )
 
@@ -57,6 +58,10 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=model)
         ids = self.model.encode(f"a{MARK}")
         self.lone = ids[len(self.model.encode("a")) :]
+        model, size = self.model, len(self.model)
+        self.letters = [model.id_to_piece(k).replace(MARK, " ") for k in range(size)]
+        kinds = (model.is_byte, model.is_control, model.is_unknown, model.is_unused)
+        self.odd = np.asarray([any(f(k) for f in kinds) for k in range(size)])
 
     def words(self, text: str) -> list[str]:
         """The marked words of a text; one marker is put before it, as the model does."""
@@ -67,9 +72,29 @@ class Pieces:
         ids = self.model.encode([w[1:] for w in words])
         return [found if len(w) > 1 else self.lone for w, found in zip(words, ids, strict=True)]
 
-    def texts(self, ids: list[list[int]]) -> list[str]:
-        """Marked words' texts from their ids; the model drops the first marker of each."""
-        return [" " + t for t in self.model.decode(ids)] if ids else []
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """Marked words' texts from their ids, of which word k has ``counts[k]``. Ids that are no
+        letters (bytes and the like) are decoded by the model, which drops the first marker."""
+        ends = np.cumsum(counts, dtype=np.int64)
+        odd = np.concatenate(([0], np.cumsum(self.odd[ids])))
+        plain = (odd[ends] == odd[ends - counts]).tolist()
+        ids, ends, letters = ids.tolist(), ends.tolist(), self.letters.__getitem__
+        spans = list(zip([0, *ends], ends, strict=False))
+        out = [
+            "".join(map(letters, ids[a:b])) if easy else None
+            for easy, (a, b) in zip(plain, spans, strict=True)
+        ]
+        hard = [k for k, easy in enumerate(plain) if not easy]
+        if hard:
+            found = self.model.decode([ids[a:b] for a, b in (spans[k] for k in hard)])
+            for k, text in zip(hard, found, strict=True):
+                out[k] = " " + text
+        return out
+
+    def decoded(self, parts: list[list[int]]) -> str:
+        """The text of a document from the ids of its marked words."""
+        ids = np.fromiter(chain.from_iterable(parts), dtype="<u4")
+        return "".join(self.texts(ids, np.asarray([len(p) for p in parts], dtype=np.int64)))[1:]
 
     def splits(self) -> bool:
         """Whether ids and texts can be put together from marked words: no piece has a marker
@@ -80,9 +105,7 @@ class Pieces:
         for probe in PROBES:
             parts = self.segment(self.words(probe))
             ids = [i for part in parts for i in part]
-            if ids != self.model.encode(probe):
-                return False
-            if "".join(self.texts(parts))[1:] != self.model.decode(ids):
+            if ids != self.model.encode(probe) or self.decoded(parts) != self.model.decode(ids):
                 return False
         return True
 
@@ -151,11 +174,12 @@ class _Block:
         words = list(self.numbers)
         every = np.concatenate(self.documents) if self.documents else np.zeros(0, "<u4")
         counts = np.bincount(every, minlength=len(words))
-        order = sorted(range(len(words)), key=lambda k: (-counts[k], words[k]))
+        by_name = np.asarray(sorted(range(len(words)), key=words.__getitem__), dtype=np.int64)
+        order = by_name[np.argsort(-counts[by_name], kind="stable")]
         anew = np.zeros(len(words), dtype="<u4")
         anew[order] = np.arange(len(words), dtype="<u4")
         dealt: dict[int, tuple[list[int], list[str]]] = {}
-        for number, k in enumerate(order):
+        for number, k in enumerate(order.tolist()):
             at, own = dealt.setdefault(zlib.crc32(words[k].encode()) % parts, ([], []))
             at.append(number)
             own.append(words[k])
@@ -221,13 +245,12 @@ def _segment_parts(model: str):
                     part, known = r["part"], {}
                 words = _unpacked_words(r["words"], r["sizes"])
                 new = [w for w in words if w not in known]
-                for w, ids in zip(new, pieces.segment(new), strict=True):
-                    known[w] = np.asarray(ids, dtype="<u4")
+                known.update(zip(new, pieces.segment(new), strict=True))
                 ids = [known[w] for w in words]
                 counts = np.fromiter(map(len, ids), dtype="<u4", count=len(ids))
+                found = np.fromiter(chain.from_iterable(ids), dtype="<u4")
                 answer = {
-                    "block": r["block"], "part": part,
-                    "found": packed(np.concatenate(ids)), "counts": packed(counts),
+                    "block": r["block"], "part": part, "found": packed(found), "counts": packed(counts)
                 }
                 yield pa.RecordBatch.from_pylist([answer], schema=pa.schema(fields))
 
@@ -274,14 +297,11 @@ def _tables(pieces: Pieces, lists: list[dict], answers: list[dict]) -> tuple[lis
     data: list = [None] * total
     texts: list = [None] * total
     for x in answers:
-        at = places[x["part"]].tolist()
-        found = unpacked(x["found"])
-        raw, numbers = found.tobytes(), found.tolist()
-        ends = np.cumsum(unpacked(x["counts"]), dtype=np.int64).tolist()
-        spans = list(zip([0, *ends], ends, strict=False))
-        decoded = pieces.texts([numbers[a:b] for a, b in spans])
-        for n, (a, b), text in zip(at, spans, decoded, strict=True):
-            data[n], texts[n] = raw[4 * a : 4 * b], text
+        found, counts = unpacked(x["found"]), unpacked(x["counts"]).astype(np.int64)
+        raw, ends = found.tobytes(), np.cumsum(counts * 4).tolist()
+        own = pieces.texts(found, counts)
+        for n, a, b, text in zip(places[x["part"]].tolist(), [0, *ends], ends, own, strict=False):
+            data[n], texts[n] = raw[a:b], text
     return data, texts
 
 
