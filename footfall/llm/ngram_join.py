@@ -1,9 +1,11 @@
 """Self-join of documents on the Jaccard similarity of their word shingles.
 
 Copies (equal shingle sets) fall together first. The signatures of the rest are the label
-sequences of a MinHash LSH forest: ``TREES`` sorted prefix tries of ``LABELS`` labels each. The
-matched prefix is shortened, label by label, until a pair at the threshold is found with the
-target recall; texts below the same trie node are candidates. Candidates whose whole signatures
+sequences of a MinHash LSH forest: ``TREES`` prefix tries of ``LABELS`` labels each. The matched
+prefix is shortened, label by label, until a pair at the threshold is found with the target
+recall. That depends on threshold and target only, so the depth is one for all texts (4 labels at
+0.8 and 0.999), and texts below the same trie node are grouped by a hash of their prefix instead
+of being sorted; the labels below it tell candidates apart. Candidates whose whole signatures
 are too far apart are dropped; the rest link texts to families. Within families all pairs are
 verified on their exact shingle sets, large families as blocks of bounded size, and only counts
 and spanning links leave a block.
@@ -27,9 +29,9 @@ THRESHOLD = 0.8
 RECALL = 0.999
 TREES, LABELS = 16, 8
 
-# A pair at the threshold agrees in fewer labels than this once in ten million pairs (five
-# standard deviations of 128 labels below the mean).
-LEAST_AGREEING = 0.62
+# How many standard deviations below the mean a pair's agreeing labels may lie: a pair at the
+# threshold has fewer once in some millions of pairs.
+DEVIATIONS = 5
 
 # Texts, and shingles, of one block of a family or trie node.
 BLOCK_TEXTS = 1024
@@ -46,6 +48,12 @@ def prefix_length(threshold: float, recall: float, trees: int = TREES, most: int
     return length
 
 
+def least_agreeing(threshold: float, labels: int = TREES * LABELS) -> float:
+    """Labels in which a pair at the threshold agrees at least, but for very few."""
+    spread = (threshold * (1 - threshold) * labels) ** 0.5
+    return max(1.0, threshold * labels - DEVIATIONS * spread)
+
+
 def _signatures(rows: DataFrame, length: int) -> DataFrame:
     """Per row: set_id (digest of its shingle set), n, trie nodes at the prefix, signature."""
     places = numbers(length, 4)
@@ -142,27 +150,30 @@ def _blocks(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _near_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links between texts of a block whose signatures agree enough."""
-    need = LEAST_AGREEING * TREES * LABELS
-    out: list[tuple[bytes, bytes]] = []
-    for group in _groups(batches, ["node", "x", "y"]):
-        ids = group["set_id"].to_numpy()
-        marks = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(ids), -1)
-        side = group["side"].to_numpy()
-        across = group["x"].iloc[0] != group["y"].iloc[0]
-        forest = _Forest(len(ids))
-        for a in range(len(ids) - 1):
-            agree = (marks[a + 1 :] == marks[a]).sum(axis=1) >= need
-            if across:
-                agree &= side[a + 1 :] != side[a]
-            for b in np.flatnonzero(agree):
-                forest.join(a, a + 1 + int(b))
-        out += [(ids[a], ids[b]) for a, b in forest.links()]
-        if len(out) > 10_000:
-            yield pd.DataFrame(out, columns=["a", "b"])
-            out = []
-    yield pd.DataFrame(out, columns=["a", "b"])
+def _near_signatures(need: float):
+    """The pandas function that links texts of a block whose signatures agree in ``need`` labels."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple[bytes, bytes]] = []
+        for group in _groups(batches, ["node", "x", "y"]):
+            ids = group["set_id"].to_numpy()
+            marks = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(ids), -1)
+            side = group["side"].to_numpy()
+            across = group["x"].iloc[0] != group["y"].iloc[0]
+            forest = _Forest(len(ids))
+            for a in range(len(ids) - 1):
+                agree = (marks[a + 1 :] == marks[a]).sum(axis=1) >= need
+                if across:
+                    agree &= side[a + 1 :] != side[a]
+                for b in np.flatnonzero(agree):
+                    forest.join(a, a + 1 + int(b))
+            out += [(ids[a], ids[b]) for a, b in forest.links()]
+            if len(out) > 10_000:
+                yield pd.DataFrame(out, columns=["a", "b"])
+                out = []
+        yield pd.DataFrame(out, columns=["a", "b"])
+
+    return run
 
 
 def _linked(sets: list[np.ndarray], threshold: float) -> Iterator[tuple[int, np.ndarray]]:
@@ -252,13 +263,16 @@ def near_copies(
     n_texts the linked texts that differ. ``keep`` marks the document of each class with the
     smallest identifier (null last). Texts without words, null ones too, are linked to nothing.
     Rows that repeat identifier and text are counted each and marked alike. An empty table gives
-    an empty result.
+    an empty result. A recall that the forest cannot reach at the threshold is an error.
     """
+    length, need = prefix_length(threshold, recall), least_agreeing(threshold)
+    if 1 - (1 - threshold**length) ** TREES < recall:
+        raise ValueError(f"{TREES} trees cannot find pairs at {threshold} with a recall of {recall}")
     scratch = Scratch(docs.sparkSession)
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), whole_text(f"`{text_col}`").alias("text")
     ).withColumn("key", F.xxhash64("doc_id", "text"))
-    signed = scratch.write(_signatures(rows, prefix_length(threshold, recall)))
+    signed = scratch.write(_signatures(rows, length))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
     texts = scratch.write(
         signed.where("n > 0")
@@ -283,7 +297,7 @@ def near_copies(
         texts.select("set_id", "sketch").hint("merge"), "set_id"
     )
     likely = _blocks(met, "node").select("node", "x", "y", "side", "set_id", "sketch")
-    likely = scratch.write(likely.mapInPandas(_near_signatures, "a binary, b binary"))
+    likely = scratch.write(likely.mapInPandas(_near_signatures(need), "a binary, b binary"))
     families = scratch.write(components(likely, scratch).withColumnRenamed("node", "set_id"))
 
     members = scratch.write(

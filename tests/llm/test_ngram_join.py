@@ -96,6 +96,31 @@ def test_prefixes_shorten_until_the_recall_is_met():
     assert ngram_join.prefix_length(0.1, 1.0) == 1
 
 
+@pytest.mark.parametrize("threshold, recall", [(0.8, 0.999), (0.6, 0.999), (0.5, 0.999), (0.35, 0.99)])
+def test_recall_at_other_thresholds(spark, threshold, recall):
+    """Pairs on all sides of the threshold, counted against brute force."""
+    base = [prose(k, 150) for k in range(12)]
+    texts = base + [varied(base[k % 12], 1 + k % 23, k) for k in range(220)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.lower().replace(".", "").split() for t in texts)]
+    want = Counter()
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both / (len(sets[a]) + len(sets[b]) - both) >= threshold:
+                want[a] += 1
+                want[b] += 1
+    got = ngram_join.near_copies(documents(spark, texts), threshold=threshold, recall=recall)
+    found = {r.doc_id: r.n_links for r in got.collect()}
+    assert all(found[k] <= want[k] for k in found)
+    assert sum(found.values()) >= 0.99 * sum(want.values()) > 0
+
+
+def test_a_recall_out_of_reach_is_an_error(spark):
+    assert ngram_join.least_agreeing(0.8) > 79 and ngram_join.least_agreeing(0.5) < 40
+    with pytest.raises(ValueError):
+        ngram_join.near_copies(documents(spark, [prose(1)]), threshold=0.3, recall=0.999)
+
+
 def test_shingles_of_any_text():
     texts = ["", "a", "a b c d", "A, b c D!", "a b c d e", "e d c b a", " \n", "é ß 漢字 x y z", "\ud800 a"]
     sets = shingle_sets([*texts, prose(1, 3000)])
