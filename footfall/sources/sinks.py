@@ -103,10 +103,12 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` or, where that is unset, one in
-    the warehouse, which a cluster's executors share too."""
+    """The folder all executors share, named by ``spark.checkpoint.dir``. Only a session whose
+    executors run on the driver's machine may leave it unset, and then uses its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_footfall"
     return folder.rstrip("/")
 

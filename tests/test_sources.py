@@ -37,6 +37,20 @@ def test_staged_and_report(spark, tmp_path):
     assert len(list((tmp_path / "r").glob("part-*.csv"))) == 1
 
 
+def test_a_cluster_must_name_its_shared_folder(spark):
+    folder, master = spark.conf.get("spark.checkpoint.dir"), spark.conf.get("spark.master")
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+
+    local = {"spark_master": master, "spark_sql_warehouse_dir": "/w"}
+    home = sinks.shared_folder
+    assert home(spark) == folder.rstrip("/") and home(Session(**local)).startswith("/w/")
+    with pytest.raises(ValueError):
+        home(Session(**local | {"spark_master": "yarn"}))
+
+
 def test_jdbc_options_come_from_the_caller(spark):
     options = sinks.jdbc_options(url="jdbc:x://h/db", dbtable="t", user="u", driver=None)
     assert options == {"url": "jdbc:x://h/db", "dbtable": "t", "user": "u"}
