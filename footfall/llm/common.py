@@ -24,10 +24,12 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset, one in the warehouse, which
-    driver and executors share too."""
+    """The folder in ``spark.checkpoint.dir``. Only a session whose executors run on the driver's
+    machine may leave it unset, and then uses its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return folder.rstrip("/")
 
