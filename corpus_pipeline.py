@@ -46,9 +46,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents."""
+    """All stages over the documents. A stage's rows are removed once the next one is written."""
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir))
+    for number, (_, stage) in enumerate(STAGES):
+        kept, before = scratch.write(stage(spark, docs, sf_dir)), docs
+        if number:
+            scratch.drop(before)
+        docs = kept
     return docs
