@@ -75,6 +75,18 @@ def test_plans_stay_in_the_jvm(spark, name):
         assert word not in text
 
 
+@pytest.mark.parametrize("name", ["city_report", "city_screen_report", "full_flow_range", "ad_attribution", "panel_filter"])
+def test_short_lists_are_broadcast(spark, name):
+    """Lists made by joins count by the files they come from, not by the product of the sides."""
+    text = plan(entry.queries()[name](spark, SF))
+    assert "BroadcastHashJoin" in text and "_salt" not in text
+
+
+def test_view_merging_gathers_no_lists(spark):
+    text = plan(entry.queries()["view_merge_adlen"](spark, SF))
+    assert "collect_list" not in text and "InPandas" not in text
+
+
 def test_scan_reads_needed_columns_only(spark):
     text = plan(entry.queries()["exposures"](spark, SF))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp,user_id:bigint>" in text
