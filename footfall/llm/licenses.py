@@ -8,8 +8,10 @@ has), or one line. The unit's digest is joined with the digests of the known lic
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 from operator import or_
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,20 +99,74 @@ http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
-# Public licence texts.
-FULL_TEXTS = (
+_REDISTRIBUTION = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+{}
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_CONDITIONS = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+)
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>"""
+_NOTICE_STAYS = ", provided that the above copyright notice and this permission notice appear in all copies"
+
+# Titles that the full texts carry, or go without.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "ISC": ("ISC License", "The ISC License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License"),
+    "Zlib": ("zlib License", "The zlib License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+
+
+def _clauses(n: int) -> list[str]:
+    """The text of n conditions, numbered or as a plain list."""
+    return [
+        _REDISTRIBUTION.format("\n\n".join(mark.format(k) + c for k, c in enumerate(_CONDITIONS[:n], 1)))
+        for mark in ("{}. ", "")
+    ]
+
+
+# Public licence texts, without their titles.
+BODIES = (
     ("MIT", _GRANT),
-    ("MIT", "MIT License\n\n" + _GRANT),
-    ("MIT", "The MIT License (MIT)\n\n" + _GRANT),
     ("0BSD", _ANY_PURPOSE.format("")),
-    ("ISC", _ANY_PURPOSE.format(", provided that the above copyright notice and this permission notice appear in all copies")),
-    ("ISC", "ISC License\n\n" + _ANY_PURPOSE.format(", provided that the above copyright notice and this permission notice appear in all copies")),
+    ("ISC", _ANY_PURPOSE.format(_NOTICE_STAYS)),
+    *(("BSD-2-Clause", text) for text in _clauses(2)),
+    *(("BSD-3-Clause", text) for text in _clauses(3)),
+    ("Zlib", _ZLIB),
+    ("Unlicense", _UNLICENSE),
     ("Apache-2.0", _APACHE_HEADER),
 )
+FULL_TEXTS = (
+    *BODIES,
+    *((name, f"{title}\n\n{text}") for name, text in BODIES for title in TITLES.get(name, ())),
+)
 
-# Every known text holds one of these, in any of its spellings and however it is spaced; texts
-# without are not canonicalised.
-MARKERS = ("licen", "permission", "released", "distributed", "available")
+# Letters that a marker has at least, so that few other texts hold it.
+MARKER_LETTERS = 5
 
 
 def known_licenses() -> list[tuple[str, str]]:
@@ -127,10 +183,40 @@ def known_licenses() -> list[tuple[str, str]]:
                 f"Creative Commons {long} {version} {where} License",
             ]
     notices = [(k, frame.format(n)) for k, v in names.items() for n in v for frame in FRAMES]
-    assert all(any(m in text.lower() for m in MARKERS) for _, text in (*notices, *FULL_TEXTS))
     return [*notices, *FULL_TEXTS]
 
 
+def _stem(word: str) -> str:
+    """What any text holds in lower case whose canonical form has the word: the letters that all
+    spellings of the word begin with. Empty if there is a spelling of several words."""
+    stem = word
+    for old, kept in SPELLINGS:
+        if word in kept.split():
+            if " " in old or " " in kept:
+                return ""
+            stem = commonprefix([stem, old])
+    return stem
+
+
+def markers(canonical_texts: list[str]) -> list[str]:
+    """Strings one of which every text holds, in lower case, whose canonical form is one of the
+    given ones. They are chosen to be few: each time the stem that most texts still without one
+    hold, the longest of these. A text without a stem of MARKER_LETTERS letters gives the empty
+    string, which all texts hold."""
+    left = []
+    for text in set(canonical_texts):
+        stems = {_stem(w) for w in text.split() if w.isascii() and w.isalpha()}
+        left.append({s for s in stems if len(s) >= MARKER_LETTERS})
+    if not left or not all(left):
+        return [""]
+    chosen = []
+    while left:
+        held = Counter(s for stems in left for s in stems)
+        chosen.append(max(held, key=lambda s: (held[s], len(s), s)))
+        left = [stems for stems in left if chosen[-1] not in stems]
+    return chosen
+
+
 def canonical(text: Column) -> Column:
     """Canonical text; line breaks stay, so that lines and paragraphs can be told apart."""
     out = F.lower(F.regexp_replace(text, r"\r\n?", "\n"))
@@ -151,15 +237,15 @@ def _paragraphs(text: Column) -> Column:
     return F.filter(parts, lambda p: p != "")
 
 
-def _digests(spark: SparkSession, known: list[tuple[str, str]], scratch: Scratch) -> DataFrame:
-    """(digest, license, paragraphs) of the known texts: a table of fixed size."""
+def _canonical_known(
+    spark: SparkSession, known: list[tuple[str, str]], scratch: Scratch
+) -> DataFrame:
+    """(canon, license, paragraphs) of the known texts, a list that the caller holds."""
     rows = spark.createDataFrame(known, "license string, known string")
     parts = _paragraphs(canonical(F.col("known")))
     return scratch.write(
         rows.select(
-            F.sha2(F.array_join(parts, " "), 256).alias("digest"),
-            "license",
-            F.size(parts).alias("paragraphs"),
+            F.array_join(parts, " ").alias("canon"), "license", F.size(parts).alias("paragraphs")
         ).distinct()
     )
 
@@ -169,23 +255,24 @@ def find_licenses(
     id_col: str = "doc_id",
     text_col: str = "text",
     known: list[tuple[str, str]] | None = None,
-    markers: tuple[str, ...] = MARKERS,
 ) -> DataFrame:
     """One row per row of ``docs``: id, licenses (identifiers, sorted, comma-joined), n_units
     (matching lines and paragraph runs), whole (the whole text is a licence).
 
     Null texts are empty, and empty units match nothing. Rows that repeat identifier and text
-    get equal results; an empty table gives an empty result. ``markers`` are lower-case strings
-    one of which every known text contains.
+    get equal results; an empty table gives an empty result. ``known`` gives (identifier, text) of
+    the licences to look for. Texts that hold none of the ``markers`` of these can hold no
+    licence and are not canonicalised.
     """
     scratch = Scratch(docs.sparkSession)
-    digests = _digests(docs.sparkSession, known_licenses() if known is None else known, scratch)
-    most = digests.agg(F.max("paragraphs")).first()[0] or 1
+    listed = _canonical_known(docs.sparkSession, known_licenses() if known is None else known, scratch)
+    most = listed.agg(F.max("paragraphs")).first()[0] or 1
+    marks = markers([r.canon for r in listed.select("canon").collect()])  # as long as ``known``
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), whole_text(f"`{text_col}`").alias("text")
     ).withColumn("key", F.xxhash64("id", "text"))
     low = F.lower("text")
-    marked = rows.where(reduce(or_, [low.contains(m) for m in markers]))
+    marked = rows.where(reduce(or_, [low.contains(m) for m in marks]))
     parts = marked.dropDuplicates(["key"]).select("key", canonical(F.col("text")).alias("canon"))
     parts = parts.select("key", F.split("canon", "\n").alias("lines"), _paragraphs(F.col("canon")).alias("parts"))
     n = F.size("parts")
@@ -216,7 +303,7 @@ def find_licenses(
     )
     found = (
         units.select("key", "u.whole", "u.at", F.sha2("u.unit", 256).alias("digest"))
-        .join(F.broadcast(digests.select("digest", "license")), "digest")  # of fixed size
+        .join(F.broadcast(listed.select(F.sha2("canon", 256).alias("digest"), "license")), "digest")
         .groupBy("key")
         .agg(
             F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),

@@ -47,6 +47,41 @@ def test_every_known_text_is_found(spark):
     assert all(name in got[k][0].split(",") for k, (name, _) in enumerate(known))
 
 
+def test_full_texts_as_projects_carry_them(spark):
+    bodies = dict(licenses.BODIES)
+    head = "Copyright (c) 2019, Some One\nAll rights reserved.\n\n"
+    starred = bodies["BSD-3-Clause"].replace("\n\nRedis", "\n\n* Redis").replace("\n\nNeither", "\n\n* Neither")
+    texts = [
+        "BSD 3-Clause License\n\n" + head + starred,
+        prose(5) + "\n\n" + head + bodies["BSD-2-Clause"].replace("COPYRIGHT HOLDER ", "COPYRIGHT OWNER "),
+        "(C) 1995 A. Nother\n\n" + bodies["Zlib"].replace("acknowledgment", "acknowledgement"),
+        bodies["Unlicense"].replace("https://unlicense.org", "http://unlicense.org/").replace(". ", ".\n"),
+        bodies["Unlicense"].replace("perpetuity", "perpetual"),
+    ]
+    got = found(spark, texts)
+    assert got[0] == ("BSD-3-Clause", True)
+    assert got[1] == ("BSD-2-Clause", False)
+    assert got[2] == ("Zlib", True)
+    assert got[3] == ("Unlicense", True)
+    assert got[4] == ("", False)
+
+
+def test_markers_follow_the_known_texts(spark):
+    """A licence with none of the usual words is found, in each of its spellings."""
+    known = [("A", "You may favor whatever organization pleases you"), ("B", "Go on 12")]
+    texts = ["you may FAVOUR whatever organisation pleases you", "go - on: 12!", prose(2)]
+    assert list(found_known(spark, texts, known[:1])) == ["A", "", ""]
+    assert list(found_known(spark, texts, known)) == ["A", "B", ""]
+    assert licenses.markers(["favor it", "favor that", "sublicense others"]) == ["favor", "others"]
+    assert licenses.markers(["license"]) == ["licen"]
+    assert licenses.markers(["go on"]) == licenses.markers([]) == [""]
+
+
+def found_known(spark, texts, known):
+    got = licenses.find_licenses(documents(spark, texts), known=known).orderBy("doc_id").collect()
+    return [r.licenses for r in got]
+
+
 def test_odd_documents_and_empty_table(spark):
     odd = odd_documents(spark)
     assert licenses.find_licenses(odd).count() == odd.count()
