@@ -1,6 +1,7 @@
 import pytest
 
 from footfall.llm import licenses
+from footfall.llm.common import Scratch
 from tests.llm.helpers import documents, empty, odd_documents, prose
 
 MIT = dict(licenses.FULL_TEXTS[:1])["MIT"]
@@ -72,8 +73,9 @@ def test_markers_follow_the_known_texts(spark):
     texts = ["you may FAVOUR whatever organisation pleases you", "go - on: 12!", prose(2)]
     assert list(found_known(spark, texts, known[:1])) == ["A", "", ""]
     assert list(found_known(spark, texts, known)) == ["A", "B", ""]
-    assert licenses.markers(["favor it", "favor that", "sublicense others"]) == ["favor", "others"]
+    assert licenses.markers(["organization it", "organization that", "sublicense others"]) == ["organi", "others"]
     assert licenses.markers(["license"]) == ["licen"]
+    assert licenses.markers(["favor it"]) == [""]  # four letters in common with favour
     assert licenses.markers(["go on"]) == licenses.markers([]) == [""]
 
 
@@ -93,3 +95,9 @@ def test_runs_of_paragraphs(spark, known):
     texts = ["a\n\npermission one\n\npermission two\n\npermission three\n\nb", "permission one\n\npermission two"]
     got = licenses.find_licenses(documents(spark, texts), known=known).orderBy("doc_id").collect()
     assert [r.licenses for r in got] == ["X", ""]
+
+
+def test_markers_of_the_listed_licenses_are_few(spark):
+    listed = licenses._canonical_known(spark, licenses.known_licenses(), Scratch(spark))
+    marks = licenses.markers([r.canon for r in listed.collect()])
+    assert "licen" in marks and "" not in marks and len(marks) <= 8
