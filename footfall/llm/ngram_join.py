@@ -1,14 +1,21 @@
 """Self-join of documents on the Jaccard similarity of their word shingles.
 
 Copies (equal shingle sets) fall together first. The signatures of the rest are the label
-sequences of a MinHash LSH forest: ``TREES`` prefix tries of ``LABELS`` labels each. The matched
-prefix is shortened, label by label, until a pair at the threshold is found with the target
-recall. That depends on threshold and target only, so the depth is one for all texts (4 labels at
-0.8 and 0.999), and texts below the same trie node are grouped by a hash of their prefix instead
-of being sorted; the labels below it tell candidates apart. Candidates whose whole signatures
-are too far apart are dropped; the rest link texts to families. Within families all pairs are
-verified on their exact shingle sets, large families as blocks of bounded size, and only counts
-and spanning links leave a block.
+sequences of a MinHash LSH forest: ``TREES`` prefix tries of ``LABELS`` labels each. A trie is
+kept as its sorted sequences: texts of one branch lie next to each other, and the labels that
+neighbours have in common are the depth at which they part. Branches are walked from the full
+sequences upwards: texts with all labels in common are candidates first, then the matched prefix
+is shortened label by label, and each time texts that did not meet before are compared. A branch
+stops being widened as soon as all its texts are of one family, for families are verified pair by
+pair; the others are widened up to the prefix at which a pair at the threshold is found with the
+target recall. Candidates whose whole signatures are too far apart are dropped; the rest link
+texts to families.
+
+The forest is dealt by its branches at the shortest prefix. A branch of many texts is cut into
+blocks by a hash that differs from tree to tree, so that the families of its blocks meet in the
+other trees; only if they did not, its blocks are compared with each other. Within families all
+pairs are verified on their exact shingle sets, large families as blocks of bounded size, and
+only counts and spanning links leave a block.
 """
 
 from __future__ import annotations
@@ -18,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, semi_join_listed, whole_text, without_keys
-from .components import components
+from .components import components, split_join
 from .shingles import minima, mixed, numbers, shingle_sets
 
 THRESHOLD = 0.8
@@ -55,7 +62,8 @@ def least_agreeing(threshold: float, labels: int = TREES * LABELS) -> float:
 
 
 def _signatures(rows: DataFrame, length: int) -> DataFrame:
-    """Per row: set_id (digest of its shingle set), n, trie nodes at the prefix, signature."""
+    """Per row: set_id (digest of its shingle set), n, its branch of each tree at the prefix, and
+    the label sequences of all trees, two bytes a label."""
     places = numbers(length, 4)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,15 +73,15 @@ def _signatures(rows: DataFrame, length: int) -> DataFrame:
                 sets = shingle_sets(part["text"].tolist())
                 full = [k for k, s in enumerate(sets) if len(s)]
                 nodes: list = [[]] * len(sets)
-                sketch: list = [b""] * len(sets)
+                paths: list = [b""] * len(sets)
                 if full:
                     labels = minima([sets[k] for k in full], _SEEDS)
                     trees = labels.reshape(len(full), TREES, LABELS)[:, :, :length]
                     tree = np.arange(TREES, dtype=np.uint64)
                     keys = mixed((trees * places).sum(axis=2, dtype=np.uint64) + tree).view(np.int64)
-                    low = (mixed(labels) & np.uint64(255)).astype(np.uint8)
+                    low = (mixed(labels) & np.uint64(65535)).astype(">u2")
                     for n, k in enumerate(full):
-                        nodes[k], sketch[k] = keys[n], low[n].tobytes()
+                        nodes[k], paths[k] = keys[n], low[n].tobytes()
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].to_numpy(),
@@ -81,13 +89,13 @@ def _signatures(rows: DataFrame, length: int) -> DataFrame:
                         "set_id": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
                         "n": [len(s) for s in sets],
                         "nodes": nodes,
-                        "sketch": sketch,
+                        "paths": paths,
                     }
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(
-        sign, f"doc_id {kind}, key long, set_id binary, n int, nodes array<long>, sketch binary"
+        sign, f"doc_id {kind}, key long, set_id binary, n int, nodes array<long>, paths binary"
     )
 
 
@@ -138,9 +146,8 @@ class _Forest:
 def _blocks(rows: DataFrame, key: str) -> DataFrame:
     """Rows of each key's blocks: with ``parts`` parts, one block for each pair of parts (and
     part with itself). Adds x, y (the block) and side (the row's part)."""
-    side = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")
     return (
-        rows.withColumn("side", side)
+        rows.withColumn("side", _side("set_id"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("x", F.least("side", "other"))
         .withColumn("y", F.greatest("side", "other"))
@@ -150,24 +157,89 @@ def _blocks(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _near_signatures(need: float):
-    """The pandas function that links texts of a block whose signatures agree in ``need`` labels."""
+def _side(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.col("parts")).cast("int")
+
+
+def _branch_blocks(rows: DataFrame, across: bool) -> DataFrame:
+    """Blocks of branches, each in the order of its tree's sequences: every part of a branch by
+    itself, or (``across``) every pair of different parts."""
+    sided = rows.withColumn("side", _side("set_id", "node"))
+    if across:
+        sided = (
+            sided.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .where("other <> side")
+            .withColumn("x", F.least("side", "other"))
+            .withColumn("y", F.greatest("side", "other"))
+        )
+    else:
+        sided = sided.withColumn("x", F.col("side")).withColumn("y", F.col("side"))
+    sequence = F.expr(f"substring(paths, tree * {2 * LABELS} + 1, {2 * LABELS})")
+    return (
+        sided.select("node", "x", "y", "side", "tree", "set_id", "family", "paths", sequence.alias("sequence"))
+        .repartition("node", "x", "y")
+        .sortWithinPartitions("node", "x", "y", "sequence")
+        .drop("sequence")
+    )
+
+
+class _Branch:
+    """The texts of one branch of a trie in the order of their label sequences, and the family
+    each belongs to so far."""
+
+    def __init__(self, group: pd.DataFrame, need: float) -> None:
+        self.need = need
+        self.ids = group["set_id"].to_numpy()
+        self.marks = np.frombuffer(b"".join(group["paths"]), dtype=np.uint16).reshape(len(self.ids), -1)
+        at = int(group["tree"].iloc[0]) * LABELS
+        same = self.marks[1:, at : at + LABELS] == self.marks[:-1, at : at + LABELS]
+        self.common = np.cumprod(same, axis=1).sum(axis=1)  # labels shared with the text before
+        self.family = np.unique(group["family"].to_numpy(), return_inverse=True)[1]
+        self.side = group["side"].to_numpy()
+        self.across = group["x"].iloc[0] != group["y"].iloc[0]
+        self.links: list[tuple[bytes, bytes]] = []
+
+    def match(self, shortest: int) -> list[tuple[bytes, bytes]]:
+        """Links between families, from the full sequences up to prefixes of ``shortest``."""
+        n = len(self.ids)
+        met = np.arange(n)  # the longer prefix's branch of each text
+        for length in range(LABELS, shortest - 1, -1):
+            begins = np.flatnonzero(np.concatenate(([True], self.common < length)))
+            ends = np.append(begins[1:], n)
+            for a, b in zip(begins[ends - begins > 1], ends[ends - begins > 1], strict=True):
+                self._widen(a, b, met)
+            met = np.repeat(np.arange(len(begins)), ends - begins)
+        return self.links
+
+    def _widen(self, a: int, b: int, met: np.ndarray) -> None:
+        """Compare the texts of [a, b) that did not meet under a longer prefix, as long as they
+        are of different families."""
+        family, mine = self.family, self.family[a:b]
+        for k in range(a, b - 1):
+            if (mine == mine[0]).all():
+                return
+            new = (family[k + 1 : b] != family[k]) & (met[k + 1 : b] != met[k])
+            if self.across:
+                new &= self.side[k + 1 : b] != self.side[k]
+            others = np.flatnonzero(new) + k + 1
+            if not len(others):
+                continue
+            agree = (self.marks[others] == self.marks[k]).sum(axis=1) >= self.need
+            for other in others[agree]:
+                if family[other] != family[k]:
+                    self.links.append((self.ids[other], self.ids[k]))
+                    family[family == family[other]] = family[k]
+
+
+def _near_signatures(need: float, shortest: int):
+    """The pandas function that links the texts of branches whose signatures agree in ``need``
+    labels."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[tuple[bytes, bytes]] = []
         for group in _groups(batches, ["node", "x", "y"]):
-            ids = group["set_id"].to_numpy()
-            marks = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(ids), -1)
-            side = group["side"].to_numpy()
-            across = group["x"].iloc[0] != group["y"].iloc[0]
-            forest = _Forest(len(ids))
-            for a in range(len(ids) - 1):
-                agree = (marks[a + 1 :] == marks[a]).sum(axis=1) >= need
-                if across:
-                    agree &= side[a + 1 :] != side[a]
-                for b in np.flatnonzero(agree):
-                    forest.join(a, a + 1 + int(b))
-            out += [(ids[a], ids[b]) for a, b in forest.links()]
+            if len(group) > 1:
+                out += _Branch(group, need).match(shortest)
             if len(out) > 10_000:
                 yield pd.DataFrame(out, columns=["a", "b"])
                 out = []
@@ -176,6 +248,51 @@ def _near_signatures(need: float):
     return run
 
 
+def _families(texts: DataFrame, shortest: int, need: float, scratch: Scratch) -> DataFrame:
+    """(set_id, root): the texts that the forest links to others, by families."""
+    placed = texts.select("set_id", F.posexplode("nodes").alias("tree", "node"))
+    shared = scratch.write(
+        placed.groupBy("node").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    )
+    most = shared.agg(F.max("_rows")).first()[0] or 0
+    parts = shared.select("node", F.ceil(F.col("_rows") / BLOCK_TEXTS).cast("int").alias("parts"))
+
+    def linked(met: DataFrame, across: bool) -> DataFrame:
+        # signatures join only after the texts that share no branch are gone; a sort-merge join at
+        # any size, so that the volume moved grows with the texts and not with the plan
+        blocks = _branch_blocks(met.join(texts.select("set_id", "paths").hint("merge"), "set_id"), across)
+        return scratch.write(
+            blocks.mapInPandas(_near_signatures(need, shortest), "a binary, b binary")
+        )
+
+    met = split_join(placed, parts, "node", most, shared)
+    links = linked(met.withColumn("family", F.xxhash64("set_id")), False)
+    families = scratch.write(components(links, scratch).withColumnRenamed("node", "set_id"))
+    if most > BLOCK_TEXTS:
+        cut = shared.where(F.col("_rows") > BLOCK_TEXTS)
+        # all texts of the cut branches, with the families that their blocks gave them
+        now = split_join(placed, cut.select("node"), "node", most, cut).join(
+            families.hint("merge"), "set_id", "left"
+        )
+        family = F.xxhash64(F.coalesce("root", "set_id"))
+        now = scratch.write(now.select("set_id", "tree", "node", family.alias("family")))
+        open_ = scratch.write(
+            now.groupBy("node")
+            .agg(F.count(F.lit(1)).alias("_rows"), F.min("family").alias("low"), F.max("family").alias("high"))
+            .where("low <> high")
+            .select("node", "_rows")
+        )
+        parts = open_.select("node", F.ceil(F.col("_rows") / BLOCK_TEXTS).cast("int").alias("parts"))
+        more = linked(split_join(now, parts, "node", most, open_), True)
+        before = families
+        families = scratch.write(
+            components(links.unionByName(more), scratch).withColumnRenamed("node", "set_id")
+        )
+        scratch.drop(before, now, open_, more)
+    scratch.drop(shared, links)
+    return families
+
+
 def _linked(sets: list[np.ndarray], threshold: float) -> Iterator[tuple[int, np.ndarray]]:
     """For each set the later ones whose Jaccard similarity is at least the threshold."""
     sizes = np.array([len(s) for s in sets])
@@ -282,38 +399,29 @@ def near_copies(
             F.count(F.lit(1)).alias("n_docs"),
             F.first("n").alias("n"),
             F.first("nodes").alias("nodes"),
-            F.first("sketch").alias("sketch"),
+            F.first("paths").alias("paths"),
         )
     )
 
-    placed = texts.select("set_id", F.explode("nodes").alias("node"))
-    shared = scratch.write(
-        placed.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    )
-    parts = shared.select("node", F.ceil(F.col("n") / BLOCK_TEXTS).cast("int").alias("parts"))
-    # signatures join only after the texts that share no node are gone; sort-merge joins at any
-    # size, so that the volume moved grows with the texts and not with the plan
-    met = placed.join(parts.hint("merge"), "node").join(
-        texts.select("set_id", "sketch").hint("merge"), "set_id"
-    )
-    likely = _blocks(met, "node").select("node", "x", "y", "side", "set_id", "sketch")
-    likely = scratch.write(likely.mapInPandas(_near_signatures(need), "a binary, b binary"))
-    families = scratch.write(components(likely, scratch).withColumnRenamed("node", "set_id"))
-
+    families = _families(texts, length, need, scratch)
     members = scratch.write(
         texts.select("set_id", "first.key", "n", "n_docs").join(families.hint("merge"), "set_id")
     )
     weight = F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)
-    parts = members.groupBy("root").agg(F.ceil(weight).cast("int").alias("parts"))
+    parts = scratch.write(
+        members.groupBy("root").agg(F.ceil(weight).cast("int").alias("parts"), F.count(F.lit(1)).alias("_rows"))
+    )
+    most = parts.agg(F.max("_rows")).first()[0] or 0
     keys = scratch.write(members.select("key").distinct())
     exact = _shingles(semi_join_listed(rows, keys, "key").dropDuplicates(["key"]))
-    blocks = _blocks(members.join(parts, "root").join(exact, "key"), "root").select(
+    dealt = split_join(members, parts.select("root", "parts"), "root", most, parts)
+    blocks = _blocks(dealt.join(exact, "key"), "root").select(
         "root", "x", "y", "side", "set_id", "n_docs", "shingles"
     )
     verified = scratch.write(
         blocks.mapInPandas(_verify(threshold), "a binary, b binary, texts long, docs long")
     )
-    scratch.drop(shared, likely, families, members, keys)
+    scratch.drop(families, members, parts, keys)
 
     classes = components(verified.where("b is not null").select("a", "b"), scratch)
     counts = verified.where("b is null").groupBy(F.col("a").alias("set_id")).agg(
@@ -325,8 +433,13 @@ def near_copies(
         .withColumn("root", F.coalesce("root", "set_id"))
         .join(counts, "set_id", "left")
     )
-    heads = named.groupBy("root").agg(F.min("first").alias("head"), F.sum("n_docs").alias("class_docs"))
-    named = named.join(heads, "root").drop("first", "root")
+    heads = scratch.write(
+        named.groupBy("root").agg(
+            F.min("first").alias("head"), F.sum("n_docs").alias("class_docs"), F.count(F.lit(1)).alias("_rows")
+        )
+    )
+    most = heads.agg(F.max("_rows")).first()[0] or 0
+    named = split_join(named, heads.drop("_rows"), "root", most, heads).drop("first", "root")
     return signed.select("doc_id", "key", "set_id", "n").join(named, "set_id", "left").select(
         F.col("doc_id").alias(id_col),
         F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),

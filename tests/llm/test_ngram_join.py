@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from footfall.llm import ngram_join
@@ -96,6 +97,46 @@ def test_prefixes_shorten_until_the_recall_is_met():
     assert ngram_join.prefix_length(0.1, 1.0) == 1
 
 
+def branch(sequences, sides=None):
+    """A branch of tree 0 whose texts have these label sequences there and label 0 elsewhere."""
+    sequences = sorted(sequences)
+    rest = np.zeros(ngram_join.TREES * ngram_join.LABELS - ngram_join.LABELS, dtype=">u2").tobytes()
+    rows = [
+        {"set_id": bytes([k]), "paths": np.array(q, dtype=">u2").tobytes() + rest, "family": k, "tree": 0,
+         "side": sides[k] if sides else 0, "x": 0, "y": 1 if sides else 0}
+        for k, q in enumerate(sequences)
+    ]
+    return ngram_join._Branch(pd.DataFrame(rows), 1)
+
+
+def test_prefixes_are_shortened_while_families_are_apart():
+    """Each text is compared under the longest prefix it shares; one family is not widened."""
+    walked = []
+
+    class Noted(ngram_join._Branch):
+        def _widen(self, a, b, met):
+            walked.append((int(a), int(b), len(np.unique(self.family[a:b]))))
+            super()._widen(a, b, met)
+
+    full, six, four = (1,) * 8, (1,) * 6 + (2, 2), (1,) * 4 + (3, 3, 3, 3)
+    found = branch([full, full, six, four])
+    found.__class__ = Noted
+    assert len(found.match(4)) == 3
+    assert walked[0] == (0, 2, 2) and (0, 3, 2) in walked and walked[-1] == (0, 4, 2)
+    assert len(branch([full, six, four]).match(5)) == 1  # the third lies below another prefix
+    apart = branch([full, six, four])
+    apart.need = 10**6
+    assert apart.match(4) == []
+    sided = branch([full, full, full], sides=[0, 0, 1]).match(4)  # the first two met in their block
+    assert {frozenset(link) for link in sided} == {frozenset((b"\x02", b"\x00")), frozenset((b"\x02", b"\x01"))}
+
+
+def test_hubs_and_branches_are_split(spark, monkeypatch, families):
+    monkeypatch.setattr("footfall.llm.components.MOST_LINKS", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK_TEXTS", 5)
+    check(documents(spark, families))
+
+
 @pytest.mark.parametrize("threshold, recall", [(0.8, 0.999), (0.6, 0.999), (0.5, 0.999), (0.35, 0.99)])
 def test_recall_at_other_thresholds(spark, threshold, recall):
     """Pairs on all sides of the threshold, counted against brute force."""
