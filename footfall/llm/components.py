@@ -10,7 +10,7 @@ from footfall.operators.spread import spread_join
 from .common import Scratch
 
 # Nodes with more links than this are joined in parts.
-MOST_LINKS = 1000
+MOST_LINKS = 10_000
 
 
 def split_join(

@@ -282,13 +282,15 @@ def _families(texts: DataFrame, shortest: int, need: float, scratch: Scratch) ->
             .where("low <> high")
             .select("node", "_rows")
         )
-        parts = open_.select("node", F.ceil(F.col("_rows") / BLOCK_TEXTS).cast("int").alias("parts"))
-        more = linked(split_join(now, parts, "node", most, open_), True)
-        before = families
-        families = scratch.write(
-            components(links.unionByName(more), scratch).withColumnRenamed("node", "set_id")
-        )
-        scratch.drop(before, now, open_, more)
+        before = [now, open_]
+        if not open_.isEmpty():
+            parts = open_.select("node", F.ceil(F.col("_rows") / BLOCK_TEXTS).cast("int").alias("parts"))
+            more = linked(split_join(now, parts, "node", most, open_), True)
+            stars = families.select(F.col("set_id").alias("a"), F.col("root").alias("b"))
+            before += [families, more]
+            families = components(stars.unionByName(more), scratch)
+            families = scratch.write(families.withColumnRenamed("node", "set_id"))
+        scratch.drop(*before)
     scratch.drop(shared, links)
     return families
 
