@@ -8,12 +8,17 @@ are entities of their own). Distinct entities keep distinct surrogates: in round
 that two entities share, that is settled already, or that is itself an entity of the corpus, goes
 to at most one of them, and the others try again. All checks are joins and aggregations over the
 distinct entities.
+
+Names are found by titles, listed given names, phrases that introduce or sign ("my name is", "Best
+regards,"), and by their shape: a run of two to four capitalised words is a name if none of its
+words occurs in lower case anywhere in the corpus, in texts that do not capitalise ordinary words.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -31,6 +36,12 @@ DEFAULT_KEY = "footfall"
 # Rounds in which surrogates are looked for.
 MOST_ROUNDS = 64
 
+# Shape says nothing in texts that capitalise more than this share of the words inside sentences.
+MOST_CAPITALS = 0.15
+
+# Lower-case words that a task remembers not to report twice.
+REMEMBERED = 200_000
+
 # Given names by script and gender, surnames by script.
 GIVEN = {
     ("latin", "f"): "Mary Patricia Jennifer Elizabeth Susan Jessica Sarah Margaret Claire Sofia Ingrid Julia Camille Lucía".split(),
@@ -52,6 +63,21 @@ TITLES = {
     "": "Dr Prof Professor Doctor".split(),
 }
 HAN_TITLES = {"先生": "m", "女士": "f", "小姐": "f"}
+INTRODUCED = (
+    "my name is|my name's|i am called|call me|full name:|name:|patient:|signed by|signed,|dear|sincerely,|sincerely yours,"
+    "|yours truly,|best regards,|kind regards,|regards,|best wishes,|mein name ist|ich heiße|mit freundlichen grüßen|mit freundlichen grüßen,"
+    "|je m'appelle|je m’appelle|mon nom est|cordialement,|me llamo|mi nombre es|saludos,|меня зовут|с уважением,"
+).split("|")
+BORN = "born on|born|date of birth|date of birth:|birth date|birth date:|dob|dob:|geboren am|né le|née le|nacido el|nacida el".split("|")
+# Words that make a run of capitalised words something else than a person.
+NO_NAMES = set(
+    "sir madam all team customer colleague colleagues friend friends editor reader readers sirs the a an and of"
+    " january february march april may june july august september october november december"
+    " monday tuesday wednesday thursday friday saturday sunday"
+    " north south east west new saint san los las university college school institute street road avenue park city"
+    " company inc ltd llc corp gmbh foundation license public general library software international national"
+    " united states kingdom republic european union".split()
+)
 SYLLABLES = {
     "latin": "ba be bo da de do ka ke ko la le lo ma me mi na ne no ra re ri sa se ta to va vi".split(),
     "cyrillic": "ба бе во да де ко ла ле ма ми на но ра ри са се та то".split(),
@@ -85,8 +111,27 @@ _PHONE = re.compile(
     r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
     re.A,
 )
+_SPACED_PHONE = re.compile(r"(?<![\w.,-])(?<!\d )\d{3} \d{3} \d{4}(?![\w.,-]\d| \d|\w)", re.A)
+_IPV6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])", re.A)
+_DATE = r"(?P<what>\d{4}([-/.])\d{1,2}\2\d{1,2}|\d{1,2}([-/.])\d{1,2}\3\d{4})(?!\d)"
+_BORN = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, BORN))})\s{{1,3}}{_DATE}", re.IGNORECASE)
+_PASSPORT = re.compile(r"(?<!\w)passport(?: no\.?| nr\.?| number)?[:#]?\s{1,3}(?P<what>(?-i:[A-Z]{0,2}\d{6,9}))(?!\w)", re.IGNORECASE)
+_INTRODUCED = re.compile(
+    rf"(?<!\w)(?:{'|'.join(map(re.escape, INTRODUCED))})\s{{1,3}}(?P<first>(?-i:{_WORD}))", re.IGNORECASE
+)
+_CAPITAL = "[" + "".join(c for c in map(chr, range(0x530)) if c.isupper()) + "]"
+_NAME_WORD = rf"{_CAPITAL}(?:[^\W\d_]|[’'-](?=[^\W\d_])){{1,29}}"
+_RUN = re.compile(rf"{_NAME_WORD}(?: {_NAME_WORD})+(?!\w)")
+_BEGINS = re.compile(r"(?:^|[.!?:\n]\s*[\"'“«(]?)$")
+_INSIDE = re.compile(r"(?<=[\w,;] )[^\W\d_]+")
+_MARKS = ".,;:!?\"'()[]{}«»„“”‚‘’…–—*_"
 # in this order: an earlier kind takes the characters it matches
-_KINDS = (("iban", _IBAN), ("ipv4", _IPV4), ("ssn", _SSN), ("phone", _PHONE), ("card", _CARD))
+_KINDS = (
+    ("birthdate", _BORN), ("passport", _PASSPORT), ("iban", _IBAN), ("ipv6", _IPV6), ("ipv4", _IPV4),
+    ("ssn", _SSN), ("phone", _PHONE), ("card", _CARD), ("phone", _SPACED_PHONE),
+)
+# texts without any of a kind's signs are not searched for it
+_SIGNS = {"birthdate": BORN, "passport": ["passport"], "ipv6": [":"]}
 _TITLE_PARTS = tuple(t for names in TITLES.values() for t in names)
 _GIVEN_WORDS = {n for names in GIVEN.values() for n in names}
 _GIVEN_WORDS |= {n.upper() for n in _GIVEN_WORDS} | {n.lower() for n in _GIVEN_WORDS}
@@ -123,11 +168,103 @@ def _emails(text: str) -> Iterator[tuple[int, int, int]]:
             floor = m.end()
 
 
+def _ipv6(text: str) -> str | None:
+    """The short form of an address; None for times, scopes and the like."""
+    if not any(c.isdigit() for c in text) or len(text) < 6:
+        return None
+    try:
+        return ipaddress.IPv6Address(text).compressed
+    except ValueError:
+        return None
+
+
+def _canonical(kind: str, text: str) -> str | None:
+    if kind == "ipv4":
+        return text
+    if kind == "ipv6":
+        return _ipv6(text)
+    if kind == "birthdate":
+        return re.sub(r"[/.]", "-", text)
+    return re.sub(r"[^A-Za-z0-9+]", "", text)
+
+
+def _name_words(text: str, word: re.Match | None) -> list[tuple[int, str]]:
+    """(start, word) of the capitalised words from a match of a first word on."""
+    words = []
+    while word and word["first"][0].isupper():
+        w = _OWNER.sub("", word["first"])
+        words.append((word.start("first"), w))
+        word = _NEXT.match(text, word.end("first")) if w == word["first"] else None
+    return words
+
+
+def _entities(words: list[tuple[int, str]], gender: str) -> list[tuple[int, int, str, str]]:
+    """The mentions that the words of one name are."""
+    first = _GENDER.get(words[0][1].casefold())
+    out = []
+    for k, (at, w) in enumerate(words):
+        script = script_of(w)
+        given = (k == 0 and len(words) > 1) or w.casefold() in _GENDER
+        sex = _GENDER.get(w.casefold(), gender or first or "m")
+        entity = f"{script}:{sex}:{w.casefold()}" if given else f"{script}::{w.casefold()}"
+        out.append((at, at + len(w), "given" if given else "surname", entity))
+    return out
+
+
+def _bare(text: str, known: dict) -> Iterator[tuple[int, int, object]]:
+    """(start, end, what) of capitalised words of known names, whole or as parts of a word."""
+    for m in re.finditer(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*", text):
+        for part in [m] if m[0].casefold() in known else _LETTERS.finditer(text, *m.span()):
+            what = known.get(part[0].casefold())
+            if what and part[0][0].isupper():
+                yield (*part.span(), what)
+
+
+def _shaped(text: str) -> list[tuple[int, int, str, str, str | None]]:
+    """What is a name if the words of its run occur nowhere in lower case: for each word of a run
+    (0, 0, kind, entity, run in lower case), and for each place where such a word stands (start,
+    end, "place", word in lower case, None)."""
+    claims: set[tuple[int, int, str, str, str]] = set()
+    known: dict[str, str] = {}
+    for m in _RUN.finditer(text):
+        at = m.start()
+        if at and (text[at - 1].isalnum() or text[at - 1] in "_’'-"):
+            continue
+        words = [(at, w) for w in m[0].split(" ")]
+        if len(words) > 4:  # a heading
+            continue
+        # the first word of a sentence is capitalised in any case
+        for part in (words, words[1:]) if _BEGINS.search(text, max(0, at - 3), at) else (words,):
+            part = [(at, _OWNER.sub("", w)) for at, w in part]
+            plain = [w.casefold() for _, w in part]
+            if (
+                len(part) > 1
+                and len(set(plain)) == len(part)
+                and NO_NAMES.isdisjoint(plain)
+                and not any(w.isupper() for _, w in part)
+            ):
+                run = " ".join(plain)
+                claims |= {(0, 0, kind, entity, run) for *_, kind, entity in _entities(part, "")}
+                known.update(zip(plain, plain, strict=True))
+    if not known:
+        return []
+    inside = _INSIDE.findall(text)
+    if len(inside) >= 20 and sum(w[0].isupper() for w in inside) > MOST_CAPITALS * len(inside):
+        return []
+    return sorted(claims) + [(a, b, "place", word, None) for a, b, word in _bare(text, known)]
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, entity) of each mention, in order and without overlaps. Entities are
-    in canonical form: digits only, lower case, name words with script and gender. A name runs
-    over all its capitalised words, and its words are mentions elsewhere in the text too. What
-    an earlier kind has taken is masked, so that no later match runs into it."""
+    """(start, end, kind, entity) of each mention that is certain from its text alone, in order
+    and without overlaps. Entities are in canonical form: digits only, lower case, name words with
+    script and gender. A name runs over all its capitalised words, and its words are mentions
+    elsewhere in the text too. What an earlier kind has taken is masked, so that no later match
+    runs into it."""
+    return _detect(text)[0]
+
+
+def _detect(text: str) -> tuple[list[tuple[int, int, str, str]], list[tuple[int, int, str, str, str | None]]]:
+    """Certain mentions, and what hangs on the corpus (``_shaped``)."""
     found: list[tuple[int, int, str, str]] = []
 
     def masked(spans: list[tuple[int, int]]) -> str:
@@ -145,12 +282,16 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     if taken:
         text = masked(taken)
     has_digit = any(d in text for d in "0123456789")
+    low = text.lower()
     for kind, pattern in _KINDS if has_digit else ():
+        if kind in _SIGNS and not any(sign in low for sign in _SIGNS[kind]):
+            continue
         taken = []
         for m in pattern.finditer(text):
-            taken.append(m.span())
-            canon = m[0] if kind == "ipv4" else re.sub(r"[^A-Za-z0-9+]", "", m[0])
-            found.append((*m.span(), kind, canon))
+            part = "what" if "what" in pattern.groupindex else 0
+            if canon := _canonical(kind, m[part]):
+                taken.append(m.span(part))
+                found.append((*m.span(part), kind, canon))
         if taken:
             text = masked(taken)
     if any(t in text for t in HAN_TITLES):
@@ -171,38 +312,37 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                 found.append((m.start(), m.start() + 1, *family[2:]))
                 found.append((m.start() + 1, m.end(), *given[2:]))
             text = masked(taken)
+    taken, known = [], {}
     if any(t in text for t in _TITLE_PARTS) or not _GIVEN_WORDS.isdisjoint(re.split(r"\W+", text)):
-        taken, known, pos = [], {}, 0
+        pos = 0
         while m := _PERSON.search(text, pos):
-            words, title, word = [], m["title"], m
-            while word and word["first"][0].isupper():
-                w = _OWNER.sub("", word["first"])
-                words.append((word.start("first"), w))
-                word = _NEXT.match(text, word.end("first")) if w == word["first"] else None
+            words, title = _name_words(text, m), m["title"]
             if not words:
                 pos = m.start() + 1
                 continue
             pos = words[-1][0] + len(words[-1][1])
-            gender = _TITLE.get((title or "").casefold(), "")
-            first = _GENDER.get(words[0][1].casefold())
-            if title is None and (first is None or len(words) < 2):
+            if title is None and (words[0][1].casefold() not in _GENDER or len(words) < 2):
                 continue
-            for k, (at, w) in enumerate(words):
-                script = script_of(w)
-                given = (k == 0 and len(words) > 1) or w.casefold() in _GENDER
-                sex = _GENDER.get(w.casefold(), gender or first or "m")
-                entity = f"{script}:{sex}:{w.casefold()}" if given else f"{script}::{w.casefold()}"
-                taken.append((at, at + len(w)))
-                found.append((*taken[-1], "given" if given else "surname", entity))
-                known.setdefault(w.casefold(), found[-1][2:])
-        if known:
-            text = masked(taken)
-            for m in re.finditer(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*", text):
-                for part in [m] if m[0].casefold() in known else _LETTERS.finditer(text, *m.span()):
-                    what = known.get(part[0].casefold())
-                    if what and part[0][0].isupper():
-                        found.append((*part.span(), *what))
-    return sorted(found)
+            found += (new := _entities(words, _TITLE.get((title or "").casefold(), "")))
+            taken += [x[:2] for x in new]
+            for (*_, kind, entity), (_, w) in zip(new, words, strict=True):
+                known.setdefault(w.casefold(), (kind, entity))
+        text = masked(taken)
+    if any(sign in low for sign in INTRODUCED):
+        taken = []
+        for m in _INTRODUCED.finditer(text):
+            words = _name_words(text, m)
+            if words and len(words) <= 4 and NO_NAMES.isdisjoint(w.casefold() for _, w in words):
+                found += (new := _entities(words, ""))
+                taken += [x[:2] for x in new]
+                for (*_, kind, entity), (_, w) in zip(new, words, strict=True):
+                    known.setdefault(w.casefold(), (kind, entity))
+        text = masked(taken)
+    if known:
+        bare = [(a, b, *what) for a, b, what in _bare(text, known)]
+        found += bare
+        text = masked([x[:2] for x in bare])
+    return sorted(found), _shaped(text)
 
 
 class _Stream:
@@ -250,6 +390,16 @@ def surrogate(kind: str, entity: str, attempt: int, key: str) -> str:
         parts = SYLLABLES[script]
         made = "".join(parts[draw.below(len(parts))] for _ in range(2 + attempt // 2))
         return f"{script}:{sex}:{made}{GENDER_END[(script, sex or 'm')]}"
+    if kind == "ipv6":
+        first = ipaddress.IPv6Address(entity).exploded[:4]  # the kind of network stays
+        return ipaddress.IPv6Address(":".join([first, *(f"{draw.below(65536):x}" for _ in range(7))])).compressed
+    if kind == "birthdate":
+        parts = entity.split("-")
+        year = str(1930 + draw.below(80 + 20 * attempt))
+        # where day and month may be either way round, both are at most 12
+        first, second = 1 + draw.below(12), 1 + draw.below(28 if len(parts[0]) == 4 else 12)
+        rest = [f"{n:0{len(x)}}" for n, x in zip((first, second), parts[1:] if len(parts[0]) == 4 else parts, strict=False)]
+        return "-".join([year, *rest] if len(parts[0]) == 4 else [*rest, year])
     if kind == "domain":
         *labels, top = entity.split(".")
         if labels[-1:] == ["example"] and len(labels) > 1:  # a reserved name stays reserved
@@ -300,23 +450,70 @@ def rendered(mention: str, kind: str, made: str) -> str:
         return made.upper() if mention.isupper() else made
     if kind == "ipv4":
         return made
+    if kind == "ipv6":
+        return made.upper() if mention.isupper() else made
+    if kind == "birthdate":
+        return made.replace("-", next(c for c in mention if not c.isdigit()))
     rest = iter(made)
     out = "".join(next(rest, "") if c.isalnum() or c == "+" else c for c in mention)
     return out + "".join(rest)
 
 
-MENTIONS = "key long, start int, end int, kind string, entity string"
+MENTIONS = "key long, start int, end int, kind string, entity string, run string"
 
 
 def _mentions(rows: DataFrame) -> DataFrame:
+    """Certain mentions, the claims of runs (with ``run``) and the places of their words (of the
+    kind "place"). Rows of the kind "lower" are words that occur in lower case, at least once for
+    each task that has them."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokens: set[str] = set()
         for batch in batches:
-            out = [(k, *m) for k, t in zip(batch["key"], batch["text"], strict=True) for m in detect(t)]
-            yield pd.DataFrame(out, columns=["key", "start", "end", "kind", "entity"])
+            out: list[tuple] = []
+            for key, text in zip(batch["key"], batch["text"], strict=True):
+                certain, shaped = _detect(text)
+                out += [(key, *m, None) for m in certain]
+                out += [(key, *m) for m in shaped]
+                new = set(text.split()) - tokens
+                words = {w for t in new if len(w := t.strip(_MARKS)) <= 30 and w.islower() and w.isalpha()}
+                out += [(0, 0, 0, "lower", w, None) for w in words]
+                tokens |= new
+                if len(tokens) > REMEMBERED:
+                    tokens.clear()
+            yield pd.DataFrame(out, columns=["key", "start", "end", "kind", "entity", "run"])
 
     return rows.select("key", "text").mapInPandas(run, MENTIONS)
 
 
+def _settled(found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, start, end, kind, entity), written: the certain mentions, and the words of runs that
+    occur nowhere in lower case. A word that several such runs of a text claim is one entity, the
+    smallest claim."""
+    plain = ["key", "start", "end", "kind", "entity"]
+    certain = found.where("run is null and kind not in ('lower', 'place')").select(*plain).distinct()
+    shaped = found.where("run is not null")
+    if shaped.isEmpty():
+        return scratch.write(certain)
+    runs = scratch.write(shaped.select("run").distinct())
+    words = runs.select("run", F.explode(F.split("run", " ")).alias("word"))
+    lower = found.where("kind = 'lower'").select(F.col("entity").alias("word")).distinct()
+    ordinary = scratch.write(words.select("word").distinct().join(lower, "word", "left_semi"))
+    out = spread_join(words, ordinary, ["word"], "inner").select("run").distinct()
+    names = scratch.write(runs.join(out, "run", "left_anti"))
+    word = F.substring_index("entity", ":", -1).alias("word")
+    claims = (
+        spread_join(shaped, names, ["run"], "inner")
+        .groupBy("key", word)
+        .agg(F.min(F.struct("kind", "entity")).alias("least"))
+    )
+    places = found.where("kind = 'place'").select("key", "start", "end", F.col("entity").alias("word"))
+    named = places.distinct().join(claims, ["key", "word"]).select("key", "start", "end", "least.*")
+    mentions = scratch.write(certain.unionByName(named))
+    scratch.drop(runs, ordinary, names)
+    return mentions
+
+
 def _written(value: str) -> tuple[Column, Column]:
     """What distinctness is about: the word as it is written, for names of any kind, script and
     sex in one space; other kinds have a space each."""
@@ -374,6 +571,8 @@ def replace_personal_data(
     """One row per row of ``docs``: id, text with surrogates, n_entities (mentions replaced) and
     spans ("kind:start:end" in the original text, comma-joined).
 
+    Names known by their shape only hang on the whole table: a run of capitalised words is one if
+    none of its words occurs in lower case in any text.
     A null text becomes an empty one; texts without personal data stay as they are. Rows that
     repeat identifier and text get equal results; an empty table gives an empty result.
     """
@@ -381,7 +580,9 @@ def replace_personal_data(
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), whole_text(f"`{text_col}`").alias("text")
     ).withColumn("key", F.xxhash64("id", "text"))
-    mentions = scratch.write(_mentions(rows).distinct())
+    found = scratch.write(_mentions(rows))
+    mentions = _settled(found, scratch)
+    scratch.drop(found)
     entities = scratch.write(mentions.select("kind", "entity").distinct())
     made = assign(entities, key, scratch)
     # one mail domain or name may hold many of all mentions

@@ -143,3 +143,67 @@ def test_addresses_are_found_from_the_at_sign_outwards():
     start = time.perf_counter()
     assert surrogates.detect("x" * 1_000_000 + " me@here.org " + "a.b" * 300_000)
     assert time.perf_counter() - start < 20
+
+
+def test_more_formats(spark):
+    text = "Call 415 555 1234 or 2001:db8::8a2e:370:7334; born 12/05/1980, date of birth: 1975-03-09, passport no. X1234567."
+    assert mentions(text) == [
+        ("415 555 1234", "phone"), ("2001:db8::8a2e:370:7334", "ipv6"), ("12/05/1980", "birthdate"),
+        ("1975-03-09", "birthdate"), ("X1234567", "passport"),
+    ]
+    got = replaced(spark, [text])[0].text
+    form = r"Call \d{3} \d{3} \d{4} or 2001:[0-9a-f:]+; born \d\d/\d\d/\d{4}, date of birth: \d{4}-\d\d-\d\d, passport no\. [A-Z]\d{7}\."
+    assert re.fullmatch(form, got)
+    assert not any(old in got for old, _ in mentions(text))
+    for plain in ("at 12:30:45", "std::dead and a::b", "on 12/05/1980", "X1234567", "1 415 555 1234 7", "passport control 1"):
+        assert surrogates.detect(plain) == [], plain
+
+
+def test_names_are_introduced_and_signed():
+    assert [m for m, _ in mentions("Hello, my name is Tunde Okafor. Okafor it is.")] == ["Tunde", "Okafor", "Okafor"]
+    assert [m for m, _ in mentions("Je m’appelle Zoubida. Best regards,\nAnjali Rao")] == ["Zoubida", "Anjali", "Rao"]
+    for plain in ("Dear Sir or Madam,", "Dear Customer", "my name is not here", "Kind regards,\n"):
+        assert surrogates.detect(plain) == [], plain
+
+
+def invented(n):
+    draw = random.Random(5)
+    parts = "zu ki qua ri po xe lo dra mi va the sho ngo bri je".split()
+
+    def word():
+        return "".join(draw.choice(parts) for _ in range(draw.randint(2, 4))).capitalize()
+
+    return [f"{word()} {word()}" for _ in range(n)] + ["Priya Raman", "Wei Zhang", "Muhammad Ali", "Seán O’Brien"]
+
+
+def test_names_by_shape(spark):
+    """Names that no list holds: the share found, and what is left alone."""
+    names = invented(300)
+    forms = ["we met {} in the garden.", "{} came late.", "the letter was for {}, who never read it.", "it was {}."]
+    texts = [forms[k % 4].format(n) for k, n in enumerate(names)]
+    plain = [
+        "we crossed the Blue River again.", "that river was not blue at all.", "they live in New Quaxe now.",
+        "Heute kam der Zug mit den Gästen aus der Stadt an, und die Leute sahen Wolken Berge Wälder, Seen Felder und "
+        "im Tal den Fluss Zimmel Grund vor der Mühle, der Kirche, dem Markt und dem Rathaus.",
+        "THE DNA AND RNA", "Qua Qua", "Zulo Qua Vathe Sho Ngo",
+    ]
+    got = replaced(spark, texts + plain)
+    found = [n for k, n in enumerate(names) if not any(w in got[k].text for w in n.split())]
+    assert len(found) >= 0.97 * len(names)
+    assert all(got[len(texts) + k].text == t for k, t in enumerate(plain))
+    ends = {re.search(r"for (.*), who", got[k].text)[1] for k in range(2, len(names), 4)}
+    assert len(ends) == len({names[k] for k in range(2, len(names), 4)})
+
+
+def test_words_of_a_shaped_name_go_together(spark):
+    got = replaced(spark, ["Yesterday Priya Raman left. Raman's dog stayed.", "on yesterday's news", "yesterday it was"])
+    one = re.fullmatch(r"Yesterday (\w+) (\w+) left\. (\w+)'s dog stayed\.", got[0].text)
+    assert one and one[2] == one[3] != "Raman" and one[1] != "Priya"
+    assert got[0].n_entities == 3 and got[1].n_entities == got[2].n_entities == 0
+
+
+def test_many_names_of_one_first_word_stay_linear():
+    text = " and ".join(f"Anjika Rao{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(15_000))
+    start = time.perf_counter()
+    assert len(surrogates._detect(text)[1]) < 65_000
+    assert time.perf_counter() - start < 20
