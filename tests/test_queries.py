@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from footfall.plans import adapters
 from footfall.plans.oracles import ORACLES
 from footfall.plans.queries import QUERIES
 
@@ -95,3 +96,13 @@ def test_scan_reads_needed_columns_only(spark):
 def test_one_sort_for_all_exposure_windows(spark):
     text = plan(entry.queries()["exposures"](spark, SF))
     assert text.count("Sort [") == 1 and text.count("Exchange hashpartitioning") == 2
+
+
+def test_schedule_rows_are_made_by_many_tasks(spark, monkeypatch):
+    """A part is few bytes and makes many rows: one file of parts is dealt to several tasks."""
+    whole = sorted(map(tuple, adapters.schedule_days(spark, SF).collect()))
+    monkeypatch.setattr(adapters, "PART_BYTES", 500)
+    dealt = adapters.schedule_days(spark, SF)
+    sizes = [n for n in dealt.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert len(sizes) > 2 and max(sizes) < len(whole) / 2
+    assert sorted(map(tuple, dealt.collect())) == whole
