@@ -289,3 +289,25 @@ def test_probe_counts(case, spark, by_device):
         want.append(tuple(row))
     assert sorted(map(tuple, out.collect())) == sorted(want)
     assert any(w[3] for w in want)
+
+
+def test_network_counts_meet_no_probes(spark):
+    """Figures of a whole network are running sums over the seconds of a date: no probe is joined
+    with the scans around it. Scans without a mac count as scans; other dates never count."""
+    other, last = DAY + dt.timedelta(days=1), MIDNIGHT + 86399
+    scans = spark.createDataFrame([
+        (DAY, "d1", "a", MIDNIGHT + 3), (DAY, "d2", "a", MIDNIGHT + 23), (DAY, "d2", "a", MIDNIGHT + 44),
+        (DAY, "d1", None, MIDNIGHT + 4), (DAY, "d1", "b", last), (DAY, "d1", "b", last + 2),
+        (other, "d1", "c", last + 3), (DAY, "d3", "e", MIDNIGHT + 900_000), (None, "d3", "e", MIDNIGHT + 3),
+    ], "time date, devid string, mac string, scan_time long")
+    faces = spark.createDataFrame([(DAY, "d9", last - 10), (other, "d9", last)], "time date, devid string, starttime long")
+    moments = [(1, "x", MIDNIGHT), (2, "y", MIDNIGHT + 13), (3, "y", MIDNIGHT + 13), (4, "z", last),
+               (5, "z", last + 1), (6, "z", MIDNIGHT + 30), (7, "z", None), (8, "z", MIDNIGHT + 34)]
+    out = probes.probe_counts(
+        spark.createDataFrame(moments, "probe_id long, devid string, at long"), scans, faces, 9, by_device=False)
+    got = {r[0]: tuple(r[3:]) for r in out.collect()}
+    assert got == {  # scans, macs, faces within 10 and 15 seconds
+        1: (2, 1, 0, 2, 1, 0), 2: (3, 1, 0, 3, 1, 0), 3: (3, 1, 0, 3, 1, 0), 4: (2, 1, 1, 2, 1, 1),
+        5: (1, 1, 1, 1, 1, 1), 6: (1, 1, 0, 2, 1, 0), 7: (0,) * 6, 8: (1, 1, 0, 2, 1, 0),
+    }
+    assert "_bucket" not in out._jdf.queryExecution().executedPlan().toString()
