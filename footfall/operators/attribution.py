@@ -41,12 +41,12 @@ def enrich_plays(
         "devid", "suit_kind", "city_name", "building_no", "building_name"
     ).distinct()
     content = F.expr(f"substring(trim(vfn), {skip + 1})") if skip else F.col("vfn")
-    logged = (
-        plays.where(F.col("vfn").isNotNull() & (F.col("vfn") != ""))
-        .select("time", "devid", "iccid", "inner_sn", *SLOT, "start_ms", "end_ms", "vfn")
-        .distinct()
+    logged = plays.where(F.col("vfn").isNotNull() & (F.col("vfn") != "")).select(
+        "time", "devid", "iccid", "inner_sn", *SLOT, "start_ms", "end_ms", "vfn"
     )
-    named = logged.withColumns({"_stem": file_stem(F.col("vfn"), skip), "adcontent": content})
+    # plays of devices without a place need not be shuffled to be made distinct
+    logged = lookup_join(logged, places.select("devid").distinct(), ["devid"], "left_semi", devices)
+    named = logged.distinct().withColumns({"_stem": file_stem(F.col("vfn"), skip), "adcontent": content})
     placed = lookup_join(named, places, ["devid"], "inner", devices)
     measured = lookup_join(placed, by_stem, ["_stem"], "inner", lengths)
     return lookup_join(measured, ids, ["_stem"], "inner", ad_ids).drop("_stem", "vfn")
@@ -103,9 +103,13 @@ def attribute_ads(
     the smallest plan and ad. A device's plays are swept into segments that do not overlap
     (``swept``), and its seconds with scans take the segment that began last before them, by one
     union in order of time. The answer depends only on date, device and second, so this runs over
-    distinct ones, and scans pick it up by equality.
+    distinct ones, and scans pick it up by equality. Plays that run at no time between the first
+    and the last scan of a date are left out of it.
     """
-    segments = swept(plays, columns, next_day)
+    scanned = scans.groupBy("time").agg(
+        F.min("scan_time").alias("_first"), F.max("scan_time").alias("_last")
+    )
+    segments = swept(plays, columns, next_day, scanned)
     line = segments.select(
         "time", "devid", F.col("from").alias("_at"), F.lit(0).alias("_kind"),
         F.struct("to", "ad").alias("_play"),
@@ -135,14 +139,21 @@ def attribute_ads(
     )
 
 
-def swept(plays: DataFrame, columns: tuple[str, ...], next_day: bool = True) -> DataFrame:
+def swept(
+    plays: DataFrame,
+    columns: tuple[str, ...],
+    next_day: bool = True,
+    scanned: DataFrame | None = None,
+) -> DataFrame:
     """Plays as segments [from, to] in milliseconds that do not overlap, per device and date of
     the scans that they count for: (time, devid, from, to, ad).
 
     Where plays overlap, the one that started last has the time; when it ends, the one that
     started last of those still running goes on. Plays stream through in order of device, date
     and start, and only the device and date being read is held back; the ad columns pass by as
-    they are. A play's end may lie any time ahead.
+    they are. A play's end may lie any time ahead. ``scanned`` may give the first and last second
+    asked for of each date (time, _first, _last); plays that touch neither these nor the time
+    between are left out before they are shuffled, which most are of the next date's.
     """
     days = F.array("time", F.date_sub("time", 1)) if next_day else F.array("time")
     rows = plays.where(
@@ -154,6 +165,10 @@ def swept(plays: DataFrame, columns: tuple[str, ...], next_day: bool = True) ->
         F.col("end_ms").alias("to"),
         F.struct(*[F.col(c) for c in dict.fromkeys((*SLOT, *columns))]).alias("ad"),
     )
+    if scanned is not None:  # a row per date
+        rows = rows.join(F.broadcast(scanned), "time").where(
+            (F.col("from") <= F.col("_last") * 1000) & (F.col("to") >= F.col("_first") * 1000)
+        ).drop("_first", "_last")
     return (
         rows.repartition("time", "devid")
         .sortWithinPartitions("time", "devid", "from", F.col("to").desc(), F.col("ad").desc())

@@ -195,6 +195,24 @@ def test_overlapping_plays_are_swept_apart(spark, batch):
         assert one.to < other["from"] or (one.time, one.devid) != (other.time, other.devid)
 
 
+def test_plays_out_of_reach_are_not_swept(spark):
+    """Of a date's plays only those that touch the time of its scans are shuffled and swept; a
+    long play begun before is still found under a short one that ended."""
+    plays = spark.createDataFrame(
+        [(DAY, "d", 1, 1, 1, 1, "p", (MIDNIGHT + a) * 1000, (MIDNIGHT + b) * 1000, ad) for a, b, ad in
+         [(0, 5000, "long"), (1000, 1010, "short"), (10, 999, "gone"), (6000, 6010, "late")]]
+        + [(NEXT, "d", 1, 1, 1, 1, "p", (MIDNIGHT + 86400 + k) * 1000, (MIDNIGHT + 86410 + k) * 1000, "next") for k in range(50)],
+        "time date, devid string, sch_version int, uploadcount int, pls_index int, play_index int, "
+        "plninfo string, start_ms long, end_ms long, adcontent string")
+    scans = spark.createDataFrame(
+        [(DAY, "d", MIDNIGHT + t) for t in (1000, 1010, 1011, 5000)], "time date, devid string, scan_time long")
+    got = {r.scan_time - MIDNIGHT: r.adcontent for r in attribution.attribute_ads(scans, plays, ("adcontent",)).collect()}
+    assert got == {1000: "short", 1010: "short", 1011: "long", 5000: "long"}
+    asked = spark.createDataFrame([(DAY, MIDNIGHT + 1000, MIDNIGHT + 5000)], "time date, _first long, _last long")
+    assert attribution.swept(plays, ("adcontent",)).count() > 50
+    assert {r.ad.adcontent for r in attribution.swept(plays, ("adcontent",), True, asked).collect()} == {"long", "short"}
+
+
 def test_attribution_shuffles_each_side_once(spark, case):
     _, _, sdf, pdf = case
     text = attribution.swept(pdf, ("adcontent",))._jdf.queryExecution().executedPlan().toString()
