@@ -101,35 +101,39 @@ def attribute_ads(
 
     Of several plays the one that started last counts, then the one that ended first, then
     the smallest plan and ad. A device's plays are swept into segments that do not overlap
-    (``swept``), and its seconds with scans take the segment that began last before them, by one
-    union in order of time. The answer depends only on date, device and second, so this runs over
-    distinct ones, and scans pick it up by equality. Plays that run at no time between the first
-    and the last scan of a date are left out of it.
+    (``swept``), and its seconds with scans take the segment that began last before them. The
+    answer depends only on date, device and second, so this runs over distinct ones, and scans
+    pick it up by equality.
+
+    Plays and seconds meet in one union per device and date. Backwards in time each play sees the
+    next second asked for; most plays end before it, and only the others are swept, beside the
+    seconds, which alone come back. Plays that run at no time between the first and the last scan
+    of a date are left out before the union is shuffled.
     """
     scanned = scans.groupBy("time").agg(
         F.min("scan_time").alias("_first"), F.max("scan_time").alias("_last")
     )
-    segments = swept(plays, columns, next_day, scanned)
-    line = segments.select(
-        "time", "devid", F.col("from").alias("_at"), F.lit(0).alias("_kind"),
-        F.struct("to", "ad").alias("_play"),
-    )
-    moments = scans.where(F.col("devid").isNotNull()).select("time", "devid", "scan_time").distinct()
-    asked = moments.select(
-        "time", "devid", (F.col("scan_time") * 1000).alias("_at"), F.lit(1).alias("_kind")
-    )
-    so_far = (
-        Window.partitionBy("time", "devid").orderBy("_at", "_kind")
+    moments = scans.where(
+        F.col("time").isNotNull() & F.col("devid").isNotNull() & F.col("scan_time").isNotNull()
+    ).select("time", "devid", "scan_time").distinct()
+    asked = moments.select("time", "devid", (F.col("scan_time") * 1000).alias("from"))
+    # a second has no end, and comes before the plays that start with it
+    backwards = (
+        Window.partitionBy("time", "devid").orderBy(F.col("from").desc(), F.col("to").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = (
-        line.unionByName(asked, allowMissingColumns=True)
-        .withColumn("_play", F.last("_play", ignorenulls=True).over(so_far))
-        .where((F.col("_kind") == 1) & (F.col("_play.to") >= F.col("_at")))
-        .select(
-            "time", "devid", F.call_function("div", F.col("_at"), F.lit(1000)).alias("scan_time"),
-            F.col("_play.ad").alias("_ad"),
-        )
+    second = F.col("to").isNull()
+    line = (
+        _shown(plays, columns, next_day, scanned)
+        .unionByName(asked, allowMissingColumns=True)
+        .repartition("time", "devid")
+        .withColumn("_next", F.min(F.when(second, F.col("from"))).over(backwards))
+        .where(second | (F.col("_next") <= F.col("to")))
+        .drop("_next")
+    )
+    found = _in_order(line).mapInArrow(_sweeper(asked=True), line.schema).select(
+        "time", "devid", F.call_function("div", F.col("from"), F.lit(1000)).alias("scan_time"),
+        F.col("ad").alias("_ad"),
     )
     return scans.drop(*columns).join(
         found, ["time", "devid", "scan_time"], "left"
@@ -155,6 +159,14 @@ def swept(
     asked for of each date (time, _first, _last); plays that touch neither these nor the time
     between are left out before they are shuffled, which most are of the next date's.
     """
+    rows = _shown(plays, columns, next_day, scanned)
+    return _in_order(rows.repartition("time", "devid")).mapInArrow(_sweeper(), rows.schema)
+
+
+def _shown(
+    plays: DataFrame, columns: tuple[str, ...], next_day: bool, scanned: DataFrame | None
+) -> DataFrame:
+    """The plays to sweep, once for each date that they count for."""
     days = F.array("time", F.date_sub("time", 1)) if next_day else F.array("time")
     rows = plays.where(
         (F.col("end_ms") >= F.col("start_ms")) & F.col("devid").isNotNull()
@@ -165,19 +177,24 @@ def swept(
         F.col("end_ms").alias("to"),
         F.struct(*[F.col(c) for c in dict.fromkeys((*SLOT, *columns))]).alias("ad"),
     )
-    if scanned is not None:  # a row per date
-        rows = rows.join(F.broadcast(scanned), "time").where(
-            (F.col("from") <= F.col("_last") * 1000) & (F.col("to") >= F.col("_first") * 1000)
-        ).drop("_first", "_last")
-    return (
-        rows.repartition("time", "devid")
-        .sortWithinPartitions("time", "devid", "from", F.col("to").desc(), F.col("ad").desc())
-        .mapInArrow(_sweeper(), rows.schema)
+    if scanned is None:
+        return rows
+    return rows.join(F.broadcast(scanned), "time").where(  # a row per date
+        (F.col("from") <= F.col("_last") * 1000) & (F.col("to") >= F.col("_first") * 1000)
+    ).drop("_first", "_last")
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Plays in the order they are swept in, within partitions by date and device."""
+    return rows.sortWithinPartitions(
+        "time", "devid", "from", F.col("to").desc(), F.col("ad").desc()
     )
 
 
-def _sweeper():
-    """The Arrow function, self-contained so that executors need no import for it."""
+def _sweeper(asked: bool = False):
+    """The Arrow function, self-contained so that executors need no import for it. With ``asked``
+    rows without an end are moments between the plays, and what comes back is the play of each
+    moment that has one, ``from`` being the moment."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -222,14 +239,27 @@ def _sweeper():
 
     def sweep(rows):
         """The segments of whole device-days."""
-        start, end = rows.column("from").to_numpy(), rows.column("to").to_numpy()
+        start, ends = rows.column("from").to_numpy(), rows.column("to")
+        is_play = ends.is_valid().to_numpy()
+        end = pc.fill_null(ends, 0).to_numpy()
         edges = [*firsts(rows).tolist(), rows.num_rows]
         places, begins, lasts = [], [], []
         for a, b in zip(edges, edges[1:]):
-            place, begin, last = segments(start[a:b], end[a:b])
-            places.append(place + a)
+            own = a + np.flatnonzero(is_play[a:b])
+            if not len(own) or asked and len(own) == b - a:
+                continue
+            place, begin, last = segments(start[own], end[own])
+            place = own[place]
+            if asked:
+                at = start[a:b][~is_play[a:b]]
+                k = np.searchsorted(begin, at, side="right") - 1
+                hit = (k >= 0) & (last[k] >= at)
+                place, begin, last = place[k[hit]], at[hit], last[k[hit]]
+            places.append(place)
             begins.append(begin)
             lasts.append(last)
+        if not places:
+            return []
         out = rows.take(pa.array(np.concatenate(places)))
         for name, bounds in (("from", begins), ("to", lasts)):
             k = out.schema.get_field_index(name)

@@ -213,6 +213,49 @@ def test_plays_out_of_reach_are_not_swept(spark):
     assert {r.ad.adcontent for r in attribution.swept(plays, ("adcontent",), True, asked).collect()} == {"long", "short"}
 
 
+def test_plays_that_run_at_no_scan_are_not_swept(spark, monkeypatch):
+    """Most plays of a device lie between its scans; only those that run at one reach the sweep,
+    and the seconds with scans are all that leaves it."""
+    plays = spark.createDataFrame(
+        [(DAY, "d", 1, 1, 1, 1, "p", (MIDNIGHT + 10 * k) * 1000, (MIDNIGHT + 10 * k + 9) * 1000, f"ad{k}") for k in range(500)],
+        PLAY_TIMES)
+    times = [0, 1005, 1009, 1010, 1010, 4999, 9000]
+    scans = spark.createDataFrame([(DAY, "d", MIDNIGHT + t) for t in times], "time date, devid string, scan_time long")
+    sweeper, count = attribution._sweeper, spark.sparkContext.accumulator(0)
+
+    def counted(**options):
+        run = sweeper(**options)
+
+        def counting(batches):
+            for batch in batches:
+                count.add(batch.num_rows)
+                yield batch
+
+        return lambda batches: run(counting(batches))
+
+    monkeypatch.setattr(attribution, "_sweeper", counted)
+    got = [(r.scan_time - MIDNIGHT, r.adcontent) for r in attribution.attribute_ads(scans, plays, ("adcontent",)).collect()]
+    assert sorted(got, key=repr) == sorted(
+        [(0, "ad0"), (1005, "ad100"), (1009, "ad100"), (1010, "ad101"), (1010, "ad101"), (4999, "ad499"), (9000, None)], key=repr)
+    assert count.value == 4 + 6  # plays, and distinct seconds
+
+
+def test_runs_of_one_view_are_stored_as_a_row(spark, monkeypatch):
+    """Of a run that is one view, whatever its length, one row is written."""
+    rows = spark.range(1000).selectExpr(
+        "date '2024-01-01' AS time", "'d' AS devid", "concat('m', id % 2) AS mac", "1 AS sch_version", "1 AS uploadcount",
+        "1 AS pls_index", "1 AS play_index", "'p' AS plninfo", f"{MIDNIGHT} + id AS scan_time",
+        f"{MIDNIGHT} + id AS anchor", "0 AS inserted", "cast(null as long) AS p_start",
+        "cast(null as long) AS p_end", "'a' AS adcontent", "cast(5000 AS int) AS ad_length")
+    written, staged = [], gapfill.staged
+    monkeypatch.setattr(gapfill, "staged", lambda df: written.append(staged(df)) or written[-1])
+    views = gapfill.view_merge_adlen(rows, FLAG)
+    base = MIDNIGHT * 1000
+    assert sorted((r.mac, r.start_ms, r.end_ms) for r in views.collect()) == [
+        ("m0", base, base + 998_000), ("m1", base + 1000, base + 999_000)]
+    assert written[0].count() == 2
+
+
 def test_attribution_shuffles_each_side_once(spark, case):
     _, _, sdf, pdf = case
     text = attribution.swept(pdf, ("adcontent",))._jdf.queryExecution().executedPlan().toString()
