@@ -3,12 +3,14 @@
 import datetime as dt
 import random
 import re
+from pathlib import Path
 
 import pytest
 
 from conftest import rows
 from footfall.operators import clean, exposures
 from footfall.plans import jobs
+from footfall.plans.queries import QUERIES
 from footfall.sources import sinks, tables
 
 MIDNIGHT = 1704067200
@@ -106,3 +108,29 @@ def test_unreadable_rows_are_kept_apart_and_counted(spark, tmp_path, kind):
     assert sorted(r.reject_reason for r in rejected.collect()) == reasons
     assert all('"devid"' in r.raw_row for r in rejected.collect()) and accepted.first().raw_row is None
     assert set(normal.columns) >= set(raw.columns) and "raw_row" not in normal.columns
+
+
+def shuffle_files(spark):
+    held = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().endswith(".data")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark, scans, tmp_path):
+    """What a step shuffled is removed as soon as its table is written."""
+    counts = scans.groupBy("devid", "mac").count()
+    before = shuffle_files(spark)
+    back = sinks.staged(counts)
+    sinks.write_partitions(scans.repartition("mac"), str(tmp_path / "t"))
+    assert shuffle_files(spark) <= before
+    assert rows(back) == rows(counts)
+    assert spark.conf.get(sinks.CLEANUP) == "false"
+    sinks.release(back)
+
+
+def test_a_daily_run_leaves_only_its_table(spark):
+    """Tables staged on the way to the stored views are removed when these are written."""
+    folder = Path(sinks.shared_folder(spark))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    views = QUERIES["panel_week_views_daily"](spark, "/root/testdata/sf0.001")
+    assert len(set(folder.iterdir()) - before) == 1
+    assert views.count() > 0
