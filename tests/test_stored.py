@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 
 from conftest import rows
-from footfall.operators import clean, exposures
+from footfall.operators import clean, exposures, spread
 from footfall.plans import jobs
 from footfall.plans.queries import QUERIES
 from footfall.sources import sinks, tables
@@ -134,3 +134,31 @@ def test_a_daily_run_leaves_only_its_table(spark):
     views = QUERIES["panel_week_views_daily"](spark, "/root/testdata/sf0.001")
     assert len(set(folder.iterdir()) - before) == 1
     assert views.count() > 0
+
+
+def test_long_schedules_of_few_ads_are_broadcast(spark, tmp_path, monkeypatch):
+    """A schedule may be long and its ads few: the plays are not shuffled to the ads' lists."""
+    path = str(tmp_path / "schedule")
+    spark.range(20_000).selectExpr(
+        "concat('ad', id % 9, '.avi') AS adcontent", "concat('c', id % 9) AS adcustomer",
+        "concat('p', id % 9) AS adproduct", "'30' AS adlength", "uuid() AS note",
+    ).write.parquet(path)
+    schedule = spark.read.parquet(path)
+    ads = schedule.selectExpr("replace(adcontent, 'avi', 'wmv') AS adcontent", "adcustomer AS adid")
+    places = spark.createDataFrame(
+        [("d", "液晶", "已安装", "kit", "c", "b1", "b", 1)],
+        "devid string, devicekind string, install_status string, suit_kind string, city_name string, "
+        "building_no string, building_name string, update_time long")
+    places = sinks.staged(places)  # a file, whose size is known
+    plays = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), "d", "i", "s", 1, 1, 1, 1, "p", 10 * i, 10 * i + 5, f"ad{i % 12}.mp4") for i in range(24)],
+        "time date, devid string, iccid string, inner_sn string, sch_version int, uploadcount int, pls_index int, "
+        "play_index int, plninfo string, start_ms long, end_ms long, vfn string")
+    args = plays, places, schedule, ads
+    want = rows(jobs.enriched_log(*args))
+    *head, most = spread.lookup_join.__defaults__
+    monkeypatch.setattr(spread.lookup_join, "__defaults__", (*head, 50_000))
+    assert "_salt" in plan(jobs.enriched_log(*args))
+    short = jobs.enriched_log(*args, stage=True)
+    assert "_salt" not in plan(short)
+    assert rows(short) == want and len(want) == 18
