@@ -272,6 +272,54 @@ def test_gapfill_from_log(case):
     assert sorted(map(tuple, got), key=repr) == flat(logged_rows(scans, plays))
 
 
+@pytest.mark.parametrize("next_day", [True, False])
+def test_plays_near_contacts(case, next_day):
+    """Every play that ran during a contact is marked, and all plays are counted."""
+    scans, plays, sdf, pdf = case
+    spans = gapfill.contact_spans(sdf, APPEND, FLAG)
+    near = gapfill.near_plays(pdf, spans, next_day).cache()
+    held = {d: [w[1:3] for who, mine in visitors(scans).items() if who[1] == d for w in windows(mine)] for d in ("d1", "d2")}
+    days = (DAY, NEXT) if next_day else (DAY,)
+    want = [p for p in plays if p[0] in days
+            and any(a * 1000 <= p[8] and b * 1000 >= p[7] for a, b in held[p[1]])]
+    assert sorted(map(tuple, near.where("_near").select(*pdf.columns).collect()), key=repr) == sorted(want, key=repr)
+    assert 0 < len(want) < len(plays)
+    counted = {(r.time, r.devid): r["_plays"] for r in near.where("_plays > 0").collect()}
+    assert counted == {k: sum(p[:2] == k for p in plays) for k in {p[:2] for p in plays}}
+    rows = sorted((r["_from"], r["_to"]) for r in spans.where("devid = 'd1'").collect())
+    assert all(a[1] < b[0] for a, b in zip(rows, rows[1:]))  # spans do not touch
+    near.unpersist()
+
+
+def test_bad_plays_near_contacts(spark):
+    """A play without an end, or one that ends before it starts, still counts where it starts."""
+    scans = spark.createDataFrame([(DAY, "d", "m", 1, 1, 1, 1, "p", MIDNIGHT + 1000)], SCANS)
+    at = (MIDNIGHT + 1000) * 1000
+    times = [(at + 5000, None), (at + 5000, at - 90_000), (at - 500, at), (at - 9000, at - 1), (None, at), (at + 40_001, at + 50_000)]
+    plays = spark.createDataFrame([(DAY, "d", 1, 1, 1, 1, "p", a, b, "ad", 5) for a, b in times], PLAYS)
+    near = gapfill.near_plays(plays, gapfill.contact_spans(scans, APPEND, FLAG))
+    got = [(r.start_ms, r.end_ms) for r in near.where("_near").collect()]
+    assert sorted(got, key=repr) == sorted(times[:3], key=repr)
+
+
+def test_logged_job_keeps_plays_near_contacts_only(spark, case, monkeypatch):
+    """Plays that run while nobody is there are counted, but not stored, swept or joined."""
+    _, _, sdf, pdf = case
+    extra = ["ad_content_id", "suit_kind", "adproduct", "adcustomer", "city_name", "building_no", "building_name"]
+    full = pdf.selectExpr("*", *[f"'x' AS {c}" for c in extra])
+    far = full.withColumns({"start_ms": full.start_ms + 30_000_000, "end_ms": full.end_ms + 30_000_000})
+    written, staged = [], jobs.staged
+    monkeypatch.setattr(jobs, "staged", lambda df: written.append(staged(df)) or written[-1])
+    want = jobs.logged_gapfill(sdf, full, APPEND, FLAG, 1, None).collect()
+    few = sum(t.where("start_ms is not null").count() for t in written if "start_ms" in t.columns)
+    written.clear()
+    many = full.unionByName(far.where(f"start_ms < {(MIDNIGHT + 80_000) * 1000}"))
+    got = jobs.logged_gapfill(sdf, many, APPEND, FLAG, 1, None).collect()
+    assert many.count() > pdf.count() + 100
+    assert sum(t.where("start_ms is not null").count() for t in written if "start_ms" in t.columns) == few
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
+
+
 @pytest.mark.parametrize("by_content", [False, True])
 def test_view_merge_adlen(case, by_content):
     scans, plays, sdf, pdf = case
