@@ -5,10 +5,10 @@ import random
 
 import pytest
 
-from footfall.operators import attribution, gapfill, probes
+from footfall.operators import attribution, clean, gapfill, plays, probes
 from footfall.operators.gapfill import AD_SLOT
 from footfall.operators.plays import SLOT
-from footfall.plans import jobs
+from footfall.plans import adapters, jobs
 
 DAY, NEXT = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 MIDNIGHT = 1704067200
@@ -264,6 +264,42 @@ def test_attribution_shuffles_each_side_once(spark, case):
     assert "Generate explode(sequence" not in text and text.count("MapInArrow") == 1
 
 
+@pytest.mark.parametrize("split", [False, True])
+def test_dealt_gapfill(case, split):
+    """Scans dealt out once: the same rows and views, and no shuffle from the scans to the views."""
+    scans, plays, sdf, pdf = case
+    hot = gapfill.device_hot_keys(sdf, ["time", "devid"], 20) if split else None
+    dealt = gapfill.dealt_visitors(sdf, hot)
+    out = gapfill.dealt_gapfill(dealt, pdf, APPEND, FLAG, hot)
+    got = out.select("time", "devid", "mac", *SLOT, "scan_time", "time_diff").collect()
+    assert sorted(map(tuple, got), key=repr) == flat(rebuilt_rows(scans, plays))
+    if split:
+        assert dealt.select("devid", "_salt").distinct().count() > 2
+        assert dealt.groupBy("devid", "mac").agg({"_salt": "min"}).count() == dealt.select("devid", "mac", "_salt").distinct().count()
+    views = gapfill.view_merge(out, FLAG)
+    whole = gapfill.view_merge(gapfill.exposure_gapfill(sdf, pdf, APPEND, FLAG), FLAG)
+    assert sorted(map(tuple, views.collect()), key=repr) == sorted(map(tuple, whole.select(*views.columns).collect()), key=repr)
+    text = views._jdf.queryExecution().executedPlan().toString()
+    assert "_bucket" not in text and "Exchange hashpartitioning" not in text.split("Union")[0]
+
+
+def test_rebuilt_job_makes_plays_in_contacts_only(spark, monkeypatch):
+    """Views over the rebuilt log are those over all rebuilt plays, but only the plays that start
+    in a contact are made; the scans are dealt out once."""
+    scans, schedule, factory = (
+        f(spark, "/root/testdata/sf0.001") for f in (adapters.view_info, adapters.schedule_days, adapters.mac_factory))
+    genuine = clean.spoof_filter(scans, factory)
+    kept = gapfill.visitor_scans(clean.dominant_serial(genuine, ["time", "devid"]), 1000)
+    whole = plays.rebuild_plays(genuine, schedule)
+    want = gapfill.view_merge(gapfill.exposure_gapfill(kept, whole, 600, 1800), 1800)
+    made, rebuild = [], plays.rebuild_plays
+    monkeypatch.setattr(plays, "rebuild_plays", lambda *a: made.append(rebuild(*a)) or made[-1])
+    got = jobs.rebuilt_views(scans, schedule, factory, 600, 1800, 1000)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.select(*got.columns).collect()), key=repr)
+    assert 0 < made[0].count() < whole.count() / 3
+    assert "_bucket" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_gapfill_from_log(case):
     scans, plays, sdf, pdf = case
     hot = gapfill.device_hot_keys(sdf, ["devid"], 1)
